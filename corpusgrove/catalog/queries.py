@@ -839,7 +839,7 @@ def refine_topics(spark, sf):
     docs = materialize(stub.answered(spark, sf).select("doc_idx", "responses"), "documents")
     tree = T.remove_rare_topics(materialize(topics(spark, sf), "topics"), 0.01)
     backend = B.Backend(B.one_by_one(stub.merge_listed))
-    tree, mapping, rewritten = refine_plan(tree, backend, stub.REFINE_TEMPLATE, docs, threshold=0.8)
+    tree, mapping, rewritten = refine_plan(tree, backend, stub.REFINE_TEMPLATE, docs, threshold=0.5)
     return rewritten.select("doc_idx", "refined_responses")
 
 
@@ -872,7 +872,7 @@ def all_stages(spark, sf):
         "correction": {"context_len": 10_000_000},
     }
     completers = {
-        "generation": stub.name_topics,
+        "generation": stub.name_initial,
         "refinement": stub.merge_listed,
         "generation_2": stub.group_subtopic,
         "assignment": stub.pick_topic,

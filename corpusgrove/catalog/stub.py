@@ -123,6 +123,15 @@ def name_topics(prompt: str) -> str:
     return "\n".join(f"[1] {w.capitalize()}: Documents about {w}." for w, _ in best) or "None"
 
 
+def name_initial(prompt: str) -> str:
+    """Completer: the first letter of the most frequent long word."""
+    words = Counter(_LONG.findall(prompt.split("\nText:\n", 1)[1].lower()))
+    if not words:
+        return "None"
+    letter = min(words.items(), key=lambda item: (-item[1], item[0]))[0][0]
+    return f"[1] Words in {letter}: Texts led by a word in {letter}."
+
+
 def pick_topic(prompt: str) -> str:
     """Completer: the listed topic at the position the text's length gives."""
     tree, text = prompt.split("\n", 1)[1].split("\n#####\n")[:2]

@@ -28,7 +28,7 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(norms > 0, dot(a, b) / norms).otherwise(F.lit(0.0))
 
 
-def hashed_terms(dims: int = 64) -> Callable[[list[str]], np.ndarray]:
+def hashed_terms(dims: int = 256) -> Callable[[list[str]], np.ndarray]:
     """Default text encoder: term counts, each term hashed to one dimension."""
 
     def encode(texts: list[str]) -> np.ndarray:
