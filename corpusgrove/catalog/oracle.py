@@ -55,7 +55,7 @@ CTE = {
         FROM two t LEFT JOIN parts p USING (doc_id) GROUP BY t.doc_id, t.lang, t.source""",
     "lines": r"""
         SELECT doc_id, unnest(string_split(responses, chr(10))) AS line,
-               generate_subscripts(string_split(responses, chr(10)), 1) - 1 AS line_idx FROM resp""",
+               (generate_subscripts(string_split(responses, chr(10)), 1) - 1)::INTEGER AS line_idx FROM resp""",
     "level1": r"""
         SELECT doc_id, line_idx, trim(regexp_extract(line, '^\[(\d+)\] ([\p{L}\p{N}_\s+#-]+):(.+)', 2)) AS name,
                trim(regexp_extract(line, '^\[(\d+)\] ([\p{L}\p{N}_\s+#-]+):(.+)', 3)) AS descr
@@ -110,7 +110,7 @@ CTE = {
         FROM vec QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1""",
     "sims": """
         SELECT e.vec_id, c.topic, c.tok, list_cosine_similarity(e.v, c.v) AS s,
-               row_number() OVER (PARTITION BY e.vec_id ORDER BY list_cosine_similarity(e.v, c.v) DESC, c.label) - 1 AS position,
+               row_number() OVER (PARTITION BY e.vec_id ORDER BY list_cosine_similarity(e.v, c.v) DESC, c.label)::INTEGER - 1 AS position,
                sum(c.tok) OVER (PARTITION BY e.vec_id ORDER BY list_cosine_similarity(e.v, c.v) DESC, c.label) AS upto
         FROM vec e CROSS JOIN cluster c""",
     "vpairs": f"""
@@ -380,9 +380,15 @@ ORACLE: dict[str, str] = {
         """, adds AS (SELECT f.name AS parent, m.doc_id * 4 + 1 AS born, m.b AS name, 'Texts on ' || m.w2 || '.' AS d
                       FROM merge_answers m JOIN frequent f ON f.key = m.w1
                       UNION ALL SELECT f.name, m.doc_id * 4 + 2, 'Group ' || d.lang, 'More in ' || d.lang || '.'
-                      FROM merge_answers m JOIN frequent f ON f.key = m.w1 JOIN documents d USING (doc_id))
+                      FROM merge_answers m JOIN frequent f ON f.key = m.w1 JOIN documents d USING (doc_id)),
+           nodes AS (SELECT a.parent, a.name, f.ord, min(a.born) AS born FROM adds a JOIN frequent f ON f.name = a.parent GROUP BY 1, 2, 3),
+           late AS (SELECT m.doc_id, d.lang, n.parent AS up, n.name AS parent FROM merge_answers m JOIN documents d USING (doc_id)
+                    JOIN nodes n ON n.name = m.b AND n.born < m.doc_id * 4 + 1
+                    WHERE m.w1 NOT IN (SELECT key FROM frequent)
+                    QUALIFY row_number() OVER (PARTITION BY m.doc_id ORDER BY n.ord, n.born) = 1)
            SELECT '' AS parent, 1 AS lvl, name, n AS count, descr AS "desc" FROM frequent
-           UNION ALL SELECT parent, 2, name, count(*), arg_min(d, born) FROM adds GROUP BY parent, name""",
+           UNION ALL SELECT parent, 2, name, count(*), arg_min(d, born) FROM adds GROUP BY parent, name
+           UNION ALL SELECT parent, 2, 'Group ' || lang, count(*), 'More in ' || lang || '.' FROM late GROUP BY up, parent, lang""",
         "merge_answers", "frequent").replace("\n, adds", ",\nadds"),
     # grounding
     "assigned_topics": with_tables(
@@ -465,3 +471,16 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 2, name || ' Group', max(b) + 1, 'One prompt of ' || name || '.' FROM hpacked GROUP BY name""",
         "topics").replace("\n, spread", ",\nspread"),
 }
+
+# Sums are HUGEINT and bare numbers INTEGER in this dialect; the tables hold BIGINT.
+for _name, _columns in {
+    "level1_total": ["total"],
+    "topic_file_rejects": ["count"],
+    "seed_tree": ["count"],
+    "pack_documents": ["n_tokens"],
+    "merge_counts": ["count"],
+    "apply_merge": ["count"],
+    "usage_report": ["prompt_tokens", "response_tokens"],
+}.items():
+    _casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in _columns)
+    ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"

@@ -46,16 +46,17 @@ def query(fn: Query) -> Query:
 # ------------------------------------------------------------ shared inputs
 
 
-def topic_lines(spark, sf) -> DataFrame:
-    return L.level_gate(L.response_lines(stub.answered(spark, sf)))
+def topic_lines(answers: DataFrame) -> DataFrame:
+    return L.level_gate(L.response_lines(answers))
 
 
-def topics(spark, sf) -> DataFrame:
-    return fold.topic_counts(topic_lines(spark, sf))
+def topics(answers: DataFrame) -> DataFrame:
+    return fold.topic_counts(topic_lines(answers))
 
 
-def frequent_topics(spark, sf) -> DataFrame:
-    return T.remove_rare_topics(materialize(topics(spark, sf), "topics"), RARE)
+def frequent_topics(answers: DataFrame) -> DataFrame:
+    tree = materialize(topics(answers), "topics")
+    return materialize(T.remove_rare_topics(tree, RARE), "frequent")
 
 
 def source_tree(spark, sf) -> DataFrame:
@@ -80,10 +81,6 @@ def source_tree(spark, sf) -> DataFrame:
     return level1.unionByName(level2)
 
 
-def assigned(spark, sf) -> DataFrame:
-    return stub.answered(spark, sf).withColumn("prompted_docs", F.col("responses"))
-
-
 def embeddings(spark, sf) -> DataFrame:
     return SD.spread(spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id")
 
@@ -104,12 +101,14 @@ def path_text() -> Column:
 
 @query
 def topic_counts(spark, sf):
-    return topics(spark, sf).select("name", "count", "desc")
+    answers = stub.answered(spark, sf)
+    return topics(answers).select("name", "count", "desc")
 
 
 @query
 def first_seen_desc(spark, sf):
-    return fold.first_seen_desc(topic_lines(spark, sf))
+    answers = stub.answered(spark, sf)
+    return fold.first_seen_desc(topic_lines(answers))
 
 
 def lang_seeds(lines: DataFrame, docs: DataFrame) -> DataFrame:
@@ -128,52 +127,59 @@ def lang_seeds(lines: DataFrame, docs: DataFrame) -> DataFrame:
 
 @query
 def seed_aware_counts(spark, sf):
-    lines = topic_lines(spark, sf)
+    answers = stub.answered(spark, sf)
+    lines = topic_lines(answers)
     seeds = lang_seeds(lines, stub.documents(spark, sf))
     return fold.topic_counts(lines, seeds).select("name", "count", "desc")
 
 
 @query
 def match_existing(spark, sf):
-    lines = topic_lines(spark, sf).withColumn("lvl", F.lit(1))
-    matched = fold.match_existing(lines, frequent_topics(spark, sf))
+    answers = stub.answered(spark, sf)
+    lines = topic_lines(answers).withColumn("lvl", F.lit(1))
+    matched = fold.match_existing(lines, frequent_topics(answers))
     return matched.select("doc_idx", "line_idx", "name", "node_name")
 
 
 @query
 def early_stop_position(spark, sf):
-    numbered = materialize(fold.number_lines(topic_lines(spark, sf)), "lines")
+    answers = stub.answered(spark, sf)
+    numbered = materialize(fold.number_lines(topic_lines(answers)), "lines")
     return fold.early_stop_position(numbered, PATIENCE).select("doc_idx", "line_idx", "g")
 
 
 @query
 def early_stop_kept_docs(spark, sf):
     answers = stub.answered(spark, sf)
-    numbered = materialize(fold.number_lines(topic_lines(spark, sf)), "lines")
+    numbered = materialize(fold.number_lines(topic_lines(answers)), "lines")
     stop = fold.early_stop_position(numbered, PATIENCE)
     return fold.early_stop_kept_docs(answers, stop).select("doc_idx", "responses")
 
 
 @query
 def early_stop_counts(spark, sf):
-    numbered = materialize(fold.number_lines(topic_lines(spark, sf)), "lines")
+    answers = stub.answered(spark, sf)
+    numbered = materialize(fold.number_lines(topic_lines(answers)), "lines")
     kept = fold.lines_until(numbered, fold.early_stop_position(numbered, PATIENCE))
     return fold.topic_counts(kept).select("name", "count")
 
 
 @query
 def stop_on_error_docs(spark, sf):
-    return fold.stop_on_error(stub.answered(spark, sf)).select("doc_idx", "status")
+    answers = stub.answered(spark, sf)
+    return fold.stop_on_error(answers).select("doc_idx", "status")
 
 
 @query
 def level1_rejects(spark, sf):
-    return L.level1_rejects(L.response_lines(stub.answered(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return L.level1_rejects(L.response_lines(answers))
 
 
 @query
 def level_gate(spark, sf):
-    return topic_lines(spark, sf)
+    answers = stub.answered(spark, sf)
+    return topic_lines(answers)
 
 
 # ------------------------------------------------------------ documents and topics
@@ -183,50 +189,52 @@ def _labels(tree: DataFrame) -> DataFrame:
     return tree.select(X.label_of().alias("label"))
 
 
-def _doc_topics(spark, sf) -> DataFrame:
-    return Sub.doc_topics(stub.answered(spark, sf), _labels(frequent_topics(spark, sf)))
+def _doc_topics(answers: DataFrame) -> DataFrame:
+    return Sub.doc_topics(answers, _labels(frequent_topics(answers)))
 
 
 @query
 def doc_topics(spark, sf):
-    return _doc_topics(spark, sf).select("doc_idx", F.array_join("topics", "|").alias("topics"))
+    answers = stub.answered(spark, sf)
+    return _doc_topics(answers).select("doc_idx", F.array_join("topics", "|").alias("topics"))
 
 
 @query
 def docs_with_topics(spark, sf):
-    return Sub.docs_with_topics(_doc_topics(spark, sf)).select("doc_idx")
+    answers = stub.answered(spark, sf)
+    return Sub.docs_with_topics(_doc_topics(answers)).select("doc_idx")
 
 
-def _mentions(spark, sf) -> DataFrame:
-    return Sub.topic_mentions(stub.answered(spark, sf), _labels(frequent_topics(spark, sf)))
+def _mentions(answers: DataFrame) -> DataFrame:
+    return Sub.topic_mentions(answers, _labels(frequent_topics(answers)))
 
 
 @query
 def doc_frequency(spark, sf):
-    return Sub.doc_frequency(_mentions(spark, sf))
+    answers = stub.answered(spark, sf)
+    return Sub.doc_frequency(_mentions(answers))
 
 
 @query
 def docs_for_topic(spark, sf):
-    mentions = materialize(_mentions(spark, sf), "mentions")
-    wanted = T.expandable_topics(frequent_topics(spark, sf), F.lit(1000), 0.01)
+    answers = stub.answered(spark, sf)
+    mentions = materialize(_mentions(answers), "mentions")
+    wanted = T.expandable_topics(frequent_topics(answers), F.lit(1000), 0.01)
     return Sub.docs_for_topics(mentions, _labels(wanted))
 
 
-def _docs_with_topics_count(spark, sf) -> Column:
-    docs = Sub.docs_with_topics(_doc_topics(spark, sf))
-    return docs.agg(F.count(F.lit(1))).scalar()
-
-
 @query
 def expandable_topics(spark, sf):
-    tree = frequent_topics(spark, sf)
-    return T.expandable_topics(tree, _docs_with_topics_count(spark, sf), 0.005).select("name", "count")
+    answers = stub.answered(spark, sf)
+    tree = frequent_topics(answers)
+    with_topics = Sub.docs_with_topics(Sub.doc_topics(answers, _labels(tree)))
+    return T.expandable_topics(tree, with_topics.agg(F.count(F.lit(1))).scalar(), 0.005).select("name", "count")
 
 
 @query
 def cap_parents(spark, sf):
-    tree = materialize(topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = materialize(topics(answers), "topics")
     docs = stub.documents(spark, sf).agg(F.count(F.lit(1))).scalar()
     return T.expandable_topics(tree, docs, 0.005, 10).select("name", "count")
 
@@ -240,12 +248,14 @@ def expandable_leaves(spark, sf):
 
 @query
 def remove_rare_topics(spark, sf):
-    return frequent_topics(spark, sf).select("name", "count")
+    answers = stub.answered(spark, sf)
+    return frequent_topics(answers).select("name", "count")
 
 
 @query
 def level1_total(spark, sf):
-    return T.level1_total(topics(spark, sf))
+    answers = stub.answered(spark, sf)
+    return T.level1_total(topics(answers))
 
 
 # ------------------------------------------------------------ trees
@@ -253,12 +263,14 @@ def level1_total(spark, sf):
 
 @query
 def topic_labels(spark, sf):
-    return T.topic_labels(topics(spark, sf)).drop("path")
+    answers = stub.answered(spark, sf)
+    return T.topic_labels(topics(answers)).drop("path")
 
 
 @query
 def topic_list(spark, sf):
-    tree = materialize(topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = materialize(topics(answers), "topics")
     return T.topic_list(tree, desc=True, count=False).select("position", "label")
 
 
@@ -308,7 +320,8 @@ def topic_file_round_trip(spark, sf):
 @query
 def topic_file_rejects(spark, sf):
     """Responses read as a topic file: no line carries a count, so all are rejected."""
-    lines = L.response_lines(stub.answered(spark, sf)).select("doc_idx", F.col("line_idx").alias("line_no"), "line")
+    answers = stub.answered(spark, sf)
+    lines = L.response_lines(answers).select("doc_idx", F.col("line_idx").alias("line_no"), "line")
     counted = F.when(F.col("line").startswith("[1]"), F.regexp_replace("line", ":", " (Count: 3):")).otherwise(F.col("line"))
     parsed = ST.parse_topic_lines(lines.withColumn("line", counted).withColumn("line_no", fold.line_ordinal("doc_idx", "line_no")))
     return parsed.groupBy("valid", "lvl", "count").agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("name").alias("names"))
@@ -339,8 +352,9 @@ def add_topic(spark, sf):
 
 @query
 def seed_tree(spark, sf):
+    answers = stub.answered(spark, sf)
     path = scratch_path(spark, "seed-file")
-    lines = topics(spark, sf).select("path", F.concat(X.label_of(), F.lit(": "), "desc").alias("value"))
+    lines = topics(answers).select("path", F.concat(X.label_of(), F.lit(": "), "desc").alias("value"))
     lines.orderBy("path").select("value").write.text(path)
     return ST.read_seed(spark, path).select("lvl", "name", "count", "desc")
 
@@ -360,13 +374,14 @@ def truncate_tokens(spark, sf):
 
 @query
 def user_token_counter(spark, sf):
-    words = X.TokenCounter(count=lambda c: F.size(F.split(F.btrim(c), r"[ \n]+", -1)))
+    words = X.TokenCounter(count=lambda c: F.size(F.split(F.btrim(c), r"[ \n]+", -1)).cast("long"))
     return stub.documents(spark, sf).select("doc_idx", words.count(F.col("text")).alias("tokens"))
 
 
 @query
 def prompt_sizes(spark, sf):
-    tree = materialize(topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = materialize(topics(answers), "topics")
     room = P.list_tokens(tree, False, X.DEFAULT_TOKENS, strip_desc=True) + 600
     sized = P.generation_prompts(stub.documents(spark, sf), tree, stub.GENERATION_TEMPLATE, room)
     return sized.select("doc_idx", "fit", "doc_tokens")
@@ -374,14 +389,16 @@ def prompt_sizes(spark, sf):
 
 @query
 def generation_prompt(spark, sf):
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = frequent_topics(answers)
     made = P.generation_prompts(stub.documents(spark, sf), tree, stub.GENERATION_TEMPLATE, 1_000_000)
     return made.select("doc_idx", F.md5("prompt").alias("prompt_md5"), X.count_tokens(F.col("prompt")).alias("tokens"))
 
 
 @query
 def assign_prompt(spark, sf):
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = frequent_topics(answers)
     context = P.list_tokens(tree, True, X.DEFAULT_TOKENS) + 300
     made = P.assign_prompts(stub.documents(spark, sf), tree, stub.ASSIGN_TEMPLATE, context)
     return made.select("doc_idx", "prompted_docs", F.md5("prompt").alias("prompt_md5"))
@@ -515,13 +532,15 @@ def _merges(spark, sf) -> DataFrame:
 
 @query
 def merge_nodes(spark, sf):
-    tree = materialize(topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = materialize(topics(answers), "topics")
     return Mg.merge_nodes(tree, _merges(spark, sf)).select("merge_id", "pos", "name", "count")
 
 
 @query
 def merge_counts(spark, sf):
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = frequent_topics(answers)
     merges = materialize(_merges(spark, sf), "merges")
     return Mg.merge_counts(tree, merges).select("merge_id", "new_name", "count")
 
@@ -529,7 +548,8 @@ def merge_counts(spark, sf):
 @query
 def apply_merge(spark, sf):
     """Topics sharing their first seven letters become one."""
-    tree = materialize(topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = materialize(topics(answers), "topics")
     stem = F.substring(F.lower("name"), 1, 7)
     stems = tree.groupBy(stem.alias("stem")).agg(F.min(T.ordinal()).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     merges = tree.withColumn("stem", stem).join(stems, "stem").select(
@@ -568,7 +588,8 @@ def _source_mapping(spark, sf) -> DataFrame:
 
 @query
 def rewrite_topics(spark, sf):
-    out = Mg.rewrite_documents(stub.answered(spark, sf), _source_mapping(spark, sf), "responses")
+    answers = stub.answered(spark, sf)
+    out = Mg.rewrite_documents(answers, _source_mapping(spark, sf), "responses")
     return out.select("doc_idx", "refined_responses")
 
 
@@ -597,9 +618,10 @@ def subtopic_lines(spark, sf):
 @query
 def subtopic_parent(spark, sf):
     """Subtopics of every document under the frequent topics."""
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = frequent_topics(answers)
     grown = materialize(Sub.fold_subtopics(tree, _subtopic_answers(spark, sf)), "grown")
-    above = grown.filter("lvl = 1").select(F.col("path").alias("up"), F.col("name").alias("parent"))
+    above = grown.select(F.col("path").alias("up"), F.col("name").alias("parent"))
     nested = grown.withColumn("up", T.parent_path()).join(above, "up", "left")
     return nested.select(F.coalesce("parent", F.lit("")).alias("parent"), "lvl", "name", "count", "desc")
 
@@ -609,41 +631,47 @@ def subtopic_parent(spark, sf):
 
 @query
 def assigned_topics(spark, sf):
-    named = R.assignment_names(assigned(spark, sf))
+    answers = stub.answered(spark, sf)
+    named = R.assignment_names(answers)
     return named.select("doc_idx", F.array_join("topics", "|").alias("topics"))
 
 
 @query
 def grounding_errors(spark, sf):
-    return R.grounding_errors(assigned(spark, sf)).select("doc_idx")
+    answers = stub.answered(spark, sf)
+    return R.grounding_errors(answers).select("doc_idx")
 
 
 @query
 def grounding_hallucinated(spark, sf):
-    return R.grounding_hallucinated(assigned(spark, sf), T.topic_names(frequent_topics(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return R.grounding_hallucinated(answers, T.topic_names(frequent_topics(answers)))
 
 
 @query
 def ungrounded_topics(spark, sf):
-    return R.ungrounded_topics(assigned(spark, sf), T.topic_names(frequent_topics(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return R.ungrounded_topics(answers, T.topic_names(frequent_topics(answers)))
 
 
 @query
 def grounding_report(spark, sf):
-    return R.grounding_report(assigned(spark, sf), T.topic_names(frequent_topics(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return R.grounding_report(answers, T.topic_names(frequent_topics(answers)))
 
 
 @query
 def reprompt_set(spark, sf):
-    return R.reprompt_set(assigned(spark, sf), T.topic_names(frequent_topics(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return R.reprompt_set(answers, T.topic_names(frequent_topics(answers)))
 
 
 @query
 def apply_corrections(spark, sf):
-    docs = materialize(assigned(spark, sf), "assigned")
-    bad = R.reprompt_set(docs, T.topic_names(frequent_topics(spark, sf)))
+    answers = stub.answered(spark, sf)
+    bad = R.reprompt_set(answers, T.topic_names(frequent_topics(answers)))
     corrections = bad.select("doc_idx", F.concat(F.lit("[1] Repaired: was "), "reason").alias("response"))
-    return R.apply_corrections(docs, corrections).select("doc_idx", "responses")
+    return R.apply_corrections(answers, corrections).select("doc_idx", "responses")
 
 
 def _with_text(spark, sf) -> DataFrame:
@@ -655,7 +683,7 @@ def _with_text(spark, sf) -> DataFrame:
 @query
 def correct_until_grounded(spark, sf):
     docs = materialize(_with_text(spark, sf), "assigned")
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    tree = frequent_topics(docs)
     backend = B.Backend(B.one_by_one(stub.first_listed))
     out = correct_topics(docs, tree, backend, stub.CORRECT_TEMPLATE, 1_000_000, max_rounds=3)
     return out.select("doc_idx", "responses")
@@ -664,7 +692,7 @@ def correct_until_grounded(spark, sf):
 @query
 def correct_prompt(spark, sf):
     docs = materialize(_with_text(spark, sf), "assigned")
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    tree = frequent_topics(docs)
     bad = R.reprompt_set(docs, T.topic_names(tree))
     again = docs.join(bad.select("doc_idx"), "doc_idx", "left_semi")
     made = P.correct_prompts(again, tree, stub.CORRECT_TEMPLATE, 1_000_000)
@@ -674,9 +702,9 @@ def correct_prompt(spark, sf):
 # ------------------------------------------------------------ metrics
 
 
-def _cells(spark, sf) -> DataFrame:
+def _cells(answers: DataFrame) -> DataFrame:
     """Language against first assigned topic."""
-    docs = M.with_first_topic(stub.answered(spark, sf), "responses", unmatched="drop")
+    docs = M.with_first_topic(answers, "responses", unmatched="drop")
     return M.contingency(docs, "lang", "pred")
 
 
@@ -686,43 +714,51 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query
 def first_topic(spark, sf):
-    return M.with_first_topic(stub.answered(spark, sf), "responses", "topic", "drop").select("doc_idx", "topic")
+    answers = stub.answered(spark, sf)
+    return M.with_first_topic(answers, "responses", "topic", "drop").select("doc_idx", "topic")
 
 
 @query
 def contingency(spark, sf):
-    return _cells(spark, sf)
+    answers = stub.answered(spark, sf)
+    return _cells(answers)
 
 
 @query
 def purity(spark, sf):
-    return _rounded(M.purity(_cells(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return _rounded(M.purity(_cells(answers)))
 
 
 @query
 def inverse_purity(spark, sf):
-    return _rounded(M.inverse_purity(_cells(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return _rounded(M.inverse_purity(_cells(answers)))
 
 
 @query
 def harmonic_purity(spark, sf):
-    return _rounded(M.harmonic_purity(_cells(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return _rounded(M.harmonic_purity(_cells(answers)))
 
 
 @query
 def adjusted_rand(spark, sf):
-    return _rounded(M.adjusted_rand(_cells(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return _rounded(M.adjusted_rand(_cells(answers)))
 
 
 @query
 def normalized_mi(spark, sf):
-    return _rounded(M.normalized_mi(_cells(spark, sf)))
+    answers = stub.answered(spark, sf)
+    return _rounded(M.normalized_mi(_cells(answers)))
 
 
 @query
 def alignment_report(spark, sf):
     """Quality labels against the first letter of the first topic."""
-    docs = M.with_first_topic(stub.answered(spark, sf), "responses", unmatched="drop")
+    answers = stub.answered(spark, sf)
+    docs = M.with_first_topic(answers, "responses", unmatched="drop")
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("doc_idx"), "quality")
     joined = docs.join(labels, "doc_idx").withColumn("pred", F.lower(F.substring("pred", 1, 1)))
     return _rounded(M.alignment_report(M.contingency(joined, "quality", "pred")))
@@ -733,7 +769,8 @@ def alignment_report(spark, sf):
 
 @query
 def assign_topics(spark, sf):
-    tree = materialize(frequent_topics(spark, sf), "topics")
+    answers = stub.answered(spark, sf)
+    tree = frequent_topics(answers)
     context = P.list_tokens(tree, True, X.DEFAULT_TOKENS) + 300
     docs = stub.documents(spark, sf).select("doc_idx", "text")
     out = assign_plan(docs, tree, B.Backend(B.one_by_one(stub.pick_topic)), stub.ASSIGN_TEMPLATE, context)
@@ -780,7 +817,8 @@ def usage_report(spark, sf):
 
 @query
 def error_rows(spark, sf):
-    return R.error_rows(stub.answered(spark, sf)).select("doc_idx", "responses")
+    answers = stub.answered(spark, sf)
+    return R.error_rows(answers).select("doc_idx", "responses")
 
 
 # ------------------------------------------------------------ files and samples
@@ -836,8 +874,9 @@ def generate_level2(spark, sf):
 
 @query
 def refine_topics(spark, sf):
-    docs = materialize(stub.answered(spark, sf).select("doc_idx", "responses"), "documents")
-    tree = T.remove_rare_topics(materialize(topics(spark, sf), "topics"), 0.01)
+    answers = stub.answered(spark, sf)
+    docs = answers.select("doc_idx", "responses")
+    tree = T.remove_rare_topics(materialize(topics(answers), "topics"), 0.01)
     backend = B.Backend(B.one_by_one(stub.merge_listed))
     tree, mapping, rewritten = refine_plan(tree, backend, stub.REFINE_TEMPLATE, docs, threshold=0.5)
     return rewritten.select("doc_idx", "refined_responses")

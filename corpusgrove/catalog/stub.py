@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusgrove.functions.text import let
 from corpusgrove.sources.documents import read_documents
+from corpusgrove.storage import materialize
 
 LONG_WORD = r"(\p{L}{6,})"
 
@@ -50,23 +51,24 @@ def top_words(text: Column, k: int = 2) -> Column:
 
 
 def level1_response(words: Column, doc: Column, source: Column) -> Column:
-    def line(i: int) -> Column:
-        word = F.get(words, F.lit(i))
+    def line(found: Column, i: int) -> Column:
+        word = F.get(found, F.lit(i))
         shown = F.when(doc % 2 == 0, F.initcap(word)).otherwise(word)
         return F.concat(F.lit("[1] "), shown, F.lit(": Documents from "), source, F.lit(" about "), word, F.lit("."))
 
-    text = F.concat_ws(
-        "\n",
-        line(0),
-        line(1),
-        F.when(doc % 23 == 22, "[1] Unlisted Matter: Nothing in the tree covers this."),
-        F.when(doc % 13 == 12, "[2] Detail: A lower level line."),
-        F.when(doc % 11 == 10, "no topic on this line"),
+    text = let(
+        words,
+        lambda found: F.concat_ws(
+            "\n",
+            line(found, 0),
+            line(found, 1),
+            F.when(doc % 23 == 22, "[1] Unlisted Matter: Nothing in the tree covers this."),
+            F.when(doc % 13 == 12, "[2] Detail: A lower level line."),
+            F.when(doc % 11 == 10, "no topic on this line"),
+        ),
     )
-    return (
-        F.when(doc % 29 == 28, "Error")
-        .when((doc % 17 == 16) | (text == ""), "None")
-        .otherwise(text)
+    return F.when(doc % 29 == 28, "Error").when(doc % 17 == 16, "None").otherwise(
+        F.coalesce(F.nullif(text, F.lit("")), F.lit("None"))
     )
 
 
@@ -77,11 +79,15 @@ def worded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_idx, lang, source, responses, status`` of the first stage."""
+    """``doc_idx, lang, source, responses, status`` of the first stage.
+
+    Written once and read back, as completions always are: they are paid for
+    and most queries read them more than once.
+    """
     response = level1_response(F.col("words"), F.col("doc_idx"), F.col("source"))
-    return worded(spark, sf_dir).select("doc_idx", "lang", "source", response.alias("responses")).withColumn(
-        "status", F.when(F.col("responses") == "Error", "error").otherwise("ok")
-    )
+    answers = worded(spark, sf_dir).select("doc_idx", "lang", "source", response.alias("responses"))
+    status = F.when(F.col("responses") == "Error", "error").otherwise("ok")
+    return materialize(answers, "answers").withColumn("status", status)
 
 
 def merge_response(words: Column) -> Column:

@@ -44,7 +44,7 @@ def matches(c: Column, pattern: str) -> Column:
 
 
 def count_tokens(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(G.TOKEN))
+    return F.regexp_count(c, F.lit(G.TOKEN)).cast("long")
 
 
 def truncate_tokens(c: Column, n: Column | int) -> Column:

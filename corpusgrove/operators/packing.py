@@ -81,14 +81,14 @@ def number_batches(sized: DataFrame, keys: list[str], budget: int, chunk: int =
     kinds = dict(slim.dtypes)
     key_schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
 
-    def summarise(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def summarise(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         sizes = rows.sort_values("n")["n_tokens"].to_numpy()
         table = pd.DataFrame(_summary(sizes, budget), columns=["lowest", "exit", "closed", "passed"])
         for name, value in zip([*keys, "chunk"], key):
             table[name] = [value] * len(table)
         return table
 
-    def chain(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         fill, batch, out = 0, 0, []
         for chunk_id, table in rows.sort_values(["chunk", "lowest"]).groupby("chunk", sort=True):
             out.append((*key, chunk_id, fill, batch))
@@ -97,7 +97,7 @@ def number_batches(sized: DataFrame, keys: list[str], budget: int, chunk: int =
             batch += int(row["closed"])
         return pd.DataFrame(out, columns=[*keys, "chunk", "fill", "batch"])
 
-    def number(key, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+    def number(key: tuple, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("n")
         fill, batch = int(entry["fill"].iloc[0]), int(entry["batch"].iloc[0])
         rows["batch_id"] = _number(rows["n_tokens"].to_numpy(), budget, fill, batch)

@@ -151,7 +151,7 @@ def topic_pairs(vectors: DataFrame, threshold: float, block: int = PAIR_BLOCK) -
         "ord", "embedding", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other")
     ).select("ord", "embedding", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
 
-    def product(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def product(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         a, b = key
         rows = rows.sort_values("ord")
         left, right = rows[rows["own"] == a], rows[rows["own"] == b]
