@@ -38,31 +38,36 @@ def _unit(rows: list) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _budget_prefix(sim: np.ndarray, tokens: np.ndarray, budget: float) -> np.ndarray:
-    """Most similar topics, in order, while their tokens fit the budget."""
-    order = np.argsort(-sim, kind="stable")
-    total = np.cumsum(tokens[order])
-    fits = (total <= budget) & (total - tokens[order] < budget)
-    return order[: len(fits) if fits.all() else int(np.argmin(fits))]
+def _order(sim: np.ndarray) -> np.ndarray:
+    """Most similar first; ties, up to rounding noise, in tree order."""
+    return np.argsort(-np.round(sim, 12), kind="stable")
 
 
-def _top_prefix(sim: np.ndarray, tokens: np.ndarray, budget: float) -> np.ndarray:
-    return np.argsort(-sim, kind="stable")[: int(budget)]
+def _within_budget(tokens: np.ndarray, budget: float) -> int:
+    """How many topics, in order, fit the budget; the first misfit ends it."""
+    total = np.cumsum(tokens)
+    fits = (total <= budget) & (total - tokens < budget)
+    return len(fits) if fits.all() else int(np.argmin(fits))
 
 
-def _floor_prefix(floor: int):
-    """Longest prefix within the budget, but at least ``floor`` topics."""
+def _first_k(tokens: np.ndarray, budget: float) -> int:
+    return min(len(tokens), int(budget))
 
-    def keep(sim: np.ndarray, tokens: np.ndarray, budget: float) -> np.ndarray:
-        order = np.argsort(-sim, kind="stable")
-        within = int(np.searchsorted(np.cumsum(tokens[order]), budget, side="right"))
-        return order[: max(within, floor)]
+
+def _with_floor(floor: int):
+    """How many topics fit the budget, but at least ``floor``."""
+
+    def keep(tokens: np.ndarray, budget: float) -> int:
+        return min(len(tokens), max(int(np.searchsorted(np.cumsum(tokens), budget, side="right")), floor))
 
     return keep
 
 
-def _ranked_block(topics: DataFrame, keep):
-    """Column function ranking one block of topics (``ord, label, tokens, embedding``)."""
+def _ranked_block(topics: DataFrame, keep, extra: int):
+    """Column function ranking one block of topics (``ord, label, tokens, embedding``).
+
+    ``extra`` topics beyond the kept ones are returned as well.
+    """
     block = topics.orderBy("ord").toPandas()
     shared = topics.sparkSession.sparkContext.broadcast(
         (block["ord"].tolist(), block["label"].tolist(), block["tokens"].to_numpy(), _unit(list(block["embedding"])))
@@ -77,10 +82,12 @@ def _ranked_block(topics: DataFrame, keep):
             for start in range(0, len(vectors), step):
                 part = _unit(list(vectors.iloc[start : start + step]))
                 for sim, budget in zip(part @ matrix.T, budgets.iloc[start : start + step]):
+                    order = _order(sim)
+                    order = order[: keep(tokens[order], budget) + extra]
                     out.append(
                         [
                             {"ord": ords[i], "label": labels[i], "similarity": float(sim[i]), "tokens": int(tokens[i])}
-                            for i in keep(sim, tokens, budget)
+                            for i in order
                         ]
                     )
             yield pd.Series(out)
@@ -91,9 +98,10 @@ def _ranked_block(topics: DataFrame, keep):
 def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, keep, out: str, block_rows: int) -> DataFrame:
     """Adds ``out``: per document the kept topics, most similar first.
 
-    Every topic block is ranked on its own and the kept lists are merged: a
+    Every topic block is ranked on its own and the kept lists are merged.  A
     topic kept overall is kept in its block, because fewer topics precede it
-    there.
+    there; the first topic a block gives up comes along, since it may be the
+    one that ends the merged list.
     """
     topics = topics.select("ord", "label", F.col("tokens").cast("long").alias("tokens"), "embedding")
     last = topics.agg(F.max("ord")).first()[0]
@@ -101,11 +109,12 @@ def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, ke
     if last is None:
         return docs.withColumn(out, F.array().cast(RANKED)).drop("__budget")
     lists = []
+    extra = 0 if last < block_rows else 1
     for start in range(0, last + 1, block_rows):
         block = topics.filter((F.col("ord") >= start) & (F.col("ord") < start + block_rows))
         if not block.isEmpty():
-            lists.append(_ranked_block(block, keep)(F.col(embedding), F.col("__budget")))
-    if len(lists) == 1:
+            lists.append(_ranked_block(block, keep, extra)(F.col(embedding), F.col("__budget")))
+    if not extra:
         return docs.withColumn(out, lists[0]).drop("__budget")
     merged = F.concat(*lists)
 
@@ -116,7 +125,8 @@ def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, ke
             rows = sorted(rows, key=lambda r: r["ord"])
             sim = np.array([r["similarity"] for r in rows])
             tokens = np.array([r["tokens"] for r in rows])
-            out.append([rows[i] for i in keep(sim, tokens, budget)] if rows else [])
+            order = _order(sim)
+            out.append([rows[i] for i in order[: keep(tokens[order], budget)]] if rows else [])
         return pd.Series(out)
 
     return docs.withColumn(out, again(merged, F.col("__budget"))).drop("__budget")
@@ -124,7 +134,7 @@ def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, ke
 
 def similar_topics(docs: DataFrame, topics: DataFrame, k: int, embedding: str = "embedding", out: str = "ranked", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` most similar topics of each document; ties in tree order."""
-    return _rank(docs, topics, embedding, F.lit(k), _top_prefix, out, block_rows)
+    return _rank(docs, topics, embedding, F.lit(k), _first_k, out, block_rows)
 
 
 def budgeted_topics(docs: DataFrame, topics: DataFrame, budget: Column, embedding: str = "embedding", out: str = "ranked", block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -132,12 +142,12 @@ def budgeted_topics(docs: DataFrame, topics: DataFrame, budget: Column, embeddin
 
     It ends at the first topic that does not fit; nothing behind it is tried.
     """
-    return _rank(docs, topics, embedding, budget, _budget_prefix, out, block_rows)
+    return _rank(docs, topics, embedding, budget, _within_budget, out, block_rows)
 
 
 def half_context_topics(docs: DataFrame, topics: DataFrame, context_len: int, floor: int, embedding: str = "embedding", out: str = "ranked", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Least similar topics go while the list exceeds half the context, down to ``floor``."""
-    return _rank(docs, topics, embedding, F.lit(context_len // 2), _floor_prefix(floor), out, block_rows)
+    return _rank(docs, topics, embedding, F.lit(context_len // 2), _with_floor(floor), out, block_rows)
 
 
 PAIR_SCHEMA = "i bigint, j bigint, score double"
@@ -157,7 +167,7 @@ def topic_pairs(vectors: DataFrame, threshold: float, block: int = PAIR_BLOCK) -
         left, right = rows[rows["own"] == a], rows[rows["own"] == b]
         if left.empty or right.empty:
             return pd.DataFrame({"i": [], "j": [], "score": []})
-        scores = _unit(list(left["embedding"])) @ _unit(list(right["embedding"])).T
+        scores = np.round(_unit(list(left["embedding"])) @ _unit(list(right["embedding"])).T, 12)
         x, y = np.nonzero(scores > threshold)
         i, j = left["ord"].to_numpy()[x], right["ord"].to_numpy()[y]
         ahead = i < j

@@ -79,7 +79,6 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
     assigned = assign_topics(
         corpus, tree, backend("assignment"), _template(spark, section["prompt"]), **options.get("assignment", {})
     )
-    assigned = materialize(assigned, "stage-assigned")
     write_documents(assigned.drop("status", "prompt_hash"), section["output"])
 
     section = config["correction"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusgrove.operators.backend import Backend
-from corpusgrove.plans.assign import assign_topics
+from corpusgrove.plans.assign import assignments
 
 
 def assign_stream(documents: DataFrame, tree: DataFrame, backend: Backend, template: str, out: str, checkpoint: str, **options) -> StreamingQuery:
@@ -17,7 +17,7 @@ def assign_stream(documents: DataFrame, tree: DataFrame, backend: Backend, templ
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        assign_topics(batch, tree, backend, template, **options).write.mode("append").parquet(out)
+        assignments(batch, tree, backend, template, **options).write.mode("append").parquet(out)
 
     return (
         documents.writeStream.foreachBatch(each)
