@@ -58,7 +58,10 @@ def truncate_tokens(c: Column, n: Column | int) -> Column:
 
 
 class TokenCounter:
-    """How tokens are counted and cut.  Replace both for another tokenizer."""
+    """How tokens are counted and cut.  Replace both for another tokenizer.
+
+    ``truncate`` must return a text that is not longer than asked unchanged.
+    """
 
     def __init__(
         self,

@@ -58,4 +58,5 @@ def embed(text: Column, encode: Callable[[list[str]], np.ndarray] | None = None)
             matrix = np.asarray(encoder(batch.fillna("").tolist()), dtype=float)
             yield pd.Series(list(matrix))
 
-    return run(text)
+    # deterministic UDFs may be duplicated by filter inference; this one is costly
+    return run.asNondeterministic()(text)

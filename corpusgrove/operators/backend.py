@@ -84,8 +84,11 @@ def complete(
 def replay_responses(df: DataFrame, prompt: str, recorded: DataFrame) -> DataFrame:
     """Recorded responses (``prompt_hash, response``) in place of live calls."""
     order = df.columns
-    keyed = df.withColumn("prompt_hash", prompt_hash(F.col(prompt)))
-    found = keyed.join(recorded.select("prompt_hash", F.col("response").alias("__r")), "prompt_hash", "left")
+    # rows without a prompt get keys of their own instead of one shared null
+    spare = F.concat(F.lit("skipped-"), F.xxhash64(*order).cast("string"))
+    keyed = df.withColumn("prompt_hash", prompt_hash(F.col(prompt))).withColumn("__key", F.coalesce("prompt_hash", spare))
+    answers = recorded.select(F.col("prompt_hash").alias("__key"), F.col("response").alias("__r"))
+    found = keyed.join(answers, "__key", "left")
     missing = F.col("__r").isNull()
     return found.select(
         *order,

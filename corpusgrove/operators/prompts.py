@@ -97,8 +97,7 @@ def assign_prompts(
         shown = _joined("__ranked", "line")
         shown_tokens = F.aggregate(F.col("__ranked"), F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])
     room = F.lit(context_len) - tokens.count(F.lit(template)) - shown_tokens
-    cut = F.when(tokens.count(F.col("text")) > room, tokens.truncate(F.col("text"), room)).otherwise(F.col("text"))
-    out = docs.withColumn("prompted_docs", cut)
+    out = docs.withColumn("prompted_docs", tokens.truncate(F.col("text"), room))
     prompt = X.fill_template(template, Document=F.col("prompted_docs"), tree=shown)
     return out.withColumn("prompt", prompt).drop("__vector", "__ranked")
 
@@ -134,7 +133,7 @@ def correct_prompts(
     ranked = half_context_topics(marked, topics, context_len, floor, "__vector", "__ranked")
     kept = F.aggregate(F.col("__ranked"), F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])
     room = F.lit(context_len) - template_tokens - kept
-    cut = F.when(F.col("__over") & (tokens.count(doc) > room), tokens.truncate(doc, room)).otherwise(doc)
+    cut = F.when(F.col("__over"), tokens.truncate(doc, room)).otherwise(doc)
     shown = F.when(F.col("__over"), _joined("__ranked", "join")).otherwise(whole)
     prompt = X.fill_template(template, Document=cut, tree=shown, Message=message)
     return ranked.withColumn("prompt", prompt).drop("__over", "__vector", "__ranked")

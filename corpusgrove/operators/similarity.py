@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BLOCK_ROWS = 20_000
-PAIR_BLOCK = 1024
+PAIR_BLOCK = 2048
 CELLS_AT_ONCE = 4_000_000
 
 RANKED = T.ArrayType(
@@ -92,7 +92,7 @@ def _ranked_block(topics: DataFrame, keep, extra: int):
                     )
             yield pd.Series(out)
 
-    return rank
+    return rank.asNondeterministic()
 
 
 def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, keep, out: str, block_rows: int) -> DataFrame:
@@ -129,7 +129,7 @@ def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, ke
             out.append([rows[i] for i in order[: keep(tokens[order], budget)]] if rows else [])
         return pd.Series(out)
 
-    return docs.withColumn(out, again(merged, F.col("__budget"))).drop("__budget")
+    return docs.withColumn(out, again.asNondeterministic()(merged, F.col("__budget"))).drop("__budget")
 
 
 def similar_topics(docs: DataFrame, topics: DataFrame, k: int, embedding: str = "embedding", out: str = "ranked", block_rows: int = BLOCK_ROWS) -> DataFrame:

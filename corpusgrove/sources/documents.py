@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from corpusgrove.schema import CORPUS, STAGE_COLUMNS
-from corpusgrove.storage import spread
+from corpusgrove.storage import broadcast_within, materialize, spread
+
+MAX_SPLITS = 2_000_000
 
 
 def file_order(raw: DataFrame, out: str) -> DataFrame:
     """Dense row number in file order, without sorting or shuffling the rows.
 
-    Rows of one input split are numbered by the task that reads it; a second,
+    Rows of one input split are numbered by the task that reads it; a first,
     slim pass counts rows per split and gives every split its first number.
+    That table has one row per split and is broadcast, so texts stay put.
     """
     tagged = raw.select(
         "*",
@@ -24,6 +27,7 @@ def file_order(raw: DataFrame, out: str) -> DataFrame:
     sizes = tagged.groupBy(*split).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = W.orderBy(*split).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(*split, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    offsets = broadcast_within(materialize(offsets, "splits"), MAX_SPLITS)
     return (
         tagged.join(offsets, split)
         .withColumn(out, F.col("__offset") + F.col("__id") - F.col("__first"))
