@@ -49,14 +49,20 @@ def hashed_terms(dims: int = 256) -> Callable[[list[str]], np.ndarray]:
 
 
 def embed(text: Column, encode: Callable[[list[str]], np.ndarray] | None = None) -> Column:
-    """Vector column of ``text``; ``encode`` maps a list of texts to a matrix."""
+    """Vector column of ``text``, null where it is null.
+
+    ``encode`` maps a list of texts to a matrix.
+    """
     encoder = encode or hashed_terms()
 
     @F.pandas_udf(VECTOR)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            matrix = np.asarray(encoder(batch.fillna("").tolist()), dtype=float)
-            yield pd.Series(list(matrix))
+            texts = batch.dropna()
+            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+            if len(texts):
+                out[texts.index] = list(np.asarray(encoder(texts.tolist()), dtype=float))
+            yield out
 
     # deterministic UDFs may be duplicated by filter inference; this one is costly
     return run.asNondeterministic()(text)

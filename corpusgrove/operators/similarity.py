@@ -1,7 +1,7 @@
 """Similarity of documents to topics and of topics to each other.
 
 Documents against topics: the topic vectors of one block (a checked number of
-rows) are broadcast and each Arrow batch of documents is multiplied with them.
+rows and bytes) are broadcast and each Arrow batch of documents is multiplied with them.
 Only what a document keeps leaves the task, never the document x topic pairs.
 
 Topics against topics: vectors are cut into blocks and every pair of blocks is
@@ -16,7 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corpusgrove.storage import materialize
+
 BLOCK_ROWS = 20_000
+BLOCK_BYTES = 64 << 20
 PAIR_BLOCK = 2048
 CELLS_AT_ONCE = 4_000_000
 
@@ -78,41 +81,43 @@ def _ranked_block(topics: DataFrame, keep, extra: int):
         ords, labels, tokens, matrix = shared.value
         step = max(1, CELLS_AT_ONCE // max(1, len(ords)))
         for vectors, budgets in batches:
-            out = []
-            for start in range(0, len(vectors), step):
-                part = _unit(list(vectors.iloc[start : start + step]))
-                for sim, budget in zip(part @ matrix.T, budgets.iloc[start : start + step]):
+            out: list[list[dict]] = [[] for _ in range(len(vectors))]
+            present = np.flatnonzero(vectors.notna().to_numpy())
+            for start in range(0, len(present), step):
+                rows = present[start : start + step]
+                scores = _unit(list(vectors.iloc[rows])) @ matrix.T
+                for row, sim in zip(rows, scores):
                     order = _order(sim)
-                    order = order[: keep(tokens[order], budget) + extra]
-                    out.append(
-                        [
-                            {"ord": ords[i], "label": labels[i], "similarity": float(sim[i]), "tokens": int(tokens[i])}
-                            for i in order
-                        ]
-                    )
+                    order = order[: keep(tokens[order], budgets.iloc[row]) + extra]
+                    out[row] = [
+                        {"ord": ords[i], "label": labels[i], "similarity": float(sim[i]), "tokens": int(tokens[i])}
+                        for i in order
+                    ]
             yield pd.Series(out)
 
     return rank.asNondeterministic()
 
 
 def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, keep, out: str, block_rows: int) -> DataFrame:
-    """Adds ``out``: per document the kept topics, most similar first.
+    """Adds ``out``: per document the kept topics, most similar first; none
+    for a document without a vector.
 
     Every topic block is ranked on its own and the kept lists are merged.  A
     topic kept overall is kept in its block, because fewer topics precede it
     there; the first topic a block gives up comes along, since it may be the
     one that ends the merged list.
     """
-    topics = topics.select("ord", "label", F.col("tokens").cast("long").alias("tokens"), "embedding")
-    last = topics.agg(F.max("ord")).first()[0]
+    topics = materialize(topics.select("ord", "label", F.col("tokens").cast("long").alias("tokens"), "embedding"), "ranked-topics")
+    last, dims = topics.agg(F.max("ord"), F.max(F.size("embedding"))).first()
     docs = docs.withColumn("__budget", budget.cast("double"))
     if last is None:
         return docs.withColumn(out, F.array().cast(RANKED)).drop("__budget")
-    lists = []
+    block_rows = max(1, min(block_rows, BLOCK_BYTES // (8 * max(dims, 1))))
     extra = 0 if last < block_rows else 1
+    lists = []
     for start in range(0, last + 1, block_rows):
-        block = topics.filter((F.col("ord") >= start) & (F.col("ord") < start + block_rows))
-        if not block.isEmpty():
+        block = topics.filter((F.col("ord") >= start) & (F.col("ord") < start + block_rows)) if extra else topics
+        if not extra or not block.isEmpty():
             lists.append(_ranked_block(block, keep, extra)(F.col(embedding), F.col("__budget")))
     if not extra:
         return docs.withColumn(out, lists[0]).drop("__budget")

@@ -149,6 +149,8 @@ def test_grounding(spark):
     names = spark.createDataFrame([("Law",), ("R&D's",), ("C++",)], "name string")
     got = {r.doc_idx: r.reason for r in R.reprompt_set(df, names).collect()}
     assert got == {1: "hallucinated", 2: "error", 3: "hallucinated", 5: "error", 6: "error", 7: "error"}
+    joined = R.reprompt_set(df, names, inline=0).collect()
+    assert {r.doc_idx: r.reason for r in joined} == got
     assert tuple(R.grounding_report(df, names).first()) == (4, 2)
     assert {r.topic: r.docs for r in R.ungrounded_topics(df, names).collect()} == {"law": 1, "Ghost": 1}
     assert R.grounding_report(df.filter("doc_idx = 0"), names).first().errors == 0
