@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return _local_scratch()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
