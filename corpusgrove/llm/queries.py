@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import block_mix
+from corpusgrove.llm import ans_tokens, block_mix
+from corpusgrove.storage import scratch_path
+
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +24,19 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_token_blocks(spark, sf):
+    path = scratch_path(spark, "tokens")
+    ans_tokens.write_tokens(documents(spark, sf), path, tokenizer_path())
+    return ans_tokens.document_digests(spark, path)
+
+
 @query
 def op9_mix_sources(spark, sf):
     return block_mix.taken_words(block_mix.mix_sources(documents(spark, sf)))
