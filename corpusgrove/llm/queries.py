@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix
+from corpusgrove.llm import ans_tokens, block_mix, minhash_star
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op5_near_duplicates(spark, sf):
+    return minhash_star.near_duplicates(documents(spark, sf))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
