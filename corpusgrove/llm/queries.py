@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, license_scan, minhash_star
+from corpusgrove.llm import ans_tokens, block_mix, license_scan, line_crf, minhash_star
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op2_line_quality(spark, sf):
+    return line_crf.quality(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 @query
 def op3_license_scan(spark, sf):
     return license_scan.scan(documents(spark, sf))
