@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, license_scan, line_crf, minhash_star
+from corpusgrove.llm import ans_tokens, block_mix, chat_tree, license_scan, line_crf, minhash_star
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,15 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_chat_tree(spark, sf):
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    path = tokenizer_path("byte_bpe_50k.json")
+    return chat_tree.digests(chat_tree.build(rows.unionByName(probe), path), path)
+
+
 @query
 def op2_line_quality(spark, sf):
     return line_crf.quality(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
