@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, chat_tree, license_scan, line_crf, minhash_star
+from corpusgrove.llm import ans_tokens, block_mix, chat_tree, hilbert_ann, license_scan, line_crf, minhash_star
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +43,11 @@ def op3_license_scan(spark, sf):
     return license_scan.scan(documents(spark, sf))
 
 
+@query
+def op4_hilbert_neighbours(spark, sf):
+    return hilbert_ann.nearest_neighbours(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 @query
 def op5_near_duplicates(spark, sf):
     return minhash_star.near_duplicates(documents(spark, sf))
