@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, chat_tree, hilbert_ann, license_scan, line_crf, minhash_star
+from corpusgrove.llm import ans_tokens, block_mix, chat_tree, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,6 +66,11 @@ def op7_token_blocks(spark, sf):
     return ans_tokens.document_digests(spark, path)
 
 
+@query
+def op8_benchmark_leaks(spark, sf):
+    return simhash_leaks.find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @query
 def op9_mix_sources(spark, sf):
     return block_mix.taken_words(block_mix.mix_sources(documents(spark, sf)))
