@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, chat_tree, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks
+from corpusgrove.llm import ans_tokens, block_mix, chat_tree, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks, suffix_levels
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -74,3 +74,8 @@ def op8_benchmark_leaks(spark, sf):
 @query
 def op9_mix_sources(spark, sf):
     return block_mix.taken_words(block_mix.mix_sources(documents(spark, sf)))
+
+
+@query
+def op10_suffix_levels(spark, sf):
+    return suffix_levels.without_repeats(documents(spark, sf))
