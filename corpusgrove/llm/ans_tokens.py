@@ -1,14 +1,14 @@
 """Token ids in files of independently decodable blocks, coded by range asymmetric numeral systems.
 
-One pass over the texts counts token ids; the counts become one frequency table
-shared by all blocks.  A second pass, in ascending order of document id, codes
-the ids in blocks of whole documents.  A block interleaves many coder states
-(lanes): symbol i belongs to lane i mod lanes, so a step of the coder is a few
-array operations.  Checkpoints hold all states at some steps, so that a reader
-can start inside a block; checksums cover the coded words and the ids.
+Tasks take the documents in ascending order of id.  The ids of several million
+tokens share one frequency table, made of all of them; under it they are coded
+in blocks of whole documents.  A block interleaves many coder states (lanes):
+symbol i belongs to lane i mod lanes, so a step of the coder is a few array
+operations.  Checkpoints hold all states at some steps, so that a reader can
+start inside a block; checksums cover the coded words and the ids.
 
-A folder of files holds: ``table`` (token, frequency), ``blocks`` (below) and
-``parts`` (how many ids the blocks of each range of documents hold).
+A folder of files holds ``groups`` (a frequency table with its blocks) and
+``parts`` (how many ids the groups of each range of documents hold).
 
 Defined results: null text is empty, an empty document is its end id alone;
 documents sort by id with null first, then by text, and rows that repeat are
@@ -26,14 +26,24 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-BLOCKS = (
-    "part int, block int, first long, n_tokens long, lanes int, doc_ids array<long>, doc_tokens array<long>, "
-    "words binary, states binary, checkpoints array<struct<step:int,word:long,states:binary>>, "
-    "words_crc long, ids_crc long"
+CHECKPOINT = pa.struct([("step", pa.int32()), ("word", pa.int64()), ("states", pa.binary())])
+BLOCK = pa.struct(
+    [
+        ("first", pa.int64()), ("n_tokens", pa.int64()), ("lanes", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
+        ("doc_tokens", pa.list_(pa.int64())), ("words", pa.binary()), ("states", pa.binary()),
+        ("checkpoints", pa.list_(CHECKPOINT)), ("words_crc", pa.int64()), ("ids_crc", pa.int64()),
+    ]
+)
+GROUP = pa.schema([("part", pa.int32()), ("n_tokens", pa.int64()), ("frequencies", pa.binary()), ("blocks", pa.list_(BLOCK))])
+GROUPS = (
+    "part int, n_tokens long, frequencies binary, blocks array<struct<first:long,n_tokens:long,lanes:int,doc_ids:array<long>,"
+    "doc_tokens:array<long>,words:binary,states:binary,checkpoints:array<struct<step:int,word:long,states:binary>>,"
+    "words_crc:long,ids_crc:long>>"
 )
 LOW = 1 << 31
-CACHED_WORDS = 1 << 18
-CACHED_LENGTH = 64
+REMEMBERED = 1 << 17
+LONGEST = 64
+ROWS = 256
 
 
 # ------------------------------------------------------------ tokens
@@ -43,7 +53,9 @@ class Encoder:
     """Ids of whole texts by a tokenizer file.
 
     A tokenizer that drops white space and never joins across it gives the same
-    ids for a text as for its pieces between blanks, so pieces are remembered.
+    ids for a text as for its pieces between blanks.  ``pieces`` says so: then
+    pieces are remembered in two generations, and new ones are encoded many at
+    a time, joined by blanks.
     """
 
     def __init__(self, path: str, pieces: bool):
@@ -53,54 +65,50 @@ class Encoder:
         # kept with the library, so that a worker's next task finds them
         kept = vars(tokenizers).setdefault("_remembered", {})
         if path not in kept:
-            kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""})
-        self.tokenizer, self.known = kept[path]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            kept[path] = {"tokenizer": tokenizers.Tokenizer.from_file(path), "young": {"": b""}, "old": {}}
+        self.kept = kept[path]
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        out = {}
+        for at in range(0, len(words), 256):
+            some = words[at : at + 256]
+            got = self.kept["tokenizer"].encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            starts = np.array([o[0] for o in got.offsets], np.int64)
+            ends = np.cumsum([len(w) + 1 for w in some])
+            cuts = np.searchsorted(starts, ends).tolist()
+            data, low = ids.tobytes(), 0
+            for word, cut in zip(some, cuts):
+                out[word] = data[4 * low : 4 * cut]
+                low = cut
+        return out
 
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit integers."""
         if not self.pieces:
-            return self._whole([text])[0]
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = list(set(words).difference(known))
-        found = dict(zip(new, self._whole(new)))
-        out = b"".join([known[w] if w in known else found[w] for w in words])
-        if len(known) + len(found) > CACHED_WORDS:
-            known.clear()
-            known[""] = b""
-        known.update((w, b) for w, b in found.items() if len(w) <= CACHED_LENGTH)
+            got = self.kept["tokenizer"].encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() for e in got]
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        young, old = self.kept["young"], self.kept["old"]
+        missing = set().union(*split).difference(young)
+        again = missing.intersection(old)
+        found = {w: old[w] for w in again} | self._new(list(missing - again))
+        young.update(found)
+        out = [b"".join(map(young.__getitem__, words)) for words in split]
+        for word in found:
+            if len(word) > LONGEST:
+                del young[word]
+        if len(young) > REMEMBERED:
+            self.kept["old"], self.kept["young"] = young, {"": b""}
         return out
 
 
-def _texts(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts, some rows at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            yield part, [t or "" for t in part.column(column).to_pylist()]
-
-
-def token_counts(docs: DataFrame, tokenizer: str, end_id: int, pieces: bool) -> DataFrame:
-    """How often every token id occurs, end ids included."""
-
-    def count(batches):
-        encoder, counts = Encoder(tokenizer, pieces), np.zeros(1 << 16, np.int64)
-        for _, texts in _texts(batches, 0):
-            ids = np.frombuffer(b"".join(map(encoder.ids, texts)), "<u4")
-            got = np.bincount(ids, minlength=end_id + 1)
-            got[end_id] += len(texts)
-            if len(got) > len(counts):
-                counts = np.pad(counts, (0, len(got) - len(counts)))
-            counts[: len(got)] += got
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(counts[seen])], ["token", "n"])
-
-    return docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            yield part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
 
 
 # ------------------------------------------------------------ coder
@@ -169,15 +177,44 @@ class Coder:
         return out
 
 
+def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, int]:
+    """Frequencies of the ids 0 .. max and the number of bits they sum to."""
+    counts = np.bincount(ids)
+    bits = max(16, int(np.count_nonzero(counts)).bit_length() + 2)
+    return frequencies(counts, bits), bits
+
+
+def pack_frequencies(freq: np.ndarray) -> bytes:
+    return zlib.compress(freq.astype("<u4").tobytes())
+
+
+def unpack_coder(packed: bytes) -> Coder:
+    freq = np.frombuffer(zlib.decompress(packed), "<u4").astype(np.int64)
+    return Coder(freq, int(freq.sum()).bit_length() - 1)
+
+
+def encode_block(coder: Coder, ids: bytes, lanes: int, checkpoint_steps: int) -> dict:
+    """Coded words, states, checkpoints and checksums of a block of ids."""
+    tokens = np.frombuffer(ids, "<u4")
+    width = int(min(lanes, max(1, len(tokens) // 64)))
+    words, states, marks = coder.encode(tokens, width, checkpoint_steps)
+    words = words.astype("<u4").tobytes()
+    return {
+        "n_tokens": len(tokens), "lanes": width, "words": words, "states": states.astype("<u8").tobytes(),
+        "checkpoints": [{"step": t, "word": w, "states": s.astype("<u8").tobytes()} for t, w, s in marks],
+        "words_crc": zlib.crc32(words), "ids_crc": zlib.crc32(ids),
+    }
+
+
 def decode_block(coder: Coder, block: dict) -> np.ndarray:
     """All ids of a block; raises if a checksum does not hold."""
     if zlib.crc32(block["words"]) != block["words_crc"]:
-        raise ValueError(f"coded words of block {block['part']}/{block['block']} are damaged")
+        raise ValueError("the coded words of a block are damaged")
     words = np.frombuffer(block["words"], "<u4")
     states = np.frombuffer(block["states"], "<u8").astype(np.uint64)
     ids = coder.decode(block["n_tokens"], block["lanes"], words, states)
     if zlib.crc32(ids.astype("<u4").tobytes()) != block["ids_crc"]:
-        raise ValueError(f"ids of block {block['part']}/{block['block']} are damaged")
+        raise ValueError("the ids of a block are damaged")
     return ids
 
 
@@ -195,88 +232,62 @@ def decode_from(coder: Coder, block: dict, token: int) -> np.ndarray:
 # ------------------------------------------------------------ files
 
 
-def _table_bits(n_symbols: int) -> int:
-    return max(16, int(n_symbols).bit_length() + 2)
-
-
-def _coder(table: list) -> Callable[[], Coder]:
-    tokens = np.array([r["token"] for r in table], np.int64)
-    freq = np.zeros(int(tokens.max()) + 1 if len(tokens) else 1, np.int64)
-    freq[tokens] = [r["frequency"] for r in table]
-    bits = max(1, int(freq.sum()).bit_length() - 1)
-    return lambda: Coder(freq, bits)
-
-
 def write_tokens(
     docs: DataFrame,
     path: str,
     tokenizer: str,
     end_id: int = 1,
     pieces: bool = True,
+    table_tokens: int = 1 << 23,
     block_tokens: int = 1 << 20,
     lanes: int = 1024,
     checkpoint_steps: int = 256,
 ) -> None:
     """Code the ids of ``docs`` (doc_id, text) into files under ``path``.
 
-    The frequency table has a row per id of the vocabulary, which bounds what
-    the driver and every task hold of it.
+    A task holds the ids of one frequency table at a time, ``table_tokens`` and
+    the document that goes beyond.
     """
     spark = docs.sparkSession
-    counted = token_counts(docs, tokenizer, end_id, pieces).orderBy("token").collect()
-    tokens, counts = [r["token"] for r in counted], np.array([r["n"] for r in counted], np.int64)
-    freq = frequencies(counts, _table_bits(len(counts))).tolist()
-    table = spark.createDataFrame(list(zip(tokens, freq)), "token long, frequency long")
-    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/table")
-    make = _coder([{"token": t, "frequency": f} for t, f in zip(tokens, freq)])
 
     def encode(batches):
-        encoder, coder, part = Encoder(tokenizer, pieces), make(), TaskContext.get().partitionId()
+        encoder, part = Encoder(tokenizer, pieces), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
-        held, ids, sizes, size, first, number = [], [], [], 0, 0, 0
-
-        def block():
-            all_ids = np.frombuffer(b"".join(held), "<u4")
-            width = int(min(lanes, max(1, len(all_ids) // 64)))
-            words, states, marks = coder.encode(all_ids, width, checkpoint_steps)
-            words = words.astype("<u4").tobytes()
-            row = {
-                "part": part, "block": number, "first": first, "n_tokens": len(all_ids), "lanes": width,
-                "doc_ids": ids, "doc_tokens": sizes, "words": words, "states": states.astype("<u8").tobytes(),
-                "checkpoints": [{"step": t, "word": w, "states": s.astype("<u8").tobytes()} for t, w, s in marks],
-                "words_crc": zlib.crc32(words), "ids_crc": zlib.crc32(b"".join(held)),
-            }
-            return pa.RecordBatch.from_pylist([row], schema=BLOCK_SCHEMA)
-
-        for batch, texts in _texts(batches, 1):
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-                held.append(encoder.ids(text) + end)
-                ids.append(doc_id)
-                sizes.append(len(held[-1]) // 4)
-                size += sizes[-1]
-                if size >= block_tokens:
-                    yield block()
-                    first, number = first + size, number + 1
-                    held, ids, sizes, size = [], [], [], 0
+        held, names, size, first = [], [], 0, 0
+
+        def group():
+            whole = b"".join(held)
+            freq, bits = frequency_table(np.frombuffer(whole, "<u4"))
+            coder, blocks = Coder(freq, bits), []
+            sizes = np.array([len(h) // 4 for h in held])
+            ends = np.cumsum(sizes)
+            at = low = 0
+            while at < len(held):
+                stop = min(int(np.searchsorted(ends, low + block_tokens)) + 1, len(held))
+                high = int(ends[stop - 1])
+                block = encode_block(coder, whole[4 * low : 4 * high], lanes, checkpoint_steps)
+                blocks.append(block | {"first": first + low, "doc_ids": names[at:stop], "doc_tokens": sizes[at:stop].tolist()})
+                at, low = stop, high
+            row = {"part": part, "n_tokens": size, "frequencies": pack_frequencies(freq), "blocks": blocks}
+            return pa.RecordBatch.from_pylist([row], schema=GROUP)
+
+        for doc_ids, texts in _texts(batches):
+            for doc_id, ids in zip(doc_ids, encoder.ids(texts)):
+                held.append(ids + end)
+                names.append(doc_id)
+                size += len(held[-1]) // 4
+                if size >= table_tokens:
+                    yield group()
+                    first += size
+                    held, names, size = [], [], 0
         if held:
-            yield block()
+            yield group()
 
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select("doc_id", "text").repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
-    coded = ordered.mapInArrow(encode, BLOCKS)
-    coded.write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
-    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    blocks.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{path}/parts")
-
-
-BLOCK_SCHEMA = pa.schema(
-    [
-        ("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64()), ("lanes", pa.int32()),
-        ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("words", pa.binary()), ("states", pa.binary()),
-        ("checkpoints", pa.list_(pa.struct([("step", pa.int32()), ("word", pa.int64()), ("states", pa.binary())]))),
-        ("words_crc", pa.int64()), ("ids_crc", pa.int64()),
-    ]
-)
+    ordered.mapInArrow(encode, GROUPS).write.mode("overwrite").option("compression", "none").parquet(f"{path}/groups")
+    groups = spark.read.schema("part int, n_tokens long").parquet(f"{path}/groups")
+    groups.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{path}/parts")
 
 
 def read_blocks(spark: SparkSession, path: str, schema: str, rows: Callable) -> DataFrame:
@@ -284,25 +295,24 @@ def read_blocks(spark: SparkSession, path: str, schema: str, rows: Callable) ->
 
     ``rows`` returns columns by name in the order of ``schema``; ``part_start`` is added.
     """
-    table = spark.read.schema("token long, frequency long").parquet(f"{path}/table").collect()
-    make = _coder([r.asDict() for r in table])
 
     def decode(batches):
-        coder = None
         for batch in batches:
             for at in range(batch.num_rows):
-                block = batch.slice(at, 1).to_pylist()[0]
-                coder = coder or make()
-                columns = rows(block, decode_block(coder, block))
-                part = np.full(len(next(iter(columns.values()))), block["part"], np.int32)
-                yield pa.RecordBatch.from_pydict({"part": part} | columns)
+                part, packed = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
+                coder, blocks = unpack_coder(packed), batch.column(2)[at].values
+                for k in range(len(blocks)):
+                    block = blocks[k].as_py()
+                    columns = rows(block, decode_block(coder, block))
+                    n = len(next(iter(columns.values())))
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([part] * n, pa.int32())} | columns)
 
     parts = spark.read.schema("part int, n_tokens long").parquet(f"{path}/parts")
     earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("part_start"))
-    decoded = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").mapInArrow(decode, f"part int, {schema}")
+    groups = spark.read.schema(GROUPS).parquet(f"{path}/groups").select("part", "frequencies", "blocks")
     # one row for each part: no more than there are shuffle partitions
-    return decoded.join(F.broadcast(starts), "part").drop("part")
+    return groups.mapInArrow(decode, f"part int, {schema}").join(F.broadcast(starts), "part").drop("part")
 
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:

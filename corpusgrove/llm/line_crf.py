@@ -304,19 +304,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 1500) -> Field | Non
     return fit(raw, size, bounds, quality)
 
 
+def _scores(column: pa.Array, field: Field | None, hasher: WordHasher) -> Iterator[tuple[int, np.ndarray]]:
+    """First row and scores of each piece of a column of texts."""
+    first = 0
+    for bounds, raw, size in line_features(column, hasher):
+        yield first, np.where(np.diff(bounds) > 0, 0.5, 0.0) if field is None else field.scores(raw, size, bounds)
+        first += len(bounds) - 1
+
+
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
     """doc_id and score of every document."""
 
     def run(batches):
         hasher = WordHasher(~SPACES)
         for batch in batches:
-            out = []
-            for bounds, raw, size in line_features(batch.column(1), hasher):
-                if field is None:
-                    out.append(np.where(np.diff(bounds) > 0, 0.5, 0.0))
-                else:
-                    out.append(field.scores(raw, size, bounds))
-            scores = np.concatenate(out) if out else np.zeros(0)
+            scores = [s for _, s in _scores(batch.column(1), field, hasher)]
+            scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
@@ -326,3 +329,17 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample:
     """Per document: doc_id, held_out, score and predicted (1 from ``threshold``)."""
     scored = score(docs, train(docs, labels, sample))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = 1500) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, all columns as they are; no shuffle of texts."""
+    field = train(docs, labels, sample)
+    place = docs.columns.index("text")
+
+    def run(batches):
+        hasher = WordHasher(~SPACES)
+        for batch in batches:
+            for first, scores in _scores(batch.column(place), field, hasher):
+                yield batch.slice(first, len(scores)).filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -190,6 +190,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     )
 
 
+def first_of_groups(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they are, one for each doc_id that is not null."""
+    found = materialize(near_duplicates(docs, **options), "groups")
+    dropped = found.where("not kept").select("doc_id").distinct()
+    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    rest = docs.join(dropped, "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return rest.select(*docs.columns)
+    # the few ids with several rows: one row each
+    single = rest.join(repeated, "doc_id", "left_anti")
+    several = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(several).select(*docs.columns)
+
+
 def _centres(members: DataFrame, count: int) -> DataFrame:
     """The ``count`` smallest members of every bucket as its centres.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, chat_tree, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks, suffix_levels
+from corpusgrove.llm import ans_tokens, block_mix, chat_tree, gear_chunks, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks, suffix_levels
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +53,11 @@ def op5_near_duplicates(spark, sf):
     return minhash_star.near_duplicates(documents(spark, sf))
 
 
+@query
+def op6_gear_chunks(spark, sf):
+    return gear_chunks.without_copies(documents(spark, sf))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
