@@ -19,13 +19,15 @@ than a block makes that block longer; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from corpusgrove.llm.word_table import remembered
+
 CHECKPOINT = pa.struct([("step", pa.int32()), ("word", pa.int64()), ("states", pa.binary())])
 BLOCK = pa.struct(
     [
@@ -41,74 +43,29 @@ GROUPS = (
     "words_crc:long,ids_crc:long>>"
 )
 LOW = 1 << 31
-REMEMBERED = 1 << 17
-LONGEST = 64
-ROWS = 256
+ROWS = 1024
 
 
 # ------------------------------------------------------------ tokens
 
 
-class Encoder:
-    """Ids of whole texts by a tokenizer file.
+def text_ids(path: str, by_words: bool) -> Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """A function from a column of texts to the ids of some rows at a time, and how many each row has.
 
-    A tokenizer that drops white space and never joins across it gives the same
-    ids for a text as for its pieces between blanks.  ``pieces`` says so: then
-    pieces are remembered in two generations, and new ones are encoded many at
-    a time, joined by blanks.
+    ``by_words`` is for tokenizers as ``word_table`` describes them; others get whole texts.
     """
+    if by_words:
+        return remembered(path).encode
+    import tokenizers
 
-    def __init__(self, path: str, pieces: bool):
-        import tokenizers
-
-        self.pieces = pieces
-        # kept with the library, so that a worker's next task finds them
-        kept = vars(tokenizers).setdefault("_remembered", {})
-        if path not in kept:
-            kept[path] = {"tokenizer": tokenizers.Tokenizer.from_file(path), "young": {"": b""}, "old": {}}
-        self.kept = kept[path]
-
-    def _new(self, words: list[str]) -> dict[str, bytes]:
-        out = {}
-        for at in range(0, len(words), 256):
-            some = words[at : at + 256]
-            got = self.kept["tokenizer"].encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            starts = np.array([o[0] for o in got.offsets], np.int64)
-            ends = np.cumsum([len(w) + 1 for w in some])
-            cuts = np.searchsorted(starts, ends).tolist()
-            data, low = ids.tobytes(), 0
-            for word, cut in zip(some, cuts):
-                out[word] = data[4 * low : 4 * cut]
-                low = cut
-        return out
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        if not self.pieces:
-            got = self.kept["tokenizer"].encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in got]
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        young, old = self.kept["young"], self.kept["old"]
-        missing = set().union(*split).difference(young)
-        again = missing.intersection(old)
-        found = {w: old[w] for w in again} | self._new(list(missing - again))
-        young.update(found)
-        out = [b"".join(map(young.__getitem__, words)) for words in split]
-        for word in found:
-            if len(word) > LONGEST:
-                del young[word]
-        if len(young) > REMEMBERED:
-            self.kept["old"], self.kept["young"] = young, {"": b""}
-        return out
+    made = tokenizers.Tokenizer.from_file(path)
 
+    def whole(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for text in column.to_pylist():
+            ids = np.array(made.encode(text or "", add_special_tokens=False).ids, np.uint32)
+            yield ids, np.array([len(ids)])
 
-def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts, some rows at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            part = batch.slice(at, ROWS)
-            yield part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
+    return whole
 
 
 # ------------------------------------------------------------ coder
@@ -193,16 +150,15 @@ def unpack_coder(packed: bytes) -> Coder:
     return Coder(freq, int(freq.sum()).bit_length() - 1)
 
 
-def encode_block(coder: Coder, ids: bytes, lanes: int, checkpoint_steps: int) -> dict:
+def encode_block(coder: Coder, tokens: np.ndarray, lanes: int, checkpoint_steps: int) -> dict:
     """Coded words, states, checkpoints and checksums of a block of ids."""
-    tokens = np.frombuffer(ids, "<u4")
     width = int(min(lanes, max(1, len(tokens) // 64)))
     words, states, marks = coder.encode(tokens, width, checkpoint_steps)
     words = words.astype("<u4").tobytes()
     return {
         "n_tokens": len(tokens), "lanes": width, "words": words, "states": states.astype("<u8").tobytes(),
         "checkpoints": [{"step": t, "word": w, "states": s.astype("<u8").tobytes()} for t, w, s in marks],
-        "words_crc": zlib.crc32(words), "ids_crc": zlib.crc32(ids),
+        "words_crc": zlib.crc32(words), "ids_crc": zlib.crc32(tokens.astype("<u4").tobytes()),
     }
 
 
@@ -237,7 +193,7 @@ def write_tokens(
     path: str,
     tokenizer: str,
     end_id: int = 1,
-    pieces: bool = True,
+    by_words: bool = True,
     table_tokens: int = 1 << 23,
     block_tokens: int = 1 << 20,
     lanes: int = 1024,
@@ -251,35 +207,41 @@ def write_tokens(
     spark = docs.sparkSession
 
     def encode(batches):
-        encoder, part = Encoder(tokenizer, pieces), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
-        held, names, size, first = [], [], 0, 0
+        ids_of, part = text_ids(tokenizer, by_words), TaskContext.get().partitionId()
+        end = np.array([end_id], np.uint32)
+        held, names, sizes, size, first = [], [], [], 0, 0
 
         def group():
-            whole = b"".join(held)
-            freq, bits = frequency_table(np.frombuffer(whole, "<u4"))
+            whole = np.concatenate(held)
+            freq, bits = frequency_table(whole)
             coder, blocks = Coder(freq, bits), []
-            sizes = np.array([len(h) // 4 for h in held])
             ends = np.cumsum(sizes)
             at = low = 0
-            while at < len(held):
-                stop = min(int(np.searchsorted(ends, low + block_tokens)) + 1, len(held))
+            while at < len(sizes):
+                stop = min(int(np.searchsorted(ends, low + block_tokens)) + 1, len(sizes))
                 high = int(ends[stop - 1])
-                block = encode_block(coder, whole[4 * low : 4 * high], lanes, checkpoint_steps)
-                blocks.append(block | {"first": first + low, "doc_ids": names[at:stop], "doc_tokens": sizes[at:stop].tolist()})
+                block = encode_block(coder, whole[low:high], lanes, checkpoint_steps)
+                blocks.append(block | {"first": first + low, "doc_ids": names[at:stop], "doc_tokens": sizes[at:stop]})
                 at, low = stop, high
             row = {"part": part, "n_tokens": size, "frequencies": pack_frequencies(freq), "blocks": blocks}
             return pa.RecordBatch.from_pylist([row], schema=GROUP)
 
-        for doc_ids, texts in _texts(batches):
-            for doc_id, ids in zip(doc_ids, encoder.ids(texts)):
-                held.append(ids + end)
-                names.append(doc_id)
-                size += len(held[-1]) // 4
-                if size >= table_tokens:
-                    yield group()
-                    first += size
-                    held, names, size = [], [], 0
+        for whole in batches:
+            for begin in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(begin, ROWS)
+                doc_ids, row = batch.column(0).to_pylist(), 0
+                for ids, counts in ids_of(batch.column(1)):
+                    stops = np.cumsum(counts)
+                    # the end id after each document
+                    held.append(np.insert(ids, stops, end))
+                    names.extend(doc_ids[row : row + len(counts)])
+                    sizes.extend((counts + 1).tolist())
+                    row += len(counts)
+                    size += len(held[-1])
+                    if size >= table_tokens:
+                        yield group()
+                        first += size
+                        held, names, sizes, size = [], [], [], 0
         if held:
             yield group()
 
