@@ -161,10 +161,17 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 def weighted_mean(good: np.ndarray, size: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate(([0], np.cumsum(good * size)))
-    weight = np.concatenate(([0], np.cumsum(size)))
-    bytes_ = weight[bounds[1:]] - weight[bounds[:-1]]
-    return (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(bytes_, 1)
+    some = np.flatnonzero(np.diff(bounds) > 0)
+    out = np.zeros(len(bounds) - 1)
+    if len(some):
+        # sums of each row by itself, so that equal texts score alike wherever they stand
+        out[some] = np.add.reduceat(good * size, bounds[some]) / np.add.reduceat(size, bounds[some])
+    return out
+
+
+def _times(rows: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Rows of two times a 2 x 2 matrix, summed in one order whatever the number of rows."""
+    return rows[:, :1] * matrix[0] + rows[:, 1:] * matrix[1]
 
 
 def forward_backward(unary: np.ndarray, pair: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -182,7 +189,7 @@ def forward_backward(unary: np.ndarray, pair: np.ndarray, bounds: np.ndarray) ->
     forward, norm = np.empty_like(potential), np.empty(len(unary))
     for t, m in enumerate(alive):
         at = start[:m] + t
-        f = potential[at] if t == 0 else (forward[at - 1] @ scale) * potential[at]
+        f = potential[at] if t == 0 else _times(forward[at - 1], scale) * potential[at]
         norm[at] = f.sum(1)
         forward[at] = f / norm[at][:, None]
     backward, pairs = np.ones_like(potential), np.zeros((2, 2))
@@ -191,7 +198,7 @@ def forward_backward(unary: np.ndarray, pair: np.ndarray, bounds: np.ndarray) ->
         right = potential[at] * backward[at]
         joint = forward[at - 1][:, :, None] * scale * right[:, None, :]
         pairs += (joint / norm[at][:, None, None]).sum(0)
-        backward[at - 1] = (right @ scale.T) / norm[at][:, None]
+        backward[at - 1] = _times(right, scale.T) / norm[at][:, None]
     steps = len(unary) - len(start)
     total = np.log(norm).sum() + np.maximum(unary, 0).sum() + steps * pair.max()
     marginal = forward * backward
