@@ -6,10 +6,14 @@ a bin chosen by a hash of its own number and the attempt (optimal
 densification), so small sets stay comparable.  Documents with the same set
 are one class from the start.  In each bucket of a band all classes are
 compared with one of them, a star instead of all pairs, and pairs are confirmed
-on the full sets.  A bucket is finished when the classes that have not been
-its centre yet lie in one component; otherwise it goes into another round with
-twice as many centres, so after enough rounds every pair of a bucket that still
-matters has been compared.
+on the full sets.  A bucket is finished when the classes that have not been its
+centre lie in one component.  The others get a second star, around the class
+with the largest share of shingles that others have too, the likeliest hub;
+that share also bounds how similar a class can be to any other of a given size.
+
+What is then still in other components than most of its neighbours is a query
+set: it is compared with all classes of the open buckets it is connected to, in
+blocks of bounded size that give back links only.  So a star loses no link.
 
 At similarity 0.75 a pair shares no bucket with probability
 (1 - 0.75**rows)**bands, 1e-6 with the default 50 bands of 5.
@@ -127,6 +131,111 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(test, "a long, b long").distinct()
 
 
+def common_shingles(sets: DataFrame) -> DataFrame:
+    """doc_id and how many shingles of it (common) occur in other documents of ``sets``."""
+
+    def flat(batches):
+        for batch in batches:
+            for doc_id, hashes in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = np.frombuffer(hashes.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), doc_id)), pa.array(values)], ["doc_id", "shingle"])
+
+    each = sets.mapInArrow(flat, "doc_id long, shingle long").distinct()
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    return each.join(common, "shingle").groupBy("doc_id").agg(F.count(F.lit(1)).alias("common"))
+
+
+def _unfinished(members: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """Members with their component, of the buckets that hold several components.
+
+    An intersection of i needs sets of (100 + percent) * i / percent shingles
+    together at most, so a class whose common shingles do not suffice even for
+    the smallest class of its bucket is left out.
+    """
+    known = members.drop("component")
+    if labels is None:
+        known = known.withColumn("component", F.col("doc_id"))
+    else:
+        known = known.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"))
+    open_ = known.join(spread.where("low < high").select("bucket", "least"), "bucket")
+    return open_.where(f"common * {100 + percent} >= {percent} * (n + greatest(least, n * {percent} div 100))").drop("least")
+
+
+def _star(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of each bucket's likeliest hub with the members of other components, and the rest of the members."""
+    order = F.struct((-F.col("common") / F.col("n")).alias("order"), "doc_id", "n", "common", "component")
+    hubs = members.groupBy("bucket").agg(F.min(order).alias("c"))
+    hubs = hubs.select("bucket", *(F.col(f"c.{x}").alias(f"hub_{x}") for x in ("doc_id", "n", "common", "component")))
+    enough = f"least(common, hub_common) * {100 + percent} >= {percent} * (n + hub_n)"
+    alike = f"component != hub_component and least(n, hub_n) * 100 >= greatest(n, hub_n) * {percent} and {enough}"
+    met = members.join(hubs, "bucket").where(alike)
+    pairs = met.select(F.least("doc_id", "hub_doc_id").alias("a"), F.greatest("doc_id", "hub_doc_id").alias("b")).distinct()
+    rest = members.join(hubs.select("bucket", F.col("hub_doc_id").alias("doc_id")), ["bucket", "doc_id"], "left_anti")
+    return pairs, rest
+
+
+def _links(pairs: DataFrame, sets: DataFrame, before: DataFrame | None, percent: int) -> DataFrame:
+    found = confirmed(pairs, sets, percent)
+    return materialize(found if before is None else before.unionByName(found), "links")
+
+
+BLOCK_SHINGLES = 1 << 15
+
+
+def _rest_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the classes outside the main component of their neighbourhood, block by block.
+
+    A neighbourhood is what open buckets connect.  Queries and classes go in
+    packs of about ``BLOCK_SHINGLES`` shingles; a pack of queries meets every
+    pack of its neighbourhood.
+    """
+    first = members.groupBy("bucket").agg(F.min("doc_id").alias("a"))
+    hoods = connected_components(members.join(first, "bucket").select("a", F.col("doc_id").alias("b")))
+    nodes = members.select("doc_id", "n", "common", "component").distinct()
+    nodes = materialize(nodes.join(hoods.select(F.col("id").alias("doc_id"), F.col("component").alias("hood")), "doc_id"), "nodes")
+    sizes = nodes.groupBy("hood").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("packs"))
+    counts = nodes.groupBy("hood", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("hood").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    placed = nodes.join(sizes.join(main, "hood"), "hood").withColumn("pack", F.pmod(F.xxhash64("doc_id"), "packs"))
+    full = placed.join(sets, "doc_id").withColumn("x", F.struct("doc_id", "n", "common", "component", "hashes"))
+    packs = full.groupBy("hood", "pack").agg(F.collect_list("x").alias("classes"))
+    asking = full.where("component != main").groupBy("hood", "pack", "packs").agg(F.collect_list("x").alias("queries"))
+    asking = asking.withColumn("pack", F.explode(F.expr("sequence(0L, packs - 1)")))
+
+    def compare(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                found = block_links(batch.column(0)[at].as_py(), batch.column(1)[at].as_py(), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
+
+    met = asking.select("hood", "pack", "queries").join(packs, ["hood", "pack"]).select("queries", "classes")
+    return met.mapInArrow(compare, "a long, b long").distinct()
+
+
+def block_links(queries: list[dict], classes: list[dict], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) between queries and classes of other components, from counts of all their intersections."""
+    sides = []
+    for rows in (queries, classes):
+        hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
+        every = np.concatenate(hashes)
+        order = np.argsort(every, kind="stable")
+        owner = np.repeat(np.arange(len(rows)), [len(h) for h in hashes])[order]
+        sides.append((every[order], owner, *(np.array([r[x] for r in rows], np.int64) for x in ("doc_id", "component"))))
+    (q, q_owner, q_id, q_part), (c, c_owner, c_id, c_part) = sides
+    low, high = np.searchsorted(c, q, "left"), np.searchsorted(c, q, "right")
+    same = np.zeros((len(queries), len(classes)), np.int64)
+    for begin in range(0, len(q), 1 << 12):
+        n = (high - low)[begin : begin + (1 << 12)]
+        place = np.repeat(low[begin : begin + (1 << 12)] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pair = np.repeat(q_owner[begin : begin + (1 << 12)], n) * len(classes) + c_owner[place]
+        same += np.bincount(pair, minlength=same.size).reshape(same.shape)
+    total = np.array([len(r["hashes"]) // 8 for r in queries])[:, None] + np.array([len(r["hashes"]) // 8 for r in classes])[None, :]
+    linked = (100 * same >= percent * (total - same)) & (q_part[:, None] != c_part[None, :])
+    i, j = np.nonzero(linked)
+    return np.minimum(q_id[i], c_id[j]), np.maximum(q_id[i], c_id[j])
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 50, rows: int = 5) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id and kept.
 
@@ -138,52 +247,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     classes = some.groupBy("print").agg(F.min("doc_id").alias("rep"))
     reps = some.join(classes, "print").where("doc_id = rep").dropDuplicates(["doc_id", "print"])
     buckets = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).where("centre < last")
-    members = materialize(buckets.join(shared.select("bucket"), "bucket"), "buckets")
-
-    links, tested, labels, sets, centres = None, None, None, None, 1
-    while True:
-        # the smallest members first; their components are known from the rounds before
-        if labels is None:
-            open_members = members.withColumn("component", F.col("doc_id"))
-        else:
-            open_members = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-                "component", F.coalesce("component", "doc_id")
-            )
-        spread = open_members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_members = materialize(
-            open_members.join(spread.where("low < high").select("bucket"), "bucket").select("bucket", "doc_id", "n", "component"), "open"
-        )
-        if open_members.isEmpty():
-            break
-        stars = _centres(open_members, centres)
-        pairs = (
-            open_members.join(stars, "bucket")
-            .where("component != c_component and least(n, c_n) * 100 >= greatest(n, c_n) * " + str(percent))
-            .select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if not pairs.isEmpty():
-            if sets is None:
-                # every later pair is between members of the buckets open now
-                ids = open_members.select("doc_id").distinct()
-                sets = materialize(shingle_sets(docs.join(ids, "doc_id", "left_semi"), width), "sets")
-            found = confirmed(pairs, sets, percent)
-            links = materialize(found if links is None else links.unionByName(found), "links")
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            if not links.isEmpty():
-                labels = connected_components(links)
-        members = materialize(open_members.join(stars.select("bucket", F.col("centre").alias("doc_id")), ["bucket", "doc_id"], "left_anti").select("bucket", "doc_id", "n"), "buckets")
-        centres *= 2
+    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    members = buckets.join(shared.select("bucket"), "bucket").withColumn("common", F.col("n"))
+    members = materialize(_unfinished(members, None, percent), "members")
+    # all comparisons are among the members of these buckets
+    sets = materialize(shingle_sets(docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), width), "sets")
+
+    pairs, rest = _star(members, percent)
+    links = _links(pairs, sets, None, percent)
+    labels = connected_components(links)
+    rest = materialize(_unfinished(rest, labels, percent), "members")
+    open_sets = sets.join(rest.select("doc_id").distinct(), "doc_id", "left_semi")
+    rest = rest.drop("common").join(common_shingles(open_sets), "doc_id")
+    rest = materialize(_unfinished(rest, labels, percent), "members")
+    if not rest.isEmpty():
+        pairs, rest = _star(rest, percent)
+        links = _links(pairs, sets, links, percent)
+        labels = connected_components(links)
+        rest = materialize(_unfinished(rest, labels, percent), "members")
+    if not rest.isEmpty():
+        found = materialize(_rest_links(rest, sets, percent), "rest")
+        if not found.isEmpty():
+            labels = connected_components(links.unionByName(found))
 
     out = signed.select("doc_id", "n_shingles", "print").join(classes, "print", "left")
-    if labels is None:
-        out = out.withColumn("component", F.col("rep"))
-    else:
-        out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", own.cast("long").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -202,18 +290,3 @@ def first_of_groups(docs: DataFrame, **options) -> DataFrame:
     single = rest.join(repeated, "doc_id", "left_anti")
     several = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(several).select(*docs.columns)
-
-
-def _centres(members: DataFrame, count: int) -> DataFrame:
-    """The ``count`` smallest members of every bucket as its centres.
-
-    One at a time for one centre (a plain minimum); more by the grouped limit,
-    which keeps ``count`` rows of a bucket in each task before the shuffle.
-    """
-    if count == 1:
-        least = members.groupBy("bucket").agg(F.min(F.struct("doc_id", "n", "component")).alias("c"))
-        return least.select("bucket", F.col("c.doc_id").alias("centre"), F.col("c.n").alias("c_n"), F.col("c.component").alias("c_component"))
-    from pyspark.sql import Window as W
-
-    ranked = members.withColumn("place", F.row_number().over(W.partitionBy("bucket").orderBy("doc_id"))).where(f"place <= {count}")
-    return ranked.select("bucket", F.col("doc_id").alias("centre"), F.col("n").alias("c_n"), F.col("component").alias("c_component"))
