@@ -194,8 +194,8 @@ def write_tokens(
     tokenizer: str,
     end_id: int = 1,
     by_words: bool = True,
-    table_tokens: int = 1 << 23,
-    block_tokens: int = 1 << 20,
+    table_tokens: int = 1 << 21,
+    block_tokens: int = 1 << 19,
     lanes: int = 1024,
     checkpoint_steps: int = 256,
 ) -> None:

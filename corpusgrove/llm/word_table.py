@@ -17,8 +17,8 @@ import pyarrow as pa
 
 from corpusgrove.llm.hashing import GOLDEN, PIECE, SPACES, constants, mix, pieces, text_bytes
 
-SLOTS = 1 << 21
-FULL = 1 << 20
+SLOTS = 1 << 20
+FULL = 1 << 19
 SIGNS = np.zeros(256, bool)
 SIGNS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
 PLAIN = np.zeros(256, bool)
@@ -77,7 +77,7 @@ class WordTable:
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Slot of every hash, -1 if it is not in the table."""
         out = np.full(len(hashes), -1, np.int64)
-        open_, slot = np.arange(len(hashes)), (hashes >> np.uint64(43)).astype(np.int64)
+        open_, slot = np.arange(len(hashes)), (hashes >> np.uint64(44)).astype(np.int64)
         while len(open_):
             key = self.keys[slot]
             hit = key == hashes[open_]
@@ -88,7 +88,7 @@ class WordTable:
 
     def _insert(self, hashes: np.ndarray, place: np.ndarray, length: np.ndarray) -> None:
         """Puts distinct new hashes into free slots."""
-        rest, slot = np.arange(len(hashes)), (hashes >> np.uint64(43)).astype(np.int64)
+        rest, slot = np.arange(len(hashes)), (hashes >> np.uint64(44)).astype(np.int64)
         while len(rest):
             free = self.keys[slot] == 0
             _, first = np.unique(np.where(free, slot, -1 - np.arange(len(slot))), return_index=True)
