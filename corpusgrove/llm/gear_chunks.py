@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusgrove.llm.hashing import GOLDEN, PIECE, constants, mix, pieces, text_bytes
 from corpusgrove.llm.shared_prints import bucket_count, is_shared, shared_prints
-from corpusgrove.llm.spans import merge_spans, without_spans
+from corpusgrove.llm.spans import merge_spans, row_key, without_spans
 
 GEAR = (constants(256, 7) >> np.uint64(32)).astype(np.uint32)
 WINDOW = 32
@@ -163,7 +163,7 @@ def shared_chunks(docs: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "row_key", "place", "size", "digest"])
 
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
+    keyed = docs.select("doc_id", row_key().alias("row_key"), "text")
     joined = keyed.join(shared.hint("shuffle_hash"), "doc_id").select("doc_id", "row_key", "text", "lists")
     return joined.mapInArrow(cut, "doc_id long, row_key long, place long, size int, digest binary")
 

@@ -6,7 +6,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def row_key(text: str = "text") -> Column:
+    """32 bits that tell rows with one doc_id apart."""
+    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 def merge_spans(spans: np.ndarray) -> np.ndarray:
@@ -53,7 +58,7 @@ def without_spans(docs: DataFrame, removed: DataFrame, sources: bool = False) ->
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["sources"] if sources else [])],
             )
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("row_key"))
+    keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
     joined = keyed.join(spans.hint("shuffle_hash"), ["doc_id", "row_key"], "left")
     extra = [F.coalesce("sources", F.expr("cast(array() as array<bigint>)")).alias("sources")] if sources else []
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", sources array<long>" if sources else "")

@@ -26,6 +26,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +34,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusgrove.llm.hashing import GOLDEN, constants, mix, pieces, text_bytes
 from corpusgrove.llm.shared_prints import bucket_count, buckets_of, is_shared, shared_prints
-from corpusgrove.llm.spans import without_spans
+from corpusgrove.llm.spans import row_key, without_spans
 
 LENGTH = 50
 GRAM = 20
 SEGMENT = 1 << 20
 PASSAGE_STRINGS = 64
 BATCH_STRINGS = 1 << 16
-SENT_BYTES = 16 << 20
-PASSAGES = "bucket int, doc_id long, row_key long, places array<long>, passage binary, spans binary"
+SENT_BYTES = 8 << 20
+PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
 REMOVED = "doc_id long, row_key long, spans binary"
 
 
@@ -112,31 +113,59 @@ def distinct_prints(length: int):
     return run
 
 
+def pack_passages(rows: list[tuple[bytes, int, int, list[int]]]) -> tuple[int, bytes]:
+    """Passages (text, doc_id, row_key, places in the document) as one compressed string, and its size before."""
+    header = np.array([len(rows)], np.int64)
+    columns = [
+        np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.uint32), np.array([len(r[3]) for r in rows], np.uint32),
+        np.array([len(r[0]) for r in rows], np.uint32), np.array([p for r in rows for p in r[3]], np.int64),
+    ]
+    blob = b"".join([header.tobytes(), *(c.tobytes() for c in columns), *(r[0] for r in rows)])
+    return len(blob), pa.compress(blob, codec="zstd", asbytes=True)
+
+
+def unpack_passages(size: int, pack: bytes) -> list[tuple[bytes, int, int, list[int]]]:
+    blob = pa.decompress(pack, decompressed_size=size, codec="zstd", asbytes=True)
+    n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
+    columns = []
+    for kind, width in ((np.int64, 8), (np.uint32, 4), (np.uint32, 4), (np.uint32, 4)):
+        columns.append(np.frombuffer(blob, kind, n, at).tolist())
+        at += width * n
+    docs, keys, counts, sizes = columns
+    places = np.frombuffer(blob, np.int64, sum(counts), at).tolist()
+    at, p, out = at + 8 * len(places), 0, []
+    for doc, key, count, length in zip(docs, keys, counts, sizes):
+        out.append((blob[at : at + length], doc, key, places[p : p + count]))
+        at, p = at + length, p + count
+    return out
+
+
 def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) -> DataFrame:
-    """Distinct passages of shared strings, and the spans that go without another look."""
+    """Distinct passages of shared strings, packed by bucket, and the spans that go without another look."""
 
     def cut(batches):
         maker = Minimizer(length)
-        held: dict[bytes, list] = {}
+        held: dict[bytes, list] = {}  # passage: its smallest document so far
+        others: list[tuple] = []  # the same passage in other rows with that doc_id
         gone: dict[tuple[int, int], list] = {}
         size = 0
 
         def rows():
-            keys, values = list(held), list(held.values())
-            out = {
-                "bucket": pa.array([v[3] for v in values], pa.int32()), "doc_id": pa.array([v[0] for v in values], pa.int64()),
-                "row_key": pa.array([v[1] for v in values], pa.int64()), "places": pa.array([v[2] for v in values], pa.list_(pa.int64())),
-                "passage": pa.array(keys, pa.binary()), "spans": pa.nulls(len(keys), pa.binary()),
-            }
-            yield pa.RecordBatch.from_pydict(out)
-            if gone:
-                n = len(gone)
-                out = {
-                    "bucket": pa.array([hash(k) % n_buckets for k in gone], pa.int32()), "doc_id": pa.array([k[0] for k in gone], pa.int64()),
-                    "row_key": pa.array([k[1] for k in gone], pa.int64()), "places": pa.nulls(n, pa.list_(pa.int64())),
-                    "passage": pa.nulls(n, pa.binary()), "spans": pa.array([np.array(v, np.int64).tobytes() for v in gone.values()], pa.binary()),
-                }
-                yield pa.RecordBatch.from_pydict(out)
+            every = [(v[3], text, v[0], v[1], v[2]) for text, v in held.items()] + others
+            every.sort(key=lambda r: r[:2])
+            packs = [(bucket, *pack_passages([r[1:] for r in group])) for bucket, group in groupby(every, key=lambda r: r[0])]
+            n, m = len(packs), len(gone)
+            spans = [np.array(v, np.int64).tobytes() for v in gone.values()]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array([p[0] for p in packs] + [(k[0] + k[1]) % n_buckets for k in gone], pa.int32()),
+                    "size": pa.array([p[1] for p in packs] + [None] * m, pa.int64()),
+                    "pack": pa.array([p[2] for p in packs] + [None] * m, pa.binary()),
+                    "doc_id": pa.array([None] * n + [k[0] for k in gone], pa.int64()),
+                    "row_key": pa.array([None] * n + [k[1] for k in gone], pa.int64()),
+                    "spans": pa.array([None] * n + spans, pa.binary()),
+                }
+            )
 
         def add(doc_id, row_key, place, passage, bucket):
             known = held.get(passage)
@@ -145,8 +174,7 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
             elif (known[0], known[1]) == (doc_id, row_key):
                 known[2].append(place)
             elif known[0] == doc_id:
-                # another row with the same id: judged like this one, but apart
-                held[passage + doc_id.to_bytes(8, "big", signed=True) + row_key.to_bytes(8, "big", signed=True)] = [doc_id, row_key, [place], bucket]
+                others.append((bucket, passage, doc_id, row_key, [place]))
             else:
                 later = [(place, place + len(passage))]
                 if doc_id < known[0]:
@@ -170,16 +198,17 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
                         for a in range(int(change[k]), int(stop[k]), PASSAGE_STRINGS):
                             b = min(a + PASSAGE_STRINGS, int(stop[k]))
                             add(ids[row], keys[row], at + a, text[a : b + length - 1], buckets[k])
-                            size += b - a + length + 150
+                            size += b - a + length
                 if size >= SENT_BYTES:
                     yield from rows()
                     held.clear()
+                    others.clear()
                     gone.clear()
                     size = 0
         if held:
             yield from rows()
 
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
+    keyed = docs.select("doc_id", row_key().alias("row_key"), "text")
     joined = keyed.join(shared.hint("shuffle_hash"), "doc_id").select("doc_id", "row_key", "text", "shared")
     return joined.mapInArrow(cut, PASSAGES)
 
@@ -253,35 +282,35 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
     """Spans to remove, from passages that meet by fingerprint."""
 
     def find(table: pa.Table) -> pa.Table:
-        done = table.filter(pa.compute.is_valid(table.column("spans")))
-        rows = table.filter(pa.compute.is_null(table.column("spans")))
-        ids, keys = done.column("doc_id").to_pylist(), done.column("row_key").to_pylist()
-        spans = done.column("spans").to_pylist()
-        doc = rows.column("doc_id").to_numpy()
-        order = np.argsort(doc, kind="stable")
-        texts, row_keys = rows.column("passage").to_pylist(), rows.column("row_key").to_pylist()
-        places = rows.column("places").to_pylist()
-        first: dict[bytes, int] = {}
-        entered = []
-
-        def remove(row: int, runs: np.ndarray) -> None:
-            ids.append(int(doc[row]))
-            keys.append(row_keys[row])
-            spans.append((np.array(places[row], np.int64)[:, None, None] + runs[None]).tobytes())
-
-        same: dict[int, list[int]] = {}
-        for row in order.tolist():
-            known = first.setdefault(texts[row], row)
-            if known == row:
+        ids, keys, spans, rows = [], [], [], []
+        for _, size, pack, doc_id, key, done in zip(*(c.to_pylist() for c in table.columns)):
+            if pack is None:
+                ids.append(doc_id)
+                keys.append(key)
+                spans.append(done)
+            else:
+                rows += unpack_passages(size, pack)
+        rows.sort(key=lambda r: r[1])
+
+        def remove(row, runs: np.ndarray) -> None:
+            ids.append(row[1])
+            keys.append(row[2])
+            spans.append((np.array(row[3], np.int64)[:, None, None] + runs[None]).tobytes())
+
+        first, same, entered = {}, {}, []
+        for row in rows:
+            known = first.setdefault(row[0], row)
+            if known is row:
                 entered.append(row)
-            elif doc[known] < doc[row]:
-                remove(row, np.array([[0, len(texts[row])]]))
-            else:  # another row of the same document
-                same.setdefault(known, []).append(row)
-        for k, flags in repeated_strings([texts[r] for r in entered], doc[entered], length):
+            elif known[1] < row[1]:
+                remove(row, np.array([[0, len(row[0])]]))
+            else:  # another row with the same doc_id, or from another task
+                same.setdefault(row[0], []).append(row)
+        documents = np.array([r[1] for r in entered], np.int64)
+        for k, flags in repeated_strings([r[0] for r in entered], documents, length):
             if flags.any():
                 runs = _runs(flags, length)
-                for row in (entered[k], *same.get(entered[k], ())):
+                for row in (entered[k], *same.get(entered[k][0], ())):
                     remove(row, runs)
         return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
 
