@@ -1,7 +1,7 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash reads every byte; where its five top bits are zero, a chunk
-ends, unless another such place lies within the 15 bytes before.  Both rules
+A gear rolling hash reads every byte; where its four top bits are zero, a chunk
+ends, unless another such place lies within the 11 bytes before.  Both rules
 look at nearby bytes only, so an insertion moves chunk ends near it and no
 others.  Chunks longer than ``LARGEST`` are cut further, counted from their
 start.  A chunk is a copy if a document with a smaller doc_id has a chunk with
@@ -30,22 +30,22 @@ from corpusgrove.llm.hashing import GOLDEN, PIECE, constants, mix, pieces, text_
 from corpusgrove.llm.shared_prints import bucket_count, is_shared, shared_prints
 from corpusgrove.llm.spans import merge_spans, row_key, without_spans
 
-GEAR = (constants(256, 7) >> np.uint64(32)).astype(np.uint32)
-WINDOW = 32
-TOP = np.uint32(27)
-NEAREST = 16
+GEAR = (constants(256, 7) >> np.uint64(48)).astype(np.uint16)
+WINDOW = 16
+TOP = np.uint16(12)
+NEAREST = 12
 LARGEST = 256
 VALUES = constants(256, 8)
 STEP, BACK = np.uint64(GOLDEN | 1), np.uint64(pow(GOLDEN | 1, -1, 1 << 64))
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
-    """The rolling hash after each byte: h = 2 h + gear(byte), over the last 32 bytes."""
+    """The rolling hash after each byte: h = 2 h + gear(byte), 16 bits, so over the last 16 bytes."""
     h = GEAR[data]
     have = 1
     while have < WINDOW:
         older = np.zeros_like(h)
-        older[have:] = h[:-have] << np.uint32(have)
+        older[have:] = h[:-have] << np.uint16(have)
         h = h + older
         have *= 2
     return h
@@ -94,7 +94,7 @@ def chunk_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def batch_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per text: its bytes, ends and hashes of its chunks.
 
-    Short texts are taken together, 32 zero bytes apart, which the window of
+    Short texts are taken together, 16 zero bytes apart, which the window of
     the rolling hash does not reach across.
     """
     data, offsets = text_bytes(column)
@@ -111,12 +111,12 @@ def batch_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 def _piece_chunks(part: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     rows = len(cuts) - 1
     sizes = np.diff(cuts)
-    apart = np.zeros(len(part) + WINDOW * rows, np.uint32)
+    apart = np.zeros(len(part) + WINDOW * rows, np.uint16)
     place = np.arange(len(part)) + np.repeat(np.arange(rows) * WINDOW, sizes)
     apart[place] = GEAR[part]
     have = 1
     while have < WINDOW:
-        apart[have:] = apart[have:] + (apart[:-have] << np.uint32(have))
+        apart[have:] = apart[have:] + (apart[:-have] << np.uint16(have))
         have *= 2
     raw = np.flatnonzero(apart[place] >> TOP == 0) + 1
     row = np.searchsorted(cuts, raw, "left") - 1

@@ -39,8 +39,8 @@ def naive_suffix(rows, length):
 def naive_ends(b):
     h, raw, ends, at = 0, [], [], 0
     for k, c in enumerate(b):
-        h = (2 * h + int(gear_chunks.GEAR[c])) % (1 << 32)
-        if h >> 27 == 0:
+        h = (2 * h + int(gear_chunks.GEAR[c])) % (1 << 16)
+        if h >> 12 == 0:
             raw.append(k + 1)
     for e in [e for k, e in enumerate(raw) if k == 0 or e - raw[k - 1] >= gear_chunks.NEAREST] + [len(b)]:
         while e - at > gear_chunks.LARGEST:
