@@ -28,6 +28,23 @@ def literal(text: str) -> str:
     return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
 
 
+def _similar(labels: str) -> str:
+    """Labels of every document, most similar first: rank, and tokens up to and with each."""
+    return rf"""
+        SELECT doc_id, pos, label, tok, row_number() OVER w AS rank, sum(tok) OVER w AS upto FROM (
+            SELECT d.doc_id, l.pos, l.label, l.tok, round(coalesce(x.dot / (dnorm.z * ln.z), 0), 12) AS s
+            FROM documents d CROSS JOIN {labels} l LEFT JOIN dnorm ON dnorm.doc_id = d.doc_id
+            LEFT JOIN (SELECT pos, sqrt(sum(n * n)) AS z FROM ({_terms(labels)}) GROUP BY pos) ln ON ln.pos = l.pos
+            LEFT JOIN (SELECT a.doc_id, b.pos, sum(a.n * b.n) AS dot FROM dterm a JOIN ({_terms(labels)}) b USING (dim) GROUP BY 1, 2) x
+                ON x.doc_id = d.doc_id AND x.pos = l.pos)
+        WINDOW w AS (PARTITION BY doc_id ORDER BY s DESC, pos)"""
+
+
+def _terms(labels: str) -> str:
+    return rf"""SELECT pos, ('0x' || left(md5(w), 4))::INTEGER % 256 AS dim, count(*)::DOUBLE AS n
+        FROM (SELECT pos, unnest(regexp_extract_all(lower(label), '[\p{{L}}\p{{N}}]+')) AS w FROM {labels}) GROUP BY 1, 2"""
+
+
 # ------------------------------------------------------------ common tables
 
 CTE = {
@@ -90,13 +107,13 @@ CTE = {
         UNION ALL
         SELECT h.head, l.born, 2, l.lang, l.n, CASE WHEN l.lang = 'es' THEN '' ELSE 'Documents in ' || l.lang END,
                l.source, h.head || '/' || l.born FROM langs l JOIN heads h USING (source)""",
-    "firsts": r"SELECT doc_id, lang, regexp_extract(responses, '\[(?:\d+)\] ([^:]+): (?:.+)', 1) AS pred FROM resp "
-    r"WHERE regexp_matches(responses, '\[(?:\d+)\] ([^:]+): (?:.+)')",
+    "firsts": r"SELECT doc_id, lang, CASE WHEN regexp_matches(responses, '\[(?:\d+)\] ([^:]+): (?:.+)') "
+    r"THEN regexp_extract(responses, '\[(?:\d+)\] ([^:]+): (?:.+)', 1) ELSE 'None' END AS pred FROM resp",
     "cells": "SELECT lang AS truth, pred, count(*) AS n FROM firsts GROUP BY lang, pred",
     "pm": "SELECT pred, sum(n) AS b FROM cells GROUP BY pred",
     "tm": "SELECT truth, sum(n) AS a FROM cells GROUP BY truth",
     "tot": "SELECT sum(n)::DOUBLE AS n FROM cells",
-    "qcells": "SELECT l.quality AS truth, lower(left(f.pred, 1)) AS pred, count(*) AS n "
+    "qcells": "SELECT l.quality AS truth, lower(f.pred) AS pred, count(*) AS n "
     "FROM firsts f JOIN labels l USING (doc_id) GROUP BY 1, 2",
     "merge_answers": f"""
         SELECT doc_id, w1, w2, {capital('w1')} AS a, {capital('w2')} AS b FROM two WHERE w2 IS NOT NULL""",
@@ -116,6 +133,14 @@ CTE = {
     "vpairs": f"""
         SELECT a.vec_id AS i, b.vec_id AS j, list_cosine_similarity(a.v, b.v) AS score
         FROM vec a JOIN vec b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) > {PAIR_THRESHOLD}""",
+    "dterm": r"""
+        SELECT doc_id, ('0x' || left(md5(w), 4))::INTEGER % 256 AS dim, count(*)::DOUBLE AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM documents) GROUP BY 1, 2""",
+    "dnorm": "SELECT doc_id, sqrt(sum(n * n)) AS z FROM dterm GROUP BY 1",
+    "flab": f"""SELECT ord AS pos, '[1] ' || name || ': ' || descr AS label, {tokens("'[1] ' || name || ': ' || descr")} AS tok FROM frequent""",
+    "tlab": f"""SELECT ord AS pos, '[1] ' || name AS label, {tokens("'[1] ' || name")} AS tok FROM topics""",
+    "fsim": _similar("flab"),
+    "tsim": _similar("tlab"),
     "sized": f"""
         SELECT lang AS topic, doc_id, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i,
                {tokens('text')} AS whole, least({tokens('text')}, {PACK_BUDGET // 5}) + 2 AS tok FROM documents""",
@@ -152,6 +177,7 @@ NEEDS = {
     "tot": ["cells"], "qcells": ["firsts"], "merge_answers": ["two"], "originals": ["merge_answers"],
     "cluster": ["vec"], "sims": ["cluster"], "vpairs": ["vec"], "packed": ["sized"], "batches": ["packed"],
     "plain_parts": ["ranked"], "plain": ["ranked"], "plain_marks": ["plain"], "labels_text": ["frequent"],
+    "dnorm": ["dterm"], "flab": ["frequent"], "tlab": ["topics"], "fsim": ["flab", "dnorm"], "tsim": ["tlab", "dnorm"],
 }
 
 
@@ -203,6 +229,10 @@ ROOM = f"(300 - {tokens(literal(stub.ASSIGN_TEMPLATE))})"
 CUT_DOC = cut("d.text", ROOM)
 FIT_ROOM = f"((SELECT sum({tokens(chr(39) + '[1] ' + chr(39) + ' || name')}) FROM topics) + 600 - {tokens(literal(stub.GENERATION_TEMPLATE))})"
 
+TREE_ROOM = "((SELECT sum(tok) FROM flab) // 2)"
+CORRECT_ROOM = "((SELECT sum(tok) FROM flab) + 300)"
+SUMMARY = "length(text) || ' characters, ' || (length(text) - length(replace(text, ' ', ''))) || ' blanks, last ' || right(text, 1)"
+
 ORACLE: dict[str, str] = {
     # level 1
     "topic_counts": with_tables('SELECT name, n AS count, descr AS "desc" FROM topics', "topics"),
@@ -265,7 +295,7 @@ ORACLE: dict[str, str] = {
     "tree_view": with_tables("SELECT path, repeat(chr(9), lvl - 1) || '[' || lvl || '] ' || name AS line FROM tree", "tree"),
     "resolve_parents": with_tables(
         """, src AS (SELECT doc_id AS line, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 3 ELSE 2 END AS lvl,
-                            coalesce(left(w1, 3), 'none') AS name, source FROM two),
+                            coalesce(w1, 'none') AS name, source FROM two),
            c1 AS (SELECT name, min(line) AS born, count(*) AS n, arg_min(source, line) AS d FROM src WHERE lvl = 1 GROUP BY name),
            l2 AS (SELECT s.*, (SELECT max(born) FROM c1 WHERE born < s.line) AS up FROM src s WHERE lvl = 2),
            c2 AS (SELECT up, name, min(line) AS born, count(*) AS n, arg_min(source, line) AS d FROM l2 WHERE up IS NOT NULL GROUP BY up, name),
@@ -310,6 +340,23 @@ ORACLE: dict[str, str] = {
         f"""SELECT d.doc_id AS doc_idx, md5(p) AS prompt_md5, {tokens('p')} AS tokens FROM (SELECT doc_id,
                {_prompt(stub.GENERATION_TEMPLATE, Topics='bare', Document='text')} AS p FROM documents, labels_text) d""",
         "labels_text"),
+    "generation_prompt_budget": with_tables(
+        f"""SELECT doc_id AS doc_idx, fit, md5({_prompt(stub.GENERATION_TEMPLATE, Topics='shown', Document='doc')}) AS prompt_md5 FROM (
+            SELECT d.doc_id, fit, CASE WHEN fit = 'cut_document' THEN {cut('d.text', f'({FIT_ROOM} - 500)')} ELSE d.text END AS doc,
+                   CASE WHEN fit = 'prune_topics' THEN coalesce((SELECT string_agg(label || chr(10), '' ORDER BY rank) FROM tsim t
+                            WHERE t.doc_id = d.doc_id AND upto <= left_over AND upto - tok < left_over), '')
+                        ELSE (SELECT string_agg('[1] ' || name, chr(10) ORDER BY ord) FROM topics) END AS shown
+            FROM (SELECT doc_id, text, {FIT_ROOM} - {tokens('text')} AS left_over,
+                         CASE WHEN {tokens('text')} + (SELECT sum(tok) FROM tlab) <= {FIT_ROOM} THEN 'whole'
+                              WHEN {tokens('text')} > {FIT_ROOM} - 500 THEN 'cut_document' ELSE 'prune_topics' END AS fit FROM documents) d)""",
+        "tsim"),
+    "assign_prompt_pruned": with_tables(
+        f"""SELECT doc_id AS doc_idx, doc AS prompted_docs, md5({_prompt(stub.ASSIGN_TEMPLATE, tree='shown', Document='doc')}) AS prompt_md5 FROM (
+            SELECT doc_id, shown, {cut('text', f"greatest({TREE_ROOM} - {tokens(literal(stub.ASSIGN_TEMPLATE))} - used, 0)")} AS doc FROM (
+                SELECT d.doc_id, any_value(d.text) AS text, coalesce(string_agg(f.label || chr(10), '' ORDER BY f.rank), '') AS shown,
+                       coalesce(sum(f.tok), 0) AS used
+                FROM documents d LEFT JOIN fsim f ON f.doc_id = d.doc_id AND upto <= {TREE_ROOM} AND upto - tok < {TREE_ROOM}
+                GROUP BY d.doc_id))""", "fsim"),
     "assign_prompt": with_tables(
         f"""SELECT doc_id AS doc_idx, doc AS prompted_docs, md5({_prompt(stub.ASSIGN_TEMPLATE, tree='whole', Document='doc')}) AS prompt_md5
             FROM (SELECT d.doc_id, {CUT_DOC} AS doc FROM documents d), labels_text""", "labels_text"),
@@ -359,7 +406,7 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT {capital('stem')}, n, 'Words on ' || stem FROM stems""", "topics").replace("\n, stems", ",\nstems"),
     "merge_mapping": with_tables(
         """, e AS (SELECT DISTINCT old_name AS old FROM originals WHERE doc_id % 2 = 0),
-           l AS (SELECT old_name AS old, arg_max(new_name, doc_id * 16 + pos) AS new FROM originals WHERE doc_id % 2 = 1 GROUP BY 1)
+           l AS (SELECT old_name AS old, arg_max(new_name, doc_id * 1048576 + pos) AS new FROM originals WHERE doc_id % 2 = 1 GROUP BY 1)
            SELECT coalesce(e.old, l.old) AS old, coalesce(l.new, 'Earlier') AS new, e.old IS NULL AS added
            FROM e FULL JOIN l ON e.old = l.old""", "originals").replace("\n, e AS", ",\ne AS"),
     "rewrite_topics": with_tables(
@@ -368,8 +415,11 @@ ORACLE: dict[str, str] = {
                   lambda acc, x: struct_pack(o := '', n := replace(acc.n, x.o, x.n))).n AS refined_responses FROM resp, m""",
         "resp", "heads").replace("\n, m AS", ",\nm AS"),
     "mapping_round_trip": with_tables(
-        """SELECT min(doc_id * 16 + pos) + 2305843009213693952 AS seq, old_name AS old,
-                  arg_max(new_name, doc_id * 16 + pos) AS new FROM originals GROUP BY old_name""", "originals"),
+        """SELECT min(doc_id * 1048576 + pos) + 2305843009213693952 AS seq, old_name AS old,
+                  arg_max(new_name, doc_id * 1048576 + pos) AS new FROM originals GROUP BY old_name""", "originals"),
+    "mapping_object_round_trip": with_tables(
+        """SELECT row_number() OVER (ORDER BY min(doc_id * 1048576 + pos)) - 1 AS seq, old_name AS old,
+                  arg_max(new_name, doc_id * 1048576 + pos) AS new FROM originals GROUP BY old_name""", "originals"),
     # subtopics
     "subtopic_lines": with_tables(
         """SELECT doc_id AS prompt_idx, 0 AS line_idx, 1 AS lvl, a AS name, '' AS documents, '' AS "desc", false AS adds FROM merge_answers
@@ -412,6 +462,17 @@ ORACLE: dict[str, str] = {
         f"""SELECT d.doc_id AS doc_idx, md5({_prompt(stub.CORRECT_TEMPLATE, tree='whole', Document='d.text',
             Message="'Previously, this document was assigned to: ' || r.responses || '. Please reassign it to an existing topic in the hierarchy.'")})
             AS prompt_md5 FROM bad JOIN documents d USING (doc_id) JOIN resp r USING (doc_id), labels_text""", "bad", "labels_text"),
+    "correct_prompt_pruned": with_tables(
+        f"""SELECT doc_id AS doc_idx, fits, md5({_prompt(stub.CORRECT_TEMPLATE, tree='shown', Document='doc',
+            Message="'Previously, this document was assigned to: ' || responses || '. Please reassign it to an existing topic in the hierarchy.'")})
+            AS prompt_md5 FROM (
+            SELECT doc_id, responses, fits, CASE WHEN fits THEN whole ELSE part END AS shown,
+                   CASE WHEN fits THEN text ELSE {cut('text', f"greatest({CORRECT_ROOM} - {tokens(literal(stub.CORRECT_TEMPLATE))} - used, 0)")} END AS doc
+            FROM (SELECT d.doc_id, any_value(d.text) AS text, any_value(r.responses) AS responses, any_value(whole) AS whole,
+                         any_value({tokens('d.text')}) + {tokens(literal(stub.CORRECT_TEMPLATE))} + (SELECT sum(tok) FROM flab) <= {CORRECT_ROOM} AS fits,
+                         string_agg(f.label, chr(10) ORDER BY f.rank) AS part, sum(f.tok) AS used
+                  FROM bad JOIN documents d USING (doc_id) JOIN resp r USING (doc_id) JOIN fsim f USING (doc_id), labels_text
+                  WHERE upto <= {CORRECT_ROOM} // 2 OR rank <= 10 GROUP BY d.doc_id))""", "bad", "labels_text", "fsim"),
     # metrics
     "first_topic": with_tables("SELECT doc_id AS doc_idx, pred AS topic FROM firsts", "firsts"),
     "contingency": with_tables("SELECT truth, pred, n FROM cells", "cells"),
@@ -429,14 +490,20 @@ ORACLE: dict[str, str] = {
         f"""SELECT doc_id AS doc_idx, labels[1 + length(doc) % len(labels)] AS responses, 'ok' AS status
             FROM (SELECT d.doc_id, {CUT_DOC} AS doc FROM documents d), labels_text""", "labels_text"),
     "complete_batches": with_tables(
-        """SELECT conv_id, turn, string_split(text, '.')[1] || ' (' || length(text) || ')' AS response, 'ok' AS status,
-                  1 AS attempts, prompt_hash FROM turns""", "turns"),
+        f"SELECT conv_id, turn, {SUMMARY} AS response, 'ok' AS status, 1 AS attempts, prompt_hash FROM turns", "turns"),
+    "failed_calls": with_tables(
+        """SELECT conv_id, turn, 'Error' AS response, 'ValueError: refused ' || length(text) || ' characters' AS error
+           FROM turns WHERE length(text) % 7 = 0""", "turns"),
+    "stage_usage": with_tables(
+        f"""SELECT role AS stage, count(*) AS calls, sum(p) AS prompt_tokens, sum(r) AS response_tokens,
+                   round((sum(p) * 5.0 + sum(r) * 15.0) / 1e6, 6) AS cost
+            FROM (SELECT role, {tokens('text')} AS p, {tokens(SUMMARY)} AS r FROM turns) GROUP BY ROLLUP (role)""", "turns"),
     "replay_responses": with_tables(
         """, rec AS (SELECT u.prompt_hash, min(a.text) AS answer FROM turns u JOIN turns a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-                     AND a.role = 'assistant' WHERE u.role = 'user' AND u.conv_id % 2 = 0 GROUP BY 1)
+                     GROUP BY 1)
            SELECT conv_id, turn, coalesce(answer, 'Error') AS response,
                   CASE WHEN answer IS NULL OR answer = 'Error' THEN 'error' ELSE 'ok' END AS status
-           FROM turns LEFT JOIN rec USING (prompt_hash) WHERE role = 'user'""", "turns").replace("\n, rec", ",\nrec"),
+           FROM turns LEFT JOIN rec USING (prompt_hash)""", "turns").replace("\n, rec", ",\nrec"),
     "usage_report": with_tables(
         f"""SELECT lang AS stage, count(*) AS calls, sum(p) AS prompt_tokens, sum(r) AS response_tokens,
                    round((sum(p) * 5.0 + sum(r) * 15.0) / 1e6, 6) AS cost
@@ -444,8 +511,9 @@ ORACLE: dict[str, str] = {
             GROUP BY ROLLUP (lang)""", "resp"),
     "error_rows": with_tables("SELECT doc_id AS doc_idx, responses FROM resp WHERE responses = 'Error'", "resp"),
     # files
-    "corpus_round_trip": """SELECT doc_id::VARCHAR AS id, text, lang AS label, (SELECT count(*) - 1 FROM documents) AS last_idx
+    "corpus_round_trip": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_idx, doc_id::VARCHAR AS id, text, lang AS label
                             FROM documents""",
+    "sample_corpus": "SELECT doc_id AS doc_idx, lang FROM documents ORDER BY md5(doc_id || '-7'), doc_id LIMIT 100",
     # whole stages
     "generate_level1": with_tables(
         f"""SELECT {capital('w')} AS name, count(*) AS count, 'Documents about ' || w || '.' AS "desc" FROM plain GROUP BY w""", "plain"),
@@ -481,6 +549,7 @@ for _name, _columns in {
     "merge_counts": ["count"],
     "apply_merge": ["count"],
     "usage_report": ["prompt_tokens", "response_tokens"],
+    "stage_usage": ["prompt_tokens", "response_tokens"],
 }.items():
     _casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in _columns)
     ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"

@@ -25,7 +25,7 @@ from corpusgrove.plans.assign import assign_topics as assign_plan, correct_topic
 from corpusgrove.plans.generate import generate_topics_level1, generate_topics_level2
 from corpusgrove.plans.refine import refine_topics as refine_plan
 from corpusgrove.plans.stages import run_stages
-from corpusgrove.schema import CREATED_BASE
+from corpusgrove.schema import CREATED_BASE, node_ordinal
 from corpusgrove.sources import documents as SD, topics as ST
 from corpusgrove.storage import materialize, scratch_path
 
@@ -82,7 +82,7 @@ def source_tree(spark, sf) -> DataFrame:
 
 
 def embeddings(spark, sf) -> DataFrame:
-    return SD.spread(spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id")
+    return spark.read.parquet(f"{sf}/embeddings.parquet")
 
 
 def cluster_topics(spark, sf) -> DataFrame:
@@ -296,7 +296,7 @@ def _word_lines(spark, sf) -> DataFrame:
     return stub.worded(spark, sf).select(
         F.col("doc_idx").alias("line_no"),
         level.alias("lvl"),
-        F.coalesce(F.substring(F.get("words", F.lit(0)), 1, 3), F.lit("none")).alias("name"),
+        F.coalesce(F.get("words", F.lit(0)), F.lit("none")).alias("name"),
         F.lit(1).cast("long").alias("count"),
         F.col("source").alias("desc"),
     )
@@ -319,7 +319,7 @@ def topic_file_round_trip(spark, sf):
 
 @query
 def topic_file_rejects(spark, sf):
-    """Responses read as a topic file: no line carries a count, so all are rejected."""
+    """Responses as topic file lines: level-1 lines are given a count and are valid, the rest is rejected."""
     answers = stub.answered(spark, sf)
     lines = L.response_lines(answers).select("doc_idx", F.col("line_idx").alias("line_no"), "line")
     counted = F.when(F.col("line").startswith("[1]"), F.regexp_replace("line", ":", " (Count: 3):")).otherwise(F.col("line"))
@@ -395,6 +395,24 @@ def generation_prompt(spark, sf):
     return made.select("doc_idx", F.md5("prompt").alias("prompt_md5"), X.count_tokens(F.col("prompt")).alias("tokens"))
 
 
+@query
+def generation_prompt_budget(spark, sf):
+    """Whole, cut and pruned prompts: the list fits, but not with every document."""
+    tree = materialize(topics(stub.answered(spark, sf)), "topics")
+    room = P.list_tokens(tree, False, X.DEFAULT_TOKENS, strip_desc=True) + 600
+    made = P.generation_prompts(stub.documents(spark, sf), tree, stub.GENERATION_TEMPLATE, room)
+    return made.select("doc_idx", "fit", F.md5("prompt").alias("prompt_md5"))
+
+
+@query
+def assign_prompt_pruned(spark, sf):
+    """Half of the tree fits the context."""
+    tree = frequent_topics(stub.answered(spark, sf))
+    context = P.list_tokens(tree, True, X.DEFAULT_TOKENS) // 2
+    made = P.assign_prompts(stub.documents(spark, sf), tree, stub.ASSIGN_TEMPLATE, context)
+    return made.select("doc_idx", "prompted_docs", F.md5("prompt").alias("prompt_md5"))
+
+
 @query
 def assign_prompt(spark, sf):
     answers = stub.answered(spark, sf)
@@ -564,17 +582,17 @@ def apply_merge(spark, sf):
 
 
 def _mapping(spark, sf) -> DataFrame:
-    seq = F.shiftleft(F.col("doc_idx"), 4) + F.col("pos")
+    seq = node_ordinal(0, F.col("doc_idx"), F.col("pos"))
     return Mg.merge_mapping(None, _originals(spark, sf).withColumn("seq", seq))
 
 
 @query
 def merge_mapping(spark, sf):
     earlier = _originals(spark, sf).filter("doc_idx % 2 = 0").select(
-        (F.col("doc_idx") * 16 + F.col("pos")).alias("seq"), F.col("old_name").alias("old"), F.lit("Earlier").alias("new")
+        node_ordinal(0, F.col("doc_idx"), F.col("pos")).alias("seq"), F.col("old_name").alias("old"), F.lit("Earlier").alias("new")
     )
     once = earlier.groupBy("old").agg(F.min("seq").alias("seq"), F.first("new").alias("new"))
-    seq = F.shiftleft(F.col("doc_idx"), 4) + F.col("pos")
+    seq = node_ordinal(0, F.col("doc_idx"), F.col("pos"))
     later = _originals(spark, sf).filter("doc_idx % 2 = 1").withColumn("seq", seq)
     return Mg.merge_mapping(once, later).select("old", "new", (F.col("seq") >= CREATED_BASE).alias("added"))
 
@@ -600,6 +618,16 @@ def mapping_round_trip(spark, sf):
     return ST.read_mapping(spark, path)
 
 
+@query
+def mapping_object_round_trip(spark, sf):
+    """The same through the one JSON object of a ``.json`` path, written twice."""
+    path = scratch_path(spark, "mapping") + ".json"
+    mapping = _mapping(spark, sf)
+    ST.write_mapping(mapping.limit(0), path)
+    ST.write_mapping(mapping, path)
+    return ST.read_mapping(spark, path)
+
+
 # ------------------------------------------------------------ subtopics
 
 
@@ -674,10 +702,10 @@ def apply_corrections(spark, sf):
     return R.apply_corrections(answers, corrections).select("doc_idx", "responses")
 
 
-def _with_text(spark, sf) -> DataFrame:
+def _with_text(spark, sf, *more: str) -> DataFrame:
     docs = stub.documents(spark, sf)
     response = stub.level1_response(stub.top_words(F.col("text")), F.col("doc_idx"), F.col("source"))
-    return docs.select("doc_idx", F.col("text").alias("prompted_docs"), response.alias("responses"))
+    return docs.select("doc_idx", *more, F.col("text").alias("prompted_docs"), response.alias("responses"))
 
 
 @query
@@ -699,12 +727,24 @@ def correct_prompt(spark, sf):
     return made.select("doc_idx", F.md5("prompt").alias("prompt_md5"))
 
 
+@query
+def correct_prompt_pruned(spark, sf):
+    """The tree and 300 tokens fit the context, so long documents lose topics and text."""
+    docs = materialize(_with_text(spark, sf), "assigned")
+    tree = frequent_topics(docs)
+    again = docs.join(R.reprompt_set(docs, T.topic_names(tree)).select("doc_idx"), "doc_idx", "left_semi")
+    listed = P.list_tokens(tree, True, X.DEFAULT_TOKENS)
+    made = P.correct_prompts(again, tree, stub.CORRECT_TEMPLATE, listed + 300, floor=10)
+    room = listed + X.count_tokens(F.col("prompted_docs")) + X.count_tokens(F.lit(stub.CORRECT_TEMPLATE))
+    return made.select("doc_idx", (room <= listed + 300).alias("fits"), F.md5("prompt").alias("prompt_md5"))
+
+
 # ------------------------------------------------------------ metrics
 
 
 def _cells(answers: DataFrame) -> DataFrame:
     """Language against first assigned topic."""
-    docs = M.with_first_topic(answers, "responses", unmatched="drop")
+    docs = M.with_first_topic(answers, "responses", unmatched="own")
     return M.contingency(docs, "lang", "pred")
 
 
@@ -715,7 +755,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 @query
 def first_topic(spark, sf):
     answers = stub.answered(spark, sf)
-    return M.with_first_topic(answers, "responses", "topic", "drop").select("doc_idx", "topic")
+    return M.with_first_topic(answers, "responses", "topic", "own").select("doc_idx", "topic")
 
 
 @query
@@ -756,11 +796,11 @@ def normalized_mi(spark, sf):
 
 @query
 def alignment_report(spark, sf):
-    """Quality labels against the first letter of the first topic."""
+    """Quality labels against the first topic, in any case."""
     answers = stub.answered(spark, sf)
-    docs = M.with_first_topic(answers, "responses", unmatched="drop")
+    docs = M.with_first_topic(answers, "responses", unmatched="own")
     labels = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("doc_idx"), "quality")
-    joined = docs.join(labels, "doc_idx").withColumn("pred", F.lower(F.substring("pred", 1, 1)))
+    joined = docs.join(labels, "doc_idx").withColumn("pred", F.lower("pred"))
     return _rounded(M.alignment_report(M.contingency(joined, "quality", "pred")))
 
 
@@ -778,39 +818,52 @@ def assign_topics(spark, sf):
 
 
 def _turns(spark, sf) -> DataFrame:
-    return SD.spread(spark.read.parquet(f"{sf}/conversations.parquet"), "conv_id", "turn")
+    return spark.read.parquet(f"{sf}/conversations.parquet")
 
 
-def _first_sentence(prompts: list[str]) -> list[str]:
-    return [p.split(".")[0] + f" ({len(p)})" for p in prompts]
+def _summary(prompts: list[str]) -> list[str]:
+    return [f"{len(p)} characters, {p.count(' ')} blanks, last {p[-1:]}" for p in prompts]
 
 
 @query
 def complete_batches(spark, sf):
-    out = B.complete(_turns(spark, sf), "text", _first_sentence, batch_size=32)
+    out = B.complete(_turns(spark, sf), "text", _summary, batch_size=32)
     return out.select("conv_id", "turn", "response", "status", "attempts", "prompt_hash")
 
 
+def _picky(prompts: list[str]) -> list[str]:
+    for p in prompts:
+        if len(p) % 7 == 0:
+            raise ValueError(f"refused {len(p)} characters")
+    return _summary(prompts)
+
+
+@query
+def failed_calls(spark, sf):
+    """One refused prompt fails its batch; the others of it are asked alone."""
+    out = B.complete(_turns(spark, sf), "text", _picky, batch_size=8, tries=1, wait=0.0)
+    return B.failed_calls(out).select("conv_id", "turn", "response", "error")
+
+
+@query
+def stage_usage(spark, sf):
+    out = B.complete(_turns(spark, sf), "text", _summary, batch_size=32)
+    return B.usage_of_calls(out.withColumn("stage", F.col("role"))).withColumn("cost", F.round("cost", 6))
+
+
 @query
 def replay_responses(spark, sf):
-    """User turns answered from the recorded answers of every other conversation."""
+    """Every turn answered by the turn after it, recorded twice."""
     turns = _turns(spark, sf)
-    answers = turns.filter("role = 'assistant' and conv_id % 2 = 0").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
-    )
-    recorded = (
-        turns.filter("role = 'user'")
-        .join(answers, ["conv_id", "turn"])
-        .groupBy(B.prompt_hash(F.col("text")).alias("prompt_hash"))
-        .agg(F.min("answer").alias("response"))
-    )
-    asked = turns.filter("role = 'user'").select("conv_id", "turn", "text")
-    return B.replay_responses(asked, "text", recorded).select("conv_id", "turn", "response", "status")
+    following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
+    recorded = turns.join(following, ["conv_id", "turn"]).select(B.prompt_hash(F.col("text")).alias("prompt_hash"), "response")
+    asked = turns.select("conv_id", "turn", "text")
+    return B.replay_responses(asked, "text", recorded.unionByName(recorded)).select("conv_id", "turn", "response", "status")
 
 
 @query
 def usage_report(spark, sf):
-    docs = _with_text(spark, sf).join(stub.documents(spark, sf).select("doc_idx", "lang"), "doc_idx")
+    docs = _with_text(spark, sf, "lang")
     calls = docs.select(F.col("lang").alias("stage"), F.col("prompted_docs").alias("prompt"), F.col("responses").alias("response"))
     return B.usage_report(calls).withColumn("cost", F.round("cost", 6))
 
@@ -827,10 +880,9 @@ def error_rows(spark, sf):
 @query
 def corpus_round_trip(spark, sf):
     path = scratch_path(spark, "corpus")
-    SD.write_documents(stub.documents(spark, sf).select("id", "text", F.col("lang").alias("label")), path)
-    back = SD.read_corpus(spark, path)
-    top = back.agg(F.max("doc_idx")).scalar()
-    return back.select("id", "text", "label", top.alias("last_idx"))
+    docs = stub.documents(spark, sf).select("doc_idx", "id", "text", F.col("lang").alias("label"))
+    SD.write_documents(docs.orderBy("doc_idx"), path)
+    return SD.read_corpus(spark, path).select("doc_idx", "id", "text", "label")
 
 
 @query

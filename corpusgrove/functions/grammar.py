@@ -5,10 +5,7 @@ TOPIC_FILE_LINE = r"^\[(\d+)\] (.+) \(Count: (\d+)\)\s?:(.+)?"
 SEED_FILE_LINE = r"^\[(\d+)\] (.+)"
 LEVEL1_LINE = r"^\[(\d+)\] ([\w\s\+_#-]+):(.+)"
 DOC_TOPIC_LINE = r"^\[(\d+)\] ([\w\s+_#\-]+):(.+)"
-SUBTOPIC_LINE = (
-    r"^\[(\d+)\] ([\w\s\-'\&,]+)"
-    r"(\(Document(?:s)?: ((?:(?:\d+)(?:(?:, )?)|-)+)\)([:\-\w\s,.\n'\&]*?))?$"
-)
+SUBTOPIC_LINE = r"^\[(\d+)\] ([\w\s\-'\&,]+)(\(Document(?:s)?: ((?:(?:\d+)(?:(?:, )?)|-)+)\)([:\-\w\s,.\n'\&]*?))?$"
 MERGE_LINE = r"^\[(\d+)\]([\w\s',_+#\-]+)[^:]*:([\w\s,\.\-\/;']+) \(([^)]+)\)$"
 MERGE_ORIGINAL = r"\[(\d+)\]([\w\s',_+#\-]+),?"
 ASSIGNED_TOPIC = r"^\[\d+\] ([\w\s\-'\&]+):"

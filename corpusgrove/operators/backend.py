@@ -1,27 +1,57 @@
-"""Text completion as a column: batches, retries, replay and usage.
+"""Text completion as a column: batches, retries, settings, replay and usage.
 
 The completion itself is a callable the user supplies.  It runs inside tasks on
 Arrow batches; only the prompt column travels to Python.  Persist the result
 (``storage.materialize``) before using it twice, and keep speculative execution
-off while it runs: a completion is paid for every time.
+off while it runs: a completion is paid for every time.  A ``Backend`` with a
+store keeps every answer under the hash of its prompt and settings, and a rerun
+asks for what is not there only.
 """
 
 from __future__ import annotations
 
+import inspect
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import asdict, dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusgrove.functions import grammar as G, text as X
+from corpusgrove.storage import path_exists
 
 FAILED = "Error"
-COMPLETION = "response string, status string, attempts int"
+COMPLETION = "response string, status string, attempts int, error string"
+CALLS = ["response", "status", "attempts", "prompt_hash", "error", "prompt_tokens", "response_tokens"]
+STORED = "prompt_hash string, response string, status string, attempts int, error string"
 
 
-def one_by_one(fn: Callable[[str], str]) -> Callable[[list[str]], list[str]]:
+@dataclass(frozen=True)
+class Settings:
+    """What a call is made with; handed to completers that take ``settings``."""
+
+    temperature: float = G.TEMPERATURE
+    top_p: float = G.TOP_P
+    max_tokens: int = G.MAX_TOKENS
+    system: str = G.SYSTEM_MESSAGE
+
+
+GENERATION = Settings()
+CORRECTION = Settings(temperature=G.CORRECTION_TEMPERATURE, top_p=G.CORRECTION_TOP_P)
+
+
+def _takes_settings(fn: Callable) -> bool:
+    try:
+        return "settings" in inspect.signature(fn).parameters
+    except (TypeError, ValueError):
+        return False
+
+
+def one_by_one(fn: Callable[..., str]) -> Callable[..., list[str]]:
     """A batch completer from one that takes a single prompt."""
+    if _takes_settings(fn):
+        return lambda prompts, settings: [fn(p, settings=settings) for p in prompts]
     return lambda prompts: [fn(p) for p in prompts]
 
 
@@ -29,106 +59,165 @@ def prompt_hash(prompt: Column) -> Column:
     return F.sha2(prompt, 256)
 
 
-def _with_retries(fn, prompts: list[str], tries: int, wait: float) -> tuple[list[str | None], int]:
+def _with_retries(fn, prompts: list[str], tries: int, wait: float) -> list[tuple[str | None, int, str | None]]:
+    """Answer, attempts and error of every prompt; a batch that fails is taken apart once."""
+    reason = None
     for attempt in range(1, tries + 1):
         try:
             answers = list(fn(prompts))
             if len(answers) != len(prompts):
                 raise ValueError("a completer must answer every prompt of its batch")
-            return answers, attempt
-        except Exception:
+            return [(a, attempt, None) for a in answers]
+        except Exception as cause:  # noqa: BLE001  the completer's failures become rows
+            reason = f"{type(cause).__name__}: {cause}"
             if attempt < tries:
                 time.sleep(wait)
-    return [None] * len(prompts), tries
+    if len(prompts) == 1:
+        return [(None, tries, reason)]
+    alone = [_with_retries(fn, [p], 1, wait)[0] for p in prompts]
+    return [(a, tries + 1, e) for a, _, e in alone]
+
+
+def _counted(df: DataFrame, prompt: str, tokens: X.TokenCounter) -> DataFrame:
+    """Adds the tokens of prompt and response, for ``usage_of_calls``."""
+    return df.withColumn("prompt_tokens", tokens.count(F.col(prompt))).withColumn("response_tokens", tokens.count(F.col("response")))
 
 
 def complete(
     df: DataFrame,
     prompt: str,
-    fn: Callable[[list[str]], list[str]],
+    fn: Callable[..., list[str]],
     batch_size: int = 1,
     tries: int = G.TRIES,
     wait: float = G.RETRY_WAIT,
+    settings: Settings = GENERATION,
+    tokens: X.TokenCounter = X.DEFAULT_TOKENS,
 ) -> DataFrame:
-    """Adds ``response, status, attempts, prompt_hash``.
+    """Adds ``response, status, attempts, prompt_hash, error`` and token counts.
 
     ``batch_size`` prompts go to the completer per call.  A call that fails
-    ``tries`` times gives the response ``Error`` and status ``error``; a null
-    prompt is not sent and gets status ``skipped``.
+    ``tries`` times gives the response ``Error``, status ``error`` and the
+    exception's text; a null prompt is not sent and gets status ``skipped``.
     """
+    call = (lambda prompts: fn(prompts, settings=settings)) if _takes_settings(fn) else fn
 
     @F.pandas_udf(COMPLETION)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in batches:
-            out = pd.DataFrame({"response": None, "status": "skipped", "attempts": 0}, index=series.index)
+            out = pd.DataFrame({"response": None, "status": "skipped", "attempts": 0, "error": None}, index=series.index)
             sent = series.dropna()
             for start in range(0, len(sent), batch_size):
                 part = sent.iloc[start : start + batch_size]
-                answers, attempts = _with_retries(fn, part.tolist(), tries, wait)
-                failed = [a is None for a in answers]
-                out.loc[part.index, "response"] = [FAILED if f else a for f, a in zip(failed, answers)]
-                out.loc[part.index, "status"] = ["error" if f else "ok" for f in failed]
-                out.loc[part.index, "attempts"] = attempts
+                got = _with_retries(call, part.tolist(), tries, wait)
+                out.loc[part.index, "response"] = [FAILED if a is None else a for a, _, _ in got]
+                out.loc[part.index, "status"] = ["error" if a is None else "ok" for a, _, _ in got]
+                out.loc[part.index, "attempts"] = [n for _, n, _ in got]
+                out.loc[part.index, "error"] = [e for _, _, e in got]
             yield out.astype({"attempts": "int32"})
 
     answered = df.withColumn("__completion", run.asNondeterministic()(F.col(prompt)))
-    return answered.select(
+    columns = answered.select(
         *df.columns,
         F.col("__completion.response").alias("response"),
         F.col("__completion.status").alias("status"),
         F.col("__completion.attempts").alias("attempts"),
         prompt_hash(F.col(prompt)).alias("prompt_hash"),
+        F.col("__completion.error").alias("error"),
     )
+    return _counted(columns, prompt, tokens)
+
 
+def replay_responses(
+    df: DataFrame, prompt: str, recorded: DataFrame, tokens: X.TokenCounter = X.DEFAULT_TOKENS, key: Callable[[Column], Column] = prompt_hash
+) -> DataFrame:
+    """Recorded responses (``prompt_hash, response``) in place of live calls.
 
-def replay_responses(df: DataFrame, prompt: str, recorded: DataFrame) -> DataFrame:
-    """Recorded responses (``prompt_hash, response``) in place of live calls."""
+    Of several recordings of one prompt the successful one that sorts first counts.
+    """
     order = df.columns
     # rows without a prompt get keys of their own instead of one shared null
     spare = F.concat(F.lit("skipped-"), F.xxhash64(*order).cast("string"))
-    keyed = df.withColumn("prompt_hash", prompt_hash(F.col(prompt))).withColumn("__key", F.coalesce("prompt_hash", spare))
-    answers = recorded.select(F.col("prompt_hash").alias("__key"), F.col("response").alias("__r"))
+    keyed = df.withColumn("prompt_hash", key(F.col(prompt))).withColumn("__key", F.coalesce("prompt_hash", spare))
+    error = F.col("error") if "error" in recorded.columns else F.lit(None).cast("string")
+    attempts = F.col("attempts") if "attempts" in recorded.columns else F.lit(1)
+    best = F.min(F.struct((F.col("response") == FAILED).alias("failed"), "response", attempts.alias("attempts"), error.alias("error")))
+    answers = recorded.filter("response is not null").groupBy(F.col("prompt_hash").alias("__key")).agg(best.alias("__r"))
     found = keyed.join(answers, "__key", "left")
     missing = F.col("__r").isNull()
-    return found.select(
+    columns = found.select(
         *order,
-        F.when(~missing, F.col("__r")).when(F.col(prompt).isNotNull(), F.lit(FAILED)).alias("response"),
+        F.when(~missing, F.col("__r.response")).when(F.col(prompt).isNotNull(), F.lit(FAILED)).alias("response"),
         F.when(F.col(prompt).isNull(), F.lit("skipped"))
-        .when(missing | (F.col("__r") == FAILED), F.lit("error"))
+        .when(missing | F.col("__r.failed"), F.lit("error"))
         .otherwise(F.lit("ok"))
         .alias("status"),
-        F.lit(1).alias("attempts"),
+        F.coalesce("__r.attempts", F.lit(1)).alias("attempts"),
         "prompt_hash",
+        F.when(missing & F.col(prompt).isNotNull(), F.lit("no recorded answer")).otherwise(F.col("__r.error")).alias("error"),
     )
+    return _counted(columns, prompt, tokens)
 
 
 class Backend:
-    """How the stages get answers: a live completer, or recorded responses."""
+    """How the stages get answers: a live completer, or recorded responses.
 
-    def __init__(self, fn=None, recorded: DataFrame | None = None, **options):
+    ``store`` names a folder for the answers of a live completer.  Prompts that
+    it already answers are not sent again, equal prompts are sent once, and
+    failed ones are sent anew.
+    """
+
+    def __init__(self, fn=None, recorded: DataFrame | None = None, store: str | None = None, settings: Settings | None = None, **options):
         if (fn is None) == (recorded is None):
             raise ValueError("give either a completer or recorded responses")
-        self.fn, self.recorded, self.options = fn, recorded, options
+        self.fn, self.recorded, self.store, self.settings, self.options = fn, recorded, store, settings, options
 
-    def answer(self, df: DataFrame, prompt: str) -> DataFrame:
+    def answer(self, df: DataFrame, prompt: str, settings: Settings = GENERATION) -> DataFrame:
+        settings = self.settings or settings
         if self.recorded is not None:
             return replay_responses(df, prompt, self.recorded)
-        return complete(df, prompt, self.fn, **self.options)
+        if self.store is None:
+            return complete(df, prompt, self.fn, settings=settings, **self.options)
+        return self._stored(df, prompt, settings)
+
+    def _stored(self, df: DataFrame, prompt: str, settings: Settings) -> DataFrame:
+        spark = df.sparkSession
+
+        def key(text: Column) -> Column:
+            # null stays null: such a prompt is not sent
+            return prompt_hash(F.concat(text, F.lit(repr(sorted(asdict(settings).items())))))
+
+        asked = df.select(key(F.col(prompt)).alias("prompt_hash"), F.col(prompt).alias("prompt")).filter("prompt is not null").dropDuplicates(["prompt_hash"])
+        if path_exists(spark, self.store):
+            known = spark.read.schema(STORED).parquet(self.store).filter("status = 'ok'").select("prompt_hash")
+            asked = asked.join(known, "prompt_hash", "left_anti")
+        answers = complete(asked.withColumnRenamed("prompt_hash", "key"), "prompt", self.fn, settings=settings, **self.options)
+        answers.select(F.col("key").alias("prompt_hash"), "response", "status", "attempts", "error").write.mode("append").parquet(self.store)
+        return replay_responses(df, prompt, spark.read.schema(STORED).parquet(self.store), key=key)
+
+
+def failed_calls(calls: DataFrame) -> DataFrame:
+    """Calls that got no answer, with the cause."""
+    return calls.filter("status = 'error'")
 
 
 # Dollars per million prompt and response tokens.
 PRICES = {"openai": (5.0, 15.0), "vertex": (3.0, 15.0)}
 
 
-def usage_report(calls: DataFrame, prices: tuple[float, float] = PRICES["openai"], tokens: X.TokenCounter = X.DEFAULT_TOKENS) -> DataFrame:
+def usage_of_calls(calls: DataFrame, prices: tuple[float, float] = PRICES["openai"]) -> DataFrame:
     """Tokens and cost per stage and in total (``stage`` null), from
-    ``stage, prompt, response``."""
-    used = calls.select(
-        "stage", tokens.count(F.col("prompt")).alias("p"), tokens.count(F.col("response")).alias("r")
-    )
-    return used.rollup("stage").agg(
+    ``stage, prompt_tokens, response_tokens`` as every stage keeps them."""
+    return calls.rollup("stage").agg(
         F.count(F.lit(1)).alias("calls"),
-        F.sum("p").alias("prompt_tokens"),
-        F.sum("r").alias("response_tokens"),
-        ((F.sum("p") * F.lit(prices[0]) + F.sum("r") * F.lit(prices[1])) / 1e6).alias("cost"),
+        F.sum("prompt_tokens").alias("prompt_tokens"),
+        F.sum("response_tokens").alias("response_tokens"),
+        ((F.sum("prompt_tokens") * F.lit(prices[0]) + F.sum("response_tokens") * F.lit(prices[1])) / 1e6).alias("cost"),
+    )
+
+
+def usage_report(calls: DataFrame, prices: tuple[float, float] = PRICES["openai"], tokens: X.TokenCounter = X.DEFAULT_TOKENS) -> DataFrame:
+    """``usage_of_calls`` from the texts ``stage, prompt, response``."""
+    counted = calls.select(
+        "stage", tokens.count(F.col("prompt")).alias("prompt_tokens"), tokens.count(F.col("response")).alias("response_tokens")
     )
+    return usage_of_calls(counted, prices)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusgrove.operators.ordering import dense_index, next_value
-from corpusgrove.schema import CREATED_BASE, LINE_BITS
+from corpusgrove.schema import CREATED_BASE, node_ordinal
 
 STOP_BUCKET = 1 << 16
 
 
 def line_ordinal(doc: str = "doc_idx", line: str = "line_idx") -> Column:
     """Order-preserving number of a response line; ordinal of the node it makes."""
-    return F.lit(CREATED_BASE) + F.shiftleft(F.col(doc).cast("long"), LINE_BITS) + F.col(line)
+    return node_ordinal(CREATED_BASE, F.col(doc), F.col(line))
 
 
 def topic_counts(lines: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
@@ -22,40 +22,23 @@ def topic_counts(lines: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     the first line: its first level-1 node of a name absorbs the lines of that
     name on top of its own count, and every other node stays as it is.
     """
-    rows = lines.select(
-        F.lower("name").alias("key"),
-        line_ordinal().alias("ordinal"),
-        F.lit(1).cast("long").alias("n"),
-        F.struct("name", "desc", F.array(line_ordinal()).alias("path")).alias("first"),
+    ordered = lines.select(F.lower("name").alias("key"), line_ordinal().alias("ordinal"), "name", "desc")
+    # numbers only, so Spark counts by hash; names are fetched for the first lines alone
+    found = ordered.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("ordinal"))
+    firsts = ordered.join(found, ["key", "ordinal"])
+    made = firsts.select("key", F.array("ordinal").alias("path"), F.lit(1).alias("lvl"), "name", F.col("n").alias("count"), "desc")
+    if seeds is None:
+        return made.drop("key")
+    level1 = seeds.filter("lvl = 1").withColumn("key", F.lower("name"))
+    owner = level1.groupBy("key").agg(F.min("path").alias("owner"))
+    marked = level1.join(owner, "key").withColumn("owns", F.col("path") == F.col("owner"))
+    lines_of = found.select("key", "n")
+    grown = marked.filter("owns").join(lines_of, "key", "left").select(
+        "path", F.lit(1).alias("lvl"), "name", (F.col("count") + F.coalesce("n", F.lit(0))).alias("count"), "desc"
     )
-    others = None
-    if seeds is not None:
-        level1 = seeds.filter("lvl = 1").withColumn("key", F.lower("name"))
-        owner = level1.groupBy("key").agg(F.min("path").alias("owner"))
-        marked = level1.join(owner, "key").withColumn("owns", F.col("path") == F.col("owner"))
-        rows = rows.unionByName(
-            marked.filter("owns").select(
-                "key",
-                F.lit(-1).cast("long").alias("ordinal"),
-                F.col("count").alias("n"),
-                F.struct("name", "desc", "path").alias("first"),
-            )
-        )
-        others = marked.filter("not owns").select("path", "lvl", "name", "count", "desc").unionByName(
-            seeds.filter("lvl <> 1").select("path", "lvl", "name", "count", "desc")
-        )
-    found = (
-        rows.groupBy("key")
-        .agg(F.sum("n").alias("count"), F.min_by("first", "ordinal").alias("first"))
-        .select(
-            F.col("first.path").alias("path"),
-            F.lit(1).alias("lvl"),
-            F.col("first.name").alias("name"),
-            "count",
-            F.col("first.desc").alias("desc"),
-        )
-    )
-    return found if others is None else found.unionByName(others)
+    others = marked.filter("not owns").unionByName(seeds.filter("lvl <> 1"), allowMissingColumns=True)
+    new = made.join(owner.select("key"), "key", "left_anti").drop("key")
+    return new.unionByName(grown).unionByName(others.select("path", "lvl", "name", "count", "desc"))
 
 
 def match_existing(lines: DataFrame, topics: DataFrame) -> DataFrame:
@@ -126,6 +109,6 @@ def lines_until(numbered: DataFrame, stop: DataFrame) -> DataFrame:
 
 def first_seen_desc(lines: DataFrame) -> DataFrame:
     """Spelling and description each topic keeps, with the line it came from."""
-    return lines.groupBy(F.lower("name").alias("key")).agg(
-        F.min_by(F.struct("doc_idx", "line_idx", "name", "desc"), F.struct("doc_idx", "line_idx")).alias("f")
-    ).select("key", "f.doc_idx", "f.line_idx", "f.name", "f.desc")
+    ordered = lines.select(F.lower("name").alias("key"), line_ordinal().alias("ordinal"), "doc_idx", "line_idx", "name", "desc")
+    firsts = ordered.groupBy("key").agg(F.min("ordinal").alias("ordinal"))
+    return ordered.join(firsts, ["key", "ordinal"]).select("key", "doc_idx", "line_idx", "name", "desc")

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from corpusgrove.functions import text as X
-from corpusgrove.storage import rows_within
-
-INLINE_NAMES = 20_000
 
 
 def assignment_names(df: DataFrame, column: str = "responses") -> DataFrame:
@@ -48,30 +45,20 @@ def grounding_hallucinated(df: DataFrame, names: DataFrame, column: str = "respo
     return _mentions(df, column).join(_known(names), "topic", "left_anti").select("doc_idx").distinct()
 
 
-def with_reason(df: DataFrame, names: DataFrame, column: str = "responses", inline: int = INLINE_NAMES) -> DataFrame:
-    """Adds ``reason``: ``error``, ``hallucinated`` or null for a grounded row.
+def reprompt_set(df: DataFrame, names: DataFrame, column: str = "responses") -> DataFrame:
+    """``doc_idx, reason`` of every document to ask again: ``error`` or ``hallucinated``.
 
-    The names of a tree of checked size travel as one array and every row is
-    judged where it lies, without a shuffle; more names are joined by id.
+    Only ids and names meet: a tree small enough for Spark to broadcast keeps
+    the check map-side, a larger one joins by name.
     """
-    known = _known(names)
-    if rows_within(known, inline):
-        listed = F.coalesce(known.agg(F.collect_list("topic")).scalar(), F.array().cast("array<string>"))
-        named = df.withColumn("__topics", X.assigned_topics(F.col(column))).withColumn("__listed", listed)
-        unlisted = F.size(F.array_except("__topics", "__listed")) > 0
-        reason = F.when(F.size("__topics") == 0, "error").when(unlisted, "hallucinated")
-        return named.withColumn("reason", reason).drop("__topics", "__listed")
     errors = grounding_errors(df, column).select("doc_idx", F.lit("error").alias("reason"))
-    hallucinated = grounding_hallucinated(df, names, column).select(
-        "doc_idx", F.lit("hallucinated").alias("reason")
-    )
-    return df.join(errors.unionByName(hallucinated), "doc_idx", "left")
+    unlisted = grounding_hallucinated(df, names, column).select("doc_idx", F.lit("hallucinated").alias("reason"))
+    return errors.unionByName(unlisted)
 
 
-def reprompt_set(df: DataFrame, names: DataFrame, column: str = "responses", inline: int = INLINE_NAMES) -> DataFrame:
-    """``doc_idx, reason`` of every document to ask again."""
-    marked = with_reason(df.select("doc_idx", column), names, column, inline)
-    return marked.filter(F.col("reason").isNotNull()).select("doc_idx", "reason")
+def with_reason(df: DataFrame, names: DataFrame, column: str = "responses") -> DataFrame:
+    """Adds ``reason``: ``error``, ``hallucinated`` or null for a grounded row."""
+    return df.join(reprompt_set(df, names, column), "doc_idx", "left")
 
 
 def grounding_report(df: DataFrame, names: DataFrame, column: str = "responses") -> DataFrame:

@@ -13,10 +13,11 @@ from corpusgrove.functions.text import first_topic
 
 
 def with_first_topic(df: DataFrame, column: str, out: str = "pred", unmatched: str = "error") -> DataFrame:
-    """Adds the first assigned topic.  ``unmatched``: ``error`` or ``drop``."""
+    """Adds the first assigned topic.  A response that names none raises
+    (``error``) or counts as the topic ``None`` (``own``)."""
     found = df.withColumn(out, first_topic(F.col(column)))
-    if unmatched == "drop":
-        return found.filter(F.col(out).isNotNull())
+    if unmatched == "own":
+        return found.withColumn(out, F.coalesce(F.col(out), F.lit("None")))
     missing = F.raise_error(F.lit("a response names no topic")).cast("string")
     return found.withColumn(out, F.coalesce(F.col(out), missing))
 

@@ -7,12 +7,17 @@ documents.  What a chunk does depends on earlier ones only through the tokens
 already in the open batch, hence:
 
 1. each chunk, in parallel, tabulates entry fill -> exit fill and closed batches;
-2. the tables, a few rows per chunk, are chained per topic;
+2. tables of ``FAN`` consecutive chunks compose into one, those again, up to one table
+   a topic, and the fills go back down the same levels, so no task holds more than
+   ``FAN`` tables;
 3. each chunk, in parallel, numbers its batches from its now known entry fill.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -23,6 +28,7 @@ from corpusgrove.operators.ordering import dense_index
 from corpusgrove.storage import materialize
 
 CHUNK = 20_000
+FAN = 64
 
 
 def _next_starts(sizes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +67,37 @@ def _summary(sizes: np.ndarray, budget: int) -> list[tuple[int, int, int, int]]:
     return rows
 
 
+Table = list[tuple[int, int, int, int]]
+
+
+def _pass(table: Table, fill: int) -> tuple[int, int]:
+    """Exit fill and closed batches for an entry fill."""
+    row = table[bisect_right(table, fill, key=lambda r: r[0]) - 1]
+    return (fill + row[3] if row[1] < 0 else row[1]), row[2]
+
+
+def _then(first: Table, second: Table) -> Table:
+    """The table of two consecutive stretches."""
+    out: Table = []
+    for k, (lowest, leaves, closed, passed) in enumerate(first):
+        if leaves >= 0:
+            fill, more = _pass(second, leaves)
+            rows = [(lowest, fill, closed + more, 0)]
+        else:
+            # the open batch comes through: cut where the second table changes
+            end = first[k + 1][0] if k + 1 < len(first) else None
+            at = bisect_right(second, lowest + passed, key=lambda r: r[0]) - 1
+            rows = [
+                (max(lowest, low - passed), fill, more, passed + grown if fill < 0 else 0)
+                for low, fill, more, grown in second[at:]
+                if end is None or low - passed < end
+            ]
+        for row in rows:
+            if not out or out[-1][1:] != row[1:]:
+                out.append(row)
+    return out
+
+
 def _number(sizes: np.ndarray, budget: int, fill: int, batch: int) -> np.ndarray:
     """Batch of every document, entering with ``fill`` tokens in ``batch``."""
     total, nxt = _next_starts(sizes, budget)
@@ -88,14 +125,26 @@ def number_batches(sized: DataFrame, keys: list[str], budget: int, chunk: int =
             table[name] = [value] * len(table)
         return table
 
-    def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        fill, batch, out = 0, 0, []
-        for chunk_id, table in rows.sort_values(["chunk", "lowest"]).groupby("chunk", sort=True):
-            out.append((*key, chunk_id, fill, batch))
-            row = table.iloc[int(np.searchsorted(table["lowest"].to_numpy(), fill, side="right")) - 1]
-            fill = fill + int(row["passed"]) if row["exit"] < 0 else int(row["exit"])
-            batch += int(row["closed"])
-        return pd.DataFrame(out, columns=[*keys, "chunk", "fill", "batch"])
+    def tables_of(rows: pd.DataFrame, by: str) -> dict[int, Table]:
+        ordered = rows.sort_values([by, "lowest"])
+        columns = ["lowest", "exit", "closed", "passed"]
+        return {unit: [tuple(map(int, r)) for r in part[columns].to_numpy()] for unit, part in ordered.groupby(by, sort=True)}
+
+    def compose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        whole = reduce(_then, tables_of(rows, "unit").values())
+        table = pd.DataFrame(whole, columns=["lowest", "exit", "closed", "passed"])
+        for name, value in zip([*keys, "unit"], key):
+            table[name] = [value] * len(table)
+        return table
+
+    def descend(key: tuple, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        fill, batch = (int(entry["fill"].iloc[0]), int(entry["batch"].iloc[0])) if len(entry) else (0, 0)
+        out = []
+        for unit, table in tables_of(rows, "unit").items():
+            out.append((*key[:-1], unit, fill, batch))
+            fill, closed = _pass(table, fill)
+            batch += closed
+        return pd.DataFrame(out, columns=[*keys, "unit", "fill", "batch"])
 
     def number(key: tuple, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("n")
@@ -103,12 +152,22 @@ def number_batches(sized: DataFrame, keys: list[str], budget: int, chunk: int =
         rows["batch_id"] = _number(rows["n_tokens"].to_numpy(), budget, fill, batch)
         return rows[[*keys, "n", "batch_id"]]
 
-    tables = slim.groupBy(*keys, "chunk").applyInPandas(
-        summarise, f"{key_schema}, chunk bigint, lowest bigint, exit bigint, closed bigint, passed bigint"
-    )
-    entries = tables.groupBy(*keys).applyInPandas(
-        chain, f"{key_schema}, chunk bigint, fill bigint, batch bigint"
-    )
+    table_schema = "lowest bigint, exit bigint, closed bigint, passed bigint"
+    tables = slim.groupBy(*keys, "chunk").applyInPandas(summarise, f"{key_schema}, chunk bigint, {table_schema}")
+    levels = [materialize(tables.withColumnRenamed("chunk", "unit"), "chunk-tables")]
+    last = levels[0].agg(F.max("unit")).first()[0] or 0
+    while last >= FAN:
+        numbered = levels[-1].withColumn("above", F.expr(f"unit div {FAN}"))
+        up = numbered.groupBy(*keys, "above").applyInPandas(compose, f"{key_schema}, unit bigint, {table_schema}")
+        levels.append(materialize(up, "chunk-tables"))
+        last //= FAN
+    entries = sized.sparkSession.createDataFrame([], f"{key_schema}, unit bigint, fill bigint, batch bigint")
+    for level in reversed(levels):
+        grouped = level.withColumn("above", F.expr(f"unit div {FAN}")).groupBy(*keys, "above")
+        above = entries.withColumnRenamed("unit", "above").groupBy(*keys, "above")
+        entries = grouped.cogroup(above).applyInPandas(descend, f"{key_schema}, unit bigint, fill bigint, batch bigint")
+        entries = materialize(entries, "entries")
+    entries = entries.withColumnRenamed("unit", "chunk")
     return (
         slim.groupBy(*keys, "chunk")
         .cogroup(entries.groupBy(*keys, "chunk"))

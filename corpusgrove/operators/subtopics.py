@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from corpusgrove.functions import text as X
 from corpusgrove.operators.responses import parse_subtopic_lines
 from corpusgrove.operators.tree import add_topics, parent_path
-from corpusgrove.schema import LINE_BITS, SUBTOPIC_BASE
+from corpusgrove.schema import SUBTOPIC_BASE, node_ordinal
 from corpusgrove.storage import materialize
 
 
@@ -78,33 +78,47 @@ def _static_lookups(lines: DataFrame, tree: DataFrame, prompt: str) -> DataFrame
 
 
 def _created_lookups(lines: DataFrame, created: DataFrame, prompt: str) -> DataFrame:
-    """Subtopics added before a line that carry the name the line looks up."""
-    nodes = created.select(F.lower("name").alias("key"), "path", F.element_at("path", -1).alias("born"))
+    """The first path among the subtopics added before a line under the name the line looks up.
+
+    Births and lookups of a name meet as rows: each stretch of a name's
+    ordinals carries its running least path, and one row for each stretch
+    carries the least path of the stretches before, so a name that most lines
+    use is no quadratic join and no single task.
+    """
+    rows = lines.filter("lvl = 2").select(
+        F.lower("name").alias("key"), F.col("ordinal").alias("at"), F.lit(None).cast("array<bigint>").alias("path"), prompt, "line_idx"
+    )
+    births = created.select(F.lower("name").alias("key"), F.element_at("path", -1).alias("at"), "path")
+    both = births.unionByName(rows, allowMissingColumns=True).withColumn("stretch", F.shiftright("at", 36))
+    least = both.groupBy("key", "stretch").agg(F.min("path").alias("p"))
+    before = W.partitionBy("key").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+    carried = least.select("key", "stretch", F.min("p").over(before).alias("carried"))
+    inside = W.partitionBy("key", "stretch").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
     return (
-        lines.filter("lvl = 2")
-        .withColumn("key", F.lower("name"))
-        .join(nodes, "key")
-        .filter(F.col("born") < F.col("ordinal"))
-        .groupBy(prompt, "line_idx")
-        .agg(F.min("path").alias("found"))
+        both.withColumn("own", F.min("path").over(inside))
+        .filter(F.col(prompt).isNotNull())
+        .join(carried, ["key", "stretch"])
+        .select(prompt, "line_idx", F.least("own", "carried").alias("found"))
+        .filter("found is not null")
     )
 
 
-def fold_subtopics(tree: DataFrame, responses: DataFrame, column: str = "topics", prompt: str = "prompt_idx", max_rounds: int = 50) -> DataFrame:
+def fold_subtopics(tree: DataFrame, responses: DataFrame, column: str = "topics", prompt: str = "prompt_idx") -> DataFrame:
     """The tree after all second-level responses, taken in ``prompt`` order.
 
     Every prompt is folded at once.  A line can only depend on another prompt
     by naming a subtopic added there, so the fold repeats with the subtopics it
     found until they no longer change; a result that reproduces itself is the
-    sequential one, by induction over the lines.
+    sequential one, by induction over the lines.  The number of rounds is the
+    length of the longest chain of subtopics that name one another, and one more.
     """
     lines = parse_subtopic_lines(responses, column, [prompt]).withColumn(
-        "ordinal", F.lit(SUBTOPIC_BASE) + F.shiftleft(F.col(prompt).cast("long"), LINE_BITS) + F.col("line_idx")
+        "ordinal", node_ordinal(SUBTOPIC_BASE, F.col(prompt), F.col("line_idx"))
     )
     lines = materialize(lines, "subtopic-lines")
     static = materialize(_static_lookups(lines, tree, prompt), "subtopic-lookups")
     additions = created = None
-    for _ in range(max_rounds):
+    while True:
         lookups = static
         if created is not None:
             dynamic = _created_lookups(lines, created, prompt)

@@ -5,6 +5,8 @@ A node is identified by ``path``.  The implicit root has the empty path.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusgrove.functions import text as X
@@ -31,11 +33,6 @@ def _stretch(head: Column) -> Column:
     return F.when(head >= CREATED_BASE, created).otherwise(F.shiftright(head, 16))
 
 
-def preorder(tree: DataFrame) -> DataFrame:
-    """Depth-first order of the nodes (a distributed range sort)."""
-    return tree.orderBy("path")
-
-
 def topic_labels(tree: DataFrame) -> DataFrame:
     """The four renderings of every node."""
     return tree.select(
@@ -83,19 +80,19 @@ def list_text(tree: DataFrame, desc: bool, count: bool = False, strip_desc: bool
     return F.coalesce(tree.agg(joined).scalar(), F.lit(""))
 
 
-def resolve_parents(lines: DataFrame, max_levels: int = 1000) -> DataFrame:
+def resolve_parents(lines: DataFrame) -> DataFrame:
     """Nest parsed topic lines (``line_no, lvl, name, count, desc``).
 
     A line goes under the node created last on the level above it, wherever
     that node sits; a level is never reset.  Repeating a sibling's exact name
     adds to its count and creates nothing.  Lines without a parent are dropped.
-    Levels are resolved one after the other over the whole table.
+    Levels are resolved one after the other over the whole table, as many as there are.
     """
     lines = materialize(lines.select("line_no", "lvl", "name", "count", "desc"), "tree-lines")
     root = F.array().cast("array<bigint>")
     level = lines.filter("lvl = 1").withColumn("above", root)
     tree = None
-    for lvl in range(1, max_levels + 1):
+    for lvl in itertools.count(1):
         created = (
             level.groupBy("above", "name")
             .agg(F.min("line_no").alias("at"), F.sum("count").alias("count"), F.min_by("desc", "line_no").alias("desc"))

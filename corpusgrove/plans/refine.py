@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusgrove.functions import grammar as G, text as X
 from corpusgrove.functions.vectors import embed
 from corpusgrove.operators import prompts as P, similarity as S
-from corpusgrove.operators.backend import Backend
+from corpusgrove.operators.backend import GENERATION, Backend, Settings
 from corpusgrove.operators.merge import apply_merges, merge_mapping, rewrite_documents
 from corpusgrove.operators.responses import explode_originals, parse_merge_lines
 from corpusgrove.operators.tree import remove_rare_topics, topic_list
@@ -27,7 +27,9 @@ def similar_pairs(tree: DataFrame, threshold: float, encode=None) -> DataFrame:
 def merges_of(answered: DataFrame, first_id: int) -> DataFrame:
     """Merge rows of a response, numbered from ``first_id`` by line."""
     merges = explode_originals(parse_merge_lines(answered, "response", "round"), "round")
-    return merges.withColumn("merge_id", F.lit(first_id) + F.col("line_idx").cast("long")).drop("line_idx", "round")
+    room = F.col("line_idx") < LINE_ROOM
+    number = F.when(room, F.lit(first_id) + F.col("line_idx").cast("long")).otherwise(F.raise_error(F.lit("a merge answer has too many lines")).cast("long"))
+    return merges.withColumn("merge_id", number).drop("line_idx", "round")
 
 
 def refine_topics(
@@ -41,6 +43,7 @@ def refine_topics(
     pairs_per_prompt: int = G.PAIRS_PER_PROMPT,
     share: float = G.RARE_SHARE,
     encode=None,
+    settings: Settings = GENERATION,
 ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Refined tree, mapping (``seq, old, new``) and rewritten documents.
 
@@ -61,12 +64,13 @@ def refine_topics(
             break
         prompted = materialize(S.prompted_pairs(prompted, best), "prompted")
         asked = P.refine_prompt(best, template).withColumn("round", F.lit(number))
-        answered = materialize(backend.answer(asked, "prompt").select("round", "response", "status"), "refine-answer")
+        answered = materialize(backend.answer(asked, "prompt", settings).select("round", "response", "status"), "refine-answer")
         merges = materialize(merges_of(answered.filter("status = 'ok'"), number * LINE_ROOM), "refine-merges")
         stale = not merges.isEmpty()
         if stale:
             tree = materialize(apply_merges(tree, merges), "refine-tree")
-            seq = F.col("merge_id") * LINE_ROOM + F.col("pos")
+            fits = F.col("pos") < LINE_ROOM
+            seq = F.when(fits, F.col("merge_id") * LINE_ROOM + F.col("pos")).otherwise(F.raise_error(F.lit("a merge line has too many originals")).cast("long"))
             named = merges.filter(F.col("old_name").isNotNull()).select(seq.alias("seq"), "old_name", "new_name")
             originals = materialize(originals.unionByName(named), "refine-originals")
         number += 1

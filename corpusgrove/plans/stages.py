@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusgrove.operators import metrics as M
-from corpusgrove.operators.backend import Backend
-from corpusgrove.plans.assign import assign_topics, correct_topics
+from corpusgrove.operators.backend import Backend, usage_of_calls
+from corpusgrove.operators import grounding as R
+from corpusgrove.operators.tree import topic_names
+from corpusgrove.plans.assign import KEPT, assign_topics, correct_topics
 from corpusgrove.plans.generate import generate_topics_level1, generate_topics_level2
 from corpusgrove.plans.refine import refine_topics
 from corpusgrove.sources.documents import read_corpus, write_documents
@@ -18,6 +22,11 @@ def _template(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+def _calls(df: DataFrame, stage: str) -> DataFrame:
+    kept = [F.col(c).cast("long").alias(c) if c in df.columns else F.lit(None).cast("long").alias(c) for c in ("prompt_tokens", "response_tokens")]
+    return df.select(F.lit(stage).alias("stage"), *kept)
+
+
 def align(assigned: DataFrame, truth: str = "label", column: str = "responses", unmatched: str = "error") -> DataFrame:
     """Harmonic purity, adjusted Rand index and NMI of an assignment."""
     return M.alignment_report(M.contingency(M.with_first_topic(assigned, column, unmatched=unmatched), truth, "pred"))
@@ -31,7 +40,10 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
     ``refinement`` (prompt, output, topic_output, mapping_file, remove),
     ``generate_subtopics`` and ``generation_2``, ``assignment``, ``correction``;
     ``options`` holds keyword arguments per stage.  ``backends`` has one entry
-    per stage name, or ``default``.
+    per stage name, or ``default``; with a store, a second run pays for nothing
+    it already has.  Outputs of an earlier run are replaced.  Besides the
+    tables of the stages the result holds ``ungrounded`` (what correction left)
+    and ``usage`` (calls, tokens and cost of the document stages).
     """
     options = config.get("options", {})
 
@@ -44,7 +56,9 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
     tree, documents = generate_topics_level1(
         corpus, backend("generation"), _template(spark, section["prompt"]), seeds, **options.get("generation", {})
     )
-    documents = materialize(documents.select(*corpus.columns, "responses"), "stage-documents")
+    documents = materialize(documents.select(*corpus.columns, "responses", *[c for c in KEPT if c in documents.columns]), "stage-documents")
+    calls = [_calls(documents, "generation")]
+    documents = documents.drop(*KEPT)
     write_topics(tree, section["topic_output"])
     write_documents(documents, section["output"])
 
@@ -57,7 +71,7 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
             backend("refinement"),
             _template(spark, section["prompt"]),
             documents,
-            read_mapping(spark, section.get("earlier_mapping")),
+            materialize(read_mapping(spark, section.get("earlier_mapping") or section.get("mapping_file")), "earlier-mapping"),
             remove=section.get("remove", True),
             **options.get("refinement", {}),
         )
@@ -74,19 +88,22 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
         )
         write_topics(tree, section["topic_output"])
         write_subtopic_prompts(prompts, section["output"])
+        calls.append(_calls(prompts, "generation_2"))
 
     section = config["assignment"]
     assigned = assign_topics(
         corpus, tree, backend("assignment"), _template(spark, section["prompt"]), **options.get("assignment", {})
     )
-    write_documents(assigned.drop("status", "prompt_hash"), section["output"])
+    write_documents(assigned.drop(*KEPT), section["output"])
 
     section = config["correction"]
     corrected = correct_topics(
         assigned, tree, backend("correction"), _template(spark, section["prompt"]), **options.get("correction", {})
     )
     corrected = materialize(corrected, "stage-corrected")
-    write_documents(corrected.drop("status", "prompt_hash"), section["output"])
+    changed = corrected.join(assigned.select("doc_idx", F.col("prompt_hash").alias("before")), "doc_idx").where("prompt_hash != before")
+    calls += [_calls(assigned, "assignment"), _calls(changed, "correction")]
+    write_documents(corrected.drop(*KEPT), section["output"])
     return {
         "topics": tree,
         "documents": documents,
@@ -94,4 +111,6 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
         "subtopic_prompts": prompts,
         "assigned": assigned,
         "corrected": corrected,
+        "ungrounded": R.reprompt_set(corrected, topic_names(tree)),
+        "usage": usage_of_calls(reduce(DataFrame.unionByName, calls)),
     }

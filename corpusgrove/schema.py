@@ -1,6 +1,6 @@
 """Explicit schemas of the tables that cross a stage boundary."""
 
-from pyspark.sql import types as T
+from pyspark.sql import Column, functions as F, types as T
 
 # A corpus line: ids and labels stay strings even when they look numeric.
 CORPUS = T.StructType(
@@ -44,3 +44,11 @@ MAPPING = T.StructType(
 CREATED_BASE = 1 << 61
 LINE_BITS = 20
 SUBTOPIC_BASE = 3 << 60
+
+
+def node_ordinal(base: int, doc: Column, line: Column) -> Column:
+    """Order-preserving number of a response line: document, then line; raises beyond its ranges."""
+    doc = doc.cast("long")
+    fits = (doc >= 0) & (doc < 1 << (60 - LINE_BITS)) & (line >= 0) & (line < 1 << LINE_BITS)
+    number = F.lit(base) + F.shiftleft(doc, LINE_BITS) + line
+    return F.when(fits, number).otherwise(F.raise_error(F.lit("a line or document number is out of range")).cast("long"))

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from corpusgrove.schema import CORPUS, STAGE_COLUMNS
-from corpusgrove.storage import broadcast_within, materialize, spread
+from corpusgrove.storage import broadcast_within, materialize
+
+# rows of the broadcast table of input blocks, one for each 128 MB or so of input
+BLOCK_LIMIT = 2_000_000
 
-MAX_SPLITS = 2_000_000
 
 
 def file_order(raw: DataFrame, out: str) -> DataFrame:
     """Dense row number in file order, without sorting or shuffling the rows.
 
-    Rows of one input split are numbered by the task that reads it; a first,
-    slim pass counts rows per split and gives every split its first number.
-    That table has one row per split and is broadcast, so texts stay put.
+    One pass writes the rows to shared storage, each with the file and block it
+    came from and its number in the task that read it.  All later steps read
+    that table, so how another job would split the files does not matter.
+    Numbers of earlier blocks are added up from one row for each block.
     """
     tagged = raw.select(
         "*",
@@ -23,16 +26,20 @@ def file_order(raw: DataFrame, out: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("__start"),
         F.monotonically_increasing_id().alias("__id"),
     )
+    stored = materialize(tagged, "numbered")
     split = ["__file", "__start"]
-    sizes = tagged.groupBy(*split).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    sizes = stored.groupBy(*split).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = W.orderBy(*split).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(*split, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    offsets = broadcast_within(materialize(offsets, "splits"), MAX_SPLITS)
-    return (
-        tagged.join(offsets, split)
-        .withColumn(out, F.col("__offset") + F.col("__id") - F.col("__first"))
+    offsets = materialize(offsets, "blocks")
+    numbered = (
+        stored.join(broadcast_within(offsets, BLOCK_LIMIT), split, "left")
+        .withColumn(out, F.coalesce(F.col("__offset") + F.col("__id") - F.col("__first"), F.raise_error(F.lit("a row lies in no known block")).cast("long")))
         .drop(*split, "__id", "__first", "__offset")
     )
+    if offsets.agg(F.count(F.lit(1))).first()[0] and stored.count() != sizes.agg(F.sum("__n")).first()[0]:
+        raise RuntimeError("rows were lost while numbering a file")
+    return numbered
 
 
 def read_corpus(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -60,24 +67,24 @@ def read_documents(spark: SparkSession, path: str, id_column: str, text_column:
     )
     if "label" not in keep:
         named = named.withColumn("label", label)
-    return spread(named, "doc_idx")
+    return named
 
 
 def write_documents(df: DataFrame, path: str) -> None:
-    """Corpus and result columns as JSON lines, one part file per task."""
-    df.drop("doc_idx").write.json(path)
+    """Corpus and result columns as JSON lines, one part file per task; a rerun replaces them."""
+    df.drop("doc_idx").write.mode("overwrite").json(path)
 
 
 def sample_corpus(df: DataFrame, n: int, seed: int = 0, id_column: str = "doc_idx") -> DataFrame:
     """Exactly ``n`` documents without replacement, the same ones for a seed.
 
-    Documents rank by a seeded hash.  A histogram of its high bits finds the
-    bucket where the n-th document lies: lower buckets are kept whole by a
-    narrow filter and only that one bucket, a 65,536th of the corpus, is sorted.
+    Documents rank by the MD5 sum of id and seed, ties by id.  A histogram of
+    its first four digits finds the bucket where the n-th document lies: lower
+    buckets are kept whole by a narrow filter and only that one bucket, a
+    65,536th of the corpus, is sorted.
     """
-    ranked = df.withColumn("__h", F.xxhash64(F.col(id_column), F.lit(seed))).withColumn(
-        "__b", F.shiftright("__h", 48)
-    )
+    digest = F.md5(F.concat_ws("-", F.col(id_column).cast("string"), F.lit(str(seed))))
+    ranked = df.withColumn("__h", digest).withColumn("__b", F.substring("__h", 1, 4))
     sizes = ranked.groupBy("__b").agg(F.count(F.lit(1)).alias("size"))
     so_far = F.sum("size").over(W.orderBy("__b"))
     cuts = sizes.select("__b", "size", so_far.alias("upto"))

@@ -29,8 +29,26 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+_created: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/corpusgrove/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/corpusgrove/{label}-{uuid.uuid4().hex}"
+    _created.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this program has written; returns how many.
+
+    For the end of a run, when its outputs are written: tables that plans
+    returned may still read from there.
+    """
+    paths, _created[:] = _created[:], []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    targets = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return sum(bool(t.getFileSystem(conf).delete(t, True)) for t in targets)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -55,13 +73,7 @@ def broadcast_within(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if rows_within(df, limit) else df
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on an input too small to have one split per core.
-
-    A large input already has more splits than cores and is left as it is, so
-    this never shuffles a big table.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

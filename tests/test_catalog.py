@@ -48,7 +48,7 @@ def test_query_equals_its_sql(spark, duck, name):
     assert table(df.columns, df.collect()) == table(columns, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", ["sample_corpus", "refine_topics"])
+@pytest.mark.parametrize("name", ["all_stages", "refine_topics"])
 def test_query_without_sql_returns_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 

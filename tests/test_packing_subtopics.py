@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +8,9 @@ from corpusgrove.operators import packing, subtopics as Sub
 from tests import naive
 
 
-def test_batches_match_next_fit_across_chunks(spark):
+@pytest.mark.parametrize("fan", [2, 64])
+def test_batches_match_next_fit_across_chunks(spark, monkeypatch, fan):
+    monkeypatch.setattr(packing, "FAN", fan)
     rng = random.Random(11)
     rows, want = [], {}
     for case in range(60):
@@ -20,7 +23,7 @@ def test_batches_match_next_fit_across_chunks(spark):
         rows += [(f"t{case}", i, s) for i, s in enumerate(sizes)]
         want[f"t{case}"] = naive.pack(sizes, budget)
     df = spark.createDataFrame(rows, "topic string, n bigint, n_tokens bigint").repartition(3)
-    for chunk in (1, 3, 7, 1000):
+    for chunk in (1, 3, 7, 1000) if fan == 64 else (1,):
         got = {}
         for r in packing.number_batches(df, ["topic"], 100, chunk).collect():
             got.setdefault(r.topic, {})[r.n] = r.batch_id
@@ -90,3 +93,28 @@ def test_document_topics(spark):
     assert counted == {"[1] Trade": 1, "[1] Law": 1}
     refined = docs.withColumn("refined_responses", F.lit("[1] Law: z"))
     assert all(r.topics == ["[1] Law"] for r in Sub.doc_topics(refined, labels).collect())
+
+
+def test_chain_of_subtopics_longer_than_any_cap(spark):
+    root = naive.nest([(1, "S0", 5, "x")])
+    answers = [f"[{1 if k == 0 else 2}] S{k}\n    [2] S{k + 1} (Document: 1): part {k}." for k in range(9)]
+    responses = spark.createDataFrame(list(enumerate(answers)), "prompt_idx long, topics string")
+    grown = Sub.fold_subtopics(naive.tree_rows(spark, root), responses)
+    assert naive.dump_table(grown) == naive.dump(naive.fold_subtopics(root, answers))
+    assert grown.count() == 10
+
+
+def test_tables_of_two_stretches_compose():
+    rng = random.Random(5)
+    for _ in range(300):
+        budget = rng.randint(10, 40)
+        sizes = [np.array([rng.randint(1, 15) for _ in range(rng.randint(1, 4))]) for _ in range(3)]
+        tables = [packing._summary(s, budget) for s in sizes]
+        whole = packing._then(packing._then(tables[0], tables[1]), tables[2])
+        right = packing._then(tables[0], packing._then(tables[1], tables[2]))
+        for fill in range(budget):
+            step, closed = fill, 0
+            for t in tables:
+                step, more = packing._pass(t, step)
+                closed += more
+            assert packing._pass(whole, fill) == packing._pass(right, fill) == (step, closed)

@@ -11,8 +11,8 @@ from corpusgrove.plans.assign import assign_topics, correct_topics
 from corpusgrove.plans.generate import generate_topics_level1, generate_topics_level2
 from corpusgrove.plans.refine import refine_topics
 from corpusgrove.plans.stages import align, run_stages
-from corpusgrove.sources import documents as SD
-from corpusgrove.storage import materialize, scratch_path
+from corpusgrove.sources import documents as SD, topics as ST
+from corpusgrove.storage import materialize, path_exists, release_scratch, scratch_path
 from corpusgrove.streaming import assign_stream
 from tests import naive
 
@@ -47,8 +47,57 @@ def test_batches_reach_the_completer_whole(spark):
     df = spark.range(10).selectExpr("id", "cast(id as string) p").coalesce(1)
     rows = B.complete(df, "p", lambda ps: [f"{p}/{len(ps)}" for p in ps], batch_size=4).orderBy("id").collect()
     assert [r.response for r in rows] == [f"{i}/{4 if i < 8 else 2}" for i in range(10)]
-    short = B.complete(df, "p", lambda ps: ps[:1], batch_size=4, wait=0.0).collect()
-    assert sum(r.status == "error" for r in short) == 10
+    short = B.complete(df, "p", lambda ps: ps[: len(ps) - 1], batch_size=4, wait=0.0).collect()
+    assert {(r.status, r.error) for r in short} == {("error", "ValueError: a completer must answer every prompt of its batch")}
+
+
+def test_one_bad_prompt_does_not_fail_its_batch(spark):
+    def picky(prompts):
+        if "3" in prompts:
+            raise RuntimeError("no threes")
+        return prompts
+
+    df = spark.range(8).selectExpr("id", "cast(id as string) p").coalesce(1)
+    rows = B.complete(df, "p", picky, batch_size=4, wait=0.0).orderBy("id").collect()
+    assert [r.status for r in rows] == ["ok"] * 3 + ["error"] + ["ok"] * 4
+    assert [r.attempts for r in rows] == [4] * 4 + [1] * 4
+    assert [r.error for r in B.failed_calls(B.complete(df, "p", picky, batch_size=4, wait=0.0)).collect()] == ["RuntimeError: no threes"]
+
+
+def test_settings_reach_completers_that_take_them(spark):
+    df = spark.createDataFrame([(0, "p")], "i int, p string")
+    say = lambda p, settings: f"{settings.temperature} {settings.top_p} {settings.max_tokens} {settings.system}"
+    assert B.Backend(B.one_by_one(say)).answer(df, "p", B.CORRECTION).first().response == "0.6 0.9 1000 You are a helpful assistant."
+    own = B.Backend(B.one_by_one(say), settings=B.Settings(temperature=0.3, max_tokens=5, system="s"))
+    assert own.answer(df, "p").first().response == "0.3 1.0 5 s"
+
+
+def test_store_answers_a_prompt_once(spark, tmp_path):
+    marker = tmp_path / "calls"
+
+    def answer(prompts):
+        with open(marker, "a") as f:
+            f.write("".join(f"{p}\n" for p in prompts))
+        if prompts == ["bad"] and marker.read_text().count("bad") == 1:
+            raise RuntimeError("first time")
+        return [p.upper() for p in prompts]
+
+    backend = B.Backend(answer, store=str(tmp_path / "store"), tries=1, wait=0.0)
+    df = spark.createDataFrame([(0, "a"), (1, "a"), (2, "bad"), (3, None), (4, "b")], "i int, p string")
+    first = [(r.response, r.status) for r in backend.answer(df, "p").orderBy("i").collect()]
+    assert first == [("A", "ok"), ("A", "ok"), ("Error", "error"), (None, "skipped"), ("B", "ok")]
+    again = [(r.response, r.status) for r in backend.answer(df, "p").orderBy("i").collect()]
+    assert again == [("A", "ok"), ("A", "ok"), ("BAD", "ok"), (None, "skipped"), ("B", "ok")]
+    assert sorted(marker.read_text().split()) == ["a", "b", "bad", "bad"]
+    backend.answer(df, "p", B.CORRECTION).collect()  # other settings, other answers
+    assert marker.read_text().split().count("a") == 2
+
+
+def test_replay_takes_one_of_several_recordings(spark):
+    asked = spark.createDataFrame([(0, "p"), (1, "p")], "i int, prompt string")
+    recorded = spark.createDataFrame([("p", "Error"), ("p", "yes"), ("p", "yes"), ("p", "zes")], "p string, response string")
+    rows = B.replay_responses(asked, "prompt", recorded.select(B.prompt_hash(F.col("p")).alias("prompt_hash"), "response")).collect()
+    assert [(r.response, r.status) for r in rows] == [("yes", "ok")] * 2
 
 
 def test_replay_and_usage(spark):
@@ -80,6 +129,37 @@ def test_corpus_index_follows_file_order(spark, tmp_path):
     assert [(r.doc_idx, r.id, r.label) for r in got] == [(i, r["id"], r["label"]) for i, r in enumerate(rows)]
 
 
+def test_corpus_index_survives_other_splits(spark, tmp_path):
+    rows = [{"id": str(i), "text": "x" * (i % 90), "label": None} for i in range(500)]
+    for k in range(3):
+        part = rows[k * 200 : k * 200 + 200]
+        (tmp_path / f"part-{k}.json").write_text("".join(json.dumps(r) + "\n" for r in part))
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        df = SD.read_corpus(spark, str(tmp_path))
+        for size in ("8000", "4000", "1000000"):
+            for n in names:
+                spark.conf.set(n, size)
+            got = df.orderBy("doc_idx").collect()
+            assert [(r.doc_idx, r.id) for r in got] == [(i, str(i)) for i in range(500)]
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_sinks_replace_what_is_there(spark, tmp_path):
+    docs = spark.createDataFrame([(0, "a", "t", "l")], "doc_idx long, id string, text string, label string")
+    mapping = spark.createDataFrame([(0, "A0", "B0"), (1, 'q"', "x")], "seq long, old string, new string")
+    for path in (str(tmp_path / "m.json"), str(tmp_path / "m")):
+        for table in (mapping.limit(0), mapping):
+            ST.write_mapping(table, path)
+            assert [tuple(r) for r in ST.read_mapping(spark, path).orderBy("seq").collect()] == [tuple(r) for r in table.orderBy("seq").collect()]
+    for _ in range(2):
+        SD.write_documents(docs, str(tmp_path / "d.jsonl"))
+    assert SD.read_corpus(spark, str(tmp_path / "d.jsonl")).count() == 1
+
+
 def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(5000).withColumnRenamed("id", "doc_idx")
     for n in (0, 1, 777, 5000):
@@ -93,6 +173,7 @@ def test_sample_is_exact_and_repeatable(spark):
 
 # ------------------------------------------------------------ grounding and metrics
 
+# Labels and topics of the published sample.
 GOLDEN = [("Public Lands", "Environment"), ("Public Lands", "Environment"), ("Energy", "Environment"), ("Transportation", "Environment"), ("Immigration", "Immigration")]
 
 
@@ -149,8 +230,7 @@ def test_grounding(spark):
     names = spark.createDataFrame([("Law",), ("R&D's",), ("C++",)], "name string")
     got = {r.doc_idx: r.reason for r in R.reprompt_set(df, names).collect()}
     assert got == {1: "hallucinated", 2: "error", 3: "hallucinated", 5: "error", 6: "error", 7: "error"}
-    joined = R.reprompt_set(df, names, inline=0).collect()
-    assert {r.doc_idx: r.reason for r in joined} == got
+    assert {r.doc_idx: r.reason for r in R.with_reason(df, names).collect() if r.reason} == got
     assert tuple(R.grounding_report(df, names).first()) == (4, 2)
     assert {r.topic: r.docs for r in R.ungrounded_topics(df, names).collect()} == {"law": 1, "Ghost": 1}
     assert R.grounding_report(df.filter("doc_idx = 0"), names).first().errors == 0
@@ -312,14 +392,31 @@ def test_all_stages_from_files(spark, tmp_path):
         word = prompt.split("#")[1].split()[0].capitalize()
         return f"[1] {'Ghost' if word == 'Court' else word}: because"
 
+    calls = tmp_path / "calls"
+
+    def paid(fn):
+        def call(prompt):
+            with open(calls, "a") as f:
+                f.write("x")
+            return fn(prompt)
+
+        return one(call, store=str(tmp_path / "answers"))
+
+    config["refinement"]["mapping_file"] = str(tmp_path / "map.json")
     backends = {
-        "generation": one(name_first),
-        "generation_2": one(lambda p: f"{p.split('|')[0]}\n[2] Part of {p.split('|')[0][4:]} (Document: 1): A part."),
-        "assignment": one(pick),
-        "correction": one(lambda p: "[1] Court: repaired"),
-        "default": one(lambda p: "None"),
+        "generation": paid(name_first),
+        "generation_2": paid(lambda p: f"{p.split('|')[0]}\n[2] Part of {p.split('|')[0][4:]} (Document: 1): A part."),
+        "assignment": paid(pick),
+        "correction": paid(lambda p: "[1] Court: repaired"),
+        "default": paid(lambda p: "None"),
     }
+    run_stages(spark, config, backends)
+    first = len(calls.read_text())
     out = run_stages(spark, config, backends)
+    assert len(calls.read_text()) == first  # everything asked before is in the store
+    assert out["ungrounded"].isEmpty()
+    usage = {r.stage: r.calls for r in out["usage"].collect()}
+    assert usage["generation"] == usage["assignment"] == 24 and usage["correction"] == 6
     names = {r.name for r in out["topics"].collect()}
     assert names == {w.capitalize() for w in WORDS[:4]} | {f"Part of {w.capitalize()}" for w in WORDS[:4]}
     scores = align(out["corrected"]).first()
@@ -327,3 +424,9 @@ def test_all_stages_from_files(spark, tmp_path):
     written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "correction.jsonl")).collect()]
     assert len(written) == 24 and {"id", "text", "label", "prompted_docs", "responses"} <= set(written[0])
     assert T.topic_names(out["topics"]).count() == 8
+
+
+def test_scratch_tables_can_be_released(spark):
+    kept = materialize(spark.range(3), "released")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert path_exists(spark, path) and release_scratch(spark) > 0 and not path_exists(spark, path)

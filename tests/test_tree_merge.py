@@ -138,3 +138,10 @@ def test_leaves_and_remove(spark):
     assert [r["count"] for r in T.expandable_topics(tree, F.lit(300), 0.01, 1).collect()] == [5]
     keys = spark.createDataFrame([("B", 2), ("D", 2)], "name string, lvl int")
     assert [r[0] for r in naive.dump_table(T.remove_topic(tree, keys))] == [("A",), ("C",), ("C", "B"), ("D",)]
+
+
+def test_sixty_levels_nest_without_a_cap(spark):
+    lines = [(k, k + 1, f"n{k}", 1, "") for k in range(60)] + [(60, 70, "orphan", 1, "")]
+    df = spark.createDataFrame(lines, "line_no long, lvl int, name string, count long, desc string")
+    tree = T.resolve_parents(df)
+    assert sorted((r.lvl, len(r.path)) for r in tree.collect()) == [(k, k) for k in range(1, 61)]
