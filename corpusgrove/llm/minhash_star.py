@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from corpusgrove.llm.batches import small_batches
 from corpusgrove.llm.components import connected_components
 from corpusgrove.llm.hashing import SPACES, WordHasher, batch_shingle_sets, constants, mix
 from corpusgrove.storage import materialize
@@ -236,12 +237,7 @@ def block_links(queries: list[dict], classes: list[dict], percent: int) -> tuple
     return np.minimum(q_id[i], c_id[j]), np.maximum(q_id[i], c_id[j])
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 50, rows: int = 5) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id and kept.
-
-    component_id is the smallest doc_id reachable over links, kept is true for
-    the document that carries it.
-    """
+def _near_duplicates(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
     signed = materialize(signatures(docs, width, bands, rows), "signatures")
     some = signed.where("print is not null and doc_id is not null")
     classes = some.groupBy("print").agg(F.min("doc_id").alias("rep"))
@@ -266,7 +262,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
         labels = connected_components(links)
         rest = materialize(_unfinished(rest, labels, percent), "members")
     if not rest.isEmpty():
-        found = materialize(_rest_links(rest, sets, percent), "rest")
+        with small_batches(docs.sparkSession, 16):  # a row is two packs
+            found = materialize(_rest_links(rest, sets, percent), "rest")
         if not found.isEmpty():
             labels = connected_components(links.unionByName(found))
 
@@ -278,6 +275,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     )
 
 
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 50, rows: int = 5) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id and kept.
+
+    component_id is the smallest doc_id reachable over links, kept is true for
+    the document that carries it.
+    """
+    with small_batches(docs.sparkSession):  # texts and sets of shingles are large rows
+        return _near_duplicates(docs, width, percent, bands, rows)
+
+
 def first_of_groups(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are, one for each doc_id that is not null."""
     found = materialize(near_duplicates(docs, **options), "groups")
