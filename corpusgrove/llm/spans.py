@@ -44,19 +44,21 @@ def without_spans(docs: DataFrame, removed: DataFrame, sources: bool = False) ->
     )
 
     def cut(batches):
-        for batch in batches:
-            rows = []
-            for text, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = (text or "").encode()
-                merged = merge_spans(np.frombuffer(b"".join(parts or []), np.int64).reshape(-1, 2))
-                kept = kept_bytes(data, merged)
-                rows.append((len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            kinds = [pa.int64()] * 3 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds)), *batch.columns[3:]],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["sources"] if sources else [])],
-            )
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 512):
+                batch = whole.slice(begin, 512)
+                rows = []
+                for text, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    data = (text or "").encode()
+                    merged = merge_spans(np.frombuffer(b"".join(parts or []), np.int64).reshape(-1, 2))
+                    kept = kept_bytes(data, merged)
+                    rows.append((len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
+                columns = list(zip(*rows)) if rows else [[]] * 4
+                kinds = [pa.int64()] * 3 + [pa.string()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds)), *batch.columns[3:]],
+                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["sources"] if sources else [])],
+                )
 
     keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
     joined = keyed.join(spans.hint("shuffle_hash"), ["doc_id", "row_key"], "left")

@@ -314,7 +314,9 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
                     remove(row, runs)
         return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
 
-    return sent.groupBy("bucket").applyInArrow(find, REMOVED)
+    # packs are small for the work they hold: a fixed number of tasks, not one that follows their bytes
+    width = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sent.repartition(width, "bucket").groupBy("bucket").applyInArrow(find, REMOVED)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
