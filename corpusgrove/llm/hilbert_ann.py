@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from corpusgrove.llm.batches import small_batches
 from corpusgrove.storage import materialize
 
 BLOCK = 1024
@@ -304,14 +305,16 @@ def nearest_neighbours(
     smallest = grouped.select("klass", "rep")
     first = vectors.drop("is_query").join(grouped, "klass").where("vec_id = rep").dropDuplicates(["klass"])
     blocks = materialize(curve_blocks(first, curves, dims, bits, seed), "numbered")
-    found = materialize(_merge(_nearest(_window_visits(blocks), k), smallest, k), "window")
+    with small_batches(rows.sparkSession, 32):  # a row holds a block
+        found = materialize(_merge(_nearest(_window_visits(blocks), k), smallest, k), "window")
     asked = first.where("is_query").select(F.col("klass").alias("query"), "dim", "vector")
     if exact:
         worst = found.groupBy("query").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
         worst = worst.select("query", F.when(F.col("n") >= k, F.col("low")).otherwise(-2.0).alias("low"))
         limits = asked.join(worst, "query", "left").withColumn("worst", F.coalesce("low", F.lit(-2.0)))
         more = _nearest(_bound_visits(blocks, limits), k)
-        found = materialize(_merge(found.drop("place").unionByName(more), smallest, k), "checked")
+        with small_batches(rows.sparkSession, 32):
+            found = materialize(_merge(found.drop("place").unionByName(more), smallest, k), "checked")
 
     def own_score(batches):
         for batch in batches:
