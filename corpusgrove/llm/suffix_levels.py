@@ -25,6 +25,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -113,29 +114,33 @@ def distinct_prints(length: int):
     return run
 
 
-def pack_passages(rows: list[tuple[bytes, int, int, list[int]]]) -> tuple[int, bytes]:
-    """Passages (text, doc_id, row_key, places in the document) as one compressed string, and its size before."""
+Passage = tuple[bytes, int, int, int, list[int]]
+
+
+def pack_passages(rows: list[Passage]) -> tuple[int, bytes]:
+    """Passages (text, 32 bits of fingerprint, doc_id, row_key, places in the document) as one compressed string, and its size before."""
     header = np.array([len(rows)], np.int64)
     columns = [
-        np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.uint32), np.array([len(r[3]) for r in rows], np.uint32),
-        np.array([len(r[0]) for r in rows], np.uint32), np.array([p for r in rows for p in r[3]], np.int64),
+        np.array([r[2] for r in rows], np.int64), np.array([r[1] for r in rows], np.uint32), np.array([r[3] for r in rows], np.uint32),
+        np.array([len(r[4]) for r in rows], np.uint32), np.array([len(r[0]) for r in rows], np.uint32),
+        np.array([p for r in rows for p in r[4]], np.int64),
     ]
     blob = b"".join([header.tobytes(), *(c.tobytes() for c in columns), *(r[0] for r in rows)])
     return len(blob), pa.compress(blob, codec="zstd", asbytes=True)
 
 
-def unpack_passages(size: int, pack: bytes) -> list[tuple[bytes, int, int, list[int]]]:
+def unpack_passages(size: int, pack: bytes) -> list[Passage]:
     blob = pa.decompress(pack, decompressed_size=size, codec="zstd", asbytes=True)
     n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
     columns = []
-    for kind, width in ((np.int64, 8), (np.uint32, 4), (np.uint32, 4), (np.uint32, 4)):
+    for kind, width in ((np.int64, 8), (np.uint32, 4), (np.uint32, 4), (np.uint32, 4), (np.uint32, 4)):
         columns.append(np.frombuffer(blob, kind, n, at).tolist())
         at += width * n
-    docs, keys, counts, sizes = columns
+    docs, prints, keys, counts, sizes = columns
     places = np.frombuffer(blob, np.int64, sum(counts), at).tolist()
     at, p, out = at + 8 * len(places), 0, []
-    for doc, key, count, length in zip(docs, keys, counts, sizes):
-        out.append((blob[at : at + length], doc, key, places[p : p + count]))
+    for doc, print_, key, count, length in zip(docs, prints, keys, counts, sizes):
+        out.append((blob[at : at + length], print_, doc, key, places[p : p + count]))
         at, p = at + length, p + count
     return out
 
@@ -151,9 +156,12 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
         size = 0
 
         def rows():
-            every = [(v[3], text, v[0], v[1], v[2]) for text, v in held.items()] + others
-            every.sort(key=lambda r: r[:2])
-            packs = [(bucket, *pack_passages([r[1:] for r in group])) for bucket, group in groupby(every, key=lambda r: r[0])]
+            every = [(v[3], v[4], text, v[0], v[1], v[2]) for text, v in held.items()] + others
+            every.sort(key=lambda r: r[:3])
+            packs = [
+                (bucket, *pack_passages([(text, print_, doc, key, places) for _, print_, text, doc, key, places in group]))
+                for bucket, group in groupby(every, key=lambda r: r[0])
+            ]
             n, m = len(packs), len(gone)
             spans = [np.array(v, np.int64).tobytes() for v in gone.values()]
             yield pa.RecordBatch.from_pydict(
@@ -167,19 +175,19 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
                 }
             )
 
-        def add(doc_id, row_key, place, passage, bucket):
+        def add(doc_id, row_key, place, passage, bucket, print_):
             known = held.get(passage)
             if known is None:
-                held[passage] = [doc_id, row_key, [place], bucket]
+                held[passage] = [doc_id, row_key, [place], bucket, print_]
             elif (known[0], known[1]) == (doc_id, row_key):
                 known[2].append(place)
             elif known[0] == doc_id:
-                others.append((bucket, passage, doc_id, row_key, [place]))
+                others.append((bucket, print_, passage, doc_id, row_key, [place]))
             else:
                 later = [(place, place + len(passage))]
                 if doc_id < known[0]:
                     later = [(p, p + len(passage)) for p in known[2]]
-                    held[passage], doc_id, row_key = [doc_id, row_key, [place], bucket], known[0], known[1]
+                    held[passage], doc_id, row_key = [doc_id, row_key, [place], bucket, print_], known[0], known[1]
                 gone.setdefault((doc_id, row_key), []).extend(later)
 
         for whole in batches:
@@ -194,10 +202,11 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
                     stop = np.append(change[1:], len(prints))
                     text = data.tobytes()
                     buckets = buckets_of(prints[change], n_buckets).tolist()
+                    short = (prints[change] & np.uint64(0xFFFFFFFF)).tolist()
                     for k in np.flatnonzero(hit).tolist():
                         for a in range(int(change[k]), int(stop[k]), PASSAGE_STRINGS):
                             b = min(a + PASSAGE_STRINGS, int(stop[k]))
-                            add(ids[row], keys[row], at + a, text[a : b + length - 1], buckets[k])
+                            add(ids[row], keys[row], at + a, text[a : b + length - 1], buckets[k], short[k])
                             size += b - a + length
                 if size >= SENT_BYTES:
                     yield from rows()
@@ -290,23 +299,25 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
                 spans.append(done)
             else:
                 rows += unpack_passages(size, pack)
-        rows.sort(key=lambda r: r[1])
+        rows.sort(key=lambda r: r[2])
 
-        def remove(row, runs: np.ndarray) -> None:
-            ids.append(row[1])
-            keys.append(row[2])
-            spans.append((np.array(row[3], np.int64)[:, None, None] + runs[None]).tobytes())
+        def remove(row: Passage, runs: np.ndarray) -> None:
+            ids.append(row[2])
+            keys.append(row[3])
+            spans.append((np.array(row[4], np.int64)[:, None, None] + runs[None]).tobytes())
 
-        first, same, entered = {}, {}, []
+        first, same, prints = {}, {}, Counter()
         for row in rows:
             known = first.setdefault(row[0], row)
             if known is row:
-                entered.append(row)
-            elif known[1] < row[1]:
+                prints[row[1]] += 1
+            elif known[2] < row[2]:
                 remove(row, np.array([[0, len(row[0])]]))
             else:  # another row with the same doc_id, or from another task
                 same.setdefault(row[0], []).append(row)
-        documents = np.array([r[1] for r in entered], np.int64)
+        # strings of different passages can only be equal if their fingerprints are
+        entered = [row for row in first.values() if prints[row[1]] > 1]
+        documents = np.array([r[2] for r in entered], np.int64)
         for k, flags in repeated_strings([r[0] for r in entered], documents, length):
             if flags.any():
                 runs = _runs(flags, length)
