@@ -15,7 +15,7 @@ document with a smaller doc_id.  Strings are found in three steps.
     level itself; levels of equal size merge, so there are few of them.
 
 A passage that very many documents share travels once for each task, not once
-for each document.
+for each document, and whole copies of a document send none.
 
 Defined results: null text is empty; a null doc_id is neither smaller nor larger
 than others, such a document stays whole and removes nothing; rows that repeat a
@@ -33,16 +33,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from corpusgrove.llm.batches import small_batches
 from corpusgrove.llm.hashing import GOLDEN, constants, mix, pieces, text_bytes
 from corpusgrove.llm.shared_prints import bucket_count, buckets_of, is_shared, shared_prints
 from corpusgrove.llm.spans import row_key, without_spans
+from corpusgrove.storage import materialize
 
 LENGTH = 50
 GRAM = 20
 SEGMENT = 1 << 20
 PASSAGE_STRINGS = 64
 BATCH_STRINGS = 1 << 16
-SENT_BYTES = 8 << 20
+SENT_BYTES = 16 << 20
 PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
 REMOVED = "doc_id long, row_key long, spans binary"
 
@@ -129,20 +131,19 @@ def pack_passages(rows: list[Passage]) -> tuple[int, bytes]:
     return len(blob), pa.compress(blob, codec="zstd", asbytes=True)
 
 
-def unpack_passages(size: int, pack: bytes) -> list[Passage]:
+def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The passages of ``pack_passages`` as columns."""
     blob = pa.decompress(pack, decompressed_size=size, codec="zstd", asbytes=True)
     n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
     columns = []
     for kind, width in ((np.int64, 8), (np.uint32, 4), (np.uint32, 4), (np.uint32, 4), (np.uint32, 4)):
-        columns.append(np.frombuffer(blob, kind, n, at).tolist())
+        columns.append(np.frombuffer(blob, kind, n, at))
         at += width * n
     docs, prints, keys, counts, sizes = columns
-    places = np.frombuffer(blob, np.int64, sum(counts), at).tolist()
-    at, p, out = at + 8 * len(places), 0, []
-    for doc, print_, key, count, length in zip(docs, prints, keys, counts, sizes):
-        out.append((blob[at : at + length], print_, doc, key, places[p : p + count]))
-        at, p = at + length, p + count
-    return out
+    places = np.frombuffer(blob, np.int64, int(counts.sum()), at)
+    ends = at + 8 * len(places) + np.cumsum(sizes, dtype=np.int64)
+    texts = [blob[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist())]
+    return texts, prints, docs, keys, np.split(places, np.cumsum(counts)[:-1])
 
 
 def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) -> DataFrame:
@@ -166,7 +167,7 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
             spans = [np.array(v, np.int64).tobytes() for v in gone.values()]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "bucket": pa.array([p[0] for p in packs] + [(k[0] + k[1]) % n_buckets for k in gone], pa.int32()),
+                    "bucket": pa.array([p[0] for p in packs] + [(k[0] + k[1]) % (n_buckets // 4) for k in gone], pa.int32()),
                     "size": pa.array([p[1] for p in packs] + [None] * m, pa.int64()),
                     "pack": pa.array([p[2] for p in packs] + [None] * m, pa.binary()),
                     "doc_id": pa.array([None] * n + [k[0] for k in gone], pa.int64()),
@@ -201,7 +202,7 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
                         continue
                     stop = np.append(change[1:], len(prints))
                     text = data.tobytes()
-                    buckets = buckets_of(prints[change], n_buckets).tolist()
+                    buckets = (buckets_of(prints[change], n_buckets) // np.uint64(4)).tolist()
                     short = (prints[change] & np.uint64(0xFFFFFFFF)).tolist()
                     for k in np.flatnonzero(hit).tolist():
                         for a in range(int(change[k]), int(stop[k]), PASSAGE_STRINGS):
@@ -291,37 +292,41 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
     """Spans to remove, from passages that meet by fingerprint."""
 
     def find(table: pa.Table) -> pa.Table:
-        ids, keys, spans, rows = [], [], [], []
+        ids, keys, spans = [], [], []
+        texts, places, columns = [], [], [[np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]]
         for _, size, pack, doc_id, key, done in zip(*(c.to_pylist() for c in table.columns)):
             if pack is None:
                 ids.append(doc_id)
                 keys.append(key)
                 spans.append(done)
-            else:
-                rows += unpack_passages(size, pack)
-        rows.sort(key=lambda r: r[2])
-
-        def remove(row: Passage, runs: np.ndarray) -> None:
-            ids.append(row[2])
-            keys.append(row[3])
-            spans.append((np.array(row[4], np.int64)[:, None, None] + runs[None]).tobytes())
-
-        first, same, prints = {}, {}, Counter()
-        for row in rows:
-            known = first.setdefault(row[0], row)
-            if known is row:
-                prints[row[1]] += 1
-            elif known[2] < row[2]:
-                remove(row, np.array([[0, len(row[0])]]))
-            else:  # another row with the same doc_id, or from another task
-                same.setdefault(row[0], []).append(row)
+                continue
+            more, *arrays, at = unpack_passages(size, pack)
+            texts += more
+            places += at
+            for column, array in zip(columns, arrays):
+                column.append(array)
+        prints, doc, key_of = (np.concatenate(c) for c in columns)
+
+        def remove(row: int, runs: np.ndarray) -> None:
+            ids.append(int(doc[row]))
+            keys.append(int(key_of[row]))
+            spans.append((places[row][:, None, None] + runs[None]).tobytes())
+
+        first, same, different = {}, {}, Counter()
+        for row in np.argsort(doc, kind="stable").tolist():
+            known = first.setdefault(texts[row], row)
+            if known == row:
+                different[int(prints[row])] += 1
+            elif doc[known] < doc[row]:
+                remove(row, np.array([[0, len(texts[row])]]))
+            else:  # another row with the same doc_id
+                same.setdefault(known, []).append(row)
         # strings of different passages can only be equal if their fingerprints are
-        entered = [row for row in first.values() if prints[row[1]] > 1]
-        documents = np.array([r[2] for r in entered], np.int64)
-        for k, flags in repeated_strings([r[0] for r in entered], documents, length):
+        entered = [row for row in first.values() if different[int(prints[row])] > 1]
+        for k, flags in repeated_strings([texts[r] for r in entered], doc[entered], length):
             if flags.any():
                 runs = _runs(flags, length)
-                for row in (entered[k], *same.get(entered[k][0], ())):
+                for row in (entered[k], *same.get(entered[k], ())):
                     remove(row, runs)
         return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
 
@@ -330,14 +335,36 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
     return sent.repartition(width, "bucket").groupBy("bucket").applyInArrow(find, REMOVED)
 
 
+def exact_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key and bytes of the documents whose whole text a smaller doc_id has.
+
+    What such a document holds, its first copy holds as well, so it needs no
+    passages: all of it goes that a string of the least length covers.
+    """
+    texts = docs.where("doc_id is not null").select("doc_id", row_key().alias("row_key"), F.md5("text").alias("text_md5"), F.octet_length("text").alias("n"))
+    first = texts.groupBy("text_md5").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return texts.join(first, "text_md5").where("doc_id > first").select("doc_id", "row_key", "n")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, row_key (hash of the text) and spans (pairs of 64-bit numbers as bytes) that go."""
     n_buckets = bucket_count(docs)
+    copies = materialize(exact_copies(docs), "copies")
     shared = shared_prints(docs, distinct_prints(length), n_buckets)
-    # rows that repeat a doc_id have one list of prints each
-    shared = shared.groupBy("doc_id").agg(F.array_sort(F.collect_list("shared")).alias("lists"))
-    merged = shared.mapInArrow(_merge_lists, "doc_id long, shared binary")
-    return removed_spans(passages(docs, merged, length, n_buckets), length)
+    # a doc_id stays in if one of its rows is no copy; rows that repeat a doc_id have one list of prints each
+    rows = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    whole = copies.groupBy("doc_id").agg(F.count(F.lit(1)).alias("gone")).join(rows, "doc_id").where("gone = rows").select("doc_id")
+    lists = shared.join(whole, "doc_id", "left_anti").groupBy("doc_id").agg(F.array_sort(F.collect_list("shared")).alias("lists"))
+    merged = lists.mapInArrow(_merge_lists, "doc_id long, shared binary")
+    with small_batches(docs.sparkSession, 512):
+        found = materialize(removed_spans(passages(docs, merged, length, n_buckets), length), "spans")
+    return found.unionByName(copies.where(f"n >= {length}").mapInArrow(_whole_span, REMOVED))
+
+
+def _whole_span(batches):
+    for batch in batches:
+        spans = [np.array([0, n], np.int64).tobytes() for n in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
 
 
 def _merge_lists(batches):
