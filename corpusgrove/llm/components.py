@@ -26,3 +26,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = moved.select("id", "label")
         if moved.where("old != label").isEmpty():
             return labels.withColumnRenamed("label", "component")
+
+
+def merge_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (id, component) after more ``edges`` (a, b); only the components they join are walked through again."""
+    a = labels.select(F.col("id").alias("a"), F.col("component").alias("left"))
+    b = labels.select(F.col("id").alias("b"), F.col("component").alias("right"))
+    ends = edges.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("left", "a").alias("a"), F.coalesce("right", "b").alias("b"))
+    joined = connected_components(ends)
+    moved = joined.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    old = labels.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    new = joined.join(labels.select("id"), "id", "left_anti")
+    return materialize(old.unionByName(new), "components")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusgrove.llm.batches import small_batches
-from corpusgrove.llm.components import connected_components
+from corpusgrove.llm.components import connected_components, merge_components
 from corpusgrove.llm.hashing import SPACES, WordHasher, batch_shingle_sets, constants, mix
 from corpusgrove.storage import materialize
 
@@ -176,11 +176,6 @@ def _star(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return pairs, rest
 
 
-def _links(pairs: DataFrame, sets: DataFrame, before: DataFrame | None, percent: int) -> DataFrame:
-    found = confirmed(pairs, sets, percent)
-    return materialize(found if before is None else before.unionByName(found), "links")
-
-
 BLOCK_SHINGLES = 1 << 15
 
 
@@ -191,10 +186,12 @@ def _rest_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     packs of about ``BLOCK_SHINGLES`` shingles; a pack of queries meets every
     pack of its neighbourhood.
     """
-    first = members.groupBy("bucket").agg(F.min("doc_id").alias("a"))
-    hoods = connected_components(members.join(first, "bucket").select("a", F.col("doc_id").alias("b")))
+    # components are the nodes of this graph, and a bucket links all of its own to the least of them
+    parts = members.select("bucket", "component").distinct()
+    first = parts.groupBy("bucket").agg(F.min("component").alias("a"))
+    hoods = connected_components(parts.join(first, "bucket").select("a", F.col("component").alias("b")).distinct())
     nodes = members.select("doc_id", "n", "common", "component").distinct()
-    nodes = materialize(nodes.join(hoods.select(F.col("id").alias("doc_id"), F.col("component").alias("hood")), "doc_id"), "nodes")
+    nodes = materialize(nodes.join(hoods.select(F.col("id").alias("component"), F.col("component").alias("hood")), "component"), "nodes")
     sizes = nodes.groupBy("hood").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("packs"))
     counts = nodes.groupBy("hood", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("hood").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
@@ -250,22 +247,20 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int, bands: int, rows
     sets = materialize(shingle_sets(docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), width), "sets")
 
     pairs, rest = _star(members, percent)
-    links = _links(pairs, sets, None, percent)
-    labels = connected_components(links)
+    labels = connected_components(materialize(confirmed(pairs, sets, percent), "links"))
     rest = materialize(_unfinished(rest, labels, percent), "members")
     open_sets = sets.join(rest.select("doc_id").distinct(), "doc_id", "left_semi")
     rest = rest.drop("common").join(common_shingles(open_sets), "doc_id")
     rest = materialize(_unfinished(rest, labels, percent), "members")
     if not rest.isEmpty():
         pairs, rest = _star(rest, percent)
-        links = _links(pairs, sets, links, percent)
-        labels = connected_components(links)
+        labels = merge_components(labels, materialize(confirmed(pairs, sets, percent), "links"))
         rest = materialize(_unfinished(rest, labels, percent), "members")
     if not rest.isEmpty():
         with small_batches(docs.sparkSession, 16):  # a row is two packs
             found = materialize(_rest_links(rest, sets, percent), "rest")
         if not found.isEmpty():
-            labels = connected_components(links.unionByName(found))
+            labels = merge_components(labels, found)
 
     out = signed.select("doc_id", "n_shingles", "print").join(classes, "print", "left")
     out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")

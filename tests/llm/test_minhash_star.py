@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from corpusgrove.llm import minhash_star
-from corpusgrove.llm.components import connected_components
+from corpusgrove.llm.components import connected_components, merge_components
 
 from .helpers import corpus, documents, prose, shingles
 
@@ -110,3 +110,12 @@ def test_connected_components_of_chains_and_stars(spark):
     labels = connected_components(spark.createDataFrame(edges, "a long, b long"))
     got = {r["id"]: r["component"] for r in labels.collect()}
     assert got == {**{k: 0 for k in range(71)}, **{k: 200 for k in range(200, 230)}}
+
+
+def test_merged_components_equal_those_of_all_edges(spark):
+    rng = random.Random(12)
+    edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    want = {tuple(r) for r in connected_components(frame(edges)).collect()}
+    grown = merge_components(connected_components(frame(edges[:20])), frame(edges[20:]))
+    assert {tuple(r) for r in grown.collect()} == want
