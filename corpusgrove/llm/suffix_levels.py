@@ -44,7 +44,7 @@ GRAM = 20
 SEGMENT = 1 << 20
 PASSAGE_STRINGS = 64
 BATCH_STRINGS = 1 << 16
-SENT_BYTES = 16 << 20
+SENT_BYTES = 5 << 20
 PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
 REMOVED = "doc_id long, row_key long, spans binary"
 
