@@ -25,7 +25,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -45,6 +45,7 @@ SEGMENT = 1 << 20
 PASSAGE_STRINGS = 64
 BATCH_STRINGS = 1 << 16
 SENT_BYTES = 5 << 20
+INDEX_BYTES = 4 << 20
 PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
 REMOVED = "doc_id long, row_key long, spans binary"
 
@@ -167,7 +168,7 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
             spans = [np.array(v, np.int64).tobytes() for v in gone.values()]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "bucket": pa.array([p[0] for p in packs] + [(k[0] + k[1]) % (n_buckets // 4) for k in gone], pa.int32()),
+                    "bucket": pa.array([p[0] for p in packs] + [(k[0] + k[1]) % n_buckets for k in gone], pa.int32()),
                     "size": pa.array([p[1] for p in packs] + [None] * m, pa.int64()),
                     "pack": pa.array([p[2] for p in packs] + [None] * m, pa.binary()),
                     "doc_id": pa.array([None] * n + [k[0] for k in gone], pa.int64()),
@@ -202,7 +203,7 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
                         continue
                     stop = np.append(change[1:], len(prints))
                     text = data.tobytes()
-                    buckets = (buckets_of(prints[change], n_buckets) // np.uint64(4)).tolist()
+                    buckets = buckets_of(prints[change], n_buckets).tolist()
                     short = (prints[change] & np.uint64(0xFFFFFFFF)).tolist()
                     for k in np.flatnonzero(hit).tolist():
                         for a in range(int(change[k]), int(stop[k]), PASSAGE_STRINGS):
@@ -312,22 +313,34 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
             keys.append(int(key_of[row]))
             spans.append((places[row][:, None, None] + runs[None]).tobytes())
 
-        first, same, different = {}, {}, Counter()
+        first, same = {}, {}
         for row in np.argsort(doc, kind="stable").tolist():
             known = first.setdefault(texts[row], row)
-            if known == row:
-                different[int(prints[row])] += 1
-            elif doc[known] < doc[row]:
+            if known != row and doc[known] < doc[row]:
                 remove(row, np.array([[0, len(texts[row])]]))
-            else:  # another row with the same doc_id
+            elif known != row:  # another row with the same doc_id
                 same.setdefault(known, []).append(row)
+        def settle(some: list[int]) -> None:
+            some.sort(key=lambda row: doc[row])
+            for k, flags in repeated_strings([texts[r] for r in some], doc[some], length):
+                if flags.any():
+                    runs = _runs(flags, length)
+                    for row in (some[k], *same.get(some[k], ())):
+                        remove(row, runs)
+
         # strings of different passages can only be equal if their fingerprints are
-        entered = [row for row in first.values() if different[int(prints[row])] > 1]
-        for k, flags in repeated_strings([texts[r] for r in entered], doc[entered], length):
-            if flags.any():
-                runs = _runs(flags, length)
-                for row in (entered[k], *same.get(entered[k], ())):
-                    remove(row, runs)
+        alike, waiting, strings = defaultdict(list), [], 0
+        for row in first.values():
+            alike[int(prints[row])].append(row)
+        for members in alike.values():
+            if len(members) > 1:
+                waiting += members
+                strings += sum(len(texts[r]) for r in members)
+                if strings >= INDEX_BYTES:
+                    settle(waiting)
+                    waiting, strings = [], 0
+        if waiting:
+            settle(waiting)
         return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
 
     # packs are small for the work they hold: a fixed number of tasks, not one that follows their bytes

@@ -95,6 +95,7 @@ def test_suffix_levels_equal_byte_search(spark):
 def test_suffix_levels_with_small_batches_and_chunks(spark, monkeypatch):
     monkeypatch.setattr(suffix_levels, "SENT_BYTES", 4000)
     monkeypatch.setattr(suffix_levels, "BATCH_STRINGS", 64)
+    monkeypatch.setattr(suffix_levels, "INDEX_BYTES", 500)
     monkeypatch.setattr(suffix_levels, "SEGMENT", 1000)
     monkeypatch.setattr(suffix_levels, "pieces", lambda offsets: ((k, k + 1) for k in range(len(offsets) - 1)))
     monkeypatch.setattr(shared_prints, "CHUNK_PRINTS", 300)
