@@ -3,8 +3,14 @@
 A gear rolling hash reads every byte; where its four top bits are zero, a chunk
 ends, unless another such place lies within the 11 bytes before.  Both rules
 look at nearby bytes only, so an insertion moves chunk ends near it and no
-others.  Chunks longer than ``LARGEST`` are cut further, counted from their
-start.  A chunk is a copy if a document with a smaller doc_id has a chunk with
+others.
+
+In a run of one repeated piece (``PERIOD`` bytes at most, with a byte that is no
+letter or digit, so words or lines; ``RUN`` bytes or more) these rules end a
+chunk in every piece or in none.  Where in none, the run is cut into chunks of
+12 to 23 bytes, counted from the least rotation of its piece, so they do not
+depend on where it stands.  Chunks longer than ``LARGEST`` are cut further, counted from their start; those
+are runs inside one word and of longer pieces.  A chunk is a copy if a document with a smaller doc_id has a chunk with
 the same digest; runs of copies of ``least_bytes`` or more are removed.
 
 Digests are compared for those chunks only whose 64-bit hash occurs in several
@@ -26,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusgrove.llm.hashing import GOLDEN, PIECE, constants, mix, pieces, text_bytes
+from corpusgrove.llm.hashing import GOLDEN, LETTERS_DIGITS, PIECE, constants, mix, pieces, text_bytes
 from corpusgrove.llm.shared_prints import bucket_count, is_shared, shared_prints
 from corpusgrove.llm.spans import merge_spans, row_key, without_spans
 
@@ -35,6 +41,7 @@ WINDOW = 16
 TOP = np.uint16(12)
 NEAREST = 12
 LARGEST = 256
+RUN, PERIOD, ANCHOR = 96, 64, 24
 VALUES = constants(256, 8)
 STEP, BACK = np.uint64(GOLDEN | 1), np.uint64(pow(GOLDEN | 1, -1, 1 << 64))
 
@@ -51,8 +58,78 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_ends(data: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of one text."""
+def repeated_runs(data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]]:
+    """Start, end and period of every longest run of ``RUN`` bytes or more inside one text.
+
+    The first anchor of a run has ``PERIOD`` + 8 bytes of it behind it, so the 8
+    bytes there and the last 8 of those come again one period on.
+    """
+    found: dict[tuple[int, int], int] = {}
+    if len(data) < RUN:
+        return []
+    eights = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,))
+    anchors = np.arange(0, len(eights) - PERIOD, ANCHOR)
+    here, far = eights[anchors], eights[anchors + PERIOD]
+    todo = np.ones(len(anchors), bool)
+    for period in range(1, PERIOD + 1):
+        hits = np.flatnonzero((here == eights[period : period + anchors[-1] + 1 : ANCHOR]) & todo)
+        for k in hits[eights[anchors[hits] + PERIOD - period] == far[hits]].tolist():
+            if not todo[k]:
+                continue
+            text = int(np.searchsorted(bounds, anchors[k], "right")) - 1
+            a, b = _run_around(data, int(anchors[k]), period, int(bounds[text]), int(bounds[text + 1]))
+            if b - a >= RUN:
+                found.setdefault((a, b), period)
+                todo[(anchors >= a) & (anchors <= b - PERIOD - 8)] = False
+    return [(a, b, period) for (a, b), period in sorted(found.items())]
+
+
+def _run_around(data: np.ndarray, at: int, period: int, low: int, high: int) -> tuple[int, int]:
+    a, b = at, at + period
+    if b > high:
+        return at, at
+    while b < high:
+        part = data[b : min(b + 1024, high)]
+        other = np.flatnonzero(part != data[b - period : b - period + len(part)])
+        if len(other):
+            b += int(other[0])
+            break
+        b += len(part)
+    while a > low:
+        n = min(1024, a - low)
+        other = np.flatnonzero(data[a - n : a] != data[a - n + period : a + period])
+        if len(other):
+            a += int(other[-1]) + 1 - n
+            break
+        a -= n
+    return a, b
+
+
+def _with_run_ends(data: np.ndarray, bounds: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The ends outside of runs of repeated words, and those of the runs' chunks."""
+    inside, cuts = np.zeros(len(ends), bool), []
+    for a, b, period in repeated_runs(data, bounds):
+        unit = data[a : a + period]
+        if LETTERS_DIGITS[unit].all():
+            continue
+        settled = a + WINDOW + NEAREST
+        if len(range(*np.searchsorted(ends, (settled, settled + period)))):
+            continue
+        unit = unit.tobytes()
+        turn = min(range(period), key=lambda k: unit[k:] + unit[:k])
+        step = -(-NEAREST // period) * period
+        parts = step // NEAREST
+        places = (np.arange(a + turn - step, b, step)[:, None] + np.arange(parts) * step // parts).ravel()
+        places = places[(places > a) & (places < b)]
+        cuts.append(places)
+        text = int(np.searchsorted(bounds, a, "right")) - 1
+        low, high = max(places[0] - NEAREST, bounds[text]), min(places[-1] + NEAREST, bounds[text + 1])
+        inside[np.searchsorted(ends, low, "right") : np.searchsorted(ends, high, "left")] = True
+    return np.unique(np.concatenate((ends[~inside], *cuts))) if cuts else ends
+
+
+def chunk_ends(data: np.ndarray, runs: bool = False) -> np.ndarray:
+    """Ends of the chunks of one text; ``runs``: with the rule for repeated pieces, as the operator cuts."""
     raw = []
     for at in range(0, len(data), 4 * PIECE):
         low = max(0, at - WINDOW)
@@ -62,6 +139,8 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
     ends = np.concatenate(raw) if raw else np.zeros(0, np.int64)
     apart = np.diff(ends, prepend=-NEAREST) >= NEAREST
     ends = ends[apart]
+    if runs:
+        ends = _with_run_ends(data, np.array([0, len(data)]), ends)
     if len(data) and (not len(ends) or ends[-1] != len(data)):
         ends = np.append(ends, len(data))
     sizes = np.diff(ends, prepend=0)
@@ -91,7 +170,7 @@ def chunk_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def batch_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def batch_chunks(column: pa.Array, runs: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per text: its bytes, ends and hashes of its chunks.
 
     Short texts are taken together, 16 zero bytes apart, which the window of
@@ -102,13 +181,13 @@ def batch_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         low, high = int(offsets[first]), int(offsets[last])
         if last - first == 1:
             text = data[low:high]
-            ends = chunk_ends(text)
+            ends = chunk_ends(text, runs)
             yield text, ends, chunk_hashes(text, ends)
             continue
-        yield from _piece_chunks(data[low:high], offsets[first : last + 1] - low)
+        yield from _piece_chunks(data[low:high], offsets[first : last + 1] - low, runs)
 
 
-def _piece_chunks(part: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _piece_chunks(part: np.ndarray, cuts: np.ndarray, runs: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     rows = len(cuts) - 1
     sizes = np.diff(cuts)
     apart = np.zeros(len(part) + WINDOW * rows, np.uint16)
@@ -121,7 +200,8 @@ def _piece_chunks(part: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarr
     raw = np.flatnonzero(apart[place] >> TOP == 0) + 1
     row = np.searchsorted(cuts, raw, "left") - 1
     far = np.concatenate(([True], (np.diff(raw) >= NEAREST) | (row[1:] != row[:-1]))) if len(raw) else np.zeros(0, bool)
-    ends = np.unique(np.concatenate((raw[far], cuts[1:][sizes > 0])))
+    ends = _with_run_ends(part, cuts, raw[far]) if runs else raw[far]
+    ends = np.unique(np.concatenate((ends, cuts[1:][sizes > 0])))
     begins = np.concatenate(([0], ends[:-1]))
     long = -(-(ends - begins) // LARGEST)
     if (long > 1).any():
@@ -135,7 +215,7 @@ def _piece_chunks(part: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarr
 
 
 def _distinct(column: pa.Array) -> Iterator[np.ndarray]:
-    for _, _, hashes in batch_chunks(column):
+    for _, _, hashes in batch_chunks(column, runs=True):
         yield np.unique(hashes)
 
 
@@ -151,7 +231,7 @@ def shared_chunks(docs: DataFrame) -> DataFrame:
                 batch = whole.slice(at, 256)
                 ids, keys, known = (batch.column(k).to_pylist() for k in (0, 1, 3))
                 out = [[], [], [], [], []]
-                for row, (data, ends, hashes) in enumerate(batch_chunks(batch.column(2))):
+                for row, (data, ends, hashes) in enumerate(batch_chunks(batch.column(2), runs=True)):
                     lists = known[row]
                     mine = lists[0] if len(lists) == 1 else np.unique(np.frombuffer(b"".join(lists), np.uint64)).tobytes()
                     hit = np.flatnonzero(is_shared(hashes, mine, n_buckets)) if len(hashes) else []

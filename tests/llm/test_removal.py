@@ -153,6 +153,38 @@ def test_chunks_of_pieces_equal_chunks_of_texts():
         assert hashes.tolist() == gear_chunks.chunk_hashes(np.frombuffer(b, np.uint8), ends).tolist()
 
 
+WORDS = ["der", "it", "a", "und", "the", "que", "no", "и", "not", "Wasser", "encyclopaedia"]
+
+
+def test_runs_of_a_repeated_word_are_found_at_any_offset(spark):
+    rng = random.Random(21)
+    rows, shared = [], {}
+    for k, word in enumerate(WORDS):
+        run = " ".join([word] * 60)
+        rows.append((k, f"{prose(rng, 9 + k)} {run} {prose(rng, 20)}"))
+        rows.append((100 + k, f"{prose(rng, 30 + 3 * k)} {run} {prose(rng, 15)}"))
+        shared[100 + k] = len(run.encode())
+    rows += [(200, prose(rng, 8) + " der der der der " + prose(rng, 8)), (201, "-" * 40)]
+    got = {r["doc_id"]: (r["n_removed"], r["sources"]) for r in gear_chunks.without_copies(documents(spark, rows)).collect()}
+    for doc_id, size in shared.items():
+        if size >= 96 + 2 * 24:
+            removed, sources = got[doc_id]
+            assert 0.7 * size <= removed <= size + 2 * 24 and list(sources) == [doc_id - 100], WORDS[doc_id - 100]
+    assert all(not got[i][0] for i in got if i not in shared)
+
+
+def test_run_chunks_of_pieces_equal_chunks_of_texts():
+    rng = random.Random(22)
+    texts = [f"{prose(rng, rng.randint(0, 9))} {(word + ' ') * rng.randint(30, 99)}{prose(rng, 5)}" for word in WORDS for _ in range(3)]
+    texts += ["der " * 400_000, "", "-" * 500, "- " * 47, "- " * 48]
+    for (data, ends, _), text in zip(gear_chunks.batch_chunks(pa.array(texts, pa.string()), runs=True), texts):
+        b = np.frombuffer(text.encode(), np.uint8)
+        assert data.tobytes() == b.tobytes() and ends.tolist() == gear_chunks.chunk_ends(b, runs=True).tolist()
+    both = np.frombuffer(b"x" + b"der " * 30 + b"XYZ" + b"- " * 60, np.uint8)
+    assert gear_chunks.repeated_runs(both, np.array([0, len(both)])) == [(1, 121, 4), (124, 244, 2)]
+    assert gear_chunks.repeated_runs(both, np.array([0, 61, 240, len(both)])) == [(124, 240, 2)]
+
+
 def test_spans_merge_and_cut():
     merged = spans.merge_spans(np.array([[5, 9], [0, 2], [8, 12], [12, 13], [20, 21], [6, 7]]))
     assert merged.tolist() == [[0, 2], [5, 13], [20, 21]]
