@@ -19,8 +19,8 @@ At similarity 0.75 a pair shares no bucket with probability
 (1 - 0.75**rows)**bands, 1e-6 with the default 50 bands of 5.
 
 Defined results: null, empty or blank text has an empty set and is linked with
-nothing; rows that repeat a doc_id are one node, so they share a component; a
-null doc_id is linked with nothing and kept, with a null component; an empty
+nothing; rows that repeat a doc_id are one node, so they share a component, and
+what is linked with any of them is in it; a null doc_id is linked with nothing and kept, with a null component; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -234,6 +234,17 @@ def block_links(queries: list[dict], classes: list[dict], percent: int) -> tuple
     return np.minimum(q_id[i], c_id[j]), np.maximum(q_id[i], c_id[j])
 
 
+def _classes_of_repeated_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc_id and rep of each of its classes, for ids whose rows have different sets."""
+    prints = signed.where("doc_id is not null").groupBy("doc_id")
+    prints = prints.agg(F.min("print").alias("low"), F.max("print").alias("high"), F.count("print").alias("sets"), F.count(F.lit(1)).alias("n"))
+    several = materialize(prints.where("low < high or (sets > 0 and sets < n)").select("doc_id"), "repeated")
+    if several.isEmpty():
+        return several.withColumn("rep", F.col("doc_id"))
+    owners = signed.where("print is not null").join(several, "doc_id").join(classes, "print")
+    return materialize(owners.select("doc_id", "rep").distinct(), "owners")
+
+
 def _near_duplicates(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
     signed = materialize(signatures(docs, width, bands, rows), "signatures")
     some = signed.where("print is not null and doc_id is not null")
@@ -263,6 +274,13 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int, bands: int, rows
             labels = merge_components(labels, found)
 
     out = signed.select("doc_id", "n_shingles", "print").join(classes, "print", "left")
+    owners = _classes_of_repeated_ids(signed, classes)
+    if not owners.isEmpty():
+        first = owners.groupBy("doc_id").agg(F.min("rep").alias("first"))
+        links = owners.join(first, "doc_id").where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+        labels = merge_components(labels, materialize(links.distinct(), "links"))
+        # a row without shingles goes with the other rows of its id
+        out = out.join(first, "doc_id", "left").withColumn("rep", F.coalesce("rep", "first")).drop("first")
     out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", own.cast("long").alias("component_id")).withColumn(

@@ -81,6 +81,19 @@ def test_boundary_is_inclusive(spark):
     assert naive(rows)[1][2] == 1
 
 
+def test_repeated_ids_whose_texts_have_copies_elsewhere(spark):
+    rng = random.Random(31)
+    a, b, c, d, e = (prose(rng, 40) for _ in range(5))
+    near = " ".join(["other", *b.split(" ")[1:]])
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, near), (9, c), (9, d), (11, d), (12, c), (20, e), (21, e), (21, None), (22, ""), (22, prose(rng, 9)), (30, None), (30, "")]
+    rows += [(40, prose(rng, 12)), (41, b), (41, e)]  # joins the groups of 3 and 20
+    check(spark, rows)
+    got = {(r["doc_id"], r["component_id"]) for r in minhash_star.near_duplicates(documents(spark, rows)).collect()}
+    assert {(5, 3), (7, 3), (8, 3), (21, 3), (11, 9)} <= got and len(got) == len({i for i, _ in rows})
+    kept = minhash_star.first_of_groups(documents(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 9, 22, 30, 40]
+
+
 def test_first_of_groups_keeps_whole_rows(spark):
     rows = corpus(30)
     docs = documents(spark, rows)
