@@ -339,7 +339,10 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = 1500) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, all columns as they are; no shuffle of texts."""
+    """The rows of ``docs`` that score ``threshold`` or more, all columns as they are; no shuffle of texts.
+
+    Without a field, when the usable labels lack a class, nothing tells good from bad: all rows with words stay.
+    """
     field = train(docs, labels, sample)
     place = docs.columns.index("text")
 
@@ -347,6 +350,6 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample:
         hasher = WordHasher(~SPACES)
         for batch in batches:
             for first, scores in _scores(batch.column(place), field, hasher):
-                yield batch.slice(first, len(scores)).filter(pa.array(scores >= threshold))
+                yield batch.slice(first, len(scores)).filter(pa.array(scores > 0 if field is None else scores >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

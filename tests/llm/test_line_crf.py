@@ -88,3 +88,11 @@ def test_without_labels_and_without_rows(spark, labelled):
     assert {r["score"] for r in rows} == {0.0, 0.5}
     assert line_crf.quality(docs.limit(0), labels).count() == 0
     assert line_crf.quality(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_without_both_labels_all_rows_with_words_are_accepted(spark):
+    docs = documents(spark, [(1, "some words"), (2, "more of them\nin lines"), (3, None), (4, " \n"), (None, "no id")])
+    schema = "doc_id long, quality int, toxic int"
+    for rows in ([], [(1, 1, 0), (2, 1, 0)], [(1, None, 0), (2, 7, 0)]):
+        kept = line_crf.accepted(docs, spark.createDataFrame(rows, schema))
+        assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, None}
