@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusgrove.llm import ans_tokens, block_mix, chat_tree, gear_chunks, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks, suffix_levels
+from corpusgrove.llm import ans_tokens, block_mix, byte_bpe, chat_tree, gear_chunks, hard_negatives, hilbert_ann, license_scan, line_crf, minhash_star, simhash_leaks, suffix_levels, whitening
 from corpusgrove.storage import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -84,3 +84,20 @@ def op9_mix_sources(spark, sf):
 @query
 def op10_suffix_levels(spark, sf):
     return suffix_levels.without_repeats(documents(spark, sf))
+
+
+@query
+def op11_whitened_vectors(spark, sf):
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    return hard_negatives.mine(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query
+def op13_byte_bpe(spark, sf):
+    import public_tokenizers
+
+    return byte_bpe.round_trips(documents(spark, sf), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
