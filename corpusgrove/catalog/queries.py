@@ -483,8 +483,12 @@ def half_context_topics(spark, sf):
     return _ranked(S.half_context_topics(embeddings(spark, sf), cluster_topics(spark, sf), 80, 5))
 
 
+def _labelled_vectors(spark, sf) -> DataFrame:
+    return embeddings(spark, sf).select(F.col("vec_id").alias("ord"), "embedding", F.concat(F.lit("[1] Vector "), "vec_id").alias("label"))
+
+
 def _vector_pairs(spark, sf) -> DataFrame:
-    vectors = embeddings(spark, sf).select(F.col("vec_id").alias("ord"), "embedding", F.concat(F.lit("[1] Vector "), "vec_id").alias("label"))
+    vectors = _labelled_vectors(spark, sf)
     return S.label_pairs(S.topic_pairs(vectors.select("ord", "embedding"), PAIR_THRESHOLD), vectors.select("ord", "label"))
 
 
@@ -514,12 +518,13 @@ def prompted_pairs(spark, sf):
 
 @query
 def top_pairs(spark, sf):
-    return S.top_pairs(_vector_pairs(spark, sf), 2).select("i", "j", F.round("score", 6).alias("score"))
+    best = S.best_label_pairs(_labelled_vectors(spark, sf), 2, PAIR_THRESHOLD)
+    return best.select("i", "j", F.round("score", 6).alias("score"))
 
 
 @query
 def refine_prompt(spark, sf):
-    best = S.top_pairs(_vector_pairs(spark, sf), 2)
+    best = S.best_label_pairs(_labelled_vectors(spark, sf), 2, PAIR_THRESHOLD)
     return P.refine_prompt(best, stub.REFINE_TEMPLATE).select("prompt")
 
 

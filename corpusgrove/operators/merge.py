@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from corpusgrove.functions import text as X
 from corpusgrove.operators.ordering import dense_index
@@ -50,11 +53,19 @@ def merge_counts(tree: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
-def _placed(tree: DataFrame, merges: DataFrame) -> DataFrame:
-    """Each merge with the sibling it reuses, or a fresh last position."""
+def _last_children(tree: DataFrame) -> DataFrame:
+    return tree.groupBy(parent_path().alias("parent")).agg(F.max(ordinal()).alias("last"))
+
+
+def _placed(tree: DataFrame, merges: DataFrame, last: DataFrame | None = None) -> DataFrame:
+    """Each merge with the sibling it reuses, or a fresh last position.
+
+    Fresh positions follow the merges' order behind ``last``, the last child of
+    every parent before the first merge.
+    """
     totals = merge_counts(tree, merges)
     siblings = tree.select(parent_path().alias("parent"), F.col("name").alias("new_name"), F.col("path").alias("reused"))
-    last = tree.groupBy(parent_path().alias("parent")).agg(F.max(ordinal()).alias("last"))
+    last = _last_children(tree) if last is None else last
     level = F.when(F.size("parent") == 0, F.lit(1)).otherwise(F.col("above_lvl") + 1)
     above = tree.select(F.col("path").alias("parent"), F.col("lvl").alias("above_lvl"))
     return (
@@ -99,6 +110,32 @@ def _remove_occurrences(tree: DataFrame, hits: DataFrame) -> DataFrame:
     return without_subtrees(tree, gone)
 
 
+def _nested(tree: DataFrame, keys: DataFrame) -> bool:
+    """Whether a node of some ``(name, lvl)`` lies below another one of them."""
+    hits = tree.join(keys, ["name", "lvl"], "left_semi").select("path")
+    above = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda n: F.slice("path", 1, n))
+    higher = hits.filter(F.size("path") > 1).select(F.explode(above).alias("path"))
+    return not higher.join(hits, "path", "left_semi").isEmpty()
+
+
+def _apply_layer(tree: DataFrame, merges: DataFrame, last: DataFrame | None = None) -> DataFrame:
+    """Apply merges of which none changes what another one names.
+
+    Matches go in one pass unless one of them may lie below another: then the
+    originals of all merges go by their place in the line, first ones first.
+    """
+    placed = materialize(_placed(tree, merges, last), "merged-nodes")
+    matched = merge_nodes(tree, merges).select("pos", "path", "name", F.col("old_lvl").alias("lvl"))
+    doomed = materialize(matched.join(placed.filter("reuses").select("path"), "path", "left_anti"), "merged-old")
+    result = _with_merged(tree, placed)
+    if not _nested(result, doomed.select("name", "lvl").distinct()):
+        return materialize(_remove_occurrences(result, doomed).select(*NODE), "merged-tree")
+    places = doomed.agg(F.max("pos")).first()[0]
+    for pos in range(places + 1):
+        result = _remove_occurrences(result, doomed.filter(F.col("pos") == pos))
+    return materialize(result.select(*NODE), "merged-tree")
+
+
 def apply_merge(tree: DataFrame, merge: DataFrame) -> DataFrame:
     """Replace the originals of ONE merge by one node.
 
@@ -107,15 +144,33 @@ def apply_merge(tree: DataFrame, merge: DataFrame) -> DataFrame:
     named so is reused: its count and description are overwritten.  Every other
     match goes, with its subtree, looked up by exact name and level.
     """
-    merge = materialize(merge, "merge")
-    placed = materialize(_placed(tree, merge), "merged-node")
-    matched = materialize(merge_nodes(tree, merge).select("pos", "path", "name", F.col("old_lvl").alias("lvl")), "merged-old")
-    reused = placed.filter("reuses").select("path")
-    doomed = matched.join(reused, "path", "left_anti")
-    result = _with_merged(tree, placed)
-    for row in doomed.select("pos").distinct().orderBy("pos").toLocalIterator():
-        result = _remove_occurrences(result, doomed.filter(F.col("pos") == row.pos))
-    return materialize(result.select(*NODE), "merged-tree")
+    return _apply_layer(tree, materialize(merge, "merge"))
+
+
+def merge_order(tree: DataFrame, merges: DataFrame) -> DataFrame:
+    """Pairs of merges (``before, after``) that have to keep their order.
+
+    A merge changes the names it lists, its new name and all names below nodes
+    so named, and relies on the names above them.  Two merges may change places
+    unless one changes a name that the other changes or relies on.  Pairs
+    implied by others are left out.
+    """
+    own = merges.select("merge_id", F.lower("old_name").alias("key")).unionByName(merges.select("merge_id", F.lower("new_name").alias("key")))
+    own = materialize(own.filter("key is not null").distinct(), "merge-names")
+    keyed = tree.select(F.lower("name").alias("key"), "path")
+    above = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda n: F.slice("path", 1, n))
+    higher = keyed.filter(F.size("path") > 1).select("key", F.explode(above).alias("path"))
+    # name, and the name of a node above it
+    lines = higher.join(keyed.withColumnRenamed("key", "upper"), "path").select("key", "upper").distinct()
+    relies = own.join(lines, "key").select("merge_id", F.col("upper").alias("key"), F.lit(False).alias("changes"))
+    below = own.join(lines.select(F.col("upper").alias("key"), F.col("key").alias("lower")), "key").select("merge_id", F.col("lower").alias("key"), F.lit(True).alias("changes"))
+    touched = own.withColumn("changes", F.lit(True)).unionByName(below).unionByName(relies).groupBy("merge_id", "key").agg(F.max("changes").alias("changes"))
+    change = F.when(F.col("changes"), F.col("merge_id"))
+    earlier = W.partitionBy("key").orderBy("merge_id").rowsBetween(W.unboundedPreceding, -1)
+    later = W.partitionBy("key").orderBy(F.desc("merge_id")).rowsBetween(W.unboundedPreceding, -1)
+    near = touched.select("merge_id", F.last(change, True).over(earlier).alias("before"), F.last(change, True).over(later).alias("after"))
+    pairs = near.select("before", F.col("merge_id").alias("after")).unionByName(near.select(F.col("merge_id").alias("before"), "after"))
+    return pairs.dropna().distinct()
 
 
 def apply_disjoint_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
@@ -131,7 +186,12 @@ def apply_disjoint_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
 
 
 def apply_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
-    """Apply merges in ``merge_id`` order, in one pass when they are disjoint."""
+    """Apply merges in ``merge_id`` order, a layer at a time.
+
+    A layer holds the merges whose predecessors in ``merge_order`` are done, so
+    there are as many layers as the longest chain of merges that depend on one
+    another; merges that share no name are one pass over the tree.
+    """
     merges = materialize(merges, "merges")
     names = merges.select("merge_id", F.lower("old_name").alias("key")).unionByName(
         merges.select("merge_id", F.lower("new_name").alias("key"))
@@ -140,9 +200,18 @@ def apply_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
     deeper = merges.filter("old_lvl <> 1")
     if shared.isEmpty() and deeper.isEmpty():
         return apply_disjoint_merges(tree, merges)
-    for row in merges.select("merge_id").distinct().orderBy("merge_id").toLocalIterator():
-        tree = apply_merge(tree, merges.filter(F.col("merge_id") == row.merge_id))
-    return tree
+    order = materialize(merge_order(tree, merges), "merge-order")
+    last = materialize(_last_children(tree), "last-children")
+    while True:
+        waiting = order.select(F.col("after").alias("merge_id")).distinct()
+        ready = merges.join(waiting, "merge_id", "left_anti")
+        if order.isEmpty():
+            return _apply_layer(tree, ready, last)
+        ready = materialize(ready, "merge-layer")
+        tree = _apply_layer(tree, ready, last)
+        merges = materialize(merges.join(waiting, "merge_id", "left_semi"), "merges")
+        done = ready.select(F.col("merge_id").alias("before")).distinct()
+        order = materialize(order.join(done, "before", "left_anti"), "merge-order")
 
 
 def merge_mapping(earlier: DataFrame | None, originals: DataFrame) -> DataFrame:
@@ -159,23 +228,64 @@ def merge_mapping(earlier: DataFrame | None, originals: DataFrame) -> DataFrame:
     return latest.select(seq.alias("seq"), "old", "new")
 
 
-MAPPING_SLICE = 50_000
+MAPPING_SLICE = 500_000
+FEW = 32
+
+
+def _by_trie(pairs: list[tuple[str, str]], text: Column) -> Column:
+    """Apply pairs in order, looking only at keys that occur.
+
+    A trie of all keys finds those in a line.  The first one is replaced and the
+    line looked through again, for keys behind it in the mapping: a replacement
+    may have made or broken them.
+    """
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(pairs)
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        ordered = shared.value
+        places: dict[str, list[int]] = {}
+        for at, (old, _) in enumerate(ordered):
+            places.setdefault(old, []).append(at)
+        trie = ahocorasick.Automaton()
+        for old, found in places.items():
+            trie.add_word(old, found)
+        trie.make_automaton()
+
+        def one(line: str) -> str:
+            done = -1
+            while True:
+                at = min((k for _, found in trie.iter(line) for k in found if k > done), default=None)
+                if at is None:
+                    return line
+                line, done = line.replace(*ordered[at]), at
+
+        for batch in batches:
+            yield batch.map(lambda text: "\n".join(map(one, text.split("\n"))), na_action="ignore")
+
+    return run(text)
 
 
 def rewrite_documents(df: DataFrame, mapping: DataFrame, column: str, out: str = "refined_responses", slice_rows: int = MAPPING_SLICE) -> DataFrame:
     """Apply a mapping (``seq, old, new``) to every response of a corpus.
 
     Map-only over the documents.  The mapping has one row per merged topic and
-    travels as one array; a longer one is applied slice after slice, which
-    gives the same result because pairs apply in order.
+    travels whole: ``FEW`` pairs or less as a literal of the plan, more as a
+    trie, ``slice_rows`` at a time.  Slices follow one another, which gives the
+    same result because pairs apply in order.
     """
     changing = materialize(mapping.filter("old <> new and old <> ''").select("seq", "old", "new"), "mapping")
-    numbered = dense_index(changing, ["seq"], "at", bucket=F.expr("seq div 65536"))
-    total = changing.count()
+    numbered = materialize(dense_index(changing, ["seq"], "at", bucket=F.expr("seq div 65536")), "mapping-order")
+    total = numbered.count()
     df = df.withColumn(out, F.col(column))
     for start in range(0, total, slice_rows):
-        part = numbered if total <= slice_rows else numbered.filter(F.col("at").between(start, start + slice_rows - 1))
-        ordered = F.sort_array(F.collect_list(F.struct("seq", "old", "new")))
-        pairs = df.withColumn("__mapping", part.agg(ordered).scalar())
-        df = pairs.withColumn(out, X.rewrite_topics(F.col(out), F.col("__mapping"))).drop("__mapping")
+        part = numbered.filter(F.col("at").between(start, start + slice_rows - 1)).select("at", "old", "new").toArrow().sort_by("at")
+        pairs = list(zip(part.column("old").to_pylist(), part.column("new").to_pylist()))
+        if len(pairs) <= FEW:
+            literal = F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in pairs])
+            df = df.withColumn(out, X.rewrite_topics(F.col(out), literal))
+        else:
+            df = df.withColumn(out, _by_trie(pairs, F.col(out)))
     return df

@@ -4,8 +4,7 @@ Documents against topics: the topic vectors of one block (a checked number of
 rows and bytes) are broadcast and each Arrow batch of documents is multiplied with them.
 Only what a document keeps leaves the task, never the document x topic pairs.
 
-Topics against topics: vectors are cut into blocks and every pair of blocks is
-one task, a matrix product that returns the pairs above the threshold.
+Topics against topics: see ``pairs``.
 """
 
 from __future__ import annotations
@@ -16,11 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corpusgrove.operators.pairs import closest_pairs, topic_pairs, unit_rows
 from corpusgrove.storage import materialize
 
 BLOCK_ROWS = 20_000
 BLOCK_BYTES = 64 << 20
-PAIR_BLOCK = 2048
 CELLS_AT_ONCE = 4_000_000
 
 RANKED = T.ArrayType(
@@ -35,12 +34,6 @@ RANKED = T.ArrayType(
 )
 
 
-def _unit(rows: list) -> np.ndarray:
-    matrix = np.asarray(np.stack(rows), dtype=float)
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
-
-
 def _order(sim: np.ndarray) -> np.ndarray:
     """Most similar first; ties, up to rounding noise, in tree order."""
     return np.argsort(-np.round(sim, 12), kind="stable")
@@ -73,7 +66,7 @@ def _ranked_block(topics: DataFrame, keep, extra: int):
     """
     block = topics.orderBy("ord").toPandas()
     shared = topics.sparkSession.sparkContext.broadcast(
-        (block["ord"].tolist(), block["label"].tolist(), block["tokens"].to_numpy(), _unit(list(block["embedding"])))
+        (block["ord"].tolist(), block["label"].tolist(), block["tokens"].to_numpy(), unit_rows(list(block["embedding"])))
     )
 
     @F.pandas_udf(RANKED)
@@ -85,7 +78,7 @@ def _ranked_block(topics: DataFrame, keep, extra: int):
             present = np.flatnonzero(vectors.notna().to_numpy())
             for start in range(0, len(present), step):
                 rows = present[start : start + step]
-                scores = _unit(list(vectors.iloc[rows])) @ matrix.T
+                scores = unit_rows(list(vectors.iloc[rows])) @ matrix.T
                 for row, sim in zip(rows, scores):
                     order = _order(sim)
                     order = order[: keep(tokens[order], budgets.iloc[row]) + extra]
@@ -155,32 +148,6 @@ def half_context_topics(docs: DataFrame, topics: DataFrame, context_len: int, fl
     return _rank(docs, topics, embedding, F.lit(context_len // 2), _with_floor(floor), out, block_rows)
 
 
-PAIR_SCHEMA = "i bigint, j bigint, score double"
-
-
-def topic_pairs(vectors: DataFrame, threshold: float, block: int = PAIR_BLOCK) -> DataFrame:
-    """Pairs ``i < j`` with cosine above ``threshold``, from ``ord, embedding``."""
-    last = vectors.agg(F.max(F.expr(f"ord div {block}"))).scalar()
-    own = F.expr(f"ord div {block}")
-    copies = vectors.select(
-        "ord", "embedding", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other")
-    ).select("ord", "embedding", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-
-    def product(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = key
-        rows = rows.sort_values("ord")
-        left, right = rows[rows["own"] == a], rows[rows["own"] == b]
-        if left.empty or right.empty:
-            return pd.DataFrame({"i": [], "j": [], "score": []})
-        scores = np.round(_unit(list(left["embedding"])) @ _unit(list(right["embedding"])).T, 12)
-        x, y = np.nonzero(scores > threshold)
-        i, j = left["ord"].to_numpy()[x], right["ord"].to_numpy()[y]
-        ahead = i < j
-        return pd.DataFrame({"i": i[ahead], "j": j[ahead], "score": scores[x, y][ahead]})
-
-    return copies.groupBy("a", "b").applyInPandas(product, PAIR_SCHEMA)
-
-
 def label_pairs(pairs: DataFrame, topics: DataFrame) -> DataFrame:
     """Labels of the pairs, and the order-free key that tells repeats apart."""
     a = topics.select(F.col("ord").alias("i"), F.col("label").alias("a"))
@@ -208,6 +175,13 @@ def top_pairs(pairs: DataFrame, k: int) -> DataFrame:
     )
 
 
+def best_label_pairs(topics: DataFrame, k: int, threshold: float) -> DataFrame:
+    """``top_pairs`` of ``topics`` (``ord, label, embedding``) without making all pairs first."""
+    same = topics.groupBy("label").agg(F.min("ord").alias("key"))
+    keyed = topics.join(same, "label").select("ord", "key", "embedding")
+    return label_pairs(closest_pairs(keyed, k, threshold), topics.select("ord", "label"))
+
+
 def prompted_pairs(prompted: DataFrame | None, new: DataFrame) -> DataFrame:
     new = new.select("pair").distinct()
     return new if prompted is None else prompted.unionByName(new).distinct()

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from corpusgrove.schema import CORPUS, STAGE_COLUMNS
-from corpusgrove.storage import broadcast_within, materialize
+from corpusgrove.storage import broadcast_within, materialize, scratch_path
+
+# documents in one folder of a stored range, and the most files of one
+FOLDER = 1 << 14
+FILES = 32
+# documents of the first stored range; each further one holds as many times more
+RANGE = 1 << 16
+RANGE_GROWTH = 16
 
 # rows of the broadcast table of input blocks, one for each 128 MB or so of input
 BLOCK_LIMIT = 2_000_000
@@ -70,6 +77,37 @@ def read_documents(spark: SparkSession, path: str, id_column: str, text_column:
     return named
 
 
+class StoredRanges:
+    """Consecutive ranges of documents, each read from the files that hold it.
+
+    The documents ahead are written to shared storage, a folder for every
+    ``FOLDER`` numbers, in stretches that grow: a corpus of any layout is scanned
+    a logarithmic number of times for any number of ranges, and a run that ends
+    early has written little more than it used.
+    """
+
+    def __init__(self, docs: DataFrame):
+        self.docs, self.size, self.upto = docs, RANGE, None
+
+    def _store(self, low: int, high: int) -> None:
+        spark = self.docs.sparkSession
+        self.path, self.upto = scratch_path(spark, "ranges"), max(high, low + self.size)
+        self.size *= RANGE_GROWTH
+        files = min(spark.sparkContext.defaultParallelism, FILES)
+        ahead = self.docs.filter((F.col("doc_idx") >= low) & (F.col("doc_idx") < self.upto))
+        dealt = ahead.withColumn("folder", F.expr(f"doc_idx div {FOLDER}")).repartition("folder", F.pmod(F.xxhash64("doc_idx"), F.lit(files)))
+        dealt.write.partitionBy("folder").parquet(self.path)
+        self.schema = dealt.schema
+
+    def rows(self, low: int, high: int) -> DataFrame:
+        """Documents ``low <= doc_idx < high``; calls come in ascending order."""
+        if self.upto is None or high > self.upto:
+            self._store(low, high)
+        stored = self.docs.sparkSession.read.schema(self.schema).parquet(self.path)
+        folders = F.col("folder").between(int(low / FOLDER), int((high - 1) / FOLDER))
+        return stored.filter(folders & (F.col("doc_idx") >= low) & (F.col("doc_idx") < high)).drop("folder")
+
+
 def write_documents(df: DataFrame, path: str) -> None:
     """Corpus and result columns as JSON lines, one part file per task; a rerun replaces them."""
     df.drop("doc_idx").write.mode("overwrite").json(path)

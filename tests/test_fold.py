@@ -1,10 +1,13 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusgrove.operators import ordering
-from corpusgrove.plans.generate import fold_level1
+from corpusgrove.operators import fold, ordering
+from corpusgrove.operators.responses import level_gate, response_lines
+from corpusgrove.plans.generate import fold_level1, fold_round
+from corpusgrove.sources import documents
 from tests import naive
 
 NAMES = ["Trade", "trade", "Energy", "Health Care", "TAX", "Tax", "Law", "Art", "Sport"]
@@ -75,3 +78,60 @@ def test_dense_index_carry_and_next(spark):
     for k, _, v in rows:
         assert carried[k] == last
         last = v if v is not None else last
+
+
+def lines_of(spark, responses):
+    return fold.number_lines(level_gate(response_lines(table(spark, responses))))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_cut_into_rounds_gives_the_same_tree(spark, seed):
+    rng = random.Random(100 + seed)
+    responses = random_responses(rng, 50, errors=0.0 if seed % 2 else 0.02)
+    patience = rng.choice([0, 2, 5, 1000])
+    seeds, root = None, None
+    if seed % 3 == 0:
+        root = naive.nest([(1, "TRADE", 1, ""), (1, "Art", 4, "")])
+        seeds = naive.tree_rows(spark, root)
+    want, n = naive.fold_level1(responses, patience, root)
+    cuts = [0, *sorted(rng.sample(range(1, 50), 3)), 50]
+    state, kept, seen = fold.start(spark, seeds), None, 0
+    for low, high in zip(cuts, cuts[1:]):
+        asked = table(spark, responses).filter(F.col("doc_idx").between(low, high - 1))
+        state, kept = fold_round(state, asked, patience)
+        seen += asked.count() if kept is None else asked.filter(kept).count()
+        if kept is not None:
+            break
+    assert naive.dump_table(fold.topic_rows(state.topics, seeds)) == naive.dump(want)
+    assert seen == n
+
+
+def test_states_join_in_any_order(spark):
+    rng = random.Random(9)
+    responses = random_responses(rng, 45, errors=0.0)
+    parts = [table(spark, responses).filter(F.col("doc_idx").between(a, a + 14)) for a in (0, 15, 30)]
+    a, b, c = (fold.stretch(fold.number_lines(level_gate(response_lines(p)))) for p in parts)
+    whole = fold.stretch(lines_of(spark, responses))
+    for state in (fold.joined(fold.joined(a, b), c), fold.joined(a, fold.joined(b, c))):
+        assert (state.lines, state.last_new) == (whole.lines, whole.last_new)
+        assert sorted(state.topics.collect(), key=str) == sorted(whole.topics.select(*state.topics.columns).collect(), key=str)
+
+
+def test_ranges_read_their_own_files(spark, monkeypatch):
+    monkeypatch.setattr(documents, "FOLDER", 10)
+    monkeypatch.setattr(documents, "RANGE", 40)
+    monkeypatch.setattr(documents, "RANGE_GROWTH", 2)
+    docs = spark.range(3, 300).select(F.col("id").alias("doc_idx"), F.concat(F.lit("t"), "id").alias("text"))
+    scans = []
+    store = documents.StoredRanges(docs)
+    keep = store._store
+    monkeypatch.setattr(store, "_store", lambda *a: (scans.append(a), keep(*a)))
+    low, size = 3, 4
+    while low < 300:
+        rows = store.rows(low, low + size)
+        assert sorted(r.doc_idx for r in rows.collect()) == list(range(low, min(low + size, 300)))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        first, last = low // 10, (low + size - 1) // 10
+        assert re.search(rf"PartitionFilters: \[.*folder#\d+L? >= {first}\).*folder#\d+L? <= {last}\)", plan)
+        low, size = low + size, min(size * 2, 16)
+    assert [low for low, _ in scans] == [3, 31, 111, 271]

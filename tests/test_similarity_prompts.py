@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusgrove.functions import grammar as G, text as X, vectors as V
-from corpusgrove.operators import prompts as P, similarity as S
+from corpusgrove.operators import pairs, prompts as P, similarity as S
 from tests import naive
 
 ENCODE = V.hashed_terms(64)
@@ -45,12 +45,64 @@ def test_ranking_per_document(vectors, block):
         assert top[i] == [x[2] for x in sorted(scored, key=lambda x: -x[0])[:3]]
 
 
-def test_pairs_across_blocks(vectors):
+@pytest.mark.parametrize("block,group", [(2, 1), (4, 2), (256, 16)])
+def test_pairs_across_blocks(vectors, monkeypatch, block, group):
+    monkeypatch.setattr(pairs, "BLOCK", block)
+    monkeypatch.setattr(pairs, "GROUP", group)
     topics, _, t, _ = vectors
-    want = {(a[0], b[0]) for a in topics for b in topics if a[0] < b[0] and cos(a[3], b[3]) > 0.4}
-    for block in (4, 7, 100):
-        got = S.topic_pairs(t.select("ord", "embedding"), 0.4, block).collect()
+    scored = {(a[0], b[0]): round(cos(a[3], b[3]), 12) for a in topics for b in topics if a[0] < b[0]}
+    for threshold in (0.4, -0.2):
+        got = S.topic_pairs(t.select("ord", "embedding"), threshold).collect()
+        want = {p for p, s in scored.items() if s > threshold}
         assert {(r.i, r.j) for r in got} == want and len(got) == len(want)
+    best = sorted((-s, p) for p, s in scored.items() if s > 0.1)[:4]
+    got = pairs.closest_pairs(t.select("ord", "embedding"), 4, 0.1, wave=1)
+    assert [(r.i, r.j) for r in got.collect()] == [p for _, p in best]
+
+
+def clustered(spark, n=600, clusters=12):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(clusters, 24))
+    rows = [(k, (centres[k % clusters] + 0.05 * rng.normal(size=24)).tolist()) for k in range(n)]
+    return rows, spark.createDataFrame(rows, "ord bigint, embedding array<double>")
+
+
+def test_clusters_out_of_reach_are_never_joined(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 10)
+    monkeypatch.setattr(pairs, "GROUP", 2)
+    rows, df = clustered(spark)
+    laid = pairs.layout(df)
+    bounds = laid.group_pairs().collect()
+    assert len(bounds) == laid.groups * (laid.groups + 1) // 2
+    near = sum(r.bound > 0.9 for r in bounds)
+    assert near < 0.25 * len(bounds)
+    got = {(r.i, r.j) for r in pairs.topic_pairs(df, 0.9).collect()}
+    m = pairs.unit_rows([v for _, v in rows])
+    s = np.round(m @ m.T, 12)
+    assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(s > 0.9)) if i < j}
+
+
+def test_best_pairs_visit_few_groups(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 10)
+    monkeypatch.setattr(pairs, "GROUP", 1)
+    rows, df = clustered(spark)
+    visited = []
+    product = pairs._products
+    monkeypatch.setattr(pairs, "_products", lambda laid, turn, *a: (visited.append(turn.count()), product(laid, turn, *a))[1])
+    copies = df.unionByName(df.filter("ord < 40").withColumn("ord", F.col("ord") + 1000))
+    got = pairs.closest_pairs(copies, 5, 0.5, wave=8)
+    assert [(r.i, r.j) for r in got.collect()] == [(k, k + 1000) for k in range(5)]
+    groups = pairs.layout(copies).groups
+    assert sum(visited) < 0.25 * groups * (groups + 1) / 2
+
+
+def test_best_pairs_count_a_label_pair_once(spark):
+    rows = [(0, "a", [1.0, 0.0]), (1, "a", [1.0, 0.0]), (2, "b", [1.0, 0.01]), (3, "c", [1.0, 0.5]), (4, "d", [0.0, 0.0]), (5, "e", None)]
+    t = spark.createDataFrame(rows, "ord bigint, label string, embedding array<double>")
+    got = [(r.i, r.j, r.a, r.b) for r in S.best_label_pairs(t, 3, 0.1).orderBy(F.desc("score"), "i", "j").collect()]
+    assert got == [(0, 1, "a", "a"), (0, 2, "a", "b"), (2, 3, "b", "c")]
+    assert [(r.i, r.j) for r in pairs.topic_pairs(t, -0.5).filter("j = 4").orderBy("i").collect()] == [(0, 4), (1, 4), (2, 4), (3, 4)]
+    assert pairs.closest_pairs(t.limit(0), 3, 0.1).collect() == pairs.topic_pairs(t.limit(0), 0.1).collect() == []
 
 
 def test_top_pairs_skip_asked_ones(spark):

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,14 +102,62 @@ def test_mapping_keeps_first_place_and_latest_name(spark):
     assert rows[2].seq >= CREATED_BASE
 
 
-@pytest.mark.parametrize("slice_rows", [1, 2, 100])
-def test_rewrite_follows_mapping_order(spark, slice_rows):
-    mapping = [("Trade", "Commerce"), ("Commerce", "Business"), ("Same", "Same"), ("Tax", "Tax Law"), ("Tax Law", "Levy"), ("Art", "Arts")]
-    texts = ["[1] Trade: about Trade and Commerce\n[1] Tax: Taxes", "None", "[1] Art: Party", "Same\n\nTrade"]
+@pytest.mark.parametrize("slice_rows,few", [(1, 32), (2, 0), (4, 1), (100, 32), (100, 0)])
+def test_rewrite_follows_mapping_order(spark, monkeypatch, slice_rows, few):
+    monkeypatch.setattr(Mg, "FEW", few)
+    mapping = [("Trade", "Commerce"), ("Commerce", "Business"), ("Same", "Same"), ("Tax", "Tax Law"), ("Tax Law", "Levy"), ("Art", "Arts"), ("Tax", "Taxed")]
+    texts = ["[1] Trade: about Trade and Commerce\n[1] Tax: Taxes", "None", "[1] Art: Party", "Same\n\nTrade", "", None]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_idx bigint, responses string")
     table = spark.createDataFrame([(i, o, n) for i, (o, n) in enumerate(mapping)], "seq bigint, old string, new string")
     got = Mg.rewrite_documents(docs, table, "responses", slice_rows=slice_rows).orderBy("doc_idx").collect()
-    assert [r.refined_responses for r in got] == [naive.rewrite(t, mapping) for t in texts]
+    assert [r.refined_responses for r in got] == [None if t is None else naive.rewrite(t, mapping) for t in texts]
+
+
+def test_rewrite_with_chains_and_substrings_of_many_keys(spark):
+    rng = random.Random(11)
+    parts = ["ab", "ba", "a", "b", "abc", "c a", "é", "b\tb"]
+    keys = {"".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(400)}
+    mapping = [(k, "".join(rng.choices([*parts, "x", ""], k=2))) for k in rng.sample(sorted(keys), len(keys))]
+    mapping += [(f"absent {k}", "never") for k in range(100_000)]
+    rng.shuffle(mapping)
+    texts = ["\n".join("".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(3)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_idx bigint, responses string")
+    table = spark.createDataFrame(pd.DataFrame({"seq": range(len(mapping)), "old": [o for o, _ in mapping], "new": [n for _, n in mapping]}))
+    got = {r.doc_idx: r.refined_responses for r in Mg.rewrite_documents(docs, table, "responses").collect()}
+    present = [(o, n) for o, n in mapping if not o.startswith("absent")]
+    assert got == {i: naive.rewrite(t, present) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_many_overlapping_merges_match_the_sequential_rule(spark, seed):
+    rng = random.Random(500 + seed)
+    lines = random_lines(rng, 40)
+    root = naive.nest(lines)
+    tree = naive.tree_rows(spark, root)
+    merges = []
+    for k in range(7):
+        originals = [(rng.choice(NAMES + ["Unknown", f"M{rng.randint(0, k)}"]), rng.choice([1, 2, 3])) for _ in range(rng.randint(1, 3))]
+        merges.append((originals, rng.choice([*NAMES, f"M{k}", "m1"]), f"d{k}"))
+    got = Mg.apply_merges(tree, merges_table(spark, merges))
+    for originals, name, desc in merges:
+        naive.merge(root, originals, name, desc)
+    assert naive.dump_table(got) == naive.dump(root), (lines, merges)
+
+
+def test_layers_follow_the_longest_chain(spark, monkeypatch):
+    root = naive.nest([row for k in range(12) for row in ((1, f"P{k % 3}x{k}", 4, "d"), (2, f"c{k}", 1, ""), (2, f"e{k}", 1, ""))])
+    tree = naive.tree_rows(spark, root)
+    # all under different parents, three of them one after another
+    merges = [([(f"c{k}", 2), (f"e{k}", 2)], f"both{k}", "m") for k in range(9)]
+    merges += [([("both0", 2), ("new", 2)], "again", "m"), ([("again", 2)], "third", "m")]
+    applied = []
+    layer = Mg._apply_layer
+    monkeypatch.setattr(Mg, "_apply_layer", lambda t, m, last: (applied.append(m.select("merge_id").distinct().count()), layer(t, m, last))[1])
+    got = Mg.apply_merges(tree, merges_table(spark, merges))
+    for originals, name, desc in merges:
+        naive.merge(root, originals, name, desc)
+    assert naive.dump_table(got) == naive.dump(root)
+    assert applied == [9, 1, 1]
 
 
 def test_mapping_files(spark, tmp_path):
