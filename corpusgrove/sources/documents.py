@@ -95,7 +95,8 @@ class StoredRanges:
         self.size *= RANGE_GROWTH
         files = min(spark.sparkContext.defaultParallelism, FILES)
         ahead = self.docs.filter((F.col("doc_idx") >= low) & (F.col("doc_idx") < self.upto))
-        dealt = ahead.withColumn("folder", F.expr(f"doc_idx div {FOLDER}")).repartition("folder", F.pmod(F.xxhash64("doc_idx"), F.lit(files)))
+        # dealt in turn, so that the files of a folder are equally long
+        dealt = ahead.withColumn("folder", F.expr(f"doc_idx div {FOLDER}")).repartition(files)
         dealt.write.partitionBy("folder").parquet(self.path)
         self.schema = dealt.schema
 
