@@ -43,7 +43,8 @@ LENGTH = 50
 GRAM = 20
 SEGMENT = 1 << 20
 PASSAGE_STRINGS = 64
-BATCH_STRINGS = 1 << 16
+BATCH_STRINGS = 1 << 17
+SLICE = 1 << 14
 SENT_BYTES = 5 << 20
 INDEX_BYTES = 4 << 20
 PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
@@ -224,31 +225,104 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
     return joined.mapInArrow(cut, PASSAGES)
 
 
+def _words(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """The strings that start at ``at`` as rows of 64-bit numbers that sort like them."""
+    if length < 8:
+        rows = np.zeros((len(at), 8), np.uint8)
+        rows[:, :length] = data[at[:, None] + np.arange(length)]
+        return rows.view(">u8").astype(np.uint64)
+    # the numbers at every byte of the data; the last one of a string overlaps
+    every = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+    steps = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
+    out = np.empty((len(at), len(steps)), np.uint64)
+    for k, step in enumerate(steps):
+        out[:, k] = every[at + step]
+    return out
+
+
+def _compare(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """-1, 0 or 1 for each pair of rows."""
+    first = (a != b).argmax(1)
+    rows = np.arange(len(a))
+    x, y = a[rows, first], b[rows, first]
+    return (x > y).astype(np.int8) - (x < y)
+
+
+def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank of the string of ``length`` bytes at every place, by prefix doubling; strings end with the data."""
+    rank, have = data.astype(np.int64), 1
+    while have < length:
+        step = min(have, length - have)  # the last step overlaps
+        behind = np.zeros(len(rank), np.int64)
+        behind[: len(rank) - step] = rank[step:] + 1
+        rank = np.unique(rank * (len(rank) + 258) + behind, return_inverse=True)[1]
+        have += step
+    return rank
+
+
+class Level:
+    """A suffix array: places in a buffer in the order of the strings there, each with its smallest document."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, owner: np.ndarray, length: int):
+        self.data, self.at, self.owner, self.length = data, at, owner, length
+        self.head = np.concatenate([np.zeros(0, np.uint64), *(self.words(k, k + SLICE)[:, 0] for k in range(0, len(at), SLICE))])
+
+    def words(self, low: int, high: int) -> np.ndarray:
+        """The strings from ``low`` to ``high`` in suffix order."""
+        return _words(self.data, self.at[low:high], self.length)
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each string belongs, and whether it is there."""
+        low = np.searchsorted(self.head, words[:, 0], "left")
+        high = np.searchsorted(self.head, words[:, 0], "right")
+        there = np.zeros(len(words), bool)
+        while len(open_ := np.flatnonzero(low < high)):
+            middle = (low[open_] + high[open_]) // 2
+            side = _compare(words[open_], _words(self.data, self.at[middle], self.length))
+            there[open_[side == 0]] = True
+            low[open_] = np.where(side > 0, middle + 1, np.where(side == 0, middle, low[open_]))
+            high[open_] = np.where(side > 0, high[open_], middle)
+        return low, there
+
+    def merged(self, later: Level) -> Level:
+        """Both levels as one; of equal strings the smaller document stays."""
+        parts = [self.find(later.words(k, k + SLICE)) for k in range(0, len(later.at), SLICE)]
+        place, there = (np.concatenate(p) for p in zip(*parts))
+        owner = self.owner.copy()
+        owner[place[there]] = np.minimum(owner[place[there]], later.owner[there])
+        new = np.flatnonzero(~there)
+        to = place[new] + np.arange(len(new))
+        rest = np.ones(len(self.at) + len(new), bool)
+        rest[to] = False
+        at, owners = np.empty(len(rest), self.at.dtype), np.empty(len(rest), np.int64)
+        at[rest], at[to] = self.at, later.at[new] + len(self.data)
+        owners[rest], owners[to] = owner, later.owner[new]
+        return Level(np.concatenate((self.data, later.data)), at, owners, self.length)
+
+
 class Levels:
-    """Sorted strings with the smallest document that holds each, in levels of falling size."""
+    """Levels of falling size."""
 
     def __init__(self):
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def owners(self, strings: np.ndarray, documents: np.ndarray) -> np.ndarray:
-        """Scans sorted strings against all levels: the smallest document of each."""
-        out = documents.copy()
-        for keys, owner in self.levels:
-            at = np.minimum(np.searchsorted(keys, strings), len(keys) - 1)
-            hit = keys[at] == strings
-            out[hit] = np.minimum(out[hit], owner[at[hit]])
+        self.levels: list[Level] = []
+
+    def owners(self, batch: Level) -> np.ndarray:
+        """Scans a batch against all levels: the smallest document of each of its strings."""
+        out = batch.owner.copy()
+        for k in range(0, len(out) if self.levels else 0, SLICE):
+            words, part = batch.words(k, k + SLICE), out[k : k + SLICE]
+            for level in self.levels:
+                place, there = level.find(words)
+                part[there] = np.minimum(part[there], level.owner[place[there]])
         return out
 
-    def add(self, strings: np.ndarray, documents: np.ndarray) -> None:
-        """Takes sorted strings as a new level; levels not smaller than the next one merge with it."""
-        if not len(strings):
+    def add(self, level: Level) -> None:
+        """Takes a new level; levels not smaller than the next one merge with it."""
+        if not len(level.at):
             return
-        self.levels.append((strings, documents))
-        while len(self.levels) > 1 and len(self.levels[-2][0]) <= len(self.levels[-1][0]):
-            (a, da), (b, db) = self.levels[-2:]
-            keys, owner = np.concatenate((a, b)), np.concatenate((da, db))
-            order = np.argsort(keys, kind="stable")
-            self.levels[-2:] = [(keys[order], owner[order])]
+        self.levels.append(level)
+        while len(self.levels) > 1 and len(self.levels[-2].at) <= len(self.levels[-1].at):
+            self.levels[-2:] = [self.levels[-2].merged(self.levels[-1])]
 
 
 def repeated_strings(texts: list[bytes], documents: np.ndarray, length: int, batch_strings: int = BATCH_STRINGS) -> Iterator[tuple[int, np.ndarray]]:
@@ -262,21 +336,18 @@ def repeated_strings(texts: list[bytes], documents: np.ndarray, length: int, bat
         batch = texts[at:stop]
         data = np.frombuffer(b"".join(batch), np.uint8)
         sizes = np.array([len(t) for t in batch])
-        begin = np.cumsum(sizes) - sizes
         counts = sizes - length + 1
-        starts = np.repeat(begin, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        # all strings are of one length, so padding zeros cannot make two of them equal
-        strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[starts]).view(f"S{length}").ravel()
+        starts = np.repeat(np.cumsum(sizes) - sizes, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         holder = np.repeat(documents[at:stop], counts)
-        order = np.argsort(strings, kind="stable")  # suffix order; equal strings stay by document
-        ranked = strings[order]
-        fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-        least = holder[order[fresh]]
-        known = family.owners(ranked[fresh], least)
-        owner = np.empty(len(strings), np.int64)
+        rank = suffix_ranks(data, length)[starts]
+        order = np.argsort(rank, kind="stable")  # suffix order; equal strings stay by document
+        fresh = np.concatenate(([True], rank[order[1:]] != rank[order[:-1]]))
+        least = Level(data, starts[order[fresh]].astype(np.int32), holder[order[fresh]], length)
+        known = family.owners(least)
+        owner = np.empty(len(starts), np.int64)
         owner[order] = known[np.cumsum(fresh) - 1]
-        new = known == least
-        family.add(ranked[fresh][new], least[new])
+        new = known == least.owner
+        family.add(Level(data, least.at[new], least.owner[new], length))
         earlier = owner < holder
         for k, (a, n_strings) in enumerate(zip((np.cumsum(counts) - counts).tolist(), counts.tolist())):
             yield at + k, earlier[a : a + n_strings]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -118,8 +119,35 @@ def test_levels_stay_few_and_find_the_smallest_document():
     assert got == want
     family = suffix_levels.Levels()
     for k in range(64):
-        family.add(np.array([b"%08d" % k], "S8"), np.array([k]))
-    assert len(family.levels) == 1 and len(family.levels[0][0]) == 64
+        data = np.frombuffer(b"%08d" % (k * 7919 % 100), np.uint8)
+        family.add(suffix_levels.Level(data, np.array([0]), np.array([k]), 8))
+    assert len(family.levels) == 1 and len(family.levels[0].at) == 64
+    held = [bytes(family.levels[0].data[p : p + 8]) for p in family.levels[0].at]
+    assert held == sorted(held) and [h for h in held] == [b"%08d" % n for n in sorted(k * 7919 % 100 for k in range(64))]
+
+
+def test_suffix_order_is_that_of_the_bytes():
+    rng = random.Random(4)
+    for length in (3, 8, 20, 50):
+        data = np.frombuffer(bytes(rng.choices(b"ab\0\xff", k=400)), np.uint8)
+        starts = np.arange(len(data) - length + 1)
+        rank = suffix_levels.suffix_ranks(data, length)[starts]
+        strings = [bytes(data[p : p + length]) for p in starts]
+        assert sorted(starts, key=lambda p: (rank[p], p)) == sorted(starts, key=lambda p: (strings[p], p))
+        assert len(set(strings)) == len(set(rank.tolist()))
+        words = suffix_levels._words(data, starts, length)
+        a, b = np.array(rng.choices(starts, k=300)), np.array(rng.choices(starts, k=300))
+        assert suffix_levels._compare(words[a], words[b]).tolist() == [(strings[x] > strings[y]) - (strings[x] < strings[y]) for x, y in zip(a, b)]
+
+
+def test_memory_of_the_index_follows_its_strings():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 105, 113).astype(np.uint8).tobytes() for _ in range(16_000)]
+    tracemalloc.start()
+    n = sum(len(flags) for _, flags in suffix_levels.repeated_strings(texts, np.arange(len(texts)), 50))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 64 * len(texts) and peak < 100 * n
 
 
 def test_strings_that_end_in_zero_bytes_differ():
