@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusgrove.catalog.queries import PACK_BUDGET, PAIR_THRESHOLD, PATIENCE, RARE
+from corpusgrove.catalog.queries import FIRST_ROUND, LINKS, PACK_BUDGET, PAIR_THRESHOLD, PATIENCE, RARE, REFINED, SMALL_CONTEXT
 from corpusgrove.catalog import stub
 
 TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"
@@ -45,6 +45,28 @@ def _terms(labels: str) -> str:
         FROM (SELECT pos, unnest(regexp_extract_all(lower(label), '[\p{{L}}\p{{N}}]+')) AS w FROM {labels}) GROUP BY 1, 2"""
 
 
+def _refined(rounds: int) -> str:
+    """Tables of the refinement: the nodes, their labels, the two best unseen pairs and the merge of each round."""
+    parts = [f"node0 AS (SELECT ord AS pos, name, n, descr FROM topics WHERE n >= (SELECT sum(n) FROM topics) * {REFINED})"]
+    for r in range(rounds):
+        seen = " UNION ALL ".join(f"SELECT pair FROM best{k}" for k in range(r)) or "SELECT NULL WHERE false"
+        parts += [
+            f"label{r} AS (SELECT pos, '[1] ' || name || ': ' || descr AS label FROM node{r})",
+            f"term{r} AS ({_terms(f'label{r}')})",
+            f"size{r} AS (SELECT pos, sqrt(sum(n * n)) AS z FROM term{r} GROUP BY 1)",
+            f"""near{r} AS (SELECT d.i, d.j, round(d.dot / (a.z * b.z), 12) AS s FROM (
+                    SELECT a.pos AS i, b.pos AS j, sum(a.n * b.n) AS dot FROM term{r} a JOIN term{r} b ON a.dim = b.dim AND a.pos < b.pos GROUP BY 1, 2) d
+                    JOIN size{r} a ON a.pos = d.i JOIN size{r} b ON b.pos = d.j)""",
+            f"""best{r} AS (SELECT i, j, s, list_sort([a.label, b.label]) AS pair FROM near{r} JOIN label{r} a ON a.pos = i JOIN label{r} b ON b.pos = j
+                    WHERE s > 0.5 AND list_sort([a.label, b.label]) NOT IN ({seen}) ORDER BY s DESC, i, j LIMIT 2)""",
+            f"head{r} AS (SELECT i, j FROM best{r} ORDER BY s DESC, i, j LIMIT 1)",
+            f"""node{r + 1} AS (SELECT o.pos, o.name, o.n + CASE WHEN h.i IS NULL THEN 0 ELSE m.n END AS n,
+                    CASE WHEN h.i IS NULL THEN o.descr ELSE 'Merged topics.' END AS descr
+                    FROM node{r} o LEFT JOIN head{r} h ON h.i = o.pos LEFT JOIN node{r} m ON m.pos = h.j WHERE o.pos NOT IN (SELECT j FROM head{r}))""",
+        ]
+    return ",\n".join(parts)
+
+
 # ------------------------------------------------------------ common tables
 
 CTE = {
@@ -404,6 +426,11 @@ ORACLE: dict[str, str] = {
         f""", stems AS (SELECT left(key, 7) AS stem, sum(n) AS n FROM topics GROUP BY 1 HAVING count(*) > 1)
             SELECT name, n AS count, descr AS "desc" FROM topics WHERE left(key, 7) NOT IN (SELECT stem FROM stems)
             UNION ALL SELECT {capital('stem')}, n, 'Words on ' || stem FROM stems""", "topics").replace("\n, stems", ",\nstems"),
+    "apply_merge_overlapping": with_tables(
+        """, stems AS (SELECT left(key, 7) AS stem, sum(n) AS n, count(*) AS k FROM topics GROUP BY 1 HAVING count(*) > 1),
+            others AS (SELECT * FROM topics WHERE left(key, 7) NOT IN (SELECT stem FROM stems))
+            SELECT 1 AS lvl, name, n AS count, descr AS "desc" FROM others UNION ALL SELECT 2, 'Kid of ' || name, 1, 'kid' FROM others
+            UNION ALL SELECT 1, 'Group ' || stem, n, 'Step ' || (k - 1) FROM stems""", "topics").replace("\n, stems", ",\nstems"),
     "merge_mapping": with_tables(
         """, e AS (SELECT DISTINCT old_name AS old FROM originals WHERE doc_id % 2 = 0),
            l AS (SELECT old_name AS old, arg_max(new_name, doc_id * 1048576 + pos) AS new FROM originals WHERE doc_id % 2 = 1 GROUP BY 1)
@@ -440,6 +467,12 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT parent, 2, name, count(*), arg_min(d, born) FROM adds GROUP BY parent, name
            UNION ALL SELECT parent, 2, 'Group ' || lang, count(*), 'More in ' || lang || '.' FROM late GROUP BY up, parent, lang""",
         "merge_answers", "frequent").replace("\n, adds", ",\nadds"),
+    "subtopic_chain": f"""
+        WITH RECURSIVE named AS (SELECT doc_id, doc_id % {LINKS} AS link, 'Chain ' || doc_id // {LINKS} || ' link ' AS chain FROM documents),
+        reached AS (SELECT * FROM named WHERE link = 0 UNION ALL
+                    SELECT n.* FROM reached r JOIN named n ON n.doc_id = r.doc_id + 1 AND n.link > 0)
+        SELECT '' AS parent, 1 AS lvl, 'Roots' AS name, 1::BIGINT AS count, 'of all chains' AS "desc"
+        UNION ALL SELECT CASE WHEN link = 0 THEN 'Roots' ELSE chain || (link - 1) END, 2, chain || link, 1, 'part ' || link || '.' FROM reached""",
     # grounding
     "assigned_topics": with_tables(
         """SELECT r.doc_id AS doc_idx, coalesce(string_agg(a.topic, '|' ORDER BY a.line_idx), '') AS topics
@@ -458,6 +491,10 @@ ORACLE: dict[str, str] = {
     "correct_until_grounded": with_tables(
         """SELECT r.doc_id AS doc_idx, CASE WHEN b.doc_id IS NULL THEN r.responses ELSE head || ': Reassigned.' END AS responses
            FROM resp r LEFT JOIN bad b USING (doc_id), labels_text""", "bad", "labels_text"),
+    "correct_rounds": with_tables(
+        """SELECT r.doc_id AS doc_idx, CASE WHEN b.doc_id IS NULL THEN r.responses WHEN length(d.text) % 5 = 0 THEN '[1] Second Matter: Again.'
+                  ELSE head || ': Reassigned.' END AS responses
+           FROM resp r JOIN documents d USING (doc_id) LEFT JOIN bad b USING (doc_id), labels_text""", "bad", "labels_text"),
     "correct_prompt": with_tables(
         f"""SELECT d.doc_id AS doc_idx, md5({_prompt(stub.CORRECT_TEMPLATE, tree='whole', Document='d.text',
             Message="'Previously, this document was assigned to: ' || r.responses || '. Please reassign it to an existing topic in the hierarchy.'")})
@@ -517,6 +554,16 @@ ORACLE: dict[str, str] = {
     # whole stages
     "generate_level1": with_tables(
         f"""SELECT {capital('w')} AS name, count(*) AS count, 'Documents about ' || w || '.' AS "desc" FROM plain GROUP BY w""", "plain"),
+    "generate_level1_budget": f"""
+        WITH sent AS (
+            SELECT doc_id, CASE WHEN tok > room - 500 AND (tok > room OR doc_id >= low + {FIRST_ROUND}) THEN {cut('text', 'room - 500')} ELSE text END AS text
+            FROM (SELECT doc_id, text, {tokens('text')} AS tok, min(doc_id) OVER () AS low, {SMALL_CONTEXT} - {tokens(literal(stub.GENERATION_TEMPLATE))} AS room FROM documents)),
+        named AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}]{{6,}}')) AS w FROM sent),
+        chosen AS (SELECT doc_id, w FROM (SELECT doc_id, w, count(*) AS n FROM named GROUP BY doc_id, w)
+                   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, w) <= 2)
+        SELECT {capital('w')} AS name, count(*) AS count, 'Documents about ' || w || '.' AS "desc" FROM chosen GROUP BY w""",
+    "refine_rounds": with_tables(
+        f""", {_refined(2)} SELECT name, n AS count, descr AS "desc" FROM node2""", "topics").replace("\n, node0", ",\nnode0"),
     "generate_level1_docs": with_tables(
         f"""SELECT d.doc_id AS doc_idx, coalesce(string_agg(p.line, chr(10) ORDER BY p.rk), 'None') AS responses
             FROM documents d LEFT JOIN plain_parts p USING (doc_id)
@@ -548,6 +595,8 @@ for _name, _columns in {
     "pack_documents": ["n_tokens"],
     "merge_counts": ["count"],
     "apply_merge": ["count"],
+    "apply_merge_overlapping": ["count"],
+    "refine_rounds": ["count"],
     "usage_report": ["prompt_tokens", "response_tokens"],
     "stage_usage": ["prompt_tokens", "response_tokens"],
 }.items():

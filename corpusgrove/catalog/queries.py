@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from corpusgrove.catalog import stub
 from corpusgrove.functions import text as X, vectors as V
@@ -36,6 +36,9 @@ PATIENCE = 5
 RARE = 0.002
 PACK_BUDGET = 3000
 PAIR_THRESHOLD = 0.3
+REFINED = 0.003
+LINKS = 64
+SMALL_CONTEXT, FIRST_ROUND = 900, 512
 
 
 def query(fn: Query) -> Query:
@@ -586,6 +589,25 @@ def apply_merge(spark, sf):
     return Mg.apply_merges(tree, merges).select("name", "count", "desc")
 
 
+@query
+def apply_merge_overlapping(spark, sf):
+    """Topics sharing seven letters are merged one after another into a growing group; every topic has a child."""
+    answers = stub.answered(spark, sf)
+    heads = materialize(topics(answers), "topics")
+    kid = F.concat(F.lit("Kid of "), "name")
+    kids = heads.select(F.concat("path", F.array(F.lit(0).cast("long"))).alias("path"), F.lit(2).alias("lvl"), kid.alias("name"), F.lit(1).cast("long").alias("count"), F.lit("kid").alias("desc"))
+    stem = F.substring(F.lower("name"), 1, 7).alias("stem")
+    ranked = heads.select(stem, "name", T.ordinal().alias("at")).withColumn("k", F.row_number().over(W.partitionBy("stem").orderBy("at")))
+    before = F.lag("name").over(W.partitionBy("stem").orderBy("at"))
+    group = F.concat(F.lit("Group "), "stem")
+    listed = F.array(F.when(F.col("k") == 2, F.col("before")).otherwise(group), F.col("name"), F.concat(F.lit("Unknown "), "stem"))
+    merges = ranked.withColumn("before", before).filter("k > 1").select(
+        (F.col("at") - CREATED_BASE).alias("merge_id"), group.alias("new_name"), F.concat(F.lit("Step "), F.col("k") - 1).alias("new_desc"),
+        F.posexplode(listed).alias("pos", "old_name"), F.lit(1).alias("old_lvl"),
+    )
+    return Mg.apply_merges(heads.select(*T.NODE).unionByName(kids), merges).select("lvl", "name", "count", "desc")
+
+
 def _mapping(spark, sf) -> DataFrame:
     seq = node_ordinal(0, F.col("doc_idx"), F.col("pos"))
     return Mg.merge_mapping(None, _originals(spark, sf).withColumn("seq", seq))
@@ -659,6 +681,22 @@ def subtopic_parent(spark, sf):
     return nested.select(F.coalesce("parent", F.lit("")).alias("parent"), "lvl", "name", "count", "desc")
 
 
+@query
+def subtopic_chain(spark, sf):
+    """Every document adds a subtopic below that of the document before it, in chains of ``LINKS`` links."""
+    d = F.col("doc_idx")
+    name = lambda n: F.concat(F.lit("Chain "), F.expr(f"doc_idx div {LINKS}"), F.lit(" link "), n)
+    link = d % LINKS
+    above = F.when(link == 0, F.lit("[1] Roots")).otherwise(F.concat(F.lit("[2] "), name(link - 1)))
+    answer = F.concat(above, F.lit("\n    [2] "), name(link), F.lit(" (Document: 1): part "), link, F.lit("."))
+    answers = stub.documents(spark, sf).select(d.alias("prompt_idx"), answer.alias("topics"))
+    tree = spark.createDataFrame([([0], 1, "Roots", 1, "of all chains")], "path array<long>, lvl int, name string, count long, desc string")
+    grown = materialize(Sub.fold_subtopics(tree, answers), "grown")
+    above = grown.select(F.col("path").alias("up"), F.col("name").alias("parent"))
+    nested = grown.withColumn("up", T.parent_path()).join(above, "up", "left")
+    return nested.select(F.coalesce("parent", F.lit("")).alias("parent"), "lvl", "name", "count", "desc")
+
+
 # ------------------------------------------------------------ grounding
 
 
@@ -722,6 +760,15 @@ def correct_until_grounded(spark, sf):
     return out.select("doc_idx", "responses")
 
 
+@query
+def correct_rounds(spark, sf):
+    """Two rounds with answers that are wrong once or twice; the latter stay wrong."""
+    docs = materialize(_with_text(spark, sf), "assigned")
+    backend = B.Backend(B.one_by_one(stub.learn_slowly))
+    out = correct_topics(docs, frequent_topics(docs), backend, stub.CORRECT_TEMPLATE, 1_000_000, max_rounds=2)
+    return out.select("doc_idx", "responses")
+
+
 @query
 def correct_prompt(spark, sf):
     docs = materialize(_with_text(spark, sf), "assigned")
@@ -906,6 +953,15 @@ def generate_level1(spark, sf):
     return tree.select("name", "count", "desc")
 
 
+@query
+def generate_level1_budget(spark, sf):
+    """A context that cuts long documents and, from the second round on, prunes topics."""
+    backend = B.Backend(B.one_by_one(stub.name_topics))
+    docs = stub.documents(spark, sf).select("doc_idx", "text")
+    tree, _ = generate_topics_level1(docs, backend, stub.GENERATION_TEMPLATE, context_len=SMALL_CONTEXT, first_round=FIRST_ROUND)
+    return tree.select("name", "count", "desc")
+
+
 @query
 def generate_level1_docs(spark, sf):
     """Documents kept by a run that stops early."""
@@ -939,6 +995,15 @@ def refine_topics(spark, sf):
     return rewritten.select("doc_idx", "refined_responses")
 
 
+@query
+def refine_rounds(spark, sf):
+    """The tree after two rounds of refinement."""
+    tree = T.remove_rare_topics(materialize(topics(stub.answered(spark, sf)), "topics"), REFINED)
+    backend = B.Backend(B.one_by_one(stub.merge_listed))
+    tree, _, _ = refine_plan(tree, backend, stub.REFINE_TEMPLATE, remove=False, threshold=0.5, max_rounds=2)
+    return tree.select("name", "count", "desc")
+
+
 @query
 def all_stages(spark, sf):
     """Every stage from files to files; returns the corrected assignment."""

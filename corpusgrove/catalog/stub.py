@@ -150,6 +150,16 @@ def first_listed(prompt: str) -> str:
     return prompt.split("\n")[1].split(":")[0] + ": Reassigned."
 
 
+def learn_slowly(prompt: str) -> str:
+    """Completer: a listed topic, but at first an unlisted one for some texts, and for some of them twice."""
+    _, text, message = prompt.split("\n#####\n")
+    if len(text) % 5 == 0:
+        return "[1] Second Matter: Again." if "Stubborn Matter" in message else "[1] Stubborn Matter: Not listed."
+    if len(text) % 3 == 0 and "Stubborn Matter" not in message:
+        return "[1] Stubborn Matter: Not listed."
+    return first_listed(prompt)
+
+
 def group_subtopic(prompt: str) -> str:
     """Completer: one subtopic per prompt."""
     label = prompt.split("\n")[0][len("Topic: "):]

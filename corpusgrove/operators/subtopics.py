@@ -103,14 +103,51 @@ def _created_lookups(lines: DataFrame, created: DataFrame, prompt: str) -> DataF
     )
 
 
+def likely_subtopics(tree: DataFrame, lines: DataFrame, static: DataFrame, prompt: str) -> DataFrame:
+    """Subtopics as they come into being if every line that names one means the first line that may add it.
+
+    A line that names a subtopic refers to the first line that may add that
+    name; a line that adds refers to the line before it that names its parent.
+    These references form paths that end at nodes of the tree.  They are
+    followed by doubling, so a path of n links takes log n joins.
+    """
+    named = lines.join(static, [prompt, "line_idx"], "left").withColumn("key", F.lower("name"))
+    births = lines.filter("adds").groupBy(F.lower("name").alias("key")).agg(F.min("ordinal").alias("birth"))
+    refers = F.when(F.col("found").isNull() & (F.col("lvl") == 2) & (F.col("birth") < F.col("ordinal")), F.col("birth"))
+    named = named.join(births, "key", "left").select(prompt, "line_idx", "ordinal", "adds", "name", "found", refers.alias("birth"))
+    usable = F.col("found").isNotNull() | F.col("birth").isNotNull()
+    response = W.partitionBy(prompt)
+    before = response.orderBy("line_idx").rowsBetween(W.unboundedPreceding, -1)
+    first = F.min(F.when(usable, F.col("line_idx"))).over(response)
+    looks = usable & ((F.col("line_idx") <= F.col("first")) | ~F.col("adds"))
+    named = named.withColumn("first", first).withColumn("under", F.last(F.when(looks, F.col("ordinal")), True).over(before)).withColumn("looks", looks)
+    named = materialize(named, "subtopic-references")
+    added = named.filter("adds and line_idx > first and under is not null").select("ordinal", "name", "under")
+    steps = named.filter("looks").select("ordinal", "found", "birth").join(
+        added.select(F.col("ordinal").alias("birth"), F.col("under").alias("next")), "birth", "left"
+    )
+    here = F.when(F.col("found").isNull(), F.array("birth")).otherwise(F.array().cast("array<bigint>"))
+    steps = materialize(steps.select("ordinal", F.col("found").alias("path"), "next", here.alias("rest")), "subtopic-steps")
+    while not steps.filter("path is null and next is not null").isEmpty():
+        ahead = steps.select(F.col("ordinal").alias("next"), F.col("path").alias("p"), F.col("next").alias("n"), F.col("rest").alias("r"))
+        steps = steps.join(ahead, "next", "left").select(
+            "ordinal",
+            F.coalesce("path", F.concat("p", "rest")).alias("path"),
+            F.when(F.col("path").isNull() & F.col("p").isNull(), F.col("n")).alias("next"),
+            F.when(F.col("path").isNull() & F.col("p").isNull(), F.concat("r", "rest")).otherwise(F.col("rest")).alias("rest"),
+        )
+        steps = materialize(steps, "subtopic-steps")
+    parents = steps.filter("path is not null").select(F.col("ordinal").alias("under"), F.col("path").alias("parent"))
+    return _created(tree, added.join(parents, "under").select("parent", "name", "ordinal"))
+
+
 def fold_subtopics(tree: DataFrame, responses: DataFrame, column: str = "topics", prompt: str = "prompt_idx") -> DataFrame:
     """The tree after all second-level responses, taken in ``prompt`` order.
 
-    Every prompt is folded at once.  A line can only depend on another prompt
-    by naming a subtopic added there, so the fold repeats with the subtopics it
-    found until they no longer change; a result that reproduces itself is the
-    sequential one, by induction over the lines.  The number of rounds is the
-    length of the longest chain of subtopics that name one another, and one more.
+    Every prompt is folded at once, given the subtopics that come into being.  A
+    fold that reproduces the subtopics it was given is the sequential one, by
+    induction over the lines, whatever they were; so it starts from the likely
+    ones and repeats with those it finds until they no longer change.
     """
     lines = parse_subtopic_lines(responses, column, [prompt]).withColumn(
         "ordinal", node_ordinal(SUBTOPIC_BASE, F.col(prompt), F.col("line_idx"))
@@ -129,14 +166,16 @@ def fold_subtopics(tree: DataFrame, responses: DataFrame, column: str = "topics"
             ),
             "subtopic-additions",
         )
-        grown = materialize(_created(tree, additions), "subtopics")
         if created is None:
-            # nothing looks up a name that was added: the first pass is final
-            names = grown.select(F.lower("name").alias("key")).distinct()
+            # nothing looks up a name that may be added: the first pass is final
+            names = lines.filter("adds").select(F.lower("name").alias("key")).distinct()
             asked = lines.filter("lvl = 2").join(additions.select("ordinal"), "ordinal", "left_anti")
             if asked.withColumn("key", F.lower("name")).join(names, "key", "left_semi").isEmpty():
                 break
-        elif _same(grown, created):
+            created = materialize(likely_subtopics(tree, lines, static, prompt), "subtopics")
+            continue
+        grown = materialize(_created(tree, additions), "subtopics")
+        if _same(grown, created):
             break
         created = grown
     return add_topics(tree, additions)

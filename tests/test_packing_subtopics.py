@@ -95,13 +95,37 @@ def test_document_topics(spark):
     assert all(r.topics == ["[1] Law"] for r in Sub.doc_topics(refined, labels).collect())
 
 
-def test_chain_of_subtopics_longer_than_any_cap(spark):
+@pytest.mark.parametrize("links", [9, 70])
+def test_chain_of_subtopics_takes_two_passes(spark, monkeypatch, links):
     root = naive.nest([(1, "S0", 5, "x")])
-    answers = [f"[{1 if k == 0 else 2}] S{k}\n    [2] S{k + 1} (Document: 1): part {k}." for k in range(9)]
+    answers = [f"[{1 if k == 0 else 2}] S{k}\n    [2] S{k + 1} (Document: 1): part {k}." for k in range(links)]
     responses = spark.createDataFrame(list(enumerate(answers)), "prompt_idx long, topics string")
+    passes, parent = [], Sub.subtopic_parent
+    monkeypatch.setattr(Sub, "subtopic_parent", lambda *a: (passes.append(1), parent(*a))[1])
+    joins, write = [], Sub.materialize
+    monkeypatch.setattr(Sub, "materialize", lambda df, label: (joins.append(label), write(df, label))[1])
     grown = Sub.fold_subtopics(naive.tree_rows(spark, root), responses)
     assert naive.dump_table(grown) == naive.dump(naive.fold_subtopics(root, answers))
-    assert grown.count() == 10
+    assert grown.count() == links + 1
+    # one without subtopics, one with the likely ones, which they reproduce; doubling in between
+    assert len(passes) == 2 and joins.count("subtopic-steps") <= 2 + links.bit_length()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_entangled_chains_match_the_sequential_rule(spark, seed):
+    rng = random.Random(40 + seed)
+    root = naive.nest([(1, "Alpha", 3, "x"), (1, "S3", 2, "x")])
+    tree = naive.tree_rows(spark, root)
+    answers = []
+    for k in range(25):
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            name = rng.choice(["Alpha", *(f"S{rng.randint(max(0, k - 3), k + 1)}" for _ in range(4))])
+            lines.append(f"[{rng.choice([1, 2, 2, 2])}] {name}" + rng.choice(["", "", " (Document: 1): d."]))
+        answers.append("\n".join(lines))
+    responses = spark.createDataFrame(list(enumerate(answers)), "prompt_idx long, topics string")
+    grown = Sub.fold_subtopics(tree, responses)
+    assert naive.dump_table(grown) == naive.dump(naive.fold_subtopics(root, answers)), answers
 
 
 def test_tables_of_two_stretches_compose():
