@@ -32,6 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 32
 RANGE_ROWS = 4096
 CELLS = 1024
+LEAST_BLOCK, LARGEST_BLOCK = 64, 2048
+SLOTS_EACH = 256
 
 
 @dataclass
@@ -139,14 +141,18 @@ def mix_sources(
     docs: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
     cap: float = 3.0,
-    block_words: int = 64,
+    block_words: int | None = 64,
     shard_slots: int = 4096,
     seed: int = 42,
+    least_slots: int = 0,
 ) -> Mix:
     """Targets, output draws and document intervals of a mix of ``docs``.
 
     ``docs``: doc_id, text, source.  Each source's draws come within one block of its target,
     and a document is taken ``cap`` times at most.  The same input and seed give the same mix.
+    Without ``block_words`` the smallest target gets ``SLOTS_EACH`` blocks, as far as blocks of
+    ``LEAST_BLOCK`` to ``LARGEST_BLOCK`` words allow.  ``least_slots`` (``cap`` at most) is for
+    sources whose target is under half a block; such a source has one block at least.
     """
     sized = docs.select(
         "doc_id",
@@ -156,10 +162,15 @@ def mix_sources(
     )
     sizes = materialize(sized, "sizes")
     average = F.col("source_size") / F.col("blocks")
+    targets = source_targets(sizes, weights, cap)
+    if block_words is None:
+        targets = materialize(targets, "targets")
+        smallest = targets.where("target > 0").agg(F.min("target")).first()[0] or 0
+        block_words = max(LEAST_BLOCK, min(LARGEST_BLOCK, int(smallest / SLOTS_EACH)))
     sources = materialize(
-        source_targets(sizes, weights, cap)
+        targets
         .withColumn("blocks", F.when(F.col("source_size") > 0, F.greatest(F.lit(1), F.round(F.col("source_size") / block_words))).otherwise(0).cast("long"))
-        .withColumn("slots", F.when(F.col("blocks") > 0, F.least(F.round(F.col("target") / average), F.floor(F.col("blocks") * F.lit(float(cap))))).otherwise(0).cast("long")),
+        .withColumn("slots", F.when(F.col("blocks") > 0, F.least(F.greatest(F.lit(float(least_slots)), F.round(F.col("target") / average)), F.floor(F.col("blocks") * F.lit(float(cap))))).otherwise(0).cast("long")),
         "sources",
     )
     named = sources.select("sid", F.col("source").alias("named"))

@@ -1,5 +1,6 @@
 """Targets by repeated sharing, permutations, and word counts of the mix."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusgrove.llm import block_mix
 
-from .helpers import corpus, documents, words
+from .helpers import corpus, documents, prose, words
 
 
 def naive_targets(sizes):
@@ -100,3 +101,27 @@ def test_empty_table_and_texts(spark):
     docs = documents(spark, [(1, None), (2, ""), (2, "")])
     assert [(r["size"], r["target"], r["taken"]) for r in block_mix.taken_words(block_mix.mix_sources(docs)).collect()] == [(0, 0.0, 0)] * 3
     assert block_mix.mixed_documents(docs, block_mix.mix_sources(docs)).count() == 0
+
+
+def test_a_block_size_for_the_smallest_target_loses_no_source(spark):
+    rng = random.Random(8)
+    sizes = {"big": 90_000, "small": 3_000, "tiny": 20, "none": 0}
+    rows, names = [], []
+    for name, n in sizes.items():
+        for k in range(max(1, n // 500)):
+            rows.append((len(rows), prose(rng, min(n, 500)) if n else ""))
+            names.append(name)
+    docs = spark.createDataFrame([(i, t, s) for (i, t), s in zip(rows, names)], "doc_id long, text string, source string")
+    mix = block_mix.mix_sources(docs, weights=(9000.0, 1.0, 90.0, 0.2), block_words=None, least_slots=1)
+    assert mix.block_words == block_mix.LEAST_BLOCK
+    taken = Counter()
+    for r in block_mix.taken_words(mix).collect():
+        taken[r["source"]] += r["taken"]
+    targets = {r["source"]: r["target"] for r in mix.sources.collect()}
+    assert set(taken) == set(sizes) and all(taken[s] > 0 for s in sizes if sizes[s])
+    assert all(abs(taken[s] - targets[s]) <= block_mix.LEAST_BLOCK for s in sizes)
+    held = {s for s in (r["source"] for r in block_mix.mixed_documents(docs, mix).collect())}
+    assert held == {"big", "small", "tiny"}
+    coarse = block_mix.mix_sources(docs, weights=(1.0,), block_words=None)
+    smallest = min(r["target"] for r in coarse.sources.collect() if r["target"])
+    assert coarse.block_words == max(64, min(2048, int(smallest / 256)))

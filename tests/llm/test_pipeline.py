@@ -53,7 +53,7 @@ def test_registered_run_gives_token_rows(spark):
 
 def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_stages_take_empty_tables(spark):
