@@ -18,8 +18,6 @@ from corpusgrove.llm import ans_tokens, block_mix, line_crf, minhash_star, simha
 from corpusgrove.llm.queries import tokenizer_path
 from corpusgrove.storage import materialize, scratch_path
 
-MIX_BLOCK_WORDS = 2048
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model takes for good."""
@@ -37,8 +35,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as the mix takes them: cut to the taken blocks, repeated as often."""
-    return block_mix.mixed_documents(docs, block_mix.mix_sources(docs, block_words=MIX_BLOCK_WORDS))
+    """The documents as the mix takes them: cut to the taken blocks, repeated as often.
+
+    The block size follows the smallest target, and every source with words has a block.
+    """
+    return block_mix.mixed_documents(docs, block_mix.mix_sources(docs, block_words=None, least_slots=1))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
