@@ -1,8 +1,10 @@
 """Similarity of documents to topics and of topics to each other.
 
-Documents against topics: the topic vectors of one block (a checked number of
-rows and bytes) are broadcast and each Arrow batch of documents is multiplied with them.
-Only what a document keeps leaves the task, never the document x topic pairs.
+Documents against topics: topic vectors that fit one block (a checked number of
+rows and bytes) are broadcast and each Arrow batch of documents is multiplied
+with them.  More topics are blocks that meet parts of the documents' vectors by
+number, one of each a task.  Only what a document keeps leaves the task, never
+the document x topic pairs.
 
 Topics against topics: see ``pairs``.
 """
@@ -13,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusgrove.operators.pairs import closest_pairs, topic_pairs, unit_rows
@@ -59,46 +62,94 @@ def _with_floor(floor: int):
     return keep
 
 
-def _ranked_block(topics: DataFrame, keep, extra: int):
-    """Column function ranking one block of topics (``ord, label, tokens, embedding``).
+def _ranks(vectors: list, budgets: np.ndarray, ords: list, labels: list, tokens: np.ndarray, matrix: np.ndarray, keep, extra: int) -> list[list[dict]]:
+    """Per vector the topics of one block that it keeps, most similar first, and ``extra`` more."""
+    out: list[list[dict]] = []
+    step = max(1, CELLS_AT_ONCE // max(1, len(ords)))
+    for start in range(0, len(vectors), step):
+        scores = unit_rows(vectors[start : start + step]) @ matrix.T
+        for budget, sim in zip(budgets[start : start + step], scores):
+            order = _order(sim)
+            order = order[: keep(tokens[order], budget) + extra]
+            out.append([{"ord": ords[i], "label": labels[i], "similarity": float(sim[i]), "tokens": int(tokens[i])} for i in order])
+    return out
 
-    ``extra`` topics beyond the kept ones are returned as well.
-    """
+
+def _by_broadcast(docs: DataFrame, topics: DataFrame, embedding: str, keep, out: str) -> DataFrame:
+    """Ranks a single block, map-only over the documents."""
     block = topics.orderBy("ord").toPandas()
-    shared = topics.sparkSession.sparkContext.broadcast(
+    shared = docs.sparkSession.sparkContext.broadcast(
         (block["ord"].tolist(), block["label"].tolist(), block["tokens"].to_numpy(), unit_rows(list(block["embedding"])))
     )
 
     @F.pandas_udf(RANKED)
     def rank(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        ords, labels, tokens, matrix = shared.value
-        step = max(1, CELLS_AT_ONCE // max(1, len(ords)))
         for vectors, budgets in batches:
-            out: list[list[dict]] = [[] for _ in range(len(vectors))]
+            found: list[list[dict]] = [[] for _ in range(len(vectors))]
             present = np.flatnonzero(vectors.notna().to_numpy())
-            for start in range(0, len(present), step):
-                rows = present[start : start + step]
-                scores = unit_rows(list(vectors.iloc[rows])) @ matrix.T
-                for row, sim in zip(rows, scores):
-                    order = _order(sim)
-                    order = order[: keep(tokens[order], budgets.iloc[row]) + extra]
-                    out[row] = [
-                        {"ord": ords[i], "label": labels[i], "similarity": float(sim[i]), "tokens": int(tokens[i])}
-                        for i in order
-                    ]
-            yield pd.Series(out)
+            if len(present):
+                ranked = _ranks(list(vectors.iloc[present]), budgets.to_numpy()[present], *shared.value, keep, 0)
+                for row, topics in zip(present, ranked):
+                    found[row] = topics
+            yield pd.Series(found)
+
+    return docs.withColumn(out, rank.asNondeterministic()(F.col(embedding), F.col("__budget")))
+
+
+def _by_blocks(docs: DataFrame, topics: DataFrame, embedding: str, keep, out: str, block_rows: int) -> DataFrame:
+    """Ranks blocks of topics one at a time and merges what they keep.
+
+    A topic kept overall is kept in its block, because fewer topics precede it
+    there; the first topic a block gives up comes along, since it may be the one
+    that ends the merged list.  Vectors and budgets of the documents, dealt into
+    parts, meet each block; a task holds one part and one block.
+    """
+    spark = docs.sparkSession
+    docs = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "ranked-documents")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = topics.withColumn("block", F.expr(f"ord div {block_rows}"))
+    last = blocks.agg(F.max("block")).first()[0]
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("block")
+    vectors = docs.filter(F.col(embedding).isNotNull()).select(
+        "__row", F.col(embedding).cast("array<double>").alias("v"), "__budget", F.pmod(F.xxhash64("__row"), F.lit(parts)).alias("part"), each
+    )
+    offered = blocks.select("ord", "label", "tokens", F.col("embedding").cast("array<double>").alias("embedding"), "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
+
+    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, ranked = left.column("__row"), []
+        if left.num_rows and right.num_rows:
+            right = right.sort_by("ord")
+            matrix = unit_rows(right.column("embedding").to_pylist())
+            ranked = _ranks(
+                left.column("v").to_pylist(), left.column("__budget").to_numpy(), right.column("ord").to_pylist(), right.column("label").to_pylist(),
+                right.column("tokens").to_numpy(), matrix, keep, 1,
+            )
+        else:
+            rows = rows.slice(0, 0)
+        kinds = pa.list_(pa.struct([("ord", pa.int64()), ("label", pa.string()), ("similarity", pa.float64()), ("tokens", pa.int64())]))
+        return pa.table([rows, pa.array(ranked, kinds)], ["__row", "kept"])
+
+    schema = T.StructType([T.StructField("__row", T.LongType()), T.StructField("kept", RANKED)])
+    found = vectors.groupBy("part", "block").cogroup(offered.groupBy("part", "block")).applyInArrow(rank, schema)
+    lists = found.groupBy("__row").agg(F.flatten(F.collect_list("kept")).alias("__kept"))
+
+    @F.pandas_udf(RANKED)
+    def again(candidates: pd.Series, budgets: pd.Series) -> pd.Series:
+        merged = []
+        for rows, budget in zip(candidates, budgets):
+            rows = [] if rows is None else sorted(rows, key=lambda r: r["ord"])
+            order = _order(np.array([r["similarity"] for r in rows]))
+            tokens = np.array([r["tokens"] for r in rows])
+            merged.append([rows[i] for i in order[: keep(tokens[order], budget)]] if len(rows) else [])
+        return pd.Series(merged)
 
-    return rank.asNondeterministic()
+    joined = docs.join(lists, "__row", "left")
+    return joined.withColumn(out, again.asNondeterministic()(F.col("__kept"), F.col("__budget"))).drop("__row", "__kept")
 
 
 def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, keep, out: str, block_rows: int) -> DataFrame:
     """Adds ``out``: per document the kept topics, most similar first; none
     for a document without a vector.
-
-    Every topic block is ranked on its own and the kept lists are merged.  A
-    topic kept overall is kept in its block, because fewer topics precede it
-    there; the first topic a block gives up comes along, since it may be the
-    one that ends the merged list.
     """
     topics = materialize(topics.select("ord", "label", F.col("tokens").cast("long").alias("tokens"), "embedding"), "ranked-topics")
     last, dims = topics.agg(F.max("ord"), F.max(F.size("embedding"))).first()
@@ -106,28 +157,9 @@ def _rank(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, ke
     if last is None:
         return docs.withColumn(out, F.array().cast(RANKED)).drop("__budget")
     block_rows = max(1, min(block_rows, BLOCK_BYTES // (8 * max(dims, 1))))
-    extra = 0 if last < block_rows else 1
-    lists = []
-    for start in range(0, last + 1, block_rows):
-        block = topics.filter((F.col("ord") >= start) & (F.col("ord") < start + block_rows)) if extra else topics
-        if not extra or not block.isEmpty():
-            lists.append(_ranked_block(block, keep, extra)(F.col(embedding), F.col("__budget")))
-    if not extra:
-        return docs.withColumn(out, lists[0]).drop("__budget")
-    merged = F.concat(*lists)
-
-    @F.pandas_udf(RANKED)
-    def again(candidates: pd.Series, budgets: pd.Series) -> pd.Series:
-        out = []
-        for rows, budget in zip(candidates, budgets):
-            rows = sorted(rows, key=lambda r: r["ord"])
-            sim = np.array([r["similarity"] for r in rows])
-            tokens = np.array([r["tokens"] for r in rows])
-            order = _order(sim)
-            out.append([rows[i] for i in order[: keep(tokens[order], budget)]] if rows else [])
-        return pd.Series(out)
-
-    return docs.withColumn(out, again.asNondeterministic()(merged, F.col("__budget"))).drop("__budget")
+    if last < block_rows:
+        return _by_broadcast(docs, topics, embedding, keep, out).drop("__budget")
+    return _by_blocks(docs, topics, embedding, keep, out, block_rows).drop("__budget")
 
 
 def similar_topics(docs: DataFrame, topics: DataFrame, k: int, embedding: str = "embedding", out: str = "ranked", block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -32,7 +32,7 @@ def vectors(spark):
     )
 
 
-@pytest.mark.parametrize("block", [5, 100])
+@pytest.mark.parametrize("block", [2, 5, 100])
 def test_ranking_per_document(vectors, block):
     topics, docs, t, d = vectors
     budgeted = {r.doc_idx: [x.label for x in r.ranked] for r in S.budgeted_topics(d, t, F.col("budget"), block_rows=block).collect()}
@@ -45,6 +45,18 @@ def test_ranking_per_document(vectors, block):
         assert top[i] == [x[2] for x in sorted(scored, key=lambda x: -x[0])[:3]]
 
 
+def test_tasks_hold_one_block_of_topics_at_a_time(vectors, monkeypatch):
+    topics, docs, t, d = vectors
+    monkeypatch.setattr(S, "BLOCK_BYTES", 3 * 6 * 8)
+    monkeypatch.setattr(S.DataFrame, "toPandas", lambda self: pytest.fail("topics came to the driver"))
+    ranked = S.similar_topics(d, t, 4, block_rows=100)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    for r in ranked.collect():
+        scored = [(round(cos(docs[r.doc_idx][1], v), 12), -i, label) for i, label, _, v in topics]
+        assert [x.label for x in r.ranked] == [label for _, _, label in sorted(scored, reverse=True)[:4]]
+
+
 @pytest.mark.parametrize("block,group", [(2, 1), (4, 2), (256, 16)])
 def test_pairs_across_blocks(vectors, monkeypatch, block, group):
     monkeypatch.setattr(pairs, "BLOCK", block)

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pandas as pd
@@ -168,7 +169,32 @@ def test_mapping_files(spark, tmp_path):
     path = scratch_path(spark, "mapping")
     ST.write_mapping(read, path)
     assert ST.read_mapping(spark, path).orderBy("seq").collect() == read.collect()
-    assert ST.mapping_object(read).first().mapping == '{"b":"x","a":"y"}'
+    assert [r.value for r in ST.mapping_lines(read).collect()] == ['{"b":"x",', '"a":"y"}']
+
+
+@pytest.mark.parametrize("indent,parts", [(None, 1), (2, 1), (2, 3), ("spread", 1)])
+def test_mapping_objects_of_any_layout(spark, tmp_path, indent, parts):
+    pairs = [("b {", "x,"), ("a}", '"q"}'), ("é\n", "y\\"), ("b", ""), ("c:", "{}")]
+    text = json.dumps(dict(pairs), indent=indent, ensure_ascii=False) if indent != "spread" else json.dumps(dict(pairs)).replace(": ", ":\n ")
+    folder = tmp_path / "m.json"
+    folder.mkdir()
+    lines = text.split("\n")
+    size = -(-len(lines) // parts)
+    for k in range(0, len(lines), size):
+        (folder / f"part-{k:05}").write_text("\n".join(lines[k : k + size]) + "\n")
+    read = ST.read_mapping(spark, str(folder)).orderBy("seq").collect()
+    assert [(r.seq, r.old, r.new) for r in read] == [(k, *p) for k, p in enumerate(pairs)]
+
+
+def test_a_long_mapping_keeps_its_order_in_many_parts(spark):
+    n = 1_000_000
+    mapping = spark.range(n).select((F.col("id") * 3).alias("seq"), F.concat(F.lit('k"'), F.pmod(F.col("id") * 7919, F.lit(n))).alias("old"), F.concat(F.lit("n"), "id").alias("new"))
+    path = scratch_path(spark, "mapping") + ".json"
+    ST.write_mapping(mapping.repartition(5), path)
+    read = ST.read_mapping(spark, path)
+    both = read.join(mapping.select(F.expr("seq div 3").alias("seq"), F.col("old").alias("o"), F.col("new").alias("n")), "seq")
+    assert both.filter("old = o and new = n").count() == read.count() == n
+    assert json.loads("".join(r.value for r in spark.read.text(path).filter("value like '{%'").collect()).rstrip(",") + "}")
 
 
 def test_rare_topics_go_with_their_subtrees(spark):
