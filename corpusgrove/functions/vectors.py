@@ -10,6 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from corpusgrove.functions.text import let
+
 VECTOR = T.ArrayType(T.DoubleType(), False)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -29,7 +31,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def hashed_terms(dims: int = 256) -> Callable[[list[str]], np.ndarray]:
-    """Default text encoder: term counts, each term hashed to one dimension."""
+    """A text encoder: term counts, each term hashed to one dimension."""
 
     def encode(texts: list[str]) -> np.ndarray:
         slots: dict[str, int] = {}
@@ -48,12 +50,32 @@ def hashed_terms(dims: int = 256) -> Callable[[list[str]], np.ndarray]:
     return encode
 
 
+def term_counts(text: Column, dims: int = 256) -> Column:
+    """What ``hashed_terms`` gives, as one expression: no Python worker.
+
+    Every slot is put among the slots of the words; sorted, each is a run one
+    longer than its count.
+    """
+
+    def slot(word: Column) -> Column:
+        return F.pmod(F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("int"), F.lit(dims))
+
+    def counts(s: Column) -> Column:
+        starts = F.filter(F.transform(s, lambda v, i: F.when((i == 0) | (v != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+        return let(starts, lambda st: F.transform(st, lambda p, k: (F.coalesce(F.get(st, k + 1), F.size(s)) - p - 1).cast("double")))
+
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    slots = F.concat(F.transform(words, slot), F.sequence(F.lit(0), F.lit(dims - 1)))
+    return F.when(text.isNotNull(), let(F.sort_array(slots), counts))
+
+
 def embed(text: Column, encode: Callable[[list[str]], np.ndarray] | None = None) -> Column:
     """Vector column of ``text``, null where it is null.
 
-    ``encode`` maps a list of texts to a matrix.
+    ``encode`` maps a list of texts to a matrix; without it terms are counted.
     """
-    encoder = encode or hashed_terms()
+    if encode is None:
+        return term_counts(text)
 
     @F.pandas_udf(VECTOR)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -61,7 +83,7 @@ def embed(text: Column, encode: Callable[[list[str]], np.ndarray] | None = None)
             texts = batch.dropna()
             out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             if len(texts):
-                out[texts.index] = list(np.asarray(encoder(texts.tolist()), dtype=float))
+                out[texts.index] = list(np.asarray(encode(texts.tolist()), dtype=float))
             yield out
 
     # deterministic UDFs may be duplicated by filter inference; this one is costly

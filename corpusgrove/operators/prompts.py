@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusgrove.functions import grammar as G, text as X
-from corpusgrove.functions.vectors import embed
+from corpusgrove.functions.vectors import embed, hashed_terms
 from corpusgrove.operators.similarity import budgeted_topics, half_context_topics
 from corpusgrove.operators.tree import list_text, topic_list
 
@@ -18,6 +18,11 @@ def labelled_topics(tree: DataFrame, desc: bool, tokens: X.TokenCounter, encode=
     return rows.withColumn("embedding", embed(F.col("label"), encode)) if vectors else rows
 
 
+def _vector(text: Column, encode=None) -> Column:
+    """Vector of a document for the ranking, a Python step itself, which takes no higher-order functions as input."""
+    return embed(text, encode or hashed_terms())
+
+
 def _joined(ranked: str, end: str) -> Column:
     labels = F.transform(F.col(ranked), lambda r: r["label"])
     if end == "line":
@@ -67,7 +72,7 @@ def generation_prompts(
     # a list of at most max_topic_tokens is never the part that does not fit
     if topic_tokens > max_topic_tokens:
         prune = F.col("fit") == "prune_topics"
-        sized = sized.withColumn("__vector", embed(F.when(prune, F.col("text")), encode))
+        sized = sized.withColumn("__vector", _vector(F.when(prune, F.col("text")), encode))
         budget = F.when(prune, room - F.col("doc_tokens")).otherwise(F.lit(0))
         sized = budgeted_topics(sized, labelled_topics(tree, with_desc, tokens, encode), budget, "__vector", "__ranked")
         topics = F.when(prune, _joined("__ranked", "line")).otherwise(topics)
@@ -91,7 +96,7 @@ def assign_prompts(
     if tree_tokens <= context_len:
         shown, shown_tokens = list_text(tree, desc=True), F.lit(tree_tokens)
     else:
-        docs = docs.withColumn("__vector", embed(F.col("text"), encode))
+        docs = docs.withColumn("__vector", _vector(F.col("text"), encode))
         topics = labelled_topics(tree, True, tokens, encode)
         docs = budgeted_topics(docs, topics, F.lit(context_len), "__vector", "__ranked")
         shown = _joined("__ranked", "line")
@@ -124,11 +129,8 @@ def correct_prompts(
     tree_tokens = list_tokens(tree, True, tokens)
     whole = list_text(tree, desc=True)
     over = tokens.count(doc) + template_tokens + F.lit(tree_tokens) > F.lit(context_len)
-    longest = docs.agg(F.max(tokens.count(doc) + template_tokens)).first()[0] or 0
-    if longest + tree_tokens <= context_len:
-        return docs.withColumn("prompt", X.fill_template(template, Document=doc, tree=whole, Message=message))
     marked = docs.withColumn("__over", over)
-    marked = marked.withColumn("__vector", embed(F.when(F.col("__over"), doc), encode))
+    marked = marked.withColumn("__vector", _vector(F.when(F.col("__over"), doc), encode))
     topics = labelled_topics(tree, True, tokens, encode)
     ranked = half_context_topics(marked, topics, context_len, floor, "__vector", "__ranked")
     kept = F.aggregate(F.col("__ranked"), F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])

@@ -133,6 +133,15 @@ def test_embedding_and_cosine(spark):
     assert sum(rows[0].a) == 3 and rows[0].c == pytest.approx(cos(rows[0].a, rows[0].b)) and rows[1].c == 0 and rows[2].c == 0 and rows[1].a is None
 
 
+def test_term_counts_are_the_encoder_without_a_worker(spark):
+    texts = ["Trade and trade_2 and TRADE", "", "  ", "Ünï çødé 12 ½ 中文 don't", None, "a " * 3000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", V.embed(F.col("t")).alias("v"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    encode = V.hashed_terms()
+    for r in df.collect():
+        assert r.v == (None if texts[r.i] is None else encode([texts[r.i]])[0].tolist())
+
+
 TREE = [(1, w, 1, f"about {w} and {v}") for w, v in zip("Trade Energy Law Art Sport Health Water Tax".split(), "goods power courts paint games care rivers money".split())]
 DOCS = ["trade goods " * 3, "power and energy " * 10, "water rivers " * 60, "courts law tax money " * 20, "x", "games " * 200]
 

@@ -10,6 +10,7 @@ from corpusgrove.operators import backend as B, grounding as R, metrics as M, tr
 from corpusgrove.plans.assign import assign_topics, correct_topics
 from corpusgrove.plans.generate import generate_topics_level1, generate_topics_level2
 from corpusgrove.plans.refine import refine_topics
+from corpusgrove.plans import stages
 from corpusgrove.plans.stages import align, run_stages
 from corpusgrove.sources import documents as SD, topics as ST
 from corpusgrove.storage import materialize, path_exists, release_scratch, scratch_path
@@ -426,6 +427,48 @@ def test_all_stages_from_files(spark, tmp_path):
     assert T.topic_names(out["topics"]).count() == 8
 
 
+def test_a_run_goes_on_where_it_was_ended(spark, tmp_path, monkeypatch):
+    rows = [{"id": f"d{i}", "text": f"{WORDS[i % 4]} matters {i}", "label": WORDS[i % 4]} for i in range(12)]
+    (tmp_path / "c.jsonl").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    config = {"data_sample": str(tmp_path / "c.jsonl"), "manifest": str(tmp_path / "manifest"), "options": {}}
+    for stage, template in {"generation": "{Topics} D:{Document}", "assignment": "{tree}#{Document}", "correction": "{tree}#{Document}#{Message}"}.items():
+        (tmp_path / f"{stage}.txt").write_text(template)
+        config[stage] = {"prompt": str(tmp_path / f"{stage}.txt"), "output": str(tmp_path / f"{stage}.jsonl"), "topic_output": str(tmp_path / f"{stage}.md")}
+    asked = tmp_path / "asked"
+
+    def paid(stage, fn):
+        def call(prompt):
+            with open(asked, "a") as f:
+                f.write(stage[0])
+            return fn(prompt)
+
+        return one(call)
+
+    backends = {stage: paid(stage, fn) for stage, fn in {
+        "generation": name_first, "assignment": lambda p: f"[1] {p.split('#')[1].split()[0].capitalize()}: because", "correction": lambda p: "None"}.items()}
+
+    def run():
+        asked.write_text("")
+        out = run_stages(spark, config, backends)
+        return asked.read_text(), sorted(tuple(r) for r in out["corrected"].select("id", "responses").collect())
+
+    correct = stages.correct_topics
+    monkeypatch.setattr(stages, "correct_topics", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run()
+    assert set(asked.read_text()) == {"g", "a"}
+    monkeypatch.setattr(stages, "correct_topics", correct)
+    calls, first = run()
+    assert calls == "" and run() == ("", first)
+    # other options of a stage: it and those behind it run again
+    config["options"] = {"assignment": {"context_len": 1000}}
+    calls, again = run()
+    assert set(calls) == {"a"} and again == first
+    (tmp_path / "c.jsonl").write_text("\n".join(json.dumps(r) for r in rows[:8]) + "\n")
+    calls, fewer = run()
+    assert set(calls) == {"g", "a"} and len(fewer) == 8
+
+
 def test_scratch_tables_can_be_released(spark):
     kept = materialize(spark.range(3), "released")
     path = kept.inputFiles()[0].rsplit("/", 1)[0]
