@@ -90,14 +90,17 @@ class Layout:
         return both.mapInArrow(bound, "a long, b long, bound double")
 
 
-def layout(vectors: DataFrame) -> Layout | None:
-    """Blocks of ``ord, embedding`` (and ``key``, else the ord); none if there is no vector.  Null vectors have no pairs."""
+def stored(vectors: DataFrame) -> tuple[DataFrame, int, int]:
+    """``ord, key, embedding`` of the vectors that are there, their length and number; ``key`` is the ord if there is none."""
     key = F.col("key" if "key" in vectors.columns else "ord").cast("long").alias("key")
     vectors = vectors.select(F.col("ord").cast("long"), key, F.col("embedding").cast("array<double>")).filter("embedding is not null")
     vectors = materialize(vectors, "pair-vectors")
-    width = vectors.agg(F.max(F.size("embedding"))).first()[0]
-    if width is None:
-        return None
+    width, count = vectors.agg(F.max(F.size("embedding")), F.count(F.lit(1))).first()
+    return vectors, width, count
+
+
+def layout(vectors: DataFrame, width: int) -> Layout:
+    """Blocks of ``stored`` vectors."""
     sample = vectors.orderBy(F.xxhash64("ord"), "ord").limit(SAMPLE).select("embedding").collect()
     pivots = pivots_of(unit_rows([r["embedding"] for r in sample]), PIVOTS)
 
@@ -116,11 +119,7 @@ def layout(vectors: DataFrame) -> Layout | None:
 
         def row():
             units = np.frombuffer(b"".join(h[2] for h in held), np.float64).reshape(-1, width)
-            centre = units.mean(0)
-            size = np.linalg.norm(centre)
-            centre = centre / size if size > 1e-9 else units[0]
-            whole = np.abs(units).any(1).all() and np.abs(centre).any()
-            angle = float(np.arccos(np.clip((units @ centre).min(), -1, 1))) if whole else float(np.pi)
+            centre, angle = block_shape(units)
             ords, keys = (np.array([h[k] for h in held], np.int64).tobytes() for k in (0, 1))
             values = [part, place, ords, keys, units.tobytes(), centre.tobytes(), angle]
             kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.float64()]
@@ -151,8 +150,46 @@ def layout(vectors: DataFrame) -> Layout | None:
     return Layout(blocks, groups, width)
 
 
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]  # ords, keys, unit vectors
+
+
+def block_shape(units: np.ndarray) -> tuple[np.ndarray, float]:
+    """Centre of some unit vectors, and the largest angle from it."""
+    centre = units.mean(0)
+    size = np.linalg.norm(centre)
+    centre = centre / size if size > 1e-9 else units[0]
+    whole = np.abs(units).any(1).all() and np.abs(centre).any()
+    return centre, float(np.arccos(np.clip((units @ centre).min(), -1, 1))) if whole else float(np.pi)
+
+
+def found_pairs(a: list[Block], at: tuple, b: list[Block], to: tuple, floor: float, strict: bool, k: int | None) -> pa.Table:
+    """Pairs of vectors of two groups of blocks (``at, to``: their centres and angles) with a score above ``floor``, or at it."""
+    nothing = np.zeros(0, np.int64)
+    found = [(nothing, nothing, np.zeros(0), nothing, nothing)]
+    for x, y in zip(*np.nonzero(within_reach(*at, *to) >= floor - 1e-9)):
+        (ords, keys, units), (others, names, vectors) = a[x], b[y]
+        scores = np.round(units @ vectors.T, 12)
+        m, n = np.nonzero(scores > floor if strict else scores >= floor)
+        turned = ords[m] > others[n]
+        i, j = np.minimum(ords[m], others[n]), np.maximum(ords[m], others[n])
+        p, q = np.where(turned, names[n], keys[m]), np.where(turned, keys[m], names[n])
+        found.append(tuple(c[i != j] for c in (i, j, scores[m, n], p, q)))
+    i, j, score, p, q = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((j, i, -score))
+    if k is None:
+        # a group that meets itself gives every pair twice
+        i, j, score, p, q = (c[order] for c in (i, j, score, p, q))
+        order = np.lexsort((j, i))
+        once = np.append(True, (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0))[: len(order)]
+        order = order[once]
+    else:
+        pair = np.stack((np.minimum(p, q), np.maximum(p, q)))[:, order]
+        order = order[np.sort(np.unique(pair, axis=1, return_index=True)[1])[:k]]
+    return pa.Table.from_arrays([pa.array(c[order]) for c in (i, j, score, p, q)], ["i", "j", "score", "p", "q"])
+
+
 def _products(laid: Layout, pairs: DataFrame, floor: float, strict: bool, k: int | None = None) -> DataFrame:
-    """Pairs of vectors of the pairs of groups ``a, b`` with a score above ``floor``, or at it if not ``strict``.
+    """``found_pairs`` of the pairs of groups ``a, b``.
 
     With ``k``, the ``k`` best of each pair of groups alone; of several pairs of
     the same two keys ``p, q`` the best counts.
@@ -164,42 +201,43 @@ def _products(laid: Layout, pairs: DataFrame, floor: float, strict: bool, k: int
         # new columns, as both sides come from the same table
         return rows.select(*[F.col(c).alias(c) for c in ("a", "b", "ords", "keys", "units", "centre", "angle")])
 
-    def read(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
+    def read(table: pa.Table) -> tuple[list[Block], tuple[np.ndarray, np.ndarray]]:
         rows = zip(*(table.column(c).to_pylist() for c in ("ords", "keys", "units")))
         blocks = [(np.frombuffer(o, np.int64), np.frombuffer(c, np.int64), np.frombuffer(u, np.float64).reshape(-1, width)) for o, c, u in rows]
-        return blocks, np.frombuffer(b"".join(table.column("centre").to_pylist()), np.float64).reshape(-1, width), table.column("angle").to_numpy()
+        centres = np.frombuffer(b"".join(table.column("centre").to_pylist()), np.float64).reshape(-1, width)
+        return blocks, (centres, table.column("angle").to_numpy())
 
     def product(left: pa.Table, right: pa.Table) -> pa.Table:
-        nothing = np.zeros(0, np.int64)
-        found = [(nothing, nothing, np.zeros(0), nothing, nothing)]
-        if left.num_rows and right.num_rows:
-            (a, *at), (b, *to) = read(left), read(right)
-            for x, y in zip(*np.nonzero(within_reach(*at, *to) >= floor - 1e-9)):
-                (ords, keys, units), (others, names, vectors) = a[x], b[y]
-                scores = np.round(units @ vectors.T, 12)
-                m, n = np.nonzero(scores > floor if strict else scores >= floor)
-                turned = ords[m] > others[n]
-                i, j = np.minimum(ords[m], others[n]), np.maximum(ords[m], others[n])
-                p, q = np.where(turned, names[n], keys[m]), np.where(turned, keys[m], names[n])
-                found.append(tuple(c[i != j] for c in (i, j, scores[m, n], p, q)))
-        i, j, score, p, q = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((j, i, -score))
-        if k is None:
-            # a group that meets itself gives every pair twice
-            order = order[np.unique(np.stack((i[order], j[order])), axis=1, return_index=True)[1]]
-        else:
-            pair = np.stack((np.minimum(p, q), np.maximum(p, q)))[:, order]
-            order = order[np.sort(np.unique(pair, axis=1, return_index=True)[1])[:k]]
-        return pa.Table.from_arrays([pa.array(c[order]) for c in (i, j, score, p, q)], ["i", "j", "score", "p", "q"])
+        return found_pairs(*read(left), *read(right), floor, strict, k)
 
     return side("a").groupBy("a", "b").cogroup(side("b").groupBy("a", "b")).applyInArrow(product, KEYED)
 
 
+def _one_group(vectors: DataFrame, width: int, floor: float, strict: bool, k: int | None = None) -> DataFrame:
+    """``found_pairs`` of a single group: one task, ``BLOCK * GROUP`` vectors at most."""
+
+    def run(batches):
+        table = pa.Table.from_batches(batches)
+        ords, keys = table.column("ord").to_numpy(), table.column("key").to_numpy()
+        units = unit_rows(list(table.column("embedding").combine_chunks().flatten().to_numpy().reshape(-1, width)))
+        order = np.argsort((units @ pivots_of(units[:SAMPLE], PIVOTS).T).argmax(1), kind="stable")
+        cuts = [order[at : at + BLOCK] for at in range(0, len(order), BLOCK)]
+        blocks = [(ords[c], keys[c], units[c]) for c in cuts]
+        centres, angles = zip(*(block_shape(b[2]) for b in blocks))
+        shape = np.stack(centres), np.array(angles)
+        yield from found_pairs(blocks, shape, blocks, shape, floor, strict, k).to_batches()
+
+    return vectors.select("ord", "key", "embedding").coalesce(1).mapInArrow(run, KEYED)
+
+
 def topic_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``i < j`` with cosine above ``threshold``, from ``ord, embedding``."""
-    laid = layout(vectors)
-    if laid is None:
+    """Pairs ``i < j`` with cosine above ``threshold``, from ``ord, embedding``; null vectors have none."""
+    vectors, width, count = stored(vectors)
+    if not count:
         return vectors.sparkSession.createDataFrame([], PAIRS)
+    if count <= BLOCK * GROUP:
+        return _one_group(vectors, width, threshold, True).select("i", "j", "score")
+    laid = layout(vectors, width)
     near = materialize(laid.group_pairs().filter(F.col("bound") > threshold), "group-pairs")
     return _products(laid, near, threshold, True).select("i", "j", "score")
 
@@ -210,9 +248,12 @@ def closest_pairs(vectors: DataFrame, k: int, threshold: float, wave: int = WAVE
     ``vectors`` holds ``ord, embedding`` and may hold ``key``; of the pairs of
     the same two keys only the best counts.
     """
-    laid = layout(vectors)
-    if laid is None:
+    vectors, width, count = stored(vectors)
+    if not count:
         return vectors.sparkSession.createDataFrame([], PAIRS)
+    if count <= BLOCK * GROUP:
+        return _one_group(vectors, width, threshold, True, k).select("i", "j", "score")
+    laid = layout(vectors, width)
     near = materialize(laid.group_pairs().filter(F.col("bound") > threshold), "group-pairs")
     floor, full, found = threshold, False, None
     while True:

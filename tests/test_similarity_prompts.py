@@ -83,7 +83,8 @@ def test_clusters_out_of_reach_are_never_joined(spark, monkeypatch):
     monkeypatch.setattr(pairs, "BLOCK", 10)
     monkeypatch.setattr(pairs, "GROUP", 2)
     rows, df = clustered(spark)
-    laid = pairs.layout(df)
+    stored, width, _ = pairs.stored(df)
+    laid = pairs.layout(stored, width)
     bounds = laid.group_pairs().collect()
     assert len(bounds) == laid.groups * (laid.groups + 1) // 2
     near = sum(r.bound > 0.9 for r in bounds)
@@ -104,7 +105,8 @@ def test_best_pairs_visit_few_groups(spark, monkeypatch):
     copies = df.unionByName(df.filter("ord < 40").withColumn("ord", F.col("ord") + 1000))
     got = pairs.closest_pairs(copies, 5, 0.5, wave=8)
     assert [(r.i, r.j) for r in got.collect()] == [(k, k + 1000) for k in range(5)]
-    groups = pairs.layout(copies).groups
+    stored, width, _ = pairs.stored(copies)
+    groups = pairs.layout(stored, width).groups
     assert sum(visited) < 0.25 * groups * (groups + 1) / 2
 
 
