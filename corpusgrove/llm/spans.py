@@ -14,6 +14,29 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key and ``text`` compressed on its own, for a shuffle; null stays null."""
+
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=1)
+        for batch in batches:
+            out = []
+            for text in batch.column(2):
+                data = text.as_py().encode() if text.is_valid else None
+                out.append(None if data is None else len(data).to_bytes(8, "little") + codec.compress(data, asbytes=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "row_key", "text"])
+
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), "text")
+    return keyed.mapInArrow(run, "doc_id long, row_key long, text binary")
+
+
+def unpacked_text(data: bytes | None) -> bytes:
+    """The bytes of a packed text; null is empty."""
+    if data is None:
+        return b""
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def merge_spans(spans: np.ndarray) -> np.ndarray:
     """Maximal runs covered by (from, to) rows; spans that touch or overlap are one."""
     if not len(spans):
@@ -33,8 +56,8 @@ def kept_bytes(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(starts, ends))
 
 
-def without_spans(docs: DataFrame, removed: DataFrame, sources: bool = False) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
+def without_spans(docs: DataFrame, removed: DataFrame, sources: bool = False, packed: bool = False) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256; texts are shuffled compressed if ``packed``.
 
     ``removed``: doc_id, row_key (hash of the text), spans (pairs of 64-bit
     numbers as bytes) and, with ``sources``, the documents that keep the spans.
@@ -49,7 +72,7 @@ def without_spans(docs: DataFrame, removed: DataFrame, sources: bool = False) ->
                 batch = whole.slice(begin, 512)
                 rows = []
                 for text, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    data = (text or "").encode()
+                    data = unpacked_text(text) if packed else (text or "").encode()
                     merged = merge_spans(np.frombuffer(b"".join(parts or []), np.int64).reshape(-1, 2))
                     kept = kept_bytes(data, merged)
                     rows.append((len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
@@ -60,7 +83,7 @@ def without_spans(docs: DataFrame, removed: DataFrame, sources: bool = False) ->
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["sources"] if sources else [])],
                 )
 
-    keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
+    keyed = packed_texts(docs) if packed else docs.select("doc_id", "text", row_key().alias("row_key"))
     joined = keyed.join(spans.hint("shuffle_hash"), ["doc_id", "row_key"], "left")
     extra = [F.coalesce("sources", F.expr("cast(array() as array<bigint>)")).alias("sources")] if sources else []
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", sources array<long>" if sources else "")

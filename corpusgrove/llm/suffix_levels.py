@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusgrove.llm.batches import small_batches
 from corpusgrove.llm.hashing import GOLDEN, constants, mix, pieces, text_bytes
 from corpusgrove.llm.shared_prints import bucket_count, buckets_of, is_shared, shared_prints
-from corpusgrove.llm.spans import row_key, without_spans
+from corpusgrove.llm.spans import packed_texts, row_key, unpacked_text, without_spans
 from corpusgrove.storage import materialize
 
 LENGTH = 50
@@ -197,7 +197,8 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
                 ids, keys, known = (batch.column(k).to_pylist() for k in (0, 1, 3))
-                for row, at, data, prints in string_prints(batch.column(2), length, maker):
+                texts = pa.array([unpacked_text(t) for t in batch.column(2).to_pylist()], pa.large_binary())
+                for row, at, data, prints in string_prints(texts, length, maker):
                     change = np.flatnonzero(np.concatenate(([True], prints[1:] != prints[:-1])))
                     hit = is_shared(prints[change], known[row], n_buckets)
                     if not hit.any():
@@ -220,8 +221,7 @@ def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) ->
         if held:
             yield from rows()
 
-    keyed = docs.select("doc_id", row_key().alias("row_key"), "text")
-    joined = keyed.join(shared.hint("shuffle_hash"), "doc_id").select("doc_id", "row_key", "text", "shared")
+    joined = packed_texts(docs).join(shared.hint("shuffle_hash"), "doc_id").select("doc_id", "row_key", "text", "shared")
     return joined.mapInArrow(cut, PASSAGES)
 
 
@@ -461,4 +461,4 @@ def _merge_lists(batches):
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256."""
-    return without_spans(docs, repeated_spans(docs, length))
+    return without_spans(docs, repeated_spans(docs, length), packed=True)
