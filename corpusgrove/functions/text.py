@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -172,3 +173,34 @@ def fill_template(template: str, **values: Column) -> Column:
         if field is not None:
             parts.append(values[field])
     return F.concat(*parts) if parts else F.lit("")
+
+
+def template_fields(template: str) -> list[str] | None:
+    """Placeholders of a template, if no token of a filled one can span two of its parts.
+
+    That holds when no placeholder touches a word character of the template or
+    another placeholder.
+    """
+    word = lambda c: unicodedata.category(c)[0] in "LMN" or c == "_"
+    fields, before = [], None
+    for literal, field, _, _ in string.Formatter().parse(template):
+        if before is not None and (not literal and field is not None or literal and word(literal[0])):
+            return None
+        if field is not None:
+            if literal and word(literal[-1]):
+                return None
+            fields.append(field)
+        before = field
+    return fields
+
+
+def filled_tokens(template: str, **counts: Column) -> Column | None:
+    """Tokens of a filled template from those of its parts, by the default counter; None if they do not add up."""
+    fields = template_fields(template)
+    if fields is None:
+        return None
+    literals = " ".join(literal for literal, _, _, _ in string.Formatter().parse(template))
+    total = count_tokens(F.lit(literals))
+    for field in fields:
+        total = total + counts[field]
+    return total

@@ -79,8 +79,11 @@ def _with_retries(fn, prompts: list[str], tries: int, wait: float) -> list[tuple
 
 
 def _counted(df: DataFrame, prompt: str, tokens: X.TokenCounter) -> DataFrame:
-    """Adds the tokens of prompt and response, for ``usage_of_calls``."""
-    return df.withColumn("prompt_tokens", tokens.count(F.col(prompt))).withColumn("response_tokens", tokens.count(F.col("response")))
+    """Adds the tokens of prompt and response, for ``usage_of_calls``; prompts may bring theirs along."""
+    known = "__prompt_tokens" in df.columns and tokens is X.DEFAULT_TOKENS
+    counted = F.col("__prompt_tokens") if known else tokens.count(F.col(prompt))
+    counted = F.when(F.col(prompt).isNotNull(), counted).cast("long")
+    return df.withColumn("prompt_tokens", counted).withColumn("response_tokens", tokens.count(F.col("response"))).drop("__prompt_tokens")
 
 
 def complete(

@@ -10,6 +10,9 @@ from corpusgrove.operators.similarity import budgeted_topics, half_context_topic
 from corpusgrove.operators.tree import list_text, topic_list
 
 
+PROMPT_TOKENS = "__prompt_tokens"
+
+
 def labelled_topics(tree: DataFrame, desc: bool, tokens: X.TokenCounter, encode=None, vectors: bool = True) -> DataFrame:
     """``ord, label, tokens`` (and ``embedding``) of a tree's distinct labels."""
     listed = topic_list(tree, desc=desc, count=False)
@@ -23,6 +26,12 @@ def _vector(text: Column, encode=None) -> Column:
     return embed(text, encode or hashed_terms())
 
 
+def _with_tokens(df: DataFrame, template: str, tokens: X.TokenCounter, **counts: Column) -> DataFrame:
+    """Adds the prompt's tokens where they are the sum over its parts: prompts carry whole trees, and counting is slow."""
+    total = X.filled_tokens(template, **counts) if tokens is X.DEFAULT_TOKENS else None
+    return df if total is None else df.withColumn(PROMPT_TOKENS, total)
+
+
 def _joined(ranked: str, end: str) -> Column:
     labels = F.transform(F.col(ranked), lambda r: r["label"])
     if end == "line":
@@ -30,6 +39,10 @@ def _joined(ranked: str, end: str) -> Column:
     return F.array_join(labels, "\n")
 
 
+def _ranked_tokens() -> Column:
+    return F.aggregate(F.col("__ranked"), F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])
+
+
 def list_tokens(tree: DataFrame, desc: bool, tokens: X.TokenCounter, strip_desc: bool = False) -> int:
     """Tokens of the whole topic list, summed per label."""
     label = X.label_of(desc)
@@ -69,6 +82,9 @@ def generation_prompts(
     )
     cut = tokens.truncate(F.col("text"), room - max_topic_tokens)
     document = F.when(F.col("fit") == "cut_document", cut).otherwise(F.col("text"))
+    left = F.greatest(room - max_topic_tokens, F.lit(0))
+    sent = F.when(F.col("fit") == "cut_document", F.least(F.col("doc_tokens"), left)).otherwise(F.col("doc_tokens"))
+    listed = F.lit(topic_tokens)
     # a list of at most max_topic_tokens is never the part that does not fit
     if topic_tokens > max_topic_tokens:
         prune = F.col("fit") == "prune_topics"
@@ -76,8 +92,10 @@ def generation_prompts(
         budget = F.when(prune, room - F.col("doc_tokens")).otherwise(F.lit(0))
         sized = budgeted_topics(sized, labelled_topics(tree, with_desc, tokens, encode), budget, "__vector", "__ranked")
         topics = F.when(prune, _joined("__ranked", "line")).otherwise(topics)
+        listed = F.when(prune, _ranked_tokens()).otherwise(listed)
     prompt = X.fill_template(template, Document=document, Topics=topics)
-    return sized.withColumn("prompt", prompt).drop("__vector", "__ranked")
+    sized = _with_tokens(sized.withColumn("prompt", prompt), template, tokens, Document=sent, Topics=listed)
+    return sized.drop("__vector", "__ranked")
 
 
 def assign_prompts(
@@ -100,11 +118,12 @@ def assign_prompts(
         topics = labelled_topics(tree, True, tokens, encode)
         docs = budgeted_topics(docs, topics, F.lit(context_len), "__vector", "__ranked")
         shown = _joined("__ranked", "line")
-        shown_tokens = F.aggregate(F.col("__ranked"), F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])
+        shown_tokens = _ranked_tokens()
     room = F.lit(context_len) - tokens.count(F.lit(template)) - shown_tokens
     out = docs.withColumn("prompted_docs", tokens.truncate(F.col("text"), room))
     prompt = X.fill_template(template, Document=F.col("prompted_docs"), tree=shown)
-    return out.withColumn("prompt", prompt).drop("__vector", "__ranked")
+    out = _with_tokens(out.withColumn("prompt", prompt), template, tokens, Document=tokens.count(F.col("prompted_docs")), tree=shown_tokens)
+    return out.drop("__vector", "__ranked")
 
 
 def correct_prompts(
@@ -133,12 +152,15 @@ def correct_prompts(
     marked = marked.withColumn("__vector", _vector(F.when(F.col("__over"), doc), encode))
     topics = labelled_topics(tree, True, tokens, encode)
     ranked = half_context_topics(marked, topics, context_len, floor, "__vector", "__ranked")
-    kept = F.aggregate(F.col("__ranked"), F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])
+    kept = _ranked_tokens()
     room = F.lit(context_len) - template_tokens - kept
     cut = F.when(F.col("__over"), tokens.truncate(doc, room)).otherwise(doc)
     shown = F.when(F.col("__over"), _joined("__ranked", "join")).otherwise(whole)
     prompt = X.fill_template(template, Document=cut, tree=shown, Message=message)
-    return ranked.withColumn("prompt", prompt).drop("__over", "__vector", "__ranked")
+    doc_tokens, listed = tokens.count(doc), F.when(F.col("__over"), kept).otherwise(F.lit(tree_tokens))
+    sent = F.when(F.col("__over"), F.least(doc_tokens, F.greatest(room, F.lit(0)))).otherwise(doc_tokens)
+    ranked = _with_tokens(ranked.withColumn("prompt", prompt), template, tokens, Document=sent, tree=listed, Message=tokens.count(message))
+    return ranked.drop("__over", "__vector", "__ranked")
 
 
 def subtopic_budget(template: str, context_len: int, max_tokens: int) -> Column:

@@ -217,3 +217,17 @@ def test_context_lengths():
     assert [G.context_length(m) for m in ("gpt-4", "gpt-3.5-turbo", "")] == [7000, 3096, 127000]
     assert G.REASSIGN_MESSAGE[1].startswith(". Please")
     assert X.DEFAULT_TOKENS.count is X.count_tokens
+
+
+@pytest.mark.parametrize("context", [15, 40, 90, 100_000])
+def test_prompts_bring_their_tokens_along(corpus, context):
+    docs, tree = corpus
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    made = [P.generation_prompts(docs, tree, "Known:\n{Topics}\nText {Document}.", context, max_topic_tokens=8), P.assign_prompts(docs, tree, "{tree}#{Document}", context)]
+    again = docs.select("doc_idx", F.col("text").alias("prompted_docs"), F.lit("[1] Ghost: x").alias("responses"))
+    made.append(P.correct_prompts(again, tree, "{tree}#{Document}#{Message}", context, floor=2))
+    for prompts in made:
+        rows = prompts.select("prompt", P.PROMPT_TOKENS, X.count_tokens(F.col("prompt")).alias("n")).collect()
+        assert [r[1] for r in rows if r.prompt is not None] == [r.n for r in rows if r.prompt is not None]
+    assert P.PROMPT_TOKENS not in P.assign_prompts(docs, tree, "{tree}{Document}", context).columns
+    assert X.template_fields("a{x} {y}") is None and X.template_fields("{x}b") is None and X.template_fields("a {x}: {x}") == ["x", "x"]
