@@ -581,7 +581,7 @@ def apply_merge(spark, sf):
     merges = tree.withColumn("stem", stem).join(stems, "stem").select(
         (F.col("at") - CREATED_BASE).alias("merge_id"),
         T.ordinal().alias("pos"),
-        F.initcap("stem").alias("new_name"),
+        stub.capital(F.col("stem")).alias("new_name"),
         F.concat(F.lit("Words on "), "stem").alias("new_desc"),
         F.col("name").alias("old_name"),
         F.lit(1).alias("old_lvl"),

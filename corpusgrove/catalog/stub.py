@@ -49,11 +49,20 @@ def top_words(text: Column, k: int = 2) -> Column:
     return F.transform(best, lambda r: r["word"])
 
 
+def capital(word: Column) -> Column:
+    """``word`` with a capital letter for its first, one for one, so that it stays the same topic in any case.
+
+    ``initcap`` makes two letters of some: ``ß`` becomes ``Ss``, another name.
+    """
+    first = F.substring(word, 1, 1)
+    upper = F.when(first == "ß", "ẞ").when(F.length(F.upper(first)) == 1, F.upper(first)).otherwise(first)
+    return F.concat(upper, F.substring(word, F.lit(2), F.length(word)))
+
 
 def level1_response(words: Column, doc: Column, source: Column) -> Column:
     def line(found: Column, i: int) -> Column:
         word = F.get(found, F.lit(i))
-        shown = F.when(doc % 2 == 0, F.initcap(word)).otherwise(word)
+        shown = F.when(doc % 2 == 0, capital(word)).otherwise(word)
         return F.concat(F.lit("[1] "), shown, F.lit(": Documents from "), source, F.lit(" about "), word, F.lit("."))
 
     text = let(
@@ -92,7 +101,7 @@ def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_response(words: Column) -> Column:
     """A merge line for the document's two topics; ``None`` with fewer."""
-    a, b = F.initcap(F.get(words, F.lit(0))), F.initcap(F.get(words, F.lit(1)))
+    a, b = capital(F.get(words, F.lit(0))), capital(F.get(words, F.lit(1)))
     line = F.concat(
         F.lit("[1] "), a, F.lit(": Texts on "), F.lower(a), F.lit(" and "), F.lower(b),
         F.lit(". ([1] "), a, F.lit(", [1] "), b, F.lit(")"),
@@ -102,7 +111,7 @@ def merge_response(words: Column) -> Column:
 
 def subtopic_response(words: Column, lang: Column) -> Column:
     """The document's first topic as branch, its second as subtopic."""
-    a, b = F.initcap(F.get(words, F.lit(0))), F.initcap(F.get(words, F.lit(1)))
+    a, b = capital(F.get(words, F.lit(0))), capital(F.get(words, F.lit(1)))
     text = F.concat(
         F.lit("[1] "), a,
         F.lit("\n    [2] "), b, F.lit(" (Document: 1, 3): Texts on "), F.lower(b),
@@ -122,11 +131,17 @@ SUBTOPIC_TEMPLATE = "Topic: {Topic}\nDocuments:\n{Document}"
 REFINE_TEMPLATE = "Merge what belongs together.\n{Topics}\nMerged:"
 
 
+def capital_word(word: str) -> str:
+    """``capital`` of a string."""
+    upper = "ẞ" if word[0] == "ß" else word[0].upper()
+    return (upper if len(upper) == 1 else word[0]) + word[1:]
+
+
 def name_topics(prompt: str) -> str:
     """Completer: the two most frequent long words of the text."""
     words = Counter(_LONG.findall(prompt.split("\nText:\n", 1)[1].lower()))
     best = sorted(words.items(), key=lambda item: (-item[1], item[0]))[:2]
-    return "\n".join(f"[1] {w.capitalize()}: Documents about {w}." for w, _ in best) or "None"
+    return "\n".join(f"[1] {capital_word(w)}: Documents about {w}." for w, _ in best) or "None"
 
 
 def name_initial(prompt: str) -> str:

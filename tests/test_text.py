@@ -3,6 +3,7 @@ import random
 import regex
 from pyspark.sql import functions as F
 
+from corpusgrove.catalog import stub
 from corpusgrove.functions import grammar as G, text as X
 from corpusgrove.operators import responses as L
 from tests import naive
@@ -90,3 +91,11 @@ def test_subtopic_lines(spark):
         (2, "Exports", [1, 3], "Policies on goods.", True),
         (2, "Tariff", [2], "Taxes: yes", True),
     ]
+
+
+def test_capital_names_stay_the_word_in_any_case(spark):
+    words = ["ßausch", "haus", "éclair", "ﬁnden", "ŉabcdef"]
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "k int, w string")
+    got = rows.select("w", stub.capital(F.col("w")).alias("c")).withColumn("back", F.lower("c")).orderBy("k").collect()
+    assert [r["c"] for r in got] == ["ẞausch", "Haus", "Éclair", "ﬁnden", "ŉabcdef"] == [stub.capital_word(w) for w in words]
+    assert all(r["back"] == r["w"] for r in got)
