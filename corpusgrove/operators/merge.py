@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from corpusgrove.functions import text as X
+from corpusgrove.llm.components import connected_components
 from corpusgrove.operators.ordering import dense_index
 from corpusgrove.operators.tree import NODE, ordinal, parent_path, without_subtrees
 from corpusgrove.schema import CREATED_BASE
 from corpusgrove.storage import materialize
 
 
+LAYERS = 4
+TOGETHER = 100_000  # nodes and originals that a task holds at once
+RESULT = "path array<long>, lvl int, name string, count long, desc string"
+RESULT_ARROW = pa.schema([("path", pa.list_(pa.int64())), ("lvl", pa.int32()), ("name", pa.string()), ("count", pa.int64()), ("desc", pa.string())])
+
+
 def merge_nodes(tree: DataFrame, merges: DataFrame) -> DataFrame:
     """Nodes each original names: same level, same name in any case.
 
@@ -185,12 +194,101 @@ def apply_disjoint_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
     return without_subtrees(_with_merged(tree, placed), gone)
 
 
+def _one_after_another(nodes: list[dict], merges: list[dict]) -> list[dict]:
+    """Merges that depend on one another, in ``merge_id`` order, on all nodes they can name or remove."""
+    tree = {tuple(n["path"]): n for n in nodes}
+    named: dict[tuple, set[tuple]] = {}
+    kids: dict[tuple, set[tuple]] = {}
+
+    def put(path: tuple, node: dict) -> None:
+        tree[path] = node
+        named.setdefault((node["key"], node["lvl"]), set()).add(path)
+        kids.setdefault(path[:-1], set()).add(path)
+
+    def drop(path: tuple) -> None:
+        node = tree.pop(path)
+        named[node["key"], node["lvl"]].discard(path)
+        kids[path[:-1]].discard(path)
+        for below in list(kids.get(path, ())):
+            drop(below)
+
+    for path, node in list(tree.items()):
+        put(path, node)
+    lines: dict[int, list[dict]] = {}
+    for row in merges:
+        lines.setdefault(row["merge_id"], []).append(row)
+    for merge_id in sorted(lines):
+        rows = sorted(lines[merge_id], key=lambda r: -1 if r["pos"] is None else r["pos"])
+        new, new_key, desc = (rows[0][c] for c in ("new_name", "new_key", "new_desc"))
+        hits = [(r["pos"], path) for r in rows if r["key"] is not None for path in named.get((r["key"], r["old_lvl"]), ())]
+        first = min(hits)[1] if hits else None
+        parent = first[:-1] if hits else ()
+        count = sum(tree[path]["count"] for _, path in hits)
+        spared = [path for path in kids.get(parent, ()) if new is not None and tree[path]["name"] == new]
+        wanted: dict[int, dict[tuple, int]] = {}
+        for pos, path in hits:
+            if path not in spared:
+                each = wanted.setdefault(pos, {})
+                kind = tree[path]["key"], tree[path]["lvl"], tree[path]["name"]
+                each[kind] = each.get(kind, 0) + 1
+        for path in spared:
+            tree[path] |= {"count": count, "desc": tree[path]["desc"] if desc is None else desc}
+        if not spared:
+            above, last = (tree[first]["above_lvl"], tree[first]["last"]) if hits else (0, rows[0]["root_last"])
+            lvl = None if above is None else above + 1
+            put((*parent, last + 1 + merge_id), {"key": new_key, "lvl": lvl, "name": new, "count": count, "desc": desc, "above_lvl": above, "last": last})
+        for pos in sorted(wanted):
+            gone = []
+            for (key, lvl, name), hit in wanted[pos].items():
+                gone += sorted(path for path in named[key, lvl] if tree[path]["name"] == name)[:hit]
+            for path in gone:
+                if path in tree:
+                    drop(path)
+    return [{**{c: node[c] for c in NODE[1:]}, "path": list(path)} for path, node in tree.items()]
+
+
+def _by_component(tree: DataFrame, merges: DataFrame, order: DataFrame, last: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Applies merges a group at a time, in parallel; a group holds those linked by ``order``.
+
+    A group comes with all nodes that it names and those below them, which no
+    other group names or removes.  Returns the tree, and the merges and order of
+    the groups too large for a task.
+    """
+    linked = connected_components(order.select(F.col("before").alias("a"), F.col("after").alias("b")))
+    grouped = merges.join(linked.withColumnRenamed("id", "merge_id"), "merge_id", "left").withColumn("grp", F.coalesce("component", "merge_id")).drop("component")
+    grouped = materialize(grouped.withColumns({"key": F.lower("old_name"), "new_key": F.lower("new_name")}), "merge-groups")
+    keys = grouped.select("grp", "key").unionByName(grouped.select("grp", F.col("new_key").alias("key"))).dropna().distinct()
+    above = F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", 1, n))
+    heads = tree.select(F.lower("name").alias("key"), F.col("path").alias("above")).join(keys, "key").select("above", "grp")
+    held = tree.select("path", F.explode(above).alias("above")).join(heads, "above").select("path", "grp").distinct()
+    parents = tree.select(F.col("path").alias("parent"), F.col("lvl").alias("above_lvl"))
+    nodes = tree.join(held, "path").withColumn("parent", parent_path()).join(parents, "parent", "left").join(last, "parent", "left")
+    level = F.when(F.size("parent") == 0, F.lit(0)).otherwise(F.col("above_lvl"))
+    nodes = nodes.select("grp", F.lower("name").alias("key"), *NODE, level.cast("int").alias("above_lvl"), F.coalesce("last", F.lit(-1)).alias("last"))
+    nodes = materialize(nodes, "merge-group-nodes")
+    sizes = nodes.select("grp").unionByName(grouped.select("grp")).groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    large = materialize(sizes.filter(F.col("n") > TOGETHER).select("grp"), "merge-groups-large")
+    root = last.filter(F.size("parent") == 0).agg(F.coalesce(F.max("last"), F.lit(-1))).first()[0]
+    lines = grouped.join(large, "grp", "left_anti").select("grp", "merge_id", "pos", "new_name", "new_key", "new_desc", "key", "old_lvl", F.lit(root).cast("long").alias("root_last"))
+    small = nodes.join(large, "grp", "left_anti")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist(_one_after_another(left.to_pylist(), right.to_pylist()), RESULT_ARROW)
+
+    done = small.groupBy("grp").cogroup(lines.groupBy("grp")).applyInArrow(run, RESULT)
+    tree = materialize(tree.join(small.select("path"), "path", "left_anti").select(*NODE).unionByName(done.select(*NODE)), "merged-tree")
+    rest = materialize(grouped.join(large, "grp", "left_semi").select(*merges.columns), "merges")
+    return tree, rest, materialize(order.join(rest.select(F.col("merge_id").alias("after")).distinct(), "after", "left_semi"), "merge-order")
+
+
 def apply_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
     """Apply merges in ``merge_id`` order, a layer at a time.
 
-    A layer holds the merges whose predecessors in ``merge_order`` are done, so
-    there are as many layers as the longest chain of merges that depend on one
-    another; merges that share no name are one pass over the tree.
+    A layer holds the merges whose predecessors in ``merge_order`` are done;
+    merges that share no name are one pass over the tree.  What ``LAYERS``
+    layers leave over, longer chains of merges that depend on one another, is
+    split into groups without a link between them, and a task applies those of a
+    group one after another.  Groups larger than a task holds go on in layers.
     """
     merges = materialize(merges, "merges")
     names = merges.select("merge_id", F.lower("old_name").alias("key")).unionByName(
@@ -202,7 +300,11 @@ def apply_merges(tree: DataFrame, merges: DataFrame) -> DataFrame:
         return apply_disjoint_merges(tree, merges)
     order = materialize(merge_order(tree, merges), "merge-order")
     last = materialize(_last_children(tree), "last-children")
-    while True:
+    for layer in itertools.count():
+        if layer == LAYERS and not order.isEmpty():
+            tree, merges, order = _by_component(tree, merges, order, last)
+            if merges.isEmpty():
+                return tree
         waiting = order.select(F.col("after").alias("merge_id")).distinct()
         ready = merges.join(waiting, "merge_id", "left_anti")
         if order.isEmpty():

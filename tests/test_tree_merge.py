@@ -145,6 +145,25 @@ def test_many_overlapping_merges_match_the_sequential_rule(spark, seed):
     assert naive.dump_table(got) == naive.dump(root), (lines, merges)
 
 
+@pytest.mark.parametrize("seed,together", [(1, 100_000), (2, 100_000), (3, 4)])
+def test_groups_of_long_chains_match_the_sequential_rule(spark, monkeypatch, seed, together):
+    monkeypatch.setattr(Mg, "LAYERS", 1)
+    monkeypatch.setattr(Mg, "TOGETHER", together)
+    rng = random.Random(900 + seed)
+    root = naive.nest([*random_lines(rng, 30), *[row for k in range(8) for row in ((1, f"Z{k}", k, "d"), (2, f"Kid {k}", 1, ""))]])
+    tree = naive.tree_rows(spark, root)
+    merges = [([(rng.choice([*NAMES, "M0", "M1"]), rng.choice([1, 2])) for _ in range(2)], rng.choice([*NAMES, "M0", "M1", "m1"]), f"d{k}") for k in range(5)]
+    merges += [([("Z0" if k == 1 else "Zed", 1), (f"Z{k}", 1), ("Unknown", 1)], "Zed", f"z{k}") for k in range(1, 8)]
+    layers = []
+    layer = Mg._apply_layer
+    monkeypatch.setattr(Mg, "_apply_layer", lambda t, m, last: (layers.append(1), layer(t, m, last))[1])
+    got = Mg.apply_merges(tree, merges_table(spark, merges))
+    for originals, name, desc in merges:
+        naive.merge(root, originals, name, desc)
+    assert naive.dump_table(got) == naive.dump(root), merges
+    assert len(layers) == 1 or together == 4
+
+
 def test_layers_follow_the_longest_chain(spark, monkeypatch):
     root = naive.nest([row for k in range(12) for row in ((1, f"P{k % 3}x{k}", 4, "d"), (2, f"c{k}", 1, ""), (2, f"e{k}", 1, ""))])
     tree = naive.tree_rows(spark, root)
