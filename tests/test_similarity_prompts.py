@@ -72,6 +72,26 @@ def test_pairs_across_blocks(vectors, monkeypatch, block, group):
     assert [(r.i, r.j) for r in got.collect()] == [p for _, p in best]
 
 
+@pytest.mark.parametrize("block_bytes", [0, 1 << 20])
+def test_listed_topics_are_the_ranked_ones_as_text(spark, monkeypatch, block_bytes):
+    rng = random.Random(5)
+    words = ["tax", "art", "sea", "law", "sun"]
+    labels = sorted({" ".join(rng.choices(words, k=rng.randint(0, 4))) for _ in range(40)})
+    made = [(k, f"{label} #", len(label) % 7 + 1, ENCODE([label])[0].tolist()) for k, label in enumerate(labels)]
+    topics = spark.createDataFrame(made, "ord bigint, label string, tokens int, embedding array<double>")
+    texts = [None, "", *[" ".join(rng.choices(words, k=9)) for _ in range(20)]]
+    docs = spark.createDataFrame([(i, None if t is None else ENCODE([t])[0].tolist()) for i, t in enumerate(texts)], "id int, v array<double>")
+    budget = F.col("id") * 7
+    for line, ranked in ((True, S.budgeted_topics(docs, topics, budget, "v")), (False, S.half_context_topics(docs, topics, 50, 3, "v"))):
+        want = {r.id: ("".join(t.label + "\n" for t in r.ranked) if line else "\n".join(t.label for t in r.ranked), sum(t.tokens for t in r.ranked)) for r in ranked.collect()}
+        want[0] = (None, None)
+        with monkeypatch.context() as m:
+            m.setattr(S, "BLOCK_BYTES", block_bytes)
+            m.setattr(S, "TEXT_BYTES", 100)
+            listed = S.budgeted_list(docs, topics, budget, "v") if line else S.half_context_list(docs, topics, 50, 3, "v")
+            assert {r.id: (r.listed, r.listed_tokens) for r in listed.collect()} == want
+
+
 def clustered(spark, n=600, clusters=12):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(clusters, 24))
