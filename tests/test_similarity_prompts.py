@@ -130,6 +130,23 @@ def test_best_pairs_visit_few_groups(spark, monkeypatch):
     assert sum(visited) < 0.25 * groups * (groups + 1) / 2
 
 
+def test_groups_of_best_pairs_grow_with_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 2)
+    monkeypatch.setattr(pairs, "GROUP", 1)
+    monkeypatch.setattr(pairs, "GROUPS", 3)
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=6).tolist()) for k in range(150)]
+    df = spark.createDataFrame(rows, "ord bigint, embedding array<float>")
+    numbers = []
+    products = pairs._products
+    monkeypatch.setattr(pairs, "_products", lambda laid, *a: (numbers.append(laid.groups), products(laid, *a))[1])
+    got = [(r.i, r.j) for r in pairs.closest_pairs(df, 4, 0.1).collect()]
+    m = pairs.unit_rows([np.float32(v).astype(float) for _, v in rows])
+    s = np.round(m @ m.T, 12)
+    assert got == sorted(((i, j) for i in range(150) for j in range(i + 1, 150)), key=lambda p: (-s[p], p))[:4]
+    assert max(numbers) <= 8
+
+
 def test_best_pairs_count_a_label_pair_once(spark):
     rows = [(0, "a", [1.0, 0.0]), (1, "a", [1.0, 0.0]), (2, "b", [1.0, 0.01]), (3, "c", [1.0, 0.5]), (4, "d", [0.0, 0.0]), (5, "e", None)]
     t = spark.createDataFrame(rows, "ord bigint, label string, embedding array<double>")
