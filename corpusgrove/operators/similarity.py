@@ -170,20 +170,25 @@ ROWS_AT_ONCE = 256
 
 @dataclass(frozen=True)
 class Sparse:
-    """Unit vectors of the topics in tree order, without their zeros, and labels and tokens."""
+    """Vectors of the topics in tree order, without their zeros, and their lengths, labels and tokens.
+
+    Products of counts are whole numbers, so topics that are equally similar get the very same cosine.
+    """
 
     starts: np.ndarray
     slots: np.ndarray
     weights: np.ndarray
+    lengths: np.ndarray
     labels: np.ndarray
     tokens: np.ndarray
 
-    def similarities(self, unit: np.ndarray) -> np.ndarray:
+    def similarities(self, vector: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.labels))
         sizes = np.diff(self.starts)
         if len(self.slots):
-            out[sizes > 0] = np.add.reduceat(self.weights * unit[self.slots], self.starts[:-1][sizes > 0])
-        return out
+            out[sizes > 0] = np.add.reduceat(self.weights * vector[self.slots], self.starts[:-1][sizes > 0])
+        lengths = self.lengths * np.sqrt(np.sum(vector * vector))
+        return np.divide(out, lengths, out=np.zeros(len(out)), where=lengths > 0)
 
 
 def _sparse_block(topics: DataFrame) -> Sparse | None:
@@ -199,14 +204,14 @@ def _sparse_block(topics: DataFrame) -> Sparse | None:
     starts = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
     slots, weights = flat.field("i").to_numpy(), flat.field("x").to_numpy()
     owner = np.repeat(np.arange(len(lists)), np.diff(starts))
-    weights = weights / np.sqrt(np.bincount(owner, weights * weights, len(lists)))[owner]
+    lengths = np.sqrt(np.bincount(owner, weights * weights, len(lists)))
     labels = np.array(rows.column("label").to_pylist(), dtype=object)
-    return Sparse(starts, slots, weights, labels, rows.column("tokens").to_numpy())
+    return Sparse(starts, slots, weights, lengths, labels, rows.column("tokens").to_numpy())
 
 
 def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str) -> DataFrame:
     """Adds ``listed`` and ``listed_tokens``; a long list never meets the others of its batch in one piece of memory."""
-    shared = docs.sparkSession.sparkContext.broadcast((block.starts, block.slots, block.weights, block.labels, block.tokens))
+    shared = docs.sparkSession.sparkContext.broadcast((block.starts, block.slots, block.weights, block.lengths, block.labels, block.tokens))
     schema = T.StructType([*docs.schema.fields, T.StructField("listed", T.StringType()), T.StructField("listed_tokens", T.LongType())])
 
     def run(batches):
@@ -214,8 +219,7 @@ def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str) -> Da
 
         def one(vector, budget: float) -> tuple[str, int]:
             vector = np.asarray(vector, dtype=float)
-            size = np.linalg.norm(vector)
-            order = _order(topics.similarities(vector / size if size > 0 else np.zeros_like(vector)))
+            order = _order(topics.similarities(vector))
             order = order[: keep(topics.tokens[order], budget)]
             text = "\n".join(topics.labels[order])
             return text + "\n" if end == "line" and len(order) else text, int(topics.tokens[order].sum())

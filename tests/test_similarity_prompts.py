@@ -268,3 +268,12 @@ def test_prompts_bring_their_tokens_along(corpus, context):
         assert [r[1] for r in rows if r.prompt is not None] == [r.n for r in rows if r.prompt is not None]
     assert P.PROMPT_TOKENS not in P.assign_prompts(docs, tree, "{tree}{Document}", context).columns
     assert X.template_fields("a{x} {y}") is None and X.template_fields("{x}b") is None and X.template_fields("a {x}: {x}") == ["x", "x"]
+
+
+def test_cosines_of_counts_are_one_quotient():
+    rng = np.random.default_rng(4)
+    topics, vector = rng.integers(0, 3, (200, 16)).astype(float), rng.integers(0, 50, 16).astype(float)
+    sizes, slots = (topics > 0).sum(1), np.nonzero(topics)[1]
+    lengths = np.sqrt((topics**2).sum(1))
+    block = S.Sparse(np.append(0, np.cumsum(sizes)), slots, topics[topics > 0], lengths, np.array(["x"] * 200), np.ones(200))
+    assert (block.similarities(vector) == topics @ vector / (lengths * np.sqrt((vector**2).sum()))).all()
