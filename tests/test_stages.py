@@ -1,4 +1,5 @@
 import json
+import time
 import random
 
 import numpy as np
@@ -65,6 +66,19 @@ def test_one_bad_prompt_does_not_fail_its_batch(spark):
     assert [r.error for r in B.failed_calls(B.complete(df, "p", picky, batch_size=4, wait=0.0)).collect()] == ["RuntimeError: no threes"]
 
 
+def test_prompts_sent_one_by_one_cost_little_more_than_batches(spark):
+    df = spark.range(4000).coalesce(1).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("p"))
+
+    def seconds(size):
+        begin = time.time()
+        rows = B.complete(df, "p", lambda ps: [p + "!" for p in ps], batch_size=size).collect()
+        assert all((r.response, r.status) == ((f"{r.id}!", "ok") if r.p else (None, "skipped")) for r in rows)
+        return time.time() - begin
+
+    seconds(1000)
+    assert seconds(1) < seconds(1000) + 3
+
+
 def test_settings_reach_completers_that_take_them(spark):
     df = spark.createDataFrame([(0, "p")], "i int, p string")
     say = lambda p, settings: f"{settings.temperature} {settings.top_p} {settings.max_tokens} {settings.system}"
