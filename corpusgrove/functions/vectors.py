@@ -13,6 +13,7 @@ from pyspark.sql import Column, functions as F, types as T
 from corpusgrove.functions.text import let
 
 VECTOR = T.ArrayType(T.DoubleType(), False)
+WORDS = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -33,17 +34,22 @@ def cosine(a: Column, b: Column) -> Column:
 def hashed_terms(dims: int = 256) -> Callable[[list[str]], np.ndarray]:
     """A text encoder: term counts, each term hashed to one dimension."""
 
+    class Slots(dict):
+        """Slots of the words met so far; a worker keeps no more than ``WORDS`` of them."""
+
+        def __missing__(self, word: str) -> int:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = slot = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dims
+            return slot
+
+    slots = Slots()
+
     def encode(texts: list[str]) -> np.ndarray:
-        slots: dict[str, int] = {}
         out = np.zeros((len(texts), dims))
         for row, text in enumerate(texts):
-            seen = []
-            for word in _WORD.findall(text.lower()):
-                slot = slots.get(word)
-                if slot is None:
-                    slot = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dims
-                    slots[word] = slot
-                seen.append(slot)
+            words = _WORD.findall(text.lower())
+            seen = np.fromiter(map(slots.__getitem__, words), np.int64, len(words))
             out[row] = np.bincount(seen, minlength=dims)
         return out
 

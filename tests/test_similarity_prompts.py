@@ -277,3 +277,14 @@ def test_cosines_of_counts_are_one_quotient():
     lengths = np.sqrt((topics**2).sum(1))
     block = S.Sparse(np.append(0, np.cumsum(sizes)), slots, topics[topics > 0], lengths, np.array(["x"] * 200), np.ones(200))
     assert (block.similarities(vector) == topics @ vector / (lengths * np.sqrt((vector**2).sum()))).all()
+
+
+def test_encoder_hashes_a_word_once_and_remembers_few(monkeypatch):
+    hashed = []
+    md5 = V.hashlib.md5
+    monkeypatch.setattr(V.hashlib, "md5", lambda b: hashed.append(b) or md5(b))
+    encode = V.hashed_terms(16)
+    first = encode(["trade and trade", "law"])
+    assert (encode(["trade and trade", "law"]) == first).all() and first.sum() == 4 and len(hashed) == 3
+    monkeypatch.setattr(V, "WORDS", 2)
+    assert (V.hashed_terms(16)(["trade and trade", "law"]) == first).all()
