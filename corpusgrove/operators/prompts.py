@@ -21,11 +21,6 @@ def labelled_topics(tree: DataFrame, desc: bool, tokens: X.TokenCounter, encode=
     return rows.withColumn("embedding", embed(F.col("label"), encode)) if vectors else rows
 
 
-def _vector(text: Column, encode=None) -> Column:
-    """Vector of a document for the ranking, a Python step itself, which takes no higher-order functions as input."""
-    return embed(text, encode or hashed_terms())
-
-
 def _with_tokens(df: DataFrame, template: str, tokens: X.TokenCounter, **counts: Column) -> DataFrame:
     """Adds the prompt's tokens where they are the sum over its parts: prompts carry whole trees, and counting is slow."""
     total = X.filled_tokens(template, **counts) if tokens is X.DEFAULT_TOKENS else None
@@ -77,14 +72,14 @@ def generation_prompts(
     # a list of at most max_topic_tokens is never the part that does not fit
     if topic_tokens > max_topic_tokens:
         prune = F.col("fit") == "prune_topics"
-        sized = sized.withColumn("__vector", _vector(F.when(prune, F.col("text")), encode))
         budget = F.when(prune, room - F.col("doc_tokens")).otherwise(F.lit(0))
-        sized = budgeted_list(sized, labelled_topics(tree, with_desc, tokens, encode), budget, "__vector")
+        sized = sized.withColumn("__prune", prune)
+        sized = budgeted_list(sized, labelled_topics(tree, with_desc, tokens, encode), budget, "text", encode or hashed_terms(), "__prune")
         topics = F.when(prune, F.coalesce("listed", F.lit(""))).otherwise(topics)
         listed = F.when(prune, F.coalesce("listed_tokens", F.lit(0))).otherwise(listed)
     prompt = X.fill_template(template, Document=document, Topics=topics)
     sized = _with_tokens(sized.withColumn("prompt", prompt), template, tokens, Document=sent, Topics=listed)
-    return sized.drop("__vector", "listed", "listed_tokens")
+    return sized.drop("__prune", "listed", "listed_tokens")
 
 
 def assign_prompts(
@@ -103,15 +98,14 @@ def assign_prompts(
     if tree_tokens <= context_len:
         shown, shown_tokens = list_text(tree, desc=True), F.lit(tree_tokens)
     else:
-        docs = docs.withColumn("__vector", _vector(F.col("text"), encode))
         topics = labelled_topics(tree, True, tokens, encode)
-        docs = budgeted_list(docs, topics, F.lit(context_len), "__vector")
+        docs = budgeted_list(docs, topics, F.lit(context_len), "text", encode or hashed_terms())
         shown, shown_tokens = F.coalesce("listed", F.lit("")), F.coalesce("listed_tokens", F.lit(0))
     room = F.lit(context_len) - tokens.count(F.lit(template)) - shown_tokens
     out = docs.withColumn("prompted_docs", tokens.truncate(F.col("text"), room))
     prompt = X.fill_template(template, Document=F.col("prompted_docs"), tree=shown)
     out = _with_tokens(out.withColumn("prompt", prompt), template, tokens, Document=tokens.count(F.col("prompted_docs")), tree=shown_tokens)
-    return out.drop("__vector", "listed", "listed_tokens")
+    return out.drop("listed", "listed_tokens")
 
 
 def correct_prompts(
@@ -122,12 +116,15 @@ def correct_prompts(
     floor: int = G.CORRECTION_TOPIC_FLOOR,
     tokens: X.TokenCounter = X.DEFAULT_TOKENS,
     encode=None,
+    longest: int | None = None,
 ) -> DataFrame:
     """Adds ``prompt`` asking again for ``prompted_docs``, given ``responses``.
 
     Where document, template and tree exceed the context, the least similar
     topics go until the list fits half of it (but ``floor`` topics stay), and
-    the document is cut to what is left.
+    the document is cut to what is left.  ``longest``, the characters of the
+    longest document where known, spares the ranking if none can exceed it: a
+    token of the default counter has a character at least.
     """
     before, after = G.REASSIGN_MESSAGE
     message = F.concat(F.lit(before), F.col("responses"), F.lit(after))
@@ -135,11 +132,13 @@ def correct_prompts(
     template_tokens = tokens.count(F.lit(template))
     tree_tokens = list_tokens(tree, True, tokens)
     whole = list_text(tree, desc=True)
+    if longest is not None and tokens is X.DEFAULT_TOKENS and longest + len(template) + tree_tokens <= context_len:
+        made = docs.withColumn("prompt", X.fill_template(template, Document=doc, tree=whole, Message=message))
+        return _with_tokens(made, template, tokens, Document=tokens.count(doc), tree=F.lit(tree_tokens), Message=tokens.count(message))
     over = tokens.count(doc) + template_tokens + F.lit(tree_tokens) > F.lit(context_len)
     marked = docs.withColumn("__over", over)
-    marked = marked.withColumn("__vector", _vector(F.when(F.col("__over"), doc), encode))
     topics = labelled_topics(tree, True, tokens, encode)
-    ranked = half_context_list(marked, topics, context_len, floor, "__vector")
+    ranked = half_context_list(marked, topics, context_len, floor, "prompted_docs", encode or hashed_terms(), "__over")
     kept = F.coalesce("listed_tokens", F.lit(0))
     room = F.lit(context_len) - template_tokens - kept
     cut = F.when(F.col("__over"), tokens.truncate(doc, room)).otherwise(doc)
@@ -148,7 +147,7 @@ def correct_prompts(
     doc_tokens, listed = tokens.count(doc), F.when(F.col("__over"), kept).otherwise(F.lit(tree_tokens))
     sent = F.when(F.col("__over"), F.least(doc_tokens, F.greatest(room, F.lit(0)))).otherwise(doc_tokens)
     ranked = _with_tokens(ranked.withColumn("prompt", prompt), template, tokens, Document=sent, tree=listed, Message=tokens.count(message))
-    return ranked.drop("__over", "__vector", "listed", "listed_tokens")
+    return ranked.drop("__over", "listed", "listed_tokens")
 
 
 def subtopic_budget(template: str, context_len: int, max_tokens: int) -> Column:

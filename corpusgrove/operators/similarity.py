@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corpusgrove.functions.vectors import embed
 from corpusgrove.operators.pairs import closest_pairs, topic_pairs, unit_rows
 from corpusgrove.storage import materialize, rows_within
 
@@ -209,8 +210,11 @@ def _sparse_block(topics: DataFrame) -> Sparse | None:
     return Sparse(starts, slots, weights, lengths, labels, rows.column("tokens").to_numpy())
 
 
-def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str) -> DataFrame:
-    """Adds ``listed`` and ``listed_tokens``; a long list never meets the others of its batch in one piece of memory."""
+def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str, encode, where: str | None) -> DataFrame:
+    """Adds ``listed`` and ``listed_tokens``; a long list never meets the others of its batch in one piece of memory.
+
+    With ``encode`` the column holds texts, encoded here: they pass one worker, not two.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((block.starts, block.slots, block.weights, block.lengths, block.labels, block.tokens))
     schema = T.StructType([*docs.schema.fields, T.StructField("listed", T.StringType()), T.StructField("listed_tokens", T.LongType())])
 
@@ -226,6 +230,7 @@ def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str) -> Da
 
         for batch in batches:
             vectors, budgets = batch.column(embedding), batch.column("__budget")
+            wanted = batch.column(where) if where else None
             first, texts, sums, held = 0, [], [], 0
 
             def rows(start: int):
@@ -233,8 +238,10 @@ def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str) -> Da
                 return pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string()), pa.array(sums, pa.int64())], [*batch.schema.names, "listed", "listed_tokens"])
 
             for k in range(batch.num_rows):
-                vector = vectors[k]
-                text, total = one(vector.values.to_numpy(zero_copy_only=False), budgets[k].as_py()) if vector.is_valid else (None, None)
+                text, total = None, None
+                if vectors[k].is_valid and (wanted is None or wanted[k].as_py()):
+                    vector = encode([vectors[k].as_py()])[0] if encode else vectors[k].values.to_numpy(zero_copy_only=False)
+                    text, total = one(vector, budgets[k].as_py())
                 texts.append(text)
                 sums.append(total)
                 held += len(text or "")
@@ -247,31 +254,37 @@ def _texts(docs: DataFrame, block: Sparse, embedding: str, keep, end: str) -> Da
     return docs.mapInArrow(run, schema)
 
 
-def _listed(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, keep, end: str) -> DataFrame:
+def _listed(docs: DataFrame, topics: DataFrame, embedding: str, budget: Column, keep, end: str, encode=None, where: str | None = None) -> DataFrame:
     """Adds ``listed``, the labels of the kept topics as one text, and ``listed_tokens``, their tokens; null without a vector.
 
+    ``embedding`` names a column of vectors, or of texts for ``encode``; ``where`` names the rows that want a list.
+
     The text is made where the topics are ranked; lists as long as the tree never
     become rows of labels.  ``end`` is ``line`` (a line end behind each) or ``join``.
     """
     topics = materialize(topics.select("ord", "label", F.col("tokens").cast("long").alias("tokens"), F.col("embedding").cast("array<double>").alias("embedding")), "ranked-topics")
     block = _sparse_block(topics)
     if block is not None:
-        return _texts(docs.withColumn("__budget", budget.cast("double")), block, embedding, keep, end).drop("__budget")
+        return _texts(docs.withColumn("__budget", budget.cast("double")), block, embedding, keep, end, encode, where).drop("__budget")
+    if encode or where:
+        wanted = F.when(F.col(where), F.col(embedding)) if where else F.col(embedding)
+        docs, embedding = docs.withColumn("__vector", embed(wanted, encode) if encode else wanted), "__vector"
     ranked = _rank(docs, topics, embedding, budget, keep, "__ranked", BLOCK_ROWS)
     labels = F.transform("__ranked", lambda r: F.concat(r["label"], F.lit("\n")) if end == "line" else r["label"])
     total = F.aggregate("__ranked", F.lit(0).cast("long"), lambda acc, r: acc + r["tokens"])
     there = F.col(embedding).isNotNull()
-    return ranked.withColumn("listed", F.when(there, F.array_join(labels, "" if end == "line" else "\n"))).withColumn("listed_tokens", F.when(there, total)).drop("__ranked")
+    listed = ranked.withColumn("listed", F.when(there, F.array_join(labels, "" if end == "line" else "\n"))).withColumn("listed_tokens", F.when(there, total))
+    return listed.drop("__ranked", "__vector")
 
 
-def budgeted_list(docs: DataFrame, topics: DataFrame, budget: Column, embedding: str) -> DataFrame:
+def budgeted_list(docs: DataFrame, topics: DataFrame, budget: Column, embedding: str, encode=None, where: str | None = None) -> DataFrame:
     """``budgeted_topics`` as a text, a line each."""
-    return _listed(docs, topics, embedding, budget, _within_budget, "line")
+    return _listed(docs, topics, embedding, budget, _within_budget, "line", encode, where)
 
 
-def half_context_list(docs: DataFrame, topics: DataFrame, context_len: int, floor: int, embedding: str) -> DataFrame:
+def half_context_list(docs: DataFrame, topics: DataFrame, context_len: int, floor: int, embedding: str, encode=None, where: str | None = None) -> DataFrame:
     """``half_context_topics`` as a text, joined by line ends."""
-    return _listed(docs, topics, embedding, F.lit(context_len // 2), _with_floor(floor), "join")
+    return _listed(docs, topics, embedding, F.lit(context_len // 2), _with_floor(floor), "join", encode, where)
 
 
 def similar_topics(docs: DataFrame, topics: DataFrame, k: int, embedding: str = "embedding", out: str = "ranked", block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -288,3 +288,19 @@ def test_encoder_hashes_a_word_once_and_remembers_few(monkeypatch):
     assert (encode(["trade and trade", "law"]) == first).all() and first.sum() == 4 and len(hashed) == 3
     monkeypatch.setattr(V, "WORDS", 2)
     assert (V.hashed_terms(16)(["trade and trade", "law"]) == first).all()
+
+
+def test_corrections_rank_topics_in_one_worker_and_only_where_a_text_may_not_fit(spark):
+    tree = spark.createDataFrame([([i], lvl, name, 1, desc) for i, (lvl, name, _, desc) in enumerate(TREE)], "path array<long>, lvl int, name string, count long, desc string")
+    docs = spark.createDataFrame([(i, d, f"[1] Other {i}: no") for i, d in enumerate(DOCS)], "doc_idx long, prompted_docs string, responses string")
+    template = "Pick.\n{tree}\n#\n{Document}\n#\n{Message}"
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    cut = P.correct_prompts(docs, tree, template, 130, 2)
+    assert "ArrowEvalPython" not in plan(cut) and plan(cut).count("MapInArrow") == 1
+    longest = max(map(len, DOCS))
+    for context in (130, 100_000):
+        known = P.correct_prompts(docs, tree, template, context, 2, longest=longest)
+        assert ("MapInArrow" in plan(known)) == (context == 130)
+        want = P.correct_prompts(docs, tree, template, context, 2)
+        pick = lambda df: {r.doc_idx: (r.prompt, r[P.PROMPT_TOKENS]) for r in df.collect()}
+        assert pick(known) == pick(want)
