@@ -25,7 +25,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from array import array
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -46,7 +46,7 @@ PASSAGE_STRINGS = 64
 BATCH_STRINGS = 1 << 17
 SLICE = 1 << 14
 SENT_BYTES = 5 << 20
-INDEX_BYTES = 4 << 20
+INDEX_BYTES = 1 << 20
 PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
 REMOVED = "doc_id long, row_key long, spans binary"
 
@@ -133,8 +133,8 @@ def pack_passages(rows: list[Passage]) -> tuple[int, bytes]:
     return len(blob), pa.compress(blob, codec="zstd", asbytes=True)
 
 
-def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The passages of ``pack_passages`` as columns."""
+def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The passages of ``pack_passages`` as columns: texts, fingerprints, documents, row keys, numbers of places, all places."""
     blob = pa.decompress(pack, decompressed_size=size, codec="zstd", asbytes=True)
     n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
     columns = []
@@ -145,7 +145,7 @@ def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np
     places = np.frombuffer(blob, np.int64, int(counts.sum()), at)
     ends = at + 8 * len(places) + np.cumsum(sizes, dtype=np.int64)
     texts = [blob[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist())]
-    return texts, prints, docs, keys, np.split(places, np.cumsum(counts)[:-1])
+    return texts, prints, docs, keys, counts, places
 
 
 def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) -> DataFrame:
@@ -364,25 +364,26 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
     """Spans to remove, from passages that meet by fingerprint."""
 
     def find(table: pa.Table) -> pa.Table:
-        ids, keys, spans = [], [], []
-        texts, places, columns = [], [], [[np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]]
+        ids, keys, spans = array("q"), array("q"), []
+        texts, columns = [], [[np.zeros(0, kind)] for kind in (np.uint32, np.int64, np.uint32, np.uint32, np.int64)]
         for _, size, pack, doc_id, key, done in zip(*(c.to_pylist() for c in table.columns)):
             if pack is None:
                 ids.append(doc_id)
                 keys.append(key)
                 spans.append(done)
                 continue
-            more, *arrays, at = unpack_passages(size, pack)
+            more, *arrays = unpack_passages(size, pack)
             texts += more
-            places += at
-            for column, array in zip(columns, arrays):
-                column.append(array)
-        prints, doc, key_of = (np.concatenate(c) for c in columns)
+            for column, part in zip(columns, arrays):
+                column.append(part)
+        prints, doc, key_of, counts, places = (np.concatenate(c) for c in columns)
+        del columns
+        first_place = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
 
         def remove(row: int, runs: np.ndarray) -> None:
             ids.append(int(doc[row]))
             keys.append(int(key_of[row]))
-            spans.append((places[row][:, None, None] + runs[None]).tobytes())
+            spans.append((places[first_place[row] : first_place[row + 1], None, None] + runs[None]).tobytes())
 
         first, same = {}, {}
         for row in np.argsort(doc, kind="stable").tolist():
@@ -400,11 +401,15 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
                         remove(row, runs)
 
         # strings of different passages can only be equal if their fingerprints are
-        alike, waiting, strings = defaultdict(list), [], 0
-        for row in first.values():
-            alike[int(prints[row])].append(row)
-        for members in alike.values():
-            if len(members) > 1:
+        rows = np.fromiter(first.values(), np.int64, len(first))
+        first.clear()
+        rows = rows[np.argsort(prints[rows], kind="stable")]
+        ranked = prints[rows].astype(np.int64)
+        cuts = np.flatnonzero(np.diff(ranked, prepend=-1, append=-1))
+        waiting, strings = [], 0
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if b - a > 1:
+                members = rows[a:b].tolist()
                 waiting += members
                 strings += sum(len(texts[r]) for r in members)
                 if strings >= INDEX_BYTES:
@@ -412,7 +417,7 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
                     waiting, strings = [], 0
         if waiting:
             settle(waiting)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
+        return pa.table([pa.array(np.array(ids)), pa.array(np.array(keys)), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
 
     # packs are small for the work they hold: a fixed number of tasks, not one that follows their bytes
     width = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))

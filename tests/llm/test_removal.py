@@ -223,3 +223,10 @@ def test_spans_merge_and_cut():
 def test_empty_table(spark, run):
     assert run(documents(spark, [])).count() == 0
     assert run(documents(spark, [(1, None), (2, "")])).where("n_bytes = 0 and n_removed = 0").count() == 2
+
+
+def test_unpacked_passages_keep_their_places_in_one_array():
+    rows = [(b"a" * 60, 7, 3, 11, [5, 90]), (b"b" * 70, 1 << 31, 4, 12, [0]), (b"c" * 50, 9, 5, 13, [2, 4, 1 << 40])]
+    texts, prints, docs, keys, counts, places = suffix_levels.unpack_passages(*suffix_levels.pack_passages(rows))
+    assert list(zip(texts, prints.tolist(), docs.tolist(), keys.tolist())) == [r[:4] for r in rows]
+    assert counts.tolist() == [2, 1, 3] and places.tolist() == [5, 90, 0, 2, 4, 1 << 40]
