@@ -29,7 +29,9 @@ def top_words(text: Column, k: int = 2) -> Column:
     Counted inside the row: sort, find where runs of equal words start, take
     run lengths.  No shuffle, whatever the length of the text.
     """
-    words = F.sort_array(F.regexp_extract_all(F.lower(text), F.lit(LONG_WORD), F.lit(1)))
+    # the lower case of İ is two characters, a letter and a mark that would end the word
+    lowered = F.lower(F.replace(text, F.lit("İ"), F.lit("i")))
+    words = F.sort_array(F.regexp_extract_all(lowered, F.lit(LONG_WORD), F.lit(1)))
 
     def runs(s: Column) -> Column:
         starts = F.filter(
@@ -52,10 +54,12 @@ def top_words(text: Column, k: int = 2) -> Column:
 def capital(word: Column) -> Column:
     """``word`` with a capital letter for its first, one for one, so that it stays the same topic in any case.
 
-    ``initcap`` makes two letters of some: ``ß`` becomes ``Ss``, another name.
+    ``upper`` and ``initcap`` make two letters of some: ``ß`` becomes ``Ss``, another name, and ``ᾳ`` becomes ``ΑΙ`` in
+    upper case but ``ᾼ`` as the first letter of a word.
     """
     first = F.substring(word, 1, 1)
-    upper = F.when(first == "ß", "ẞ").when(F.length(F.upper(first)) == 1, F.upper(first)).otherwise(first)
+    upper = F.when(first == "ß", "ẞ").when(F.length(F.upper(first)) == 1, F.upper(first))
+    upper = upper.when(F.length(F.initcap(first)) == 1, F.initcap(first)).otherwise(first)
     return F.concat(upper, F.substring(word, F.lit(2), F.length(word)))
 
 
@@ -133,8 +137,8 @@ REFINE_TEMPLATE = "Merge what belongs together.\n{Topics}\nMerged:"
 
 def capital_word(word: str) -> str:
     """``capital`` of a string."""
-    upper = "ẞ" if word[0] == "ß" else word[0].upper()
-    return (upper if len(upper) == 1 else word[0]) + word[1:]
+    forms = ("ẞ" if word[0] == "ß" else word[0].upper(), word[0].title(), word[0])
+    return next(form for form in forms if len(form) == 1) + word[1:]
 
 
 def name_topics(prompt: str) -> str:

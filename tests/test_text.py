@@ -99,3 +99,16 @@ def test_capital_names_stay_the_word_in_any_case(spark):
     got = rows.select("w", stub.capital(F.col("w")).alias("c")).withColumn("back", F.lower("c")).orderBy("k").collect()
     assert [r["c"] for r in got] == ["ẞausch", "Haus", "Éclair", "ﬁnden", "ŉabcdef"] == [stub.capital_word(w) for w in words]
     assert all(r["back"] == r["w"] for r in got)
+
+
+def test_capital_of_letters_whose_upper_case_is_two_letters(spark):
+    words = ["ᾳbcdef", "ᾀbcdef", "ᾲbcdef"]
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "k int, w string")
+    got = rows.select("w", stub.capital(F.col("w")).alias("c")).withColumn("back", F.lower("c")).orderBy("k").collect()
+    assert [r["c"] for r in got] == ["ᾼbcdef", "ᾈbcdef", "ᾲbcdef"] == [stub.capital_word(w) for w in words]
+    assert all(r["back"] == r["w"] for r in got)
+
+
+def test_a_dotted_capital_i_does_not_end_a_word(spark):
+    rows = spark.createDataFrame([("İstanbul und İstanbul",), ("DİYARBAKIR",)], "text string")
+    assert [r[0] for r in rows.select(stub.top_words(F.col("text"))).collect()] == [["istanbul"], ["diyarbakir"]]
