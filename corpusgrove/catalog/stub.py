@@ -141,16 +141,26 @@ def capital_word(word: str) -> str:
     return next(form for form in forms if len(form) == 1) + word[1:]
 
 
+def long_words(text: str) -> list[str]:
+    """Runs of six letters or more, in lower case as in ``top_words``."""
+    found = []
+    for run in _LONG.findall(text.replace("İ", "i").lower()):
+        # numbers such as ² and Ⅷ are no digits to the pattern, and no letters
+        parts = [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
+        found += [w for w in parts if len(w) >= 6]
+    return found
+
+
 def name_topics(prompt: str) -> str:
     """Completer: the two most frequent long words of the text."""
-    words = Counter(_LONG.findall(prompt.split("\nText:\n", 1)[1].lower()))
+    words = Counter(long_words(prompt.split("\nText:\n", 1)[1]))
     best = sorted(words.items(), key=lambda item: (-item[1], item[0]))[:2]
     return "\n".join(f"[1] {capital_word(w)}: Documents about {w}." for w, _ in best) or "None"
 
 
 def name_initial(prompt: str) -> str:
     """Completer: the first letter of the most frequent long word."""
-    words = Counter(_LONG.findall(prompt.split("\nText:\n", 1)[1].lower()))
+    words = Counter(long_words(prompt.split("\nText:\n", 1)[1]))
     if not words:
         return "None"
     letter = min(words.items(), key=lambda item: (-item[1], item[0]))[0][0]
