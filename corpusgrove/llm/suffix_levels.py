@@ -47,6 +47,7 @@ BATCH_STRINGS = 1 << 17
 SLICE = 1 << 14
 SENT_BYTES = 5 << 20
 INDEX_BYTES = 1 << 20
+SLICE_PASSAGES = 1 << 14
 PASSAGES = "bucket int, size long, pack binary, doc_id long, row_key long, spans binary"
 REMOVED = "doc_id long, row_key long, spans binary"
 
@@ -79,7 +80,8 @@ class Minimizer:
             by = min(have, width - have)
             low = np.minimum(low[: len(low) - by], low[by:])
             have += by
-        return low
+        # least hashes are small numbers: mixed once more (one to one), all buckets get as many
+        return mix(low)
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, overlap: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
@@ -133,8 +135,8 @@ def pack_passages(rows: list[Passage]) -> tuple[int, bytes]:
     return len(blob), pa.compress(blob, codec="zstd", asbytes=True)
 
 
-def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The passages of ``pack_passages`` as columns: texts, fingerprints, documents, row keys, numbers of places, all places."""
+def passage_columns(size: int, pack: bytes) -> tuple[bytes, list[np.ndarray]]:
+    """The passages of ``pack_passages``: all their bytes, and as columns fingerprints, documents, row keys, numbers of places, ends and sizes in the bytes, all places."""
     blob = pa.decompress(pack, decompressed_size=size, codec="zstd", asbytes=True)
     n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
     columns = []
@@ -143,9 +145,14 @@ def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np
         at += width * n
     docs, prints, keys, counts, sizes = columns
     places = np.frombuffer(blob, np.int64, int(counts.sum()), at)
-    ends = at + 8 * len(places) + np.cumsum(sizes, dtype=np.int64)
-    texts = [blob[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist())]
-    return texts, prints, docs, keys, counts, places
+    at += 8 * len(places)
+    return blob[at:], [prints, docs, keys, counts, np.cumsum(sizes, dtype=np.int64), sizes, places]
+
+
+def unpack_passages(size: int, pack: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The passages of ``pack_passages`` as columns: texts, fingerprints, documents, row keys, numbers of places, all places."""
+    blob, (prints, docs, keys, counts, ends, sizes, places) = passage_columns(size, pack)
+    return [blob[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist())], prints, docs, keys, counts, places
 
 
 def passages(docs: DataFrame, shared: DataFrame, length: int, n_buckets: int) -> DataFrame:
@@ -360,38 +367,60 @@ def _runs(flags: np.ndarray, length: int) -> np.ndarray:
     return np.column_stack((edges[::2], edges[1::2] + length - 1))
 
 
-def removed_spans(sent: DataFrame, length: int) -> DataFrame:
-    """Spans to remove, from passages that meet by fingerprint."""
+def passage_slices(prints: np.ndarray, size: int = SLICE_PASSAGES) -> Iterator[np.ndarray]:
+    """Rows in slices of at least ``size``; rows of one fingerprint are in one slice."""
+    order = np.argsort(prints, kind="stable")
+    ranked = prints[order]
+    at = 0
+    while at < len(order):
+        stop = min(at + size, len(order))
+        stop = int(np.searchsorted(ranked, ranked[stop - 1], "right"))
+        yield np.sort(order[at:stop])
+        at = stop
+
 
-    def find(table: pa.Table) -> pa.Table:
-        ids, keys, spans = array("q"), array("q"), []
-        texts, columns = [], [[np.zeros(0, kind)] for kind in (np.uint32, np.int64, np.uint32, np.uint32, np.int64)]
-        for _, size, pack, doc_id, key, done in zip(*(c.to_pylist() for c in table.columns)):
-            if pack is None:
-                ids.append(doc_id)
-                keys.append(key)
-                spans.append(done)
-                continue
-            more, *arrays = unpack_passages(size, pack)
-            texts += more
-            for column, part in zip(columns, arrays):
-                column.append(part)
-        prints, doc, key_of, counts, places = (np.concatenate(c) for c in columns)
-        del columns
-        first_place = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-
-        def remove(row: int, runs: np.ndarray) -> None:
-            ids.append(int(doc[row]))
-            keys.append(int(key_of[row]))
-            spans.append((places[first_place[row] : first_place[row + 1], None, None] + runs[None]).tobytes())
+def bucket_spans(table: pa.Table, length: int) -> pa.Table:
+    """Spans to remove, from the packs of one bucket and spans that are known already.
 
+    Strings of different passages can only be equal if their fingerprints are,
+    so the passages of a few fingerprints at a time become objects.
+    """
+    ids, keys, spans = array("q"), array("q"), []
+    blobs, columns = [], [[np.zeros(0, kind)] for kind in (np.uint32, np.int64, np.uint32, np.uint32, np.int64, np.uint32, np.int64)]
+    pack_of = [np.zeros(0, np.int32)]
+    for _, size, pack, doc_id, key, done in zip(*(c.to_pylist() for c in table.columns)):
+        if pack is None:
+            ids.append(doc_id)
+            keys.append(key)
+            spans.append(done)
+            continue
+        blob, arrays = passage_columns(size, pack)
+        pack_of.append(np.full(len(arrays[0]), len(blobs), np.int32))
+        blobs.append(blob)
+        for column, part in zip(columns, arrays):
+            column.append(part)
+    prints, doc, key_of, counts, ends, sizes, places = (np.concatenate(c) for c in columns)
+    pack_of = np.concatenate(pack_of)
+    del columns
+    first_place = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+
+    def remove(row: int, runs: np.ndarray) -> None:
+        ids.append(int(doc[row]))
+        keys.append(int(key_of[row]))
+        spans.append((places[first_place[row] : first_place[row + 1], None, None] + runs[None]).tobytes())
+
+    for rows in passage_slices(prints):
+        rows = rows[np.argsort(doc[rows], kind="stable")]
         first, same = {}, {}
-        for row in np.argsort(doc, kind="stable").tolist():
-            known = first.setdefault(texts[row], row)
+        for row, pack, end, n in zip(*(c[rows].tolist() for c in (np.arange(len(doc)), pack_of, ends, sizes))):
+            known = first.setdefault(blobs[pack][end - n : end], row)
             if known != row and doc[known] < doc[row]:
-                remove(row, np.array([[0, len(texts[row])]]))
+                remove(row, np.array([[0, n]]))
             elif known != row:  # another row with the same doc_id
                 same.setdefault(known, []).append(row)
+        texts = {row: text for text, row in first.items()}
+        del first
+
         def settle(some: list[int]) -> None:
             some.sort(key=lambda row: doc[row])
             for k, flags in repeated_strings([texts[r] for r in some], doc[some], length):
@@ -400,16 +429,14 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
                     for row in (some[k], *same.get(some[k], ())):
                         remove(row, runs)
 
-        # strings of different passages can only be equal if their fingerprints are
-        rows = np.fromiter(first.values(), np.int64, len(first))
-        first.clear()
-        rows = rows[np.argsort(prints[rows], kind="stable")]
-        ranked = prints[rows].astype(np.int64)
+        distinct = np.fromiter(texts, np.int64, len(texts))
+        distinct = distinct[np.argsort(prints[distinct], kind="stable")]
+        ranked = prints[distinct].astype(np.int64)
         cuts = np.flatnonzero(np.diff(ranked, prepend=-1, append=-1))
         waiting, strings = [], 0
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if b - a > 1:
-                members = rows[a:b].tolist()
+                members = distinct[a:b].tolist()
                 waiting += members
                 strings += sum(len(texts[r]) for r in members)
                 if strings >= INDEX_BYTES:
@@ -417,11 +444,14 @@ def removed_spans(sent: DataFrame, length: int) -> DataFrame:
                     waiting, strings = [], 0
         if waiting:
             settle(waiting)
-        return pa.table([pa.array(np.array(ids)), pa.array(np.array(keys)), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
+    return pa.table([pa.array(np.array(ids)), pa.array(np.array(keys)), pa.array(spans, pa.binary())], ["doc_id", "row_key", "spans"])
+
 
+def removed_spans(sent: DataFrame, length: int) -> DataFrame:
+    """Spans to remove, from passages that meet by fingerprint."""
     # packs are small for the work they hold: a fixed number of tasks, not one that follows their bytes
     width = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return sent.repartition(width, "bucket").groupBy("bucket").applyInArrow(find, REMOVED)
+    return sent.repartition(width, "bucket").groupBy("bucket").applyInArrow(lambda table: bucket_spans(table, length), REMOVED)
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:

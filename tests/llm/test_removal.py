@@ -230,3 +230,28 @@ def test_unpacked_passages_keep_their_places_in_one_array():
     texts, prints, docs, keys, counts, places = suffix_levels.unpack_passages(*suffix_levels.pack_passages(rows))
     assert list(zip(texts, prints.tolist(), docs.tolist(), keys.tolist())) == [r[:4] for r in rows]
     assert counts.tolist() == [2, 1, 3] and places.tolist() == [5, 90, 0, 2, 4, 1 << 40]
+
+
+def test_least_hashes_fill_all_buckets_alike():
+    rng = random.Random(31)
+    texts = pa.array([prose(rng, 400) for _ in range(40)], pa.string())
+    prints = np.concatenate(list(suffix_levels.distinct_prints(50)(texts)))
+    sizes = np.bincount(shared_prints.buckets_of(prints, 48).astype(np.int64), minlength=48)
+    assert sizes.min() > 0 and sizes.max() < 2 * sizes.mean()
+
+
+def test_passages_of_a_bucket_become_texts_in_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 50, 400)
+    slices = list(suffix_levels.passage_slices(prints, 30))
+    assert sorted(np.concatenate(slices).tolist()) == list(range(400)) and len(slices) > 5
+    assert not any(set(prints[a]) & set(prints[b]) for k, a in enumerate(slices) for b in slices[:k])
+
+    rows = [(bytes([65 + k % 3]) + bytes([97 + k % 13] * 12) + bytes([48 + k % 5]), k % 13, k // 3, k, [k, k + 100]) for k in range(200)]
+    size, pack = suffix_levels.pack_passages(rows)
+    table = pa.table({"bucket": [0, 0], "size": [size, None], "pack": [pack, None], "doc_id": [None, 900], "row_key": [None, 5], "spans": [None, b"x"]})
+    whole = suffix_levels.bucket_spans(table, 12)
+    monkeypatch.setattr(suffix_levels.passage_slices, "__defaults__", (20,))
+    sliced = suffix_levels.bucket_spans(table, 12)
+    assert (900, 5, b"x") in zip(*sliced.to_pydict().values())
+    assert sorted(zip(*sliced.to_pydict().values())) == sorted(zip(*whole.to_pydict().values())) and whole.num_rows > 20
