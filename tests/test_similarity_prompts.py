@@ -304,3 +304,24 @@ def test_corrections_rank_topics_in_one_worker_and_only_where_a_text_may_not_fit
         want = P.correct_prompts(docs, tree, template, context, 2)
         pick = lambda df: {r.doc_idx: (r.prompt, r[P.PROMPT_TOKENS]) for r in df.collect()}
         assert pick(known) == pick(want)
+
+
+@pytest.mark.parametrize("keep", [S._within_budget, S._with_floor(7)])
+def test_topics_of_one_vector_are_ranked_once_and_only_as_far_as_they_fit(keep):
+    rng = np.random.default_rng(8)
+    vectors = np.where(rng.random((900, 12)) < 0.2, rng.integers(1, 3, (900, 12)), 0).astype(float)
+    vectors[:300] = vectors[0]
+    sizes, slots = (vectors > 0).sum(1), np.nonzero(vectors)[1].astype(np.int32)
+    tokens, labels = rng.integers(0, 5, 900), np.array([f"[1] ñ{k}" for k in range(900)], dtype=object)
+    block = S.Sparse(np.append(0, np.cumsum(sizes)), slots, vectors[vectors > 0], np.sqrt((vectors**2).sum(1)), labels, tokens)
+    of, members, counts, upto, distinct, *rest = S._ranking(block)
+    ranking = S.Ranking(of, members, counts, upto, S.Sparse(*distinct), *rest)
+    assert len(counts) == len({v.tobytes() for v in vectors}) < 600
+    for budget in (-3, 0, 1, 9, 60, 200, 900, 1e9):
+        document = rng.integers(0, 3, 12).astype(float)
+        order = S._order(block.similarities(document))
+        want = order[: keep(tokens[order], budget)]
+        got = ranking.kept(document, budget, keep)
+        assert got.tolist() == want.tolist()
+        assert ranking.text(got, "join").decode() == "\n".join(labels[want])
+        assert ranking.text(got, "line").decode() == "".join(f"{x}\n" for x in labels[want])
