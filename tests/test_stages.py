@@ -45,6 +45,23 @@ def test_retries_errors_and_skips(spark, tmp_path):
     ]
 
 
+def test_prompts_put_together_in_the_worker_are_those_of_a_column(spark):
+    fields = {"Topics": ("__topics", "[1] Tråde\n[1] Law"), "Document": ("__document", None)}
+    parts = B.Parts("Known {{all}}:\n{Topics}\nText: {Document}.", fields)
+    rows = [(0, None, "eins"), (1, "[1] Own", "zwei"), (2, "", "drei"), (3, None, None), (4, "[1] Own", None)]
+    df = spark.createDataFrame(rows, "i int, __topics string, __document string").withColumn("__prompt_tokens", F.col("i").cast("long")).coalesce(1)
+    echo = lambda prompts: [f"{len(prompts)} {p}" for p in prompts]
+    made = B.complete(df, parts, echo, batch_size=2)
+    assert "prompt" not in made.columns and "__document" not in made.columns
+    whole = B.complete(df.withColumn("prompt", parts.column()), "prompt", echo, batch_size=2)
+    columns = ["i", "response", "status", "attempts", "prompt_hash", "error", "prompt_tokens", "response_tokens"]
+    got = [tuple(r) for r in made.select(columns).orderBy("i").collect()]
+    assert got == [tuple(r) for r in whole.select(columns).orderBy("i").collect()]
+    assert got[0][1] == "2 Known {all}:\n[1] Tråde\n[1] Law\nText: eins." and [r[2] for r in got] == ["ok"] * 3 + ["skipped"] * 2
+    # tokens that are not known are counted in the prompt
+    assert B.complete(df.drop("__prompt_tokens"), parts, echo).orderBy("i").first()["prompt_tokens"] == 17
+
+
 def test_batches_reach_the_completer_whole(spark):
     df = spark.range(10).selectExpr("id", "cast(id as string) p").coalesce(1)
     rows = B.complete(df, "p", lambda ps: [f"{p}/{len(ps)}" for p in ps], batch_size=4).orderBy("id").collect()
