@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusgrove.functions import vectors as V
 from corpusgrove.operators import backend as B, grounding as R, metrics as M, tree as T
+from corpusgrove.plans import assign
 from corpusgrove.plans.assign import assign_topics, correct_topics
 from corpusgrove.plans.generate import generate_topics_level1, generate_topics_level2
 from corpusgrove.plans.refine import refine_topics
@@ -504,3 +505,18 @@ def test_scratch_tables_can_be_released(spark):
     kept = materialize(spark.range(3), "released")
     path = kept.inputFiles()[0].rsplit("/", 1)[0]
     assert path_exists(spark, path) and release_scratch(spark) > 0 and not path_exists(spark, path)
+
+
+def test_texts_of_stages_are_written_once_and_compressed(spark, tmp_path):
+    rows = [(0, "a text", "a text"), (1, "a longer text", "a longer"), (2, None, None), (3, "text", None), (4, "", "")]
+    df = spark.createDataFrame(rows, "doc_idx long, text string, prompted_docs string")
+    stored = assign.kept(df, "assignments")
+    assert stored.columns == df.columns and sorted(map(tuple, stored.collect())) == rows
+    raw = spark.read.parquet(stored.inputFiles()[0].rsplit("/", 1)[0])
+    assert sorted((r.doc_idx, r.prompted_docs) for r in raw.collect()) == [(0, None), (1, "a longer"), (2, None), (3, None), (4, None)]
+
+    docs = spark.createDataFrame([(k, str(k), "the same words again " * 200, "x") for k in range(20)], "doc_idx long, id string, text string, label string").coalesce(1)
+    SD.write_documents(docs, str(tmp_path / "d.jsonl"))
+    (part,) = (tmp_path / "d.jsonl").glob("part-*")
+    assert part.name.endswith(".json.gz") and part.stat().st_size < 20 * 4200 / 10
+    assert [tuple(r) for r in SD.read_corpus(spark, str(tmp_path / "d.jsonl")).orderBy("doc_idx").collect()] == [tuple(r) for r in docs.collect()]
