@@ -325,3 +325,12 @@ def test_topics_of_one_vector_are_ranked_once_and_only_as_far_as_they_fit(keep):
         assert got.tolist() == want.tolist()
         assert ranking.text(got, "join").decode() == "\n".join(labels[want])
         assert ranking.text(got, "line").decode() == "".join(f"{x}\n" for x in labels[want])
+
+
+def test_asked_pairs_are_told_apart_in_one_shuffle(spark):
+    pairs = spark.createDataFrame([(["a", "b"], 1), (["a", "c"], 2), (["a", "b"], 3)], "pair array<string>, i int")
+    asked = spark.createDataFrame([(["a", "c"],), (["c", "d"],)], "pair array<string>")
+    grown = S.prompted_pairs(asked, pairs)
+    assert sorted(r.pair for r in grown.collect()) == [["a", "b"], ["a", "c"], ["c", "d"]]
+    assert grown._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") + grown._jdf.queryExecution().sparkPlan().toString().count("SortAggregate") == 2
+    assert sorted(r.pair for r in S.prompted_pairs(None, pairs).collect()) == [["a", "b"], ["a", "c"]]
