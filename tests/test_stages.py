@@ -520,3 +520,22 @@ def test_texts_of_stages_are_written_once_and_compressed(spark, tmp_path):
     (part,) = (tmp_path / "d.jsonl").glob("part-*")
     assert part.name.endswith(".json.gz") and part.stat().st_size < 20 * 4200 / 10
     assert [tuple(r) for r in SD.read_corpus(spark, str(tmp_path / "d.jsonl")).orderBy("doc_idx").collect()] == [tuple(r) for r in docs.collect()]
+
+
+@pytest.mark.parametrize("few", [0, 2, 1 << 16])
+def test_documents_are_copied_only_where_many_were_corrected(spark, monkeypatch, few):
+    labels = []
+    monkeypatch.setattr(assign, "FEW", few)
+    monkeypatch.setattr(assign, "materialize", lambda df, label, *more: labels.append(label) or materialize(df, label, *more))
+    tree = spark.createDataFrame([([1], 1, "Trade", 1, "x"), ([2], 1, "Law", 1, "y")], "path array<long>, lvl int, name string, count long, desc string")
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(8)], "doc_idx long, text string")
+    template = "Pick.\n{tree}\n#####\n{Document}"
+    wrong = lambda p: "[1] Unknown: no" if p[-1] in "136" else "[1] Law: yes"
+    again = one(lambda p: "[1] Trade: now")
+    assigned = assign_topics(docs, tree, one(wrong), template)
+    got = assign.kept_corrected(assigned, tree, again, template + "\n#####\n{Message}")
+    assert ("stage-corrected" in labels) == (few < 3)
+    assert {r.doc_idx: r.responses for r in got.collect()} == {k: "[1] Trade: now" if k in (1, 3, 6) else "[1] Law: yes" for k in range(8)}
+    assert got.columns == assigned.columns and {r.prompted_docs for r in got.collect()} == {f"text {k}" for k in range(8)}
+    clean = assign_topics(docs, tree, one(lambda p: "[1] Law: yes"), template)
+    assert assign.kept_corrected(clean, tree, again, template + "\n#####\n{Message}") is clean
