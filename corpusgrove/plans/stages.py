@@ -10,7 +10,7 @@ from corpusgrove.operators import metrics as M
 from corpusgrove.operators.backend import Backend, usage_of_calls
 from corpusgrove.operators import grounding as R
 from corpusgrove.operators.tree import topic_names
-from corpusgrove.plans.assign import KEPT, assign_topics, kept_corrected
+from corpusgrove.plans.assign import KEPT, assign_topics, correct_topics
 from corpusgrove.plans.manifest import Manifest, files_of
 from corpusgrove.plans.generate import generate_topics_level1, generate_topics_level2
 from corpusgrove.plans.refine import refine_topics
@@ -111,7 +111,7 @@ def run_stages(spark: SparkSession, config: dict, backends: dict[str, Backend])
     assigned = run("assignment", assign)["assigned"]
 
     def correct(section, backend, template, chosen):
-        corrected = kept_corrected(assigned, tree, backend, template, **chosen)
+        corrected = correct_topics(assigned, tree, backend, template, stored=True, **chosen)
         write_documents(corrected.drop(*KEPT), section["output"])
         return {"corrected": corrected}
 

@@ -533,9 +533,9 @@ def test_documents_are_copied_only_where_many_were_corrected(spark, monkeypatch,
     wrong = lambda p: "[1] Unknown: no" if p[-1] in "136" else "[1] Law: yes"
     again = one(lambda p: "[1] Trade: now")
     assigned = assign_topics(docs, tree, one(wrong), template)
-    got = assign.kept_corrected(assigned, tree, again, template + "\n#####\n{Message}")
+    got = assign.correct_topics(assigned, tree, again, template + "\n#####\n{Message}", stored=True)
     assert ("stage-corrected" in labels) == (few < 3)
     assert {r.doc_idx: r.responses for r in got.collect()} == {k: "[1] Trade: now" if k in (1, 3, 6) else "[1] Law: yes" for k in range(8)}
     assert got.columns == assigned.columns and {r.prompted_docs for r in got.collect()} == {f"text {k}" for k in range(8)}
     clean = assign_topics(docs, tree, one(lambda p: "[1] Law: yes"), template)
-    assert assign.kept_corrected(clean, tree, again, template + "\n#####\n{Message}") is clean
+    assert assign.correct_topics(clean, tree, again, template + "\n#####\n{Message}", stored=True) is clean
